@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from scriptoria.llm.common import remainder
+from scriptoria.llm.lm import score_katz
 from scriptoria.llm.near_dup import near_duplicates
+from scriptoria.llm.pieces import encoded
+from scriptoria.llm.quality import score_quality, train_quality
+from scriptoria.llm.toxicity import score_toxicity, train_toxicity
+
+#: The public model that op4 and the pipeline encode with; another path may be given.
+PIECES = os.environ.get("SCRIPTORIA_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,5 +26,30 @@ def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
-QUERIES = {"op2_near_dup": op2_near_dup}
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_katz(_table(spark, sf_dir, "documents"), lambda doc_id: remainder(doc_id, 7) != 2)
+
+
+def _judged(scored: DataFrame, modulus: int, held: int) -> DataFrame:
+    out = remainder(F.col("doc_id"), modulus) == held
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(_table(spark, sf_dir, "documents"), PIECES)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = train_quality(docs, _table(spark, sf_dir, "labels"), lambda doc_id: remainder(doc_id, 4) != 2)
+    return _judged(score_quality(docs, model), 4, 2)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = train_toxicity(docs, _table(spark, sf_dir, "labels"), lambda doc_id: remainder(doc_id, 3) != 1)
+    return _judged(score_toxicity(docs, model), 3, 1)
+
+
+QUERIES = {"op2_near_dup": op2_near_dup, "op3_lm_scoring": op3_lm_scoring, "op4_pieces": op4_pieces, "op5_quality": op5_quality, "op6_toxicity": op6_toxicity}
 ORACLES: dict[str, str] = {}
