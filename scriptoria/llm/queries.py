@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptoria.llm.common import remainder
+from scriptoria.llm.licenses import scan_licenses
 from scriptoria.llm.lm import score_katz
+from scriptoria.llm.mpeg import audio_columns
 from scriptoria.llm.near_dup import near_duplicates
 from scriptoria.llm.pieces import encoded
 from scriptoria.llm.quality import score_quality, train_quality
 from scriptoria.llm.toxicity import score_toxicity, train_toxicity
+from scriptoria.llm.warc import round_trip
 
 #: The public model that op4 and the pipeline encode with; another path may be given.
 PIECES = os.environ.get("SCRIPTORIA_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
@@ -51,5 +54,26 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(score_toxicity(docs, model), 3, 1)
 
 
-QUERIES = {"op2_near_dup": op2_near_dup, "op3_lm_scoring": op3_lm_scoring, "op4_pieces": op4_pieces, "op5_quality": op5_quality, "op6_toxicity": op6_toxicity}
+def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audio_columns(_table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op2_near_dup": op2_near_dup,
+    "op3_lm_scoring": op3_lm_scoring,
+    "op4_pieces": op4_pieces,
+    "op5_quality": op5_quality,
+    "op6_toxicity": op6_toxicity,
+    "op7_media": op7_media,
+    "op9_warc": op9_warc,
+    "op10_licenses": op10_licenses,
+}
 ORACLES: dict[str, str] = {}
