@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptoria.llm.common import remainder
+from scriptoria.llm.decontaminate import contaminated
 from scriptoria.llm.licenses import scan_licenses
 from scriptoria.llm.lm import score_katz
 from scriptoria.llm.mpeg import audio_columns
@@ -15,6 +16,7 @@ from scriptoria.llm.near_dup import near_duplicates
 from scriptoria.llm.pieces import encoded
 from scriptoria.llm.quality import score_quality, train_quality
 from scriptoria.llm.toxicity import score_toxicity, train_toxicity
+from scriptoria.llm.urls import filter_urls
 from scriptoria.llm.warc import round_trip
 
 #: The public model that op4 and the pipeline encode with; another path may be given.
@@ -25,6 +27,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: (verdict, host and path prefix) of op1's explicit rules.
+RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No table labels pages, so a label is taken to be of the page with its number: quality 0 is bad."""
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
+    return filter_urls(_table(spark, sf_dir, "pages"), labels, RULES)
+
+
 def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
 
@@ -58,6 +70,10 @@ def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio_columns(_table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -67,12 +83,14 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_near_dup": op2_near_dup,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_pieces": op4_pieces,
     "op5_quality": op5_quality,
     "op6_toxicity": op6_toxicity,
     "op7_media": op7_media,
+    "op8_decontaminate": op8_decontaminate,
     "op9_warc": op9_warc,
     "op10_licenses": op10_licenses,
 }

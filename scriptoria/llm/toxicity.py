@@ -16,6 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from scriptoria.llm.common import mix, saved, slices, text_bytes
 from scriptoria.llm.common import _P, _P_INV, _power
@@ -198,14 +199,13 @@ class Toxicity:
     base: float
 
 
-def _features(docs: DataFrame, lexicon: Lexicon, keep: dict[str, str]) -> DataFrame:
+def _features(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     def measured(batches):
         for batch in slices(batches):
             data, offsets = text_bytes(batch.column("text"))
-            x = lexicon.features(data, offsets)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(list(x), pa.list_(pa.float64()))], names=[*keep, "x"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(lexicon.features(data, offsets)), pa.list_(pa.float64()))], names=[*batch.schema.names, "x"])
 
-    return docs.mapInArrow(measured, ", ".join(f"{c} {t}" for c, t in keep.items()) + ", x array<double>")
+    return docs.mapInArrow(measured, StructType([*docs.schema.fields, StructField("x", ArrayType(DoubleType()))]))
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, train, sample: int = SAMPLE) -> Toxicity:
@@ -230,7 +230,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, train, sample: int = SAMP
     weight = F.when(F.col("label") == 1, counts[1] / size[1]).otherwise(counts[0] / size[0])
 
     def ready(part: DataFrame) -> DataFrame:
-        x = _features(part, lexicon, {"doc_id": "long", "label": "int", "text": "string"})
+        x = _features(part.select("doc_id", "label", "text"), lexicon)
         return saved(x.select("doc_id", F.col("label").cast("double").alias("label"), weight.alias("weight"), "x"), "features").withColumn("features", array_to_vector("x"))
 
     grown = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=20, maxDepth=3, stepSize=0.3, seed=5, cacheNodeIds=False).fit(ready(first).orderBy("doc_id").coalesce(1))
@@ -239,14 +239,15 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, train, sample: int = SAMP
     return Toxicity(lexicon, grown, curve, base)
 
 
-def score_toxicity(docs: DataFrame, model: Toxicity) -> DataFrame:
-    """docs' columns doc_id and text, with score double (0 to 1, higher: more likely toxic).
+def score_toxicity(docs: DataFrame, model: Toxicity, carry: tuple[str, ...] = ()) -> DataFrame:
+    """docs' columns doc_id and text, those of carry, and score double (0 to 1, higher: more likely toxic).
 
     Null and empty texts have zero features and are scored as such; each row is scored alone.
+    Columns not named in carry are dropped, so theirs cannot clash.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
     if model.trees is None:
         return rows.withColumn("score", F.lit(float(model.base)))
-    x = _features(rows, model.lexicon, {"doc_id": "long", "text": "string"}).withColumn("features", array_to_vector("x"))
-    p = model.trees.transform(x).select("doc_id", "text", vector_to_array("probability")[1].alias("p"))
-    return model.curve.transform(p).select("doc_id", "text", F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0)).alias("score"))
+    x = _features(rows, model.lexicon).withColumn("features", array_to_vector("x"))
+    p = model.trees.transform(x).select(*rows.columns, vector_to_array("probability")[1].alias("p"))
+    return model.curve.transform(p).select(*rows.columns, F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0)).alias("score"))
