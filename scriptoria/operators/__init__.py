@@ -1 +1 @@
-"""See the package README for what lives here."""
+"""Operators over DataFrames."""

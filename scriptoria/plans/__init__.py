@@ -1 +1 @@
-"""See the package README for what lives here."""
+"""Requests composed of operators."""
