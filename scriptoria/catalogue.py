@@ -238,7 +238,7 @@ def contained_chunks(spark, d):
 
 @query(f"WITH {_CHUNKS}, w AS (SELECT doc_id, CAST(unnest(generate_series(0, CAST(length(text) // 500 AS BIGINT))) AS BIGINT) AS win FROM documents) SELECT c.doc_id, win, count(*) AS n_lines FROM chunks c JOIN w ON c.doc_id = w.doc_id AND win * 500 < c.end_offset AND win * 500 + 500 > c.start_offset GROUP BY ALL")
 def overlapping_chunks(spark, d):
-    windows = _docs(spark, d).where("text is not null").select("doc_id", F.explode(F.sequence(F.lit(0), F.floor(F.length("text") / 500).cast("int"))).cast("long").alias("win"))
+    windows = _docs(spark, d).where("text is not null").select("doc_id", F.explode(F.expr("sequence(0L, cast(length(text) div 500 as bigint))")).alias("win"))
     windows = windows.withColumn("start_offset", F.col("win") * 500).withColumn("end_offset", F.col("win") * 500 + 500)
     pairs = J.bucketed_range_join(windows, _chunks(spark, d), "doc_id", J.overlaps())
     return pairs.groupBy(F.col("o.doc_id").alias("doc_id"), "win").agg(F.count("*").alias("n_lines"))
@@ -364,8 +364,8 @@ def keyword_in_context(spark, d):
 
 @query()
 def highlighted_hits(spark, d):
-    rows = _docs(spark, d).select("doc_id", Q.highlighted(X.words(F.col("text")), ["the", "and"], 5, 3).alias("snippet"))
-    return rows.where("snippet is not null")
+    rows = _docs(spark, d).select("doc_id", X.words(F.col("text")).alias("words"))
+    return Q.highlighted(rows, "words", ["the", "and"], 5, 3).where("snippet is not null").select("doc_id", "snippet")
 
 
 @query(f"WITH {_TOKENS}, v AS (SELECT DISTINCT word FROM tokens) SELECT word, starts_with(word, 'the') AS at_start, suffix(word, 'ing') AS at_end FROM v WHERE starts_with(word, 'the') OR suffix(word, 'ing')")

@@ -70,8 +70,8 @@ def feature_subsets(parses: DataFrame, features: list[str], weight: str) -> Data
     The empty subset is the total. A row adds once to each of its own subsets.
     """
     pairs = F.array_compact(F.array(*(F.when(F.col(f).isNotNull(), F.concat(F.lit(f + "="), F.col(f).cast("string"))) for f in features)))
-    masks = F.sequence(F.lit(0), F.shiftleft(F.lit(1), F.size("_p")) - 1)
-    subset = F.array_join(F.filter("_p", lambda p: F.call_function("getbit", F.col("_m"), F.array_position("_p", p) - 1) == 1), ";")
+    masks = F.expr("sequence(0, shiftleft(1, size(_p)) - 1)")
+    subset = F.array_join(F.filter("_p", lambda p, k: F.call_function("getbit", F.col("_m"), k) == 1), ";")
     each = parses.select(weight, pairs.alias("_p")).select(weight, "_p", F.explode(masks).alias("_m"))
     return each.groupBy(subset.alias("subset")).agg(F.sum(weight).alias("weight"))
 

@@ -76,12 +76,16 @@ def runs(hits: DataFrame, order: list[str], key: str) -> DataFrame:
     return hits.withColumn("_c", change).withColumn("run", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_c")
 
 
-def highlighted(words: Column, wanted: list[str], around: int = 20, most: int = 8) -> Column:
-    """Words from around the first match with up to most matches marked, joined by spaces."""
-    places = F.filter(F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1))), lambda k: F.lower(F.try_element_at(words, k)).isin(wanted))
-    marked = F.transform(words, lambda w, k: F.when(F.array_contains(F.slice(places, 1, most), k + 1), F.concat(F.lit("*"), w, F.lit("*"))).otherwise(w))
-    start = F.greatest(F.try_element_at(places, F.lit(1)) - around, F.lit(1))
-    return F.when(F.size(places) > 0, F.array_join(F.slice(marked, start, F.lit(2 * around + 1)), " "))
+def highlighted(rows: DataFrame, words: str, wanted: list[str], around: int = 20, most: int = 8) -> DataFrame:
+    """rows with snippet: words from around the first match, up to most matches marked; null without one.
+
+    The places of matches are a column of their own, so that each is computed once a row.
+    """
+    at = F.filter(F.transform(words, lambda w, k: F.when(F.lower(w).isin(wanted), k + 1)), lambda k: k.isNotNull())
+    out = rows.withColumn("_at", at).withColumn("_first", F.try_element_at("_at", F.lit(1))).withColumn("_from", F.greatest(F.col("_first") - around, F.lit(1))).withColumn("_marks", F.slice("_at", 1, most))
+    part = F.slice(words, F.col("_from"), F.lit(2 * around + 1))
+    marked = F.transform(part, lambda w, k: F.when(F.array_contains(F.col("_marks"), k + F.col("_from")), F.concat(F.lit("*"), w, F.lit("*"))).otherwise(w))
+    return out.withColumn("snippet", F.when(F.col("_first").isNotNull(), F.array_join(marked, " "))).drop("_at", "_first", "_from", "_marks")
 
 
 def in_context(text: Column, word: str, around: int = 200) -> Column:

@@ -36,7 +36,11 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
 def event_stream(spark: SparkSession, path: str) -> DataFrame:
     """A file stream of the event table."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if file.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(file).isFile():  # a stream reads folders
+        return stream.option("pathGlobFilter", file.getName()).parquet(file.getParent().toString())
+    return stream.parquet(path)
 
 
 def windowed_counts(events: DataFrame, size: str, slide: str | None = None, late: str = "10 minutes") -> DataFrame:
