@@ -4,8 +4,9 @@ A stream is an ID3v2 tag, a variable-bitrate header frame, data frames and an ID
 are MPEG-1 Layer III, 32 kHz, one channel, with a checksum; their data follow the side
 information as 8-bit units. The last frames take smaller bitrates, so little is padded.
 
-The reader resynchronises: a header counts only if its checksum holds and the next frame, tag or
-the end follows where its length says, so false sync words in data or junk are passed over.
+The reader resynchronises: a header counts only if it is of the stream's kind, its checksum holds
+and the next frame, tag or the end follows where its length says, so false sync words in data or
+junk are passed over.
 """
 
 from __future__ import annotations
@@ -58,6 +59,11 @@ class Header:
     size: int
     samples: int
 
+    @property
+    def kind(self) -> tuple[int, bool, int, bool]:
+        """What all frames of a stream share."""
+        return self.version, self.protected, self.rate, self.mono
+
     @property
     def side(self) -> int:
         return (17 if self.mono else 32) if self.version == 3 else (9 if self.mono else 17)
@@ -179,10 +185,10 @@ def read_stream(data: bytes) -> Stream:
     if end - at >= 128 and data[end - 128 : end - 125] == b"TAG":
         end -= 128
         out.trailer = True
-    first = True
+    first, kind = True, None
     while at + 4 <= end:
         h = header(data[at : at + 4])
-        ok = h is not None and at + h.size <= end and (at + h.size == end or header(data[at + h.size : at + h.size + 4]) is not None or end - at - h.size < 4)
+        ok = h is not None and (kind is None or kind == h.kind) and at + h.size <= end and (at + h.size == end or header(data[at + h.size : at + h.size + 4]) is not None or end - at - h.size < 4)
         if ok and h.protected:
             body = at + 6
             ok = struct.unpack(">H", data[at + 4 : at + 6])[0] == _side_crc(data[at + 2 : at + 4], data[body : body + h.side])
@@ -205,7 +211,7 @@ def read_stream(data: bytes) -> Stream:
             out.parts.append(data[begin : at + h.size])
             out.samples += h.samples
             out.rate = h.rate
-        first = False
+        first, kind = False, h.kind
         at += h.size
     return out
 
