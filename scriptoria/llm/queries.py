@@ -94,4 +94,6 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_licenses": op10_licenses,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_warc": "WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages), r AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d, n >= 1000) END AS top FROM p) SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id < top THEN top END AS refers_to FROM r",
+}
