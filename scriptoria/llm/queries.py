@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scriptoria.llm import sql
 from scriptoria.llm.common import remainder
 from scriptoria.llm.decontaminate import contaminated
 from scriptoria.llm.licenses import scan_licenses
@@ -95,5 +96,7 @@ QUERIES = {
     "op10_licenses": op10_licenses,
 }
 ORACLES: dict[str, str] = {
+    "op8_decontaminate": sql.decontaminated(),
+    "op10_licenses": sql.licenses(),
     "op9_warc": "WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages), r AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d, n >= 1000) END AS top FROM p) SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id < top THEN top END AS refers_to FROM r",
 }
