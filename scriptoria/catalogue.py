@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scriptoria.functions import dates as D
+from scriptoria.functions import morphology as M
 from scriptoria.functions import text as X
 from scriptoria.operators import catalogue_ops as C
 from scriptoria.operators import extract as E
@@ -601,6 +602,177 @@ def authority_dates(spark, d):
     return S.table(spark, d, "orders").select("o_orderkey", D.authority_date(parsed).alias("authority"), parsed["year"].cast("long").alias("y"))
 
 
+_CITED = "cited AS (SELECT l_orderkey, l_linenumber, 'Shop:order:' || l_orderkey || ':part=' || l_partkey || ':line=' || l_linenumber AS c FROM lineitem), split AS (SELECT *, string_split(c, ':') AS parts FROM cited)"
+
+
+@query(f"WITH {_CITED} SELECT l_orderkey, l_linenumber, array_to_string(list_filter(parts, lambda s: NOT contains(s, '=')), ':') AS document, array_to_string(parts[1 : len(parts) - 1], ':') AS parent, CAST(len(list_filter(parts, lambda s: contains(s, '='))) AS BIGINT) AS n_steps, split_part(parts[-1], '=', 2) AS last_value, true AS rebuilt FROM split")
+def citation_paths(spark, d):
+    cited = F.concat(F.lit("Shop:order:"), "l_orderkey", F.lit(":part="), "l_partkey", F.lit(":line="), "l_linenumber")
+    rows = S.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", cited.alias("c")).withColumn("steps", X.path_steps(F.col("c"))).withColumn("document", X.path_document(F.col("c")))
+    return rows.select("l_orderkey", "l_linenumber", "document", X.path_parent(F.col("c")).alias("parent"), F.size("steps").cast("long").alias("n_steps"), F.element_at("steps", -1)["value"].alias("last_value"), (X.path_string(F.col("document"), F.col("steps")) == F.col("c")).alias("rebuilt"))
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 3 <> 0 THEN 'Shop:n' || s_nationkey || ':s' || s_suppkey END AS document FROM supplier")
+def urn_documents(spark, d):
+    urn = F.when(F.col("s_suppkey") % 3 == 0, F.col("s_name")).otherwise(F.concat(F.lit("urn:cts:n"), "s_nationkey", F.lit(":s"), "s_suppkey", F.lit(":1.1")))
+    return S.table(spark, d, "supplier").select("s_suppkey", X.document_of_urn(urn, "Shop").alias("document"))
+
+
+@query("SELECT p_partkey, ['chapter', 'line', 'card'][p_partkey % 3 + 1] AS default_type, ['book chapter section', 'book line', 'card line'][p_partkey % 3 + 1] AS types FROM part")
+def scheme_types(spark, d):
+    scheme = F.element_at(F.array(F.lit("book:chapter*:section"), F.lit("book:line"), F.lit("card*:line")), (F.col("p_partkey") % 3 + 1).cast("int"))
+    return S.table(spark, d, "part").select("p_partkey", X.default_type(scheme).alias("default_type"), F.array_join(X.default_types(scheme), " ").alias("types"))
+
+
+@query("WITH w AS (SELECT DISTINCT unnest(string_split(lower(p_name), ' ')) AS w FROM part) SELECT w, 'Mc' || upper(w[1]) || w[2:] AS mc, CASE WHEN length(w) >= 3 THEN 'Mac' || upper(w[1]) || w[2:] ELSE 'Mac' || w END AS mac, 'O' || chr(39) || upper(w[1]) || w[2:] AS o FROM w WHERE w <> ''")
+def name_rules(spark, d):
+    w = S.table(spark, d, "part").select(F.explode(F.split(F.lower("p_name"), " ")).alias("w")).where("w != ''").distinct()
+    return w.select("w", *(X.capitalised_name(F.concat(F.lit(p), "w")).alias(n) for n, p in (("mc", "MC"), ("mac", "mac"), ("o", "o'"))))
+
+
+@query("SELECT c_custkey, 'smith ' || lower(c_name) AS by_name, lower(c_name) AS by_title, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE 'zzzzzzz' END AS by_key, 'smith,' || lower(c_name) AS authority, c_name || ' Smith' AS display FROM customer")
+def sort_keys(spark, d):
+    name, other = F.col("c_name"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment"))
+    authority, display = X.person_names(F.lit("Smith"), name)
+    title = F.concat(F.element_at(F.array(F.lit("The "), F.lit("Die "), F.lit("")), (F.col("c_custkey") % 3 + 1).cast("int")), name)
+    return S.table(spark, d, "customer").select("c_custkey", X.sort_name(F.concat(name, F.lit(" Smith, Jr (d. 1)"))).alias("by_name"), X.sort_title(title).alias("by_title"), X.sort_value(F.lit(None), other).alias("by_key"), authority.alias("authority"), display.alias("display"))
+
+
+@query("SELECT n_nationkey, n_name AS city, CASE WHEN n_nationkey % 3 <> 1 THEN 'North' END AS state, CASE WHEN n_nationkey % 3 <> 2 THEN r_name END AS nation FROM nation JOIN region ON n_regionkey = r_regionkey")
+def place_names(spark, d):
+    k, n, r = F.col("n_nationkey") % 3, F.col("n_name"), F.col("r_name")
+    name = F.when(k == 0, F.concat(n, F.lit(" (North, "), r, F.lit(")"))).when(k == 1, F.concat(n, F.lit(" ("), r, F.lit(")"))).otherwise(F.concat(n, F.lit(", North")))
+    rows = S.table(spark, d, "nation").join(F.broadcast(S.table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    city, state, nation = X.place_parts(name)
+    return rows.select("n_nationkey", city.alias("city"), state.alias("state"), nation.alias("nation"))
+
+
+@query(r"SELECT DISTINCT c_name, regexp_extract(c_name, '^(\D+)', 1) AS headword, CAST(right(c_name, 3) AS BIGINT) AS number FROM customer")
+def lemma_sequences(spark, d):
+    head, number = X.lemma_parts(F.concat(F.regexp_extract("c_name", r"^(\D+)", 1), F.right("c_name", F.lit(3))))
+    return S.table(spark, d, "customer").select("c_name", head.alias("headword"), number.cast("long").alias("number")).distinct()
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 3 THEN CAST(year(o_orderdate) AS BIGINT) END AS y, CASE WHEN o_orderkey % 4 <> 0 THEN CAST(month(o_orderdate) AS BIGINT) END AS m, CASE WHEN o_orderkey % 4 >= 2 THEN CAST(day(o_orderdate) AS BIGINT) END AS d, CASE o_orderkey % 4 WHEN 0 THEN CAST(year(o_orderdate) AS VARCHAR) WHEN 1 THEN monthname(o_orderdate) || ' ' || year(o_orderdate) ELSE monthname(o_orderdate) || ' ' || day(o_orderdate) || CASE WHEN day(o_orderdate) IN (1, 21, 31) THEN 'st' WHEN day(o_orderdate) IN (2, 22) THEN 'nd' WHEN day(o_orderdate) IN (3, 23) THEN 'rd' ELSE 'th' END || CASE WHEN o_orderkey % 4 = 2 THEN ', ' || year(o_orderdate) ELSE '' END END AS display FROM orders")
+def partial_dates(spark, d):
+    k, day = F.col("o_orderkey") % 4, F.col("o_orderdate")
+    text = F.when(k == 0, F.date_format(day, "yyyy")).when(k == 1, F.date_format(day, "yyyy-MM")).when(k == 2, F.date_format(day, "yyyy-MM-dd")).otherwise(F.date_format(day, "--MM-dd"))
+    p = D.partial_date(text)
+    return S.table(spark, d, "orders").select("o_orderkey", p["year"].cast("long").alias("y"), p["month"].cast("long").alias("m"), p["day"].cast("long").alias("d"), D.display_date(p).alias("display"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderdate >= DATE '1996-03-01' AND o_orderdate < DATE '1998-01-01'")
+def dates_in_range(spark, d):
+    r = D.date_range(F.lit("1996-03/1997"))
+    return S.table(spark, d, "orders").where(D.within(D.partial_date(F.date_format("o_orderdate", "yyyy-MM-dd")), r["start"], r["end"])).select("o_orderkey")
+
+
+@query("WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN -1 ELSE 1 END AS s, p_partkey % 300 + 100 AS a, p_size FROM part) SELECT p_partkey, CASE WHEN p_size <= 20 THEN CAST(trunc(s * (a + a + p_size) / 2.0) AS BIGINT) END AS y, CAST(s * a AS BIGINT) AS first_year FROM p")
+def document_years(spark, d):
+    a = F.col("p_partkey") % 300 + 100
+    era = F.when(F.col("p_partkey") % 2 == 0, " B.C.E.").otherwise(" A.D.")
+    return S.table(spark, d, "part").select("p_partkey", D.document_year(F.concat(a, F.lit("-"), a + F.col("p_size"), era)).cast("long").alias("y"), D.era_year(F.concat(a, era)).cast("long").alias("first_year"))
+
+
+@query("SELECT p_partkey, ['noun', 'verb', 'adj'][p_partkey % 3 + 1] AS pos, ['sg', 'pl', 'dual', NULL][p_size % 4 + 1] AS number, ['masc', 'fem', 'neut'][p_size % 3 + 1] AS gender, ['nom', 'gen', 'dat', 'acc', 'abl', 'voc', 'loc'][p_size % 7 + 1] AS case_name, CASE WHEN p_partkey % 3 = 1 THEN 'pres' END AS tense, true AS rebuilt, (['n', 'v', 'a'][p_partkey % 3 + 1]) || '-' || (['s', 'p', '!', '-'][p_size % 4 + 1]) || CASE WHEN p_partkey % 3 = 1 THEN 'p' ELSE '-' END || '--' || (['m', 'f', 'n'][p_size % 3 + 1]) || (['n', 'g', 'd', 'a', 'b', 'v', 'l'][p_size % 7 + 1]) || '-' AS in_latin FROM part")
+def morphology_codes(spark, d):
+    def at(letters: str, k) -> F.Column:
+        return F.substring(F.lit(letters), (k + 1).cast("int"), F.lit(1))
+
+    code = F.concat(at("nva", F.col("p_partkey") % 3), F.lit("-"), at("spd-", F.col("p_size") % 4), at("-p-", F.col("p_partkey") % 3), F.lit("--"), at("mfn", F.col("p_size") % 3), at("ngdabvl", F.col("p_size") % 7), F.lit("-"))
+    rows = S.table(spark, d, "part").select("p_partkey", code.alias("code")).withColumn("f", M.code_features(F.col("code"), "grc"))
+    named = [F.try_element_at("f", F.lit(k)).alias(n) for k, n in (("pos", "pos"), ("number", "number"), ("gender", "gender"), ("case", "case_name"), ("tense", "tense"))]
+    return rows.select("p_partkey", *named, (M.features_code(F.col("f"), "grc") == F.col("code")).alias("rebuilt"), M.features_code(F.col("f"), "la").alias("in_latin"))
+
+
+_NEXT = _TOKENS + ", v AS (SELECT DISTINCT substring(word, 1, 3) AS head, word FROM tokens), a AS (SELECT head, word, lead(word) OVER (PARTITION BY head ORDER BY word) AS after FROM v)"
+
+
+def _word_pairs(spark, d):
+    v = _tokens(spark, d).select(F.substring("word", 1, 3).alias("head"), "word").distinct()
+    return v.withColumn("after", F.lead("word").over(Window.partitionBy("head").orderBy("word"))).where("after is not null")
+
+
+@query(f"WITH {_NEXT} SELECT word, after, CAST(len(list_filter(range(1, least(length(word), length(after)) + 1), lambda k: word[1:k] = after[1:k])) AS BIGINT) AS shared FROM a WHERE after IS NOT NULL")
+def initial_similarity(spark, d):
+    return _word_pairs(spark, d).select("word", "after", X.common_prefix(F.col("word"), F.col("after")).cast("long").alias("shared"))
+
+
+@query()
+def aligned_similarity(spark, d):
+    a, b = F.col("word"), F.col("after")
+    return _word_pairs(spark, d).select("word", "after", _r(X.similarity_score(a, b)).alias("score"), _r(X.vocalisation_score(a, b)).alias("vocalisation"))
+
+
+@query(f"WITH {_TOKENS}, k AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM benchmark) SELECT DISTINCT word FROM tokens ANTI JOIN k USING (word)")
+def unparsed_forms(spark, d):
+    known = S.table(spark, d, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word")).distinct()
+    return C.without_match(_tokens(spark, d), known, "word")
+
+
+@query("WITH a AS (SELECT doc_id, lang, source FROM documents) SELECT a.doc_id, concat_ws('|', a.source, CASE WHEN b.source IS DISTINCT FROM a.source THEN b.source END) AS sources, coalesce(a.lang = b.lang, false) AS same_lang FROM a JOIN a b ON b.doc_id = a.doc_id + 1 WHERE a.source IS NOT NULL AND a.lang IS NOT NULL AND b.lang IS NOT NULL")
+def merged_metadata(spark, d):
+    m = C.folded_attributes(_attributes(spark, d), "doc_id").where(F.array_contains(F.map_keys("metadata"), "lang"))
+    pairs = m.join(m.select((F.col("doc_id") - 1).alias("doc_id"), F.col("metadata").alias("other")), "doc_id")
+    merged = C.merged(F.col("metadata"), F.col("other"))
+    rows = pairs.where(F.array_contains(F.map_keys("metadata"), "source"))
+    return rows.select("doc_id", F.array_join(F.try_element_at(merged, F.lit("source")), "|").alias("sources"), C.share_value(F.col("metadata"), F.col("other"), "lang").alias("same_lang"))
+
+
+@query(f"WITH {_LINKS}, w AS (SELECT p_name AS name, min(p_partkey) AS id FROM (SELECT '/' || split_part(p_name, ' ', 1) AS p_name, p_partkey FROM part UNION ALL SELECT '/the', 0 UNION ALL SELECT '/and', 1) GROUP BY 1) SELECT page_id, n, target, coalesce('part ' || id, target) AS destination, id IS NOT NULL AS valid FROM links LEFT JOIN w ON w.name = target")
+def resolved_links(spark, d):
+    names = S.table(spark, d, "part").select(F.concat(F.lit("/"), F.split_part("p_name", F.lit(" "), F.lit(1))).alias("name"), F.col("p_partkey").cast("long").alias("id"))
+    works = names.union(spark.createDataFrame([("/the", 0), ("/and", 1)], "name string, id long")).groupBy("name").agg(F.concat(F.lit("part "), F.min("id")).alias("id"))
+    out = E.resolved(E.links(S.table(spark, d, "pages")), works)
+    return out.select("page_id", "n", "target", "destination", (F.col("destination") != F.col("target")).alias("valid"))
+
+
+@query("SELECT p_partkey, CAST([0, 1, 2, 3, 4, 5, 6, 0][p_partkey % 8 + 1] AS BIGINT) AS code FROM part")
+def link_type_codes(spark, d):
+    kinds = [*E.LINK_TYPES, "other"]
+    return S.table(spark, d, "part").select("p_partkey", E.link_type(F.element_at(F.array(*map(F.lit, kinds)), (F.col("p_partkey") % 8 + 1).cast("int"))).cast("long").alias("code"))
+
+
+@query("WITH v AS (SELECT DISTINCT p_type, CASE WHEN p_partkey % 3 = 0 THEN p_brand ELSE CAST(p_size AS VARCHAR) END AS value FROM part) SELECT p_type, value, row_number() OVER (PARTITION BY p_type ORDER BY try_cast(value AS INTEGER) IS NULL, try_cast(value AS INTEGER), value) AS place FROM v")
+def numeric_value_order(spark, d):
+    v = S.table(spark, d, "part").select("p_type", F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).otherwise(F.col("p_size").cast("string")).alias("value")).distinct()
+    return v.withColumn("place", F.row_number().over(Window.partitionBy("p_type").orderBy(*J.numeric_order(F.col("value")))))
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN NULL WHEN s_suppkey % 5 = 1 THEN n_name || ' first' ELSE n_name END AS target FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def expanded_abbreviations(spark, d):
+    nation = S.table(spark, d, "nation")
+    name = F.lower("n_name")
+    known = nation.select(F.array(name).alias("tokens"), F.col("n_name").alias("target")).union(nation.select(F.array(name, F.lit("1")), F.concat("n_name", F.lit(" first"))))
+    rows = S.table(spark, d, "supplier").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    k = F.col("s_suppkey") % 5
+    cited = rows.select("s_suppkey", F.when(k == 0, F.concat(F.lit("Of "), "n_name")).otherwise(F.concat("n_name", F.lit(". "), k.cast("string"), F.lit(".20"))).alias("citation"))
+    return Q.abbreviated(cited, "citation", known).select("s_suppkey", "target")
+
+
+@query("WITH n AS (SELECT DISTINCT p_brand AS name FROM part UNION SELECT DISTINCT p_type FROM part UNION SELECT 'red bolt') SELECT n.name, count(*) AS n FROM part JOIN n ON n.name IN (p_name, p_brand, p_type) GROUP BY n.name")
+def named_in_any_column(spark, d):
+    part = S.table(spark, d, "part")
+    names = part.select(F.col("p_brand").alias("name")).union(part.select("p_type")).union(spark.createDataFrame([("red bolt",)], "name string"))
+    return C.equal_in_any(part, "p_partkey", ["p_name", "p_brand", "p_type"], names, "name").groupBy("name").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_PARSED}, p AS (SELECT DISTINCT doc_id, line, i, word, last_value(CASE WHEN word NOT IN ({_STOP}) THEN word END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous FROM tokens) SELECT previous, lemma, round(sum(1.0 / k), 4) AS weight FROM parsed JOIN p USING (doc_id, line, i) WHERE previous IS NOT NULL GROUP BY ALL HAVING sum(1.0 / k) > 1.0001")
+def bigram_weights(spark, d):
+    rows = S.parsed(A.previous_content_word(_tokens(spark, d), F.col("word").isin(STOP)))
+    return A.bigram_weights(rows, "previous", "lemma", "k").where("weight > 1.0001").withColumn("weight", _r(F.col("weight"), 4))
+
+
+@query(f"WITH {_PARSED}, f AS (SELECT doc_id, lemma, sum(1.0 / k) AS w FROM parsed GROUP BY ALL), c AS (SELECT DISTINCT doc_id, word, lemma FROM parsed WHERE k > 1) SELECT doc_id, word, lemma, round(w / sum(w) OVER (PARTITION BY doc_id, word), 10) AS share FROM c JOIN f USING (doc_id, lemma)")
+def lemma_shares(spark, d):
+    return A.lemma_shares_in_document(_parsed(spark, d)).withColumn("share", _r(F.col("share"), 10)).select("doc_id", "word", "lemma", "share")
+
+
+@query()
+def one_part_of_each_type(spark, d):
+    return C.one_of_each(S.table(spark, d, "part"), "p_type", "p_partkey")
+
+
 # Streams: windows are ours, the ledger is an incremental rerun
 
 

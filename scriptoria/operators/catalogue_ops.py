@@ -107,3 +107,14 @@ def grouped_runs(rows: DataFrame, creator: str, order: list[str]) -> DataFrame:
     w = Window.partitionBy(F.lit(0)).orderBy(*order)
     start = F.coalesce(F.lag(creator).over(w) != F.col(creator), F.lit(True)).cast("int")
     return rows.withColumn("_s", start).withColumn("run", F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_s")
+
+
+def equal_in_any(rows: DataFrame, key: str, columns: list[str], names: DataFrame, name: str) -> DataFrame:
+    """(key, name): rows of which any of the columns equals a name; equi-joined on unpivoted columns."""
+    values = rows.unpivot(key, [F.col(c).cast("string").alias(c) for c in columns], "_column", name).where(F.col(name).isNotNull())
+    return values.select(key, name).distinct().join(names.select(name).distinct(), name)
+
+
+def without_match(forms: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Distinct forms that the known table lacks."""
+    return forms.select(key).distinct().join(known.select(key), key, "left_anti")

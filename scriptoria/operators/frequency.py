@@ -79,3 +79,16 @@ def feature_subsets(parses: DataFrame, features: list[str], weight: str) -> Data
 def words_by_year(rows: DataFrame) -> DataFrame:
     """Documents that hold each word, by year and language."""
     return rows.select("year", "lang", "word", "doc_id").distinct().groupBy("year", "lang", "word").agg(F.count("*").alias("n_docs"))
+
+
+def bigram_weights(rows: DataFrame, previous: str, lemma: str, k: str) -> DataFrame:
+    """Weight of each lemma after each previous word: 1/k for every candidate of a token."""
+    return rows.where(F.col(previous).isNotNull()).groupBy(previous, lemma).agg(F.sum(1.0 / F.col(k)).alias("weight"))
+
+
+def lemma_shares_in_document(parsed: DataFrame) -> DataFrame:
+    """(doc_id, word, lemma, share): weight of each candidate of an ambiguous word within its document."""
+    weight = parsed.groupBy("doc_id", "lemma").agg(F.sum(1.0 / F.col("k")).alias("weight"))
+    words = parsed.where("k > 1").select("doc_id", "word", "lemma").distinct()
+    total = F.sum("weight").over(Window.partitionBy("doc_id", "word"))
+    return words.join(weight, ["doc_id", "lemma"]).withColumn("share", F.col("weight") / total).drop("weight")

@@ -108,3 +108,16 @@ def contents_search(rows: DataFrame, columns: list[str], words: list[str]) -> Da
     for w in words:
         out = out.where(F.col("contents").contains(w.lower()))
     return out.drop("contents")
+
+
+def abbreviated(citations: DataFrame, citation: str, abbreviations: DataFrame) -> DataFrame:
+    """Each citation with the target of the longest run of its first words that abbreviates one.
+
+    Words are lower case and end at spaces and full stops; abbreviations(tokens array<string>,
+    target) are matched whole. Citations without a match stay, with a null target.
+    """
+    words = F.filter(F.split(F.lower(citation), "[ .]+"), lambda w: w != "")
+    rows = citations.withColumn("_words", words)
+    heads = rows.select("_words").distinct().select("_words", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("_words"), F.lit(1))), lambda k: F.slice("_words", F.lit(1), k))).alias("tokens"))
+    found = heads.join(abbreviations.select("tokens", "target"), "tokens").groupBy("_words").agg(F.max_by("target", F.size("tokens")).alias("target"))
+    return rows.join(found, "_words", "left").drop("_words")
