@@ -108,7 +108,7 @@ def common_prefix(a: Column, b: Column) -> Column:
 
 
 def _rows(a: Column, b: Column, first: float, border: float, cell) -> Column:
-    """Last cell of an alignment table of a against b, folded row by row over b's characters."""
+    """Last cell of an alignment table of a against b, folded row by row over b's characters; null if either is."""
     start = F.transform(F.sequence(F.lit(0), F.length(a)), lambda k: F.lit(first) + k * F.lit(border))
 
     def row(above: Column, j: Column) -> Column:
@@ -118,7 +118,8 @@ def _rows(a: Column, b: Column, first: float, border: float, cell) -> Column:
         head = F.array(F.element_at(above, 1) + F.lit(border))
         return F.when(F.length(a) == 0, head).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(a), F.lit(1))), head, step))
 
-    return F.element_at(F.when(F.length(b) == 0, start).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(b), F.lit(1))), start, row)), -1)
+    last = F.element_at(F.when(F.length(b) == 0, start).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(b), F.lit(1))), start, row)), -1)
+    return F.when(a.isNotNull() & b.isNotNull(), last)
 
 
 def similarity_score(a: Column, b: Column) -> Column:
