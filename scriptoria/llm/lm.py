@@ -1,8 +1,10 @@
 """Katz backoff bigram model over whole corpora, in partitioned tables.
 
-Every word of the training rows is counted. The model's own vocabulary is the most frequent
-words; all others share one unknown word, whose probability is divided among them by their own
-counts (add one, with one place for words never seen), so each text has a proper probability.
+Every word of the training rows is a word of the model, and every bigram is counted; words never
+seen share one place. Counts and backoff weights of frequent words, as contexts and after them, are
+small arrays; those of all other words are joined by bucket, so the vocabulary has no bound. Where
+a vocabulary is asked for, the words outside it share one unknown word, whose probability is divided
+among them by their own counts (add one, with one place for words never seen).
 Bigram counts are Good-Turing discounted up to K; what a context loses goes to the words not
 seen after it, by a backoff weight that makes the context's probabilities sum to one.
 
@@ -24,8 +26,11 @@ from scriptoria.llm.common import mix, partitions, saved, slices, text_bytes, wo
 
 #: Discounts apply to counts up to K.
 K = 5
-#: Most words of the model's vocabulary: ids fit 16 bits, with the end of a text and the unknown word.
+#: Most words that a vocabulary asked for can have: ids fit 16 bits, with the end of a text and the unknown word.
 VOCABULARY = 65_533
+#: Most frequent words that are coded by ids and held in arrays; others are coded by their hash with the TAIL bit.
+HEAD = 65_533
+TAIL = np.uint64(1 << 63)
 #: Hash that stands for the end of a text, and tokens that a task gathers before it hands on counts.
 END = np.uint64(0xE0D0F0A0E7E7E7E7)
 GATHER = 1 << 20
@@ -285,13 +290,17 @@ def backoff(table: DataFrame, model: Unigrams) -> Backoff:
     mass, seen = np.zeros(size), np.zeros(size)
     mass[at[~whole]] = value["used"][~whole] + sum(factors[c] * value[n][~whole] * c for c, n in enumerate(names, 1))
     seen[at[~whole]] = value["seen"][~whole]
-    total = model.contexts()
-    kept = np.divide(mass, total, out=np.zeros(size), where=total > 0)
+    scale, alpha = _weights(mass, seen, model.contexts())
+    return Backoff(model, factors, scale, alpha)
+
+
+def _weights(mass: np.ndarray, seen: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scale, alpha) of contexts from their discounted counts, the probability of what they have seen, and their counts."""
+    kept = np.divide(mass, total, out=np.zeros(len(mass)), where=total > 0)
     full = (kept > 1 - 1e-12) & (seen < 1 - 1e-12)
     scale = np.where(full, total / (total + 1), 1.0)
-    scale = np.where(seen >= 1 - 1e-12, np.divide(1.0, kept, out=np.ones(size), where=kept > 0), scale)
-    alpha = np.where(seen < 1 - 1e-12, (1 - kept * scale) / np.maximum(1 - seen, 1e-300), 0.0)
-    return Backoff(model, factors, scale, alpha)
+    scale = np.where(seen >= 1 - 1e-12, np.divide(1.0, kept, out=np.ones(len(mass)), where=kept > 0), scale)
+    return scale, np.where(seen < 1 - 1e-12, (1 - kept * scale) / np.maximum(1 - seen, 1e-300), 0.0)
 
 
 def katz(keys: np.ndarray, counts: np.ndarray, model: Backoff) -> np.ndarray:
@@ -392,8 +401,8 @@ def _scored(batches, model: Backoff):
             yield packed(r, np.bincount(local, value, minlength=len(here)).tobytes(), known, here.tobytes())
 
 
-def _collected(batches, model: Unigrams):
-    """Rows of each gathering, from batches sorted by it with kind 4 first."""
+def _collected(batches, model: Unigrams, whole: bool = False):
+    """Rows of each gathering, from batches sorted by it with kind 4 first; whole: no word shares the unknown word's probability."""
     log_total, log_rest = np.log10(model.tokens + model.types + 1), np.log10(model.rest + model.rest_types + 1)
 
     def out(ids, flags, direct, score, rare, known):
@@ -405,7 +414,7 @@ def _collected(batches, model: Unigrams):
                 pa.array(tokens.astype(np.int64)),
                 pa.array((own + known).astype(np.int64)),
                 pa.array(base + rare - others * log_total),
-                pa.array(score + rare - others * log_rest),
+                pa.array(score if whole else score + rare - others * log_rest),
             ],
             names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
         )
@@ -427,17 +436,406 @@ def _collected(batches, model: Unigrams):
         yield out(*state)
 
 
-def score_katz(docs: DataFrame, train, vocabulary: int = VOCABULARY) -> DataFrame:
+def _coded(h: np.ndarray, head: Unigrams) -> np.ndarray:
+    """Id of each frequent word, 0 of the end of a text, else the word's hash with the TAIL bit."""
+    ids = head.coded(h)
+    return np.where(ids != 1, ids.astype(np.uint64), h | TAIL)
+
+
+def _narrow(code: np.ndarray) -> bytes:
+    """Codes in few bytes: how many, which have the TAIL bit, two bytes of each id, eight of each hash."""
+    tail = code >= TAIL
+    return np.int64(len(code)).tobytes() + np.packbits(tail).tobytes() + code[~tail].astype(np.uint16).tobytes() + code[tail].tobytes()
+
+
+def _wide(data: bytes) -> np.ndarray:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    ids = 8 + (n + 7) // 8
+    tail = np.unpackbits(np.frombuffer(data[8:ids], np.uint8), count=n).astype(bool)
+    hashes = ids + 2 * int(n - tail.sum())
+    out = np.empty(n, np.uint64)
+    out[~tail] = np.frombuffer(data[ids:hashes], np.uint16)
+    out[tail] = np.frombuffer(data[hashes:], np.uint64)
+    return out
+
+
+def _before(code: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The context of each token; a text's first token has context 0."""
+    context = np.zeros(len(code), np.uint64)
+    context[1:] = code[:-1]
+    context[first[:-1]] = 0
+    return context
+
+
+def _pair(c: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return mix(c * _MIXER + mix(w + np.uint64(1)))
+
+
+def _route(c: np.ndarray, w: np.ndarray, by: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each pair: that of by where it is no frequent word, else by a hash of the pair."""
+    return (np.where(by >= TAIL, mix(by), _pair(c, w)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs (c, w), sorted, and the sums of their counts."""
+    c, w, n = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    if not len(c):
+        return c, w, n
+    order = np.lexsort((w, c))
+    c, w = c[order], w[order]
+    at = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])]))
+    return c[at], w[at], np.add.reduceat(n[order], at)
+
+
+def _counted_pairs(batches, head: Unigrams, buckets: int):
+    held, n = [], 0
+
+    def out():
+        c, w, counts = _summed(held)
+        order, cuts = _split(_route(c, w, w, buckets), buckets)
+        for b in range(buckets):
+            at = order[cuts[b] : cuts[b + 1]]
+            if len(at):
+                yield _packed(b, 0, _narrow(c[at]), counts[at].astype(np.uint32).tobytes(), _narrow(w[at]))
+
+    for batch in slices(batches):
+        h, first = _tokens(batch)
+        code = _coded(h, head)
+        train = np.repeat(batch.column("train").to_numpy(zero_copy_only=False).astype(bool), np.diff(first))
+        held.append(_summed([(_before(code, first)[train], code[train], np.ones(int(train.sum()), np.int64))]))
+        n += len(held[-1][0])
+        if n > GATHER:
+            yield from out()
+            held, n = [], 0
+    if held:
+        yield from out()
+
+
+def _packed_words(batches, head: Unigrams, buckets: int):
+    """Counts of all words that are not frequent, by bucket: kind 1."""
+    for batch in batches:
+        code, n = _coded(batch.column("word").to_numpy().view(np.uint64), head), batch.column("n").to_numpy()
+        code, n = code[code >= TAIL], n[code >= TAIL]
+        order, cuts = _split((mix(code) % np.uint64(buckets)).astype(np.int64), buckets)
+        for b in range(buckets):
+            at = order[cuts[b] : cuts[b + 1]]
+            if len(at):
+                yield _packed(b, 1, code[at].tobytes(), n[at].astype(np.int64).tobytes())
+
+
+def _buckets(batches):
+    """(bucket, its rows) from batches sorted by bucket; the rows are to be read before the next."""
+    rows = (r for batch in batches for r in batch.to_pylist())
+    row = next(rows, None)
+    while row is not None:
+        bucket = row["bucket"]
+
+        def here():
+            nonlocal row
+            while row is not None and row["bucket"] == bucket:
+                yield row
+                row = next(rows, None)
+
+        yield bucket, here()
+
+
+def whole_bigrams(docs: DataFrame, counted: DataFrame, head: Unigrams, buckets: int) -> DataFrame:
+    """The table of all bigrams, packed: contexts (keys), words (ids), counts, and the own counts of words that are not frequent (own)."""
+    rows = docs.select("text", "train").mapInArrow(lambda b: _counted_pairs(b, head, buckets), _PACKED)
+    rows = rows.union(counted.mapInArrow(lambda b: _packed_words(b, head, buckets), _PACKED))
+
+    def summed(batches):
+        for bucket, here in _buckets(batches):
+            pairs, words = [], []
+            for r in here:
+                if r["kind"] == 1:
+                    words.append((np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64)))
+                    continue
+                pairs.append((_wide(r["keys"]), _wide(r["ids"]), np.frombuffer(r["counts"], np.uint32).astype(np.int64)))
+                if len(pairs) > 64:
+                    pairs = [_summed(pairs)]
+            if not pairs:
+                continue
+            c, w, n = _summed(pairs)
+            own = _found(*_merged(words), w) if words else np.zeros(len(w), np.int64)
+            order, cuts = _split(_route(c, w, c, buckets), buckets)
+            for b in range(buckets):
+                at = order[cuts[b] : cuts[b + 1]]
+                if len(at):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in (_narrow(c[at]), n[at].astype(np.uint32).tobytes(), _narrow(w[at]), own[at][w[at] >= TAIL].astype(np.uint32).tobytes()))],
+                        names=["bucket", "keys", "counts", "ids", "own"],
+                    )
+
+    rows = rows.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    return saved(rows.mapInArrow(summed, "bucket int, keys binary, counts binary, ids binary, own binary"), "bigrams")
+
+
+def _unpacked(r, share: np.ndarray, places: float) -> tuple[np.ndarray, ...]:
+    """(c, w, n, p(w)) of a row of the table; share has p of the frequent words."""
+    c, w, n = _wide(r["keys"]), _wide(r["ids"]), np.frombuffer(r["counts"], np.uint32).astype(np.int64)
+    often = w < TAIL
+    p = share[np.where(often, w, np.uint64(0)).astype(np.int64)]
+    p[~often] = np.frombuffer(r["own"], np.uint32) / places
+    return c, w, n, p
+
+
+@dataclass(frozen=True)
+class Whole:
+    """What scoring by all bigrams needs beside the tables: places is the sum of all counts with that of unseen words."""
+
+    head: Unigrams
+    places: float
+    share: np.ndarray
+    factors: np.ndarray
+    total: np.ndarray
+    scale: np.ndarray
+    alpha: np.ndarray
+
+    def discounted(self, n: np.ndarray) -> np.ndarray:
+        return self.factors[np.where(n <= K, n, 0)] * n
+
+
+def whole_backoff(table: DataFrame, head: Unigrams) -> Whole:
+    """Discounts from all bigrams, and the weights of the frequent contexts; those of others are made in their bucket."""
+    size, places = len(head.counts), float(head.tokens + 1 + (head.texts == 0))
+    share = np.maximum(head.counts, 1) / places
+    names = ["total", "seen", "used", *(f"n{k}" for k in range(1, K + 2))]
+
+    def sums(batches):
+        held = np.zeros((len(names), size))
+        of = np.zeros(K + 2)
+        for batch in batches:
+            for r in batch.to_pylist():
+                c, _, n, p = _unpacked(r, share, places)
+                of += np.bincount(np.where(n <= K + 1, n, 0), minlength=K + 2)
+                often = c < TAIL
+                c, n, p = c[often].astype(np.int64), n[often], p[often]
+                for k, x in enumerate((n, p, n * (n > K), *((n == k) for k in range(1, K + 2)))):
+                    held[k] += np.bincount(c, x, minlength=size)
+        some = np.flatnonzero(held[0])
+        last = np.concatenate([[0.0, 0.0, 0.0], of[1:]])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1).astype(np.int32)), *(pa.array(np.append(held[k][some], last[k])) for k in range(len(names)))], names=["context", *names])
+
+    got = table.mapInArrow(sums, "context int, " + ", ".join(f"{x} double" for x in names)).groupBy("context").agg(*(F.sum(x).alias(x) for x in names)).toArrow()
+    at = got.column("context").to_numpy()
+    value = np.zeros((len(names), size + 1))
+    for k, x in enumerate(names):
+        value[k][at] = got.column(x).to_numpy()  # at -1 the sums over all contexts
+    factors = discounts(np.concatenate([[0.0], value[3:, -1]]))
+    value = value[:, :-1]
+    mass = value[2] + sum(factors[k] * k * value[2 + k] for k in range(1, K + 1))
+    return Whole(head, places, share, factors, value[0], *_weights(mass, value[1], value[0]))
+
+
+def _whole_events(batches, head: Unigrams, buckets: int):
+    """What is to be scored, for some thousand rows (a gathering) at a time.
+
+    Kind 2: distinct pairs of a bucket (contexts, then words), a bit for each token that begins a pair, and the tokens' rows.
+    Kind 3: words that are not frequent, likewise. Kind 4: the gathering's rows, with the sums that need no table.
+    """
+    held: list[tuple[np.ndarray, ...]] = []
+    n = rows = seq = 0
+    part = TaskContext.get().partitionId() if TaskContext.get() else 0
+    log_own = np.log10(head.counts + 1.0) - np.log10(head.tokens + head.types + 1)
+
+    def out():
+        base = np.cumsum([0, *(len(x[0]) for x in held)])
+        size = int(base[-1])
+        ids, empty, train, c, w = (np.concatenate([x[k] for x in held]) for k in range(5))
+        row = np.concatenate([x[5] + b for x, b in zip(held, base)])
+        often = w < TAIL
+        at = np.where(often, w, np.uint64(0)).astype(np.int64)
+        known, own = often & (head.counts[at] > 0), np.where(often, log_own[at], 0.0)
+        sums = [np.bincount(row, minlength=size), np.bincount(row, known, minlength=size), np.bincount(row, ~often, minlength=size), np.bincount(row, own, minlength=size)]
+        gather = part << 32 | seq
+        yield _packed(gather % buckets, 4, ids.tobytes(), b"".join(x.astype(float).tobytes() for x in sums), np.stack([empty, train]).tobytes(), gather=gather)
+        rare, rare_row = w[~often], row[~often]
+        order, cuts = _split((mix(rare) % np.uint64(buckets)).astype(np.int64), buckets)
+        for b in range(buckets):
+            at = order[cuts[b] : cuts[b + 1]]
+            if len(at):
+                yield _packed(b, 3, rare[at].tobytes(), b"", rare_row[at].astype(np.uint16).tobytes(), gather=gather)
+        order = np.lexsort((w, c))
+        c, w, row = c[order], w[order], row[order].astype(np.uint16)
+        first = np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])])
+        bucket = _route(c, w, c, buckets)
+        order, cuts = _split(bucket, buckets)
+        for b in range(buckets):
+            at = order[cuts[b] : cuts[b + 1]]
+            if len(at):
+                new = at[first[at]]
+                codes = _narrow(np.concatenate([c[new], w[new]]))
+                yield _packed(b, 2, codes, np.packbits(first[at]).tobytes(), row[at].tobytes(), gather=gather)
+
+    for batch in slices(batches):
+        h, first = _tokens(batch)
+        code = _coded(h, head)
+        row = np.repeat(np.arange(batch.num_rows, dtype=np.int32), np.diff(first).astype(np.int64))
+        ids = batch.column("doc_id")
+        held.append((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), batch.column("train").to_numpy(zero_copy_only=False), _before(code, first), code, row))
+        n, rows = n + len(h), rows + batch.num_rows
+        if n > GATHER or rows > 40_000:
+            yield from out()
+            held, n, rows, seq = [], 0, 0, seq + 1
+    if held:
+        yield from out()
+
+
+_STEP = "gather long, kind int, rows binary, sums binary, known binary, bucket int"
+
+
+def _step(gather: int, kind: int, rows: bytes, sums: bytes = b"", known: bytes = b"", bucket: int = 0) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([gather], pa.int64()), pa.array([kind], pa.int32()), *(pa.array([x], pa.binary()) for x in (rows, sums, known)), pa.array([bucket], pa.int32())],
+        names=["gather", "kind", "rows", "sums", "known", "bucket"],
+    )
+
+
+def _scored_pairs(batches, model: Whole, buckets: int):
+    """Sums of each gathering's rows over the pairs of a bucket; kind 3 passes; kind 5: words whose own count is still to be found, with gathering and row."""
+    log_share, log_alpha = np.log10(model.share), np.log10(np.maximum(model.alpha, 1e-300))
+    asked: list[tuple[np.ndarray, ...]] = []
+    n_asked = 0
+
+    def ask():
+        w, gather, row = (np.concatenate([x[k] for x in asked]) for k in range(3))
+        order, cuts = _split((mix(w) % np.uint64(buckets)).astype(np.int64), buckets)
+        for b in range(buckets):
+            at = order[cuts[b] : cuts[b + 1]]
+            if len(at):
+                yield _step(0, 5, w[at].tobytes(), gather[at].tobytes(), row[at].tobytes(), b)
+
+    for _, here in _buckets(batches):
+        parts, table = [], None
+        for r in here:
+            if r["kind"] == 0:
+                parts.append(_unpacked(r, model.share, model.places))
+                continue
+            if r["kind"] == 4:
+                yield _step(r["gather"], 4, r["keys"], r["counts"], r["ids"])
+                continue
+            if r["kind"] == 3:
+                yield _step(r["gather"], 3, r["keys"], r["counts"], r["ids"], r["bucket"])
+                continue
+            if table is None:
+                table = _whole_table(parts, model)
+                parts = []
+            keys, value, contexts, weights = table
+            c, w = _wide(r["keys"]).reshape(2, -1)
+            row = np.frombuffer(r["ids"], np.uint16)
+            begins = np.unpackbits(np.frombuffer(r["counts"], np.uint8), count=len(row))
+            times = np.diff(np.append(np.flatnonzero(begins), len(row)))
+            k = _pair(c, w)
+            at = np.minimum(np.searchsorted(keys, k), max(len(keys) - 1, 0))
+            seen = keys[at] == k if len(keys) else np.zeros(len(k), bool)
+            log = np.where(c < TAIL, log_alpha[np.where(c < TAIL, c, np.uint64(0)).astype(np.int64)], 0.0)
+            if len(contexts):
+                of = np.minimum(np.searchsorted(contexts, c), len(contexts) - 1)
+                log = np.where(contexts[of] == c, weights[of], log)
+            log = log + np.where(w < TAIL, log_share[np.where(w < TAIL, w, np.uint64(0)).astype(np.int64)], 0.0)
+            if len(keys):
+                log = np.where(seen, value[at], log)
+            rows, local = np.unique(row, return_inverse=True)
+            yield _step(r["gather"], 2, rows.tobytes(), np.bincount(local, np.repeat(log, times), minlength=len(rows)).tobytes())
+            rest = np.repeat(~seen & (w >= TAIL), times)
+            if rest.any():
+                asked.append((np.repeat(w, times)[rest], np.full(int(rest.sum()), r["gather"], np.int64), row[rest]))
+                n_asked += len(asked[-1][0])
+                if n_asked > GATHER:
+                    yield from ask()
+                    asked, n_asked = [], 0
+    if asked:
+        yield from ask()
+
+
+def _whole_table(parts: list[tuple[np.ndarray, ...]], model: Whole) -> tuple[np.ndarray, ...]:
+    """(hashes of pairs, sorted, their log10 p; contexts that are not frequent, sorted, their log10 alpha) of a bucket."""
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.uint64), np.zeros(0)
+    c, w, n, p = (np.concatenate([x[k] for x in parts]) for k in range(4))
+    less = model.discounted(n)
+    often = c < TAIL
+    at = np.where(often, c, np.uint64(0)).astype(np.int64)
+    ratio = model.scale[at] / np.maximum(model.total[at], 1)
+    contexts, local = np.unique(c[~often], return_inverse=True)
+    mass, seen, total = (np.bincount(local, x[~often], minlength=len(contexts)) for x in (less, p, n))
+    scale, alpha = _weights(mass, seen, total)
+    ratio[~often] = (scale / np.maximum(total, 1))[local]
+    keys = _pair(c, w)
+    order = np.argsort(keys)
+    return keys[order], np.log10(ratio * less)[order], contexts, np.log10(np.maximum(alpha, 1e-300))
+
+
+def _scored_words(batches, places: float):
+    """Sums of each gathering's rows over words that are not frequent: kind 3 for the base score, 2 for the score."""
+    for _, here in _buckets(batches):
+        table, asked, words, n = [], [], np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+        def told():
+            k, gather, row = (np.concatenate([x[i] for x in asked]) for i in range(3))
+            value = np.log10(np.maximum(_found(words, n, k), 1)) - np.log10(places)
+            order = np.lexsort((row, gather))
+            gather, row, value = gather[order], row[order], value[order]
+            at = np.flatnonzero(np.concatenate([[True], (gather[1:] != gather[:-1]) | (row[1:] != row[:-1])]))
+            gather, row, value = gather[at], row[at], np.add.reduceat(value, at)
+            cuts = np.flatnonzero(np.concatenate([[True], gather[1:] != gather[:-1], [True]]))
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                yield _step(int(gather[a]), 2, row[a:b].tobytes(), value[a:b].tobytes())
+
+        for r in here:
+            if r["kind"] == 1:
+                table.append((np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64)))
+                continue
+            if table:
+                words, n = _merged(table)
+                table = []
+            if r["kind"] == 5:
+                asked.append((np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64), np.frombuffer(r["ids"], np.uint16)))
+                if sum(len(x[0]) for x in asked) > GATHER:
+                    yield from told()
+                    asked = []
+                continue
+            rows, local = np.unique(np.frombuffer(r["ids"], np.uint16), return_inverse=True)
+            own = _found(words, n, np.frombuffer(r["keys"], np.uint64))
+            yield _step(r["gather"], 3, rows.tobytes(), np.bincount(local, np.log10(own + 1), minlength=len(rows)).tobytes(), np.bincount(local, own > 0, minlength=len(rows)).astype(np.uint32).tobytes())
+        if asked:
+            yield from told()
+
+
+def _score_whole(rows: DataFrame, frequent: int) -> tuple[DataFrame, Unigrams]:
+    """score_katz by a model of all words; the frequent ones (at most HEAD) are held in arrays, which changes no result."""
+    counted, head = unigrams(rows, frequent)
+    buckets = max(partitions(rows.sparkSession), -(-head.tokens // BUCKET))
+    table = whole_bigrams(rows, counted, head, buckets)
+    model = whole_backoff(table, head)
+    events = rows.mapInArrow(lambda b: _whole_events(b, head, buckets), _PACKED).withColumn("own", F.lit(None).cast("binary"))
+    pairs = table.select("bucket", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("gather"), "keys", "counts", "ids", "own").union(events)
+    pairs = pairs.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    first = saved(pairs.mapInArrow(lambda b: _scored_pairs(b, model, buckets), _STEP), "pairs")
+    asked = first.where("kind in (3, 5)").select("bucket", "kind", "gather", F.col("rows").alias("keys"), F.col("sums").alias("counts"), F.col("known").alias("ids"))
+    words = counted.mapInArrow(lambda b: _packed_words(b, head, buckets), _PACKED).union(asked)
+    words = words.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    places = model.places
+    sums = first.where("kind in (2, 4)").union(words.mapInArrow(lambda b: _scored_words(b, places), _STEP))
+    return sums.repartition("gather").sortWithinPartitions("gather", F.desc("kind")), head
+
+
+def score_katz(docs: DataFrame, train, vocabulary: int | None = None, frequent: int = HEAD) -> DataFrame:
     """Score every text of docs(doc_id, text) by a model learnt from rows that train(doc_id) accepts.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10).
     Null texts are empty: one token, the end. Rows that repeat a doc_id all count in training and are
     scored each; train(null) decides on null ids. Without training rows nothing is known: base_score is
     that of a uniform guess over one type, and score is that of the unknown word.
+    The model has all words, unless vocabulary names how many (at most VOCABULARY) it is to have.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("train", F.coalesce(train(F.col("doc_id")), F.lit(False)))
+    if vocabulary is None:
+        sums, words = _score_whole(rows, frequent)
+        return _returned(sums.mapInArrow(lambda b: _collected(b, words, True), _OUT), words)
     counted, words = unigrams(rows, vocabulary)
     buckets = max(partitions(spark), -(-words.tokens // BUCKET))
     table = bigrams(rows, words, buckets)
@@ -457,4 +855,8 @@ def score_katz(docs: DataFrame, train, vocabulary: int = VOCABULARY) -> DataFram
     parts = table.union(counted.mapInArrow(packed_words, _PACKED)).union(rows.mapInArrow(lambda b: _events(b, words, buckets), _PACKED))
     parts = parts.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "kind")
     sums = parts.mapInArrow(lambda b: _scored(b, model), _SUMS).repartition("gather").sortWithinPartitions("gather", F.desc("kind"))
-    return sums.mapInArrow(lambda b: _collected(b, words), _OUT).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(words.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    return _returned(sums.mapInArrow(lambda b: _collected(b, words), _OUT), words)
+
+
+def _returned(rows: DataFrame, words: Unigrams) -> DataFrame:
+    return rows.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(words.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -132,6 +132,46 @@ def test_lm_scores_are_those_of_plain_sums(spark):
     assert all(math.isfinite(r.score) and r.n_known == 0 for r in lm.score_katz(docs(spark), lambda i: F.lit(False)).collect())
 
 
+def plain_katz(rows, train):
+    """log10 of each text's probability by a model of all words, from plain dictionaries."""
+    split = lambda t: [None, *re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()), None]
+    pairs = Counter(p for i, t in rows if train(i) for w in [split(t)] for p in zip(w, w[1:]))
+    own, after = Counter(), {}
+    for (c, w), n in pairs.items():
+        own[w] += n
+        after.setdefault(c, {})[w] = n
+    places = sum(own.values()) + 1
+    f = lm.discounts(np.array([0, *(sum(n == k for n in pairs.values()) for k in range(1, lm.K + 2))]))
+    less = lambda n: n * (f[n] if n <= lm.K else 1.0)
+    scale, alpha = {}, {}
+    for c, ws in after.items():
+        total, seen = sum(ws.values()), sum(own[w] for w in ws) / places
+        kept = sum(map(less, ws.values())) / total
+        scale[c] = total / (total + 1) if kept > 1 - 1e-12 else 1.0
+        alpha[c] = (1 - kept * scale[c]) / (1 - seen)
+
+    def p(c, w):
+        n = pairs[c, w]
+        return scale[c] * less(n) / sum(after[c].values()) if n else alpha.get(c, 1.0) * max(own[w], 1) / places
+
+    return {i: sum(math.log10(p(c, w)) for w in [split(t)] for c, w in zip(w, w[1:])) for i, t in rows}
+
+
+@pytest.mark.parametrize("frequent", [0, 40, 5000])
+def test_lm_scores_have_contexts_of_all_words(spark, frequent):
+    rows = random_texts(150, 11) + [(1000, "w1 never seen w2"), (1001, "")]
+    got = lm.score_katz(docs(spark, rows), lambda i: i % 4 != 0, frequent=frequent).collect()
+    want = plain_katz(rows, lambda i: i % 4 != 0)
+    assert len(got) == len(rows) and all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-9) for r in got)
+
+
+def test_lm_vocabulary_has_no_bound(spark):
+    rows = [(k, " ".join(f"r{(k * 700 + j) % 70_000}" for j in range(701))) for k in range(100)]
+    got = {r.doc_id: r.score for r in lm.score_katz(docs(spark, rows), lambda i: F.lit(True)).collect()}
+    want = plain_katz(rows, lambda i: True)
+    assert all(math.isclose(got[i], want[i], rel_tol=1e-9) for i, _ in rows)
+
+
 def test_discounts():
     assert lm.discounts(np.zeros(7)).tolist() == [1] * 6
     d = lm.discounts(np.array([0, 1000, 400, 200, 120, 80, 50]))
