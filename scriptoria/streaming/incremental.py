@@ -80,11 +80,22 @@ def run_to_end(stream: DataFrame, name: str) -> DataFrame:
 
 
 def replace_documents(index_path: str):
-    """A foreachBatch function that replaces the postings of the documents in each batch."""
+    """A foreachBatch function that replaces the postings of the documents in each batch.
+
+    Each batch is written to a folder of its own number, so that a repeated batch overwrites only
+    itself, with a table of its documents; current_postings reads what holds now.
+    """
     from scriptoria.sources.tables import tokens
 
     def write(batch: DataFrame, number: int) -> None:
         rows = tokens(batch).groupBy("doc_id", F.col("word").alias("term"), "line").agg(F.array_sort(F.collect_list("i")).alias("positions"))
-        rows.withColumn("part", F.pmod("doc_id", F.lit(64))).write.mode("append").partitionBy("part").parquet(f"{index_path}/batch={number}")
+        rows.withColumn("part", F.pmod("doc_id", F.lit(64))).write.mode("overwrite").partitionBy("part").parquet(f"{index_path}/postings/batch={number}")
+        batch.select("doc_id").distinct().write.mode("overwrite").parquet(f"{index_path}/documents/batch={number}")
 
     return write
+
+
+def current_postings(spark: SparkSession, index_path: str) -> DataFrame:
+    """(doc_id, term, line, positions) of each document's latest batch; a document left empty by it has none."""
+    last = spark.read.parquet(f"{index_path}/documents").groupBy("doc_id").agg(F.max("batch").alias("batch"))
+    return spark.read.parquet(f"{index_path}/postings").join(last, ["doc_id", "batch"], "left_semi").select("doc_id", "term", "line", "positions")

@@ -71,3 +71,16 @@ def test_weights_of_ambiguous_words(spark):
     rows = spark.createDataFrame([(1, "p", "a", 2, "w"), (1, "p", "b", 2, "w"), (1, None, "a", 1, "v")], "doc_id int, previous string, lemma string, k int, word string")
     assert {(r["previous"], r["lemma"]): r["weight"] for r in A.bigram_weights(rows, "previous", "lemma", "k").collect()} == {("p", "a"): 0.5, ("p", "b"): 0.5}
     assert {r["lemma"]: r["share"] for r in A.lemma_shares_in_document(rows).collect()} == {"a": 0.75, "b": 0.25}
+
+
+def test_reindexed_documents_replace_their_postings(spark, tmp_path):
+    from scriptoria.streaming.incremental import current_postings, replace_documents
+
+    path = f"file://{tmp_path}/index"
+    write = replace_documents(path)
+    batch = lambda *rows: spark.createDataFrame([(*r, "en", "web") for r in rows], "doc_id long, text string, lang string, source string")
+    write(batch((1, "old words\nold line"), (2, "kept words"), (3, "gone")), 0)
+    for _ in range(2):  # a repeated batch
+        write(batch((1, "new words"), (3, "")), 1)
+    got = sorted((r.doc_id, r.term, len(r.positions)) for r in current_postings(spark, path).collect())
+    assert got == [(1, "new", 1), (1, "words", 1), (2, "kept", 1), (2, "words", 1)]
