@@ -3,7 +3,8 @@
 Numbers, names and units become typed placeholders; windows of such words are hashed and joined to
 those of the benchmark. An occurrence counts only if its slots are consistent: what the
 benchmark repeats in several slots must be the same in all of them in the document. So questions
-asked again with other numbers, names or units are found too. Column functions only.
+asked again with other numbers, names or units are found too. Windows of too few plain words for that
+are joined as they stand, values included. Column functions only.
 """
 
 from __future__ import annotations
@@ -52,26 +53,40 @@ def _hashed(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(_kind(w)))
 
 
+def _plain(words: Column) -> Column:
+    """Hashes of the words themselves, whether in slots or not."""
+    return F.transform(words, lambda w: F.xxhash64(F.when(F.startswith(w, F.lit(MARK)), F.substring(w, 3, 1 << 30)).otherwise(w)))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW, literal: int = LITERAL, found: int = FOUND) -> DataFrame:
     """(doc_id, item_id, windows, item_windows, slots) for each benchmark item found in a document.
 
     An item is found in a document if at least found of its distinct windows (all, if it has
-    fewer) are there with consistent slots; windows with fewer than literal plain words do not
-    count. slots is how many of the windows counted hold placeholders. Items shorter than a window
-    are one window of their own length, all of it literal. Null and empty texts hold nothing; rows with a null id are left
+    fewer) are there with consistent slots; windows with fewer than literal plain words count
+    only where the document has the same words and values, and only for items not found without them. slots is how many of the windows counted hold placeholders. Items shorter than a window
+    are one window of their own length, found only as it stands. Null and empty texts hold nothing; rows with a null id are left
     out; rows that repeat an id are one text set. Documents where nothing is found give no row.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), slotted(F.col("text").cast("string")).alias("words")).where("id is not null and size(words) > 0")
     items = saved(items.withColumn("hashes", _hashed(F.col("words"))), "items")
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     sizes = sorted({words, *(r[0] for r in items.where(F.size("words") < words).select(F.size("words")).distinct().collect())})
-    hits, of = None, None
+    hits, of, exact, exact_of = None, None, None, None
     for size in sizes:
         some = items.where(F.size("words") >= words) if size == words else items.where(F.size("words") == size)
         least = min(literal, size) if size == words else size
         known = _placed(some, size).join(some.select("id", "words"), "id")
         slots = F.size(F.filter(F.slice("words", F.col("at") + 1, F.lit(size)), lambda w: F.startswith(w, F.lit(MARK))))
-        known = saved(known.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "window", slots.alias("slots")).where(F.lit(size) - F.col("slots") >= least), "windows")
+        every = saved(known.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "window", slots.alias("slots")), "windows")
+        known = every.where(F.lit(size) - F.col("slots") >= least)
+        few = every.where(F.lit(size) - F.col("slots") < least)
+        if few.limit(1).count():
+            as_is = _placed(some.select("id", _plain(F.col("words")).alias("hashes")), size).select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "window")
+            few = saved(few.drop("window").join(as_is, ["item_id", "item_at"]).select("item_id", "window", "slots").distinct(), "exact")
+            number = few.groupBy("item_id").agg(F.countDistinct("window").alias("n"))
+            right = F.broadcast(few) if few.count() <= BROADCAST else few
+            same = _placed(rows.select("id", _plain(slotted(F.col("text"))).alias("hashes")), size).join(right, "window").select(F.col("id").alias("doc_id"), "item_id", "window", F.col("slots"))
+            exact, exact_of = (same, number) if exact is None else (exact.union(same), exact_of.union(number))
         there = known.groupBy("item_id").agg(F.countDistinct("window").alias("item_windows"))
         right = F.broadcast(known) if known.count() <= BROADCAST else known
         placed = _placed(rows.select("id", _hashed(slotted(F.col("text"))).alias("hashes")), size)
@@ -81,8 +96,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW, lit
     wrong = _inconsistent(hits.where("slots > 0"), rows, items)
     good = hits if wrong is None else hits.join(wrong, ["doc_id", "item_id", "shift"], "left_anti")
     seen = good.groupBy("doc_id", "item_id").agg(F.countDistinct("window").alias("windows"), F.countDistinct(F.when(F.col("slots") > 0, F.col("window"))).alias("slots"))
-    seen = seen.join(of, "item_id").where(F.col("windows") >= F.least(F.lit(found), F.col("item_windows")))
-    return seen.select("doc_id", "item_id", "windows", "item_windows", "slots")
+    enough = F.col("windows") >= F.least(F.lit(found), F.col("item_windows"))
+    if exact is None:
+        return seen.join(of, "item_id").where(enough).select("doc_id", "item_id", "windows", "item_windows", "slots")
+    names = ["doc_id", "item_id", "windows", "item_windows", "slots"]
+    seen = saved(seen, "seen")
+    first = saved(seen.join(of, "item_id").where(enough).select(*names), "found")
+    more = exact.groupBy("doc_id", "item_id").agg(F.countDistinct("window").alias("windows"), F.countDistinct("window").alias("slots"))
+    # items of another length have no window in one of the two
+    both = more.unionByName(seen.join(more.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi")).groupBy("doc_id", "item_id").agg(F.sum("windows").alias("windows"), F.sum("slots").alias("slots"))
+    all_of = of.select("item_id", F.col("item_windows").alias("n")).union(exact_of).groupBy("item_id").agg(F.sum("n").alias("item_windows"))
+    rest = both.join(all_of, "item_id").where(enough).join(first.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_anti")
+    return first.unionByName(rest.select(*names))
 
 
 def _inconsistent(hits: DataFrame, rows: DataFrame, items: DataFrame) -> DataFrame | None:

@@ -333,6 +333,14 @@ def test_contamination(spark):
     assert decontaminate.contaminated(empty(spark), bench).count() == 0 and decontaminate.contaminated(docs(spark), bench.limit(0)).count() == 0
 
 
+def test_contamination_finds_items_full_of_values(spark):
+    short, long = "What is 7 plus 5?", "add 3 4 5 6 7 to 8 9 10 11 12 or 13 14 15 16 17"
+    bench = spark.createDataFrame([(1, short), (2, long), (3, "three plain words")], "item_id long, text string")
+    rows = [(1, "he asked: what is 7 plus 5? and left"), (2, "he asked: what is 7 plus 6? and left"), (3, f"so {long} it is"), (4, "so " + long.replace(" 6", " 60").replace(" 10", " 1").replace("14", "40") + " it is"), (5, "three plain words")]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
+    assert got == {(1, 1), (3, 2), (5, 3)}
+
+
 def test_contamination_finds_what_plain_search_finds(spark):
     d, b = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "benchmark"))
     words = lambda t: re.findall(r"\w+", t.lower())
