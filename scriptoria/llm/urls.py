@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from scriptoria.llm.common import saved
 
-#: Segments that the tree distinguishes; what follows is one wildcard.
-DEPTH = 6
 #: Labelled pages a branch needs to stand alone, and standard errors it must differ by.
 SUPPORT, APART = 12, 2.5
 #: Strength of the prior in labelled pages, and the share of bad pages at which a template is rejected.
@@ -54,17 +52,23 @@ def _typed(segment: Column) -> Column:
     )
 
 
-def shape(path: Column, depth: int = DEPTH) -> Column:
-    """The path's first segments, typed and joined; a mark says whether more follow."""
-    segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    head = F.array_join(F.transform(F.slice(segments, 1, depth), _typed), "/")
-    return F.when(F.size(segments) > depth, F.concat(head, F.lit("/**"))).otherwise(head)
+def shape(path: Column) -> Column:
+    """The path's segments, typed and joined."""
+    return F.array_join(F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), _typed), "/")
 
 
-def templates(shapes: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(host, shape, template, n, b) of shapes(host, shape, n, b), with labelled and bad pages of each shape."""
+def templates(shapes: DataFrame) -> DataFrame:
+    """(host, shape, template, n, b) of shapes(host, shape, n, b), with labelled and bad pages of each shape.
+
+    The tree is learnt down to the deepest level where a segment of a host has the support to stand
+    alone; below it nothing could, so that every segment there is a wildcard.
+    """
     out = shapes.select("host", "shape", "n", "b", F.lit("").alias("template"))
-    for level in range(depth + 1):
+    segments = F.split("shape", "/")
+    held = shapes.where("n > 0").select("host", F.posexplode(segments).alias("level", "s"), "n").groupBy("host", "level", "s").agg(F.sum("n").alias("n"))
+    deepest = held.where((F.col("n") >= SUPPORT) & ~F.startswith("s", F.lit("{"))).agg(F.max("level")).first()[0]
+    levels = 0 if deepest is None else deepest + 1
+    for level in range(levels):
         out = out.withColumn("s", F.nullif(F.try_element_at(F.split("shape", "/"), F.lit(level + 1)), F.lit("")))
         each = out.where("s is not null").groupBy("host", "template", "s").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
         whole = each.groupBy("host", "template").agg(F.sum("n").alias("all"), F.sum("b").alias("bad"))
@@ -72,10 +76,12 @@ def templates(shapes: DataFrame, depth: int = DEPTH) -> DataFrame:
         apart = F.abs(F.col("b") - F.col("n") * p) >= APART * F.sqrt(F.col("n") * p * (1 - p))
         alone = each.where(F.col("n") >= SUPPORT).join(whole, ["host", "template"]).where(apart).select("host", "template", "s", F.lit(True).alias("alone"))
         out = out.join(alone, ["host", "template", "s"], "left")
-        kept = F.col("alone") | F.startswith("s", F.lit("{")) | (F.col("s") == "**")
+        kept = F.col("alone") | F.startswith("s", F.lit("{"))
         word = F.when(F.col("s").isNull(), "").when(kept, F.concat(F.lit("/"), F.col("s"))).otherwise("/*")
         out = saved(out.select("host", "shape", "n", "b", F.concat("template", word).alias("template")), "tree")
-    return out
+    below = F.filter(F.slice(segments, F.lit(levels + 1), F.greatest(F.size(segments) - levels, F.lit(0))), lambda s: s != "")
+    below = F.transform(below, lambda s: F.concat(F.lit("/"), F.when(F.startswith(s, F.lit("{")), s).otherwise("*")))
+    return out.withColumn("template", F.concat("template", F.array_join(below, "")))
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:

@@ -398,3 +398,10 @@ def test_url_templates_are_those_of_a_plain_tree(spark):
     for r in got:
         n, b = sums[r.host, r.template]
         assert math.isclose(r.purity, (b + urls.PRIOR * base) / (n + urls.PRIOR), abs_tol=1e-6)
+
+
+def test_url_templates_reach_any_depth(spark):
+    rows = [(k, f"http://h.de/a/b/c/d/e/f/g/{'ads' if k % 2 else 'news'}/x{k}/{k}") for k in range(200)]
+    got = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame([(k, k % 2) for k in range(100)], "page_id long, bad int"), []).collect()
+    assert all((r.verdict == "block") == (r.page_id % 2 == 1) for r in got)
+    assert {r.template for r in got} == {f"/*/*/*/*/*/*/*/{x}/*/{{number}}" for x in ("ads", "news")}
