@@ -9,6 +9,8 @@ merge ranks, so the best path by score need not be the path by merge order.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from scriptoria.llm.common import slices
 
 SPACE = "▁"
+_SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Words whose pieces a task remembers at most.
 REMEMBERED = 300_000
 #: How much worse than the worst piece an unknown character is.
@@ -41,8 +44,8 @@ class Coder:
         self.spelled = [b"" if loaded.is_control(i) else bytes([int(self.pieces[i][3:5], 16)]) if loaded.is_byte(i) else self.pieces[i].replace(SPACE, " ").encode() for i in ids]
         self.known: dict[str, bytes] = {}
         self.by_line = not any("\n" in p for p in self.score)
-        # Cutting before each space is exact unless a piece that spans one could win.
-        self.by_word = all(self.path(p)[0] >= s or sum(self.path(part)[0] for part in self._cut(p)) >= s for p, (_, s) in self.score.items() if SPACE in p[1:])
+        # A cut where a run of spaces begins is exact if every piece that spans such a place is worse than its parts.
+        self.by_word = all(sum(self.path(part)[0] for part in self._cut(p)) > s for p, (_, s) in self.score.items() if SPACE in p.lstrip(SPACE))
 
     def _build(self) -> None:
         """Trie of the pieces; failure links breadth first; output links to the next piece that ends in a state."""
@@ -73,8 +76,8 @@ class Coder:
 
     @staticmethod
     def _cut(text: str) -> list[str]:
-        parts = text.split(SPACE)
-        return [p for p in [parts[0], *(SPACE + p for p in parts[1:])] if p]
+        """Words, each with the run of spaces before it."""
+        return _SEGMENT.findall(text)
 
     def path(self, text: str) -> tuple[float, list[int]]:
         """The best score and its pieces' ids."""
@@ -126,10 +129,10 @@ class Coder:
             return b""
         if not self.by_word:
             return np.array(self.path(SPACE + text.replace(" ", SPACE))[1], np.int32).tobytes()
-        get, word, out = self.known.get, self._word, []
-        for w in (SPACE + text.replace(" ", " " + SPACE)).replace(SPACE + SPACE, SPACE + " " + SPACE).split(" ") if SPACE in text else [SPACE + w for w in text.split(" ")]:
-            out.append(get(w) or word(w))
-        return b"".join(out)
+        get, word = self.known.get, self._word
+        plain = SPACE not in text and "  " not in text and text[0] != " " and text[-1] != " "
+        words = [SPACE + w for w in text.split(" ")] if plain else self._cut(SPACE + text.replace(" ", SPACE))
+        return b"".join([get(w) or word(w) for w in words])
 
     def decode(self, ids) -> str:
         """The text of ids, without the space put before its first word."""
