@@ -27,6 +27,8 @@ from scriptoria.llm.common import slices
 LAYER3 = {3: [0, 32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320], 2: [0, 8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160]}
 RATES = {3: [44100, 48000, 32000], 2: [22050, 24000, 16000], 0: [11025, 12000, 8000]}
 RATE, SAMPLES = 32000, 1152
+#: Where a VBRI table stands in its frame, whatever the side information: 32 bytes after the header.
+VBRI = 36
 _HEAD = 6  # header and checksum
 _SIDE = 17
 _UNIT = _HEAD + _SIDE
@@ -202,9 +204,9 @@ def read_stream(data: bytes) -> Stream:
         begin = at + (6 if h.protected else 4) + h.side
         tag = data[begin : begin + 4]
         if first and tag in (b"Xing", b"Info"):
-            _table(out, data, begin)
-        elif first and tag == b"VBRI":
-            out.table_bytes, out.table_frames = struct.unpack(">II", data[begin + 10 : begin + 18])
+            _table(out, data[begin : at + h.size])
+        elif first and data[at + VBRI : at + VBRI + 4] == b"VBRI" and h.size >= VBRI + 18:
+            out.table_bytes, out.table_frames = struct.unpack(">II", data[at + VBRI + 10 : at + VBRI + 18])
         else:
             out.offsets.append(at)
             out.kbps.append(h.kbps)
@@ -228,16 +230,17 @@ def _side_crc(head: bytes, side: bytes) -> int:
     return _sides[key]
 
 
-def _table(out: Stream, data: bytes, begin: int) -> None:
-    flags, at = struct.unpack(">I", data[begin + 4 : begin + 8])[0], begin + 8
-    if flags & 1:
-        out.table_frames = struct.unpack(">I", data[at : at + 4])[0]
-        at += 4
-    if flags & 2:
-        out.table_bytes = struct.unpack(">I", data[at : at + 4])[0]
-        at += 4
-    if flags & 4:
-        out.toc = data[at : at + 100]
+def _table(out: Stream, frame: bytes) -> None:
+    """Read a Xing or Info table; one that its frame cuts short tells what it holds whole."""
+    flags, at = int.from_bytes(frame[4:8]), 8
+    for bit, name in ((1, "table_frames"), (2, "table_bytes")):
+        if flags & bit:
+            if at + 4 > len(frame):
+                return
+            setattr(out, name, int.from_bytes(frame[at : at + 4]))
+            at += 4
+    if flags & 4 and at + 100 <= len(frame):
+        out.toc = frame[at : at + 100]
 
 
 def payload_of(stream: Stream) -> bytes:
