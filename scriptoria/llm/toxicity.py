@@ -25,8 +25,9 @@ from scriptoria.llm.quality import labelled_sample
 FEATURES = ["seed", "learned", "stems", "hits", "nearness", "second", "capitals", "bangs", "punctuation", "obfuscated", "mixed", "words"]
 #: Labelled rows of each class that a fit takes at most.
 SAMPLE = 3000
-#: Entries of the learned lexicon at most, and the likelihood ratio (G squared) each must reach.
-LEXICON, RATIO = 600, 30.0
+#: The likelihood ratio (G squared) that an entry of the learned lexicon must reach, the rows of label 1 that must
+#: hold it, and how many times likelier than in rows of label 0 it must be. The sample bounds their number.
+RATIO, LEAST, ODDS = 30.0, 4, 12
 #: Words between a lexicon hit and a second person that still count as near.
 NEAR = 4
 # Everyday insults, and second-person forms of four languages.
@@ -165,7 +166,7 @@ class Lexicon:
         return out
 
 
-def learned_lexicon(rows: DataFrame, most: int = LEXICON) -> tuple[list[str], list[str]]:
+def learned_lexicon(rows: DataFrame) -> tuple[list[str], list[str]]:
     """Words and word beginnings (4 to 10 letters of longer words) typical of label 1.
 
     Counted over the distinct words of each row of rows(text, label), a bounded sample; an entry
@@ -176,14 +177,14 @@ def learned_lexicon(rows: DataFrame, most: int = LEXICON) -> tuple[list[str], li
     beginnings = F.transform(F.sequence(F.lit(4), F.greatest(F.lit(4), F.least(F.lit(10), F.length("word") - 1))), lambda k: F.struct(F.lit(True).alias("stem"), F.substring(F.col("word"), F.lit(1), k).alias("entry")))
     forms = F.when(F.length("word") > 4, F.concat(F.array(F.struct(F.lit(False).alias("stem"), F.col("word").alias("entry"))), beginnings))
     forms = F.coalesce(forms, F.array(F.struct(F.lit(False).alias("stem"), F.col("word").alias("entry"))))
-    tally = each.select("label", F.explode(forms).alias("f")).groupBy("f.stem", "f.entry").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).where("a >= 4")
+    tally = each.select("label", F.explode(forms).alias("f")).groupBy("f.stem", "f.entry").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).where(F.col("a") >= LEAST)
     total = rows.agg(F.coalesce(F.sum("label"), F.lit(0)).alias("p"), F.coalesce(F.sum(1 - F.col("label")), F.lit(0)).alias("q")).first()
     if not total["p"] or not total["q"]:
         return [], []
     share = total["p"] / (total["p"] + total["q"])
     expect = (F.col("a") + F.col("b")) * share
     ratio = 2 * (F.col("a") * F.log(F.col("a") / expect) + F.when(F.col("b") > 0, F.col("b") * F.log(F.col("b") / (F.col("a") + F.col("b") - expect))).otherwise(0.0))
-    top = tally.where((F.col("a") > 12 * (F.col("b") + 0.5) * total["p"] / total["q"]) & (ratio >= RATIO)).orderBy(F.desc(ratio), "stem", "entry").limit(most).collect()
+    top = tally.where((F.col("a") > ODDS * (F.col("b") + 0.5) * total["p"] / total["q"]) & (ratio >= RATIO)).collect()
     stems: list[str] = []
     for s in sorted((r["entry"] for r in top if r["stem"]), key=lambda s: (len(s), s)):
         if not any(s.startswith(t) for t in stems):
