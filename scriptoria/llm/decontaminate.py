@@ -18,35 +18,35 @@ from scriptoria.llm.common import saved
 WINDOW, LITERAL, FOUND = 8, 4, 3
 #: Benchmark windows that are broadcast at most (each is 24 bytes); more are joined by shuffle.
 BROADCAST = 400_000
-#: Marks a placeholder; the letter after it is its type.
-MARK = "\x02"
+#: Marks a placeholder (the letter after it is its type); the end of a name while a text is read; what joins a name's words.
+MARK, END, JOIN = "\x02", "\x03", "\x04"
 # Units of measure that follow a number.
 UNITS = ["km", "m", "cm", "mm", "mi", "ft", "in", "kg", "g", "mg", "lb", "oz", "l", "ml", "h", "hours", "hour", "min", "minutes", "s", "seconds", "ms", "days", "day", "years", "year", "meters", "metres", "miles", "feet", "inches", "dollars", "euros", "pounds", "usd", "eur", "percent", "degrees", "kb", "mb", "gb", "tb", "hz", "khz", "mhz", "ghz", "w", "kw", "v", "a", "n", "j", "pa"]
 
 
 def slotted(text: Column) -> Column:
-    """Words of a text, lower-cased; those in slots begin with MARK and n(ame), d(igits) or u(nit)."""
-    out = F.coalesce(text, F.lit(""))
-    out = F.regexp_replace(out, r"([\p{Ll},;:] )(\p{Lu}\p{Ll}+)", f"$1{MARK}n$2")
+    """Words of a text, lower-cased; those in slots begin with MARK and n(ame), d(igits) or u(nit).
+
+    A name is a run of capitalised words, wherever it stands: one slot, its words joined.
+    """
+    out = F.translate(F.coalesce(text, F.lit("")), MARK + END + JOIN, "   ")
+    out = F.regexp_replace(out, r"(^|[^\p{L}\p{N}])(\p{Lu}[\p{L}\p{M}]*)", f"$1{MARK}n$2{END}")
+    out = F.replace(F.replace(out, F.lit(f"{END} {MARK}n"), F.lit(JOIN)), F.lit(END), F.lit(""))
     out = F.lower(out)
     out = F.regexp_replace(out, r"(^|[^\p{L}\p{N}])(\p{Nd}+(?:[.,]\p{Nd}+)*)", f"$1{MARK}d$2")
     out = F.regexp_replace(out, rf"({MARK}d[\p{{Nd}}.,]*\p{{Nd}}) ?({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"$1 {MARK}u$2")
-    return F.regexp_extract_all(out, F.lit(rf"{MARK}d\p{{Nd}}+(?:[.,]\p{{Nd}}+)*|{MARK}?[\p{{L}}\p{{N}}]+"), F.lit(0))
+    return F.regexp_extract_all(out, F.lit(rf"{MARK}n[\p{{L}}\p{{M}}{JOIN}]+|{MARK}d\p{{Nd}}+(?:[.,]\p{{Nd}}+)*|{MARK}?[\p{{L}}\p{{N}}]+"), F.lit(0))
 
 
 def _kind(word: Column) -> Column:
     return F.when(F.startswith(word, F.lit(MARK)), F.left(word, F.lit(2))).otherwise(word)
 
 
-def _windows(hashes: Column, words: int) -> Column:
-    """Hash of each window of a list of word hashes; none if it is shorter."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size(hashes) - (words - 1), F.lit(1)))
-    return F.when(F.size(hashes) >= words, F.transform(starts, lambda k: F.xxhash64(F.slice(hashes, k, F.lit(words)))))
-
-
-def _placed(rows: DataFrame, words: int) -> DataFrame:
-    """(id, at, window) of rows(id, hashes)."""
-    return rows.select("id", F.posexplode(_windows(F.col("hashes"), words)).alias("at", "window"))
+def _windows(hashes: Column, size: int, exact: bool) -> Column:
+    """(at, window) of each run of size words in a list of word hashes; none if the list is shorter."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(hashes) - size, F.lit(0)))
+    made = F.transform(starts, lambda k: F.struct(k.alias("at"), F.xxhash64(F.lit(2 * size + exact), F.slice(hashes, k + 1, F.lit(size))).alias("window")))
+    return F.when(F.size(hashes) >= size, made).otherwise(F.expr("array()").cast("array<struct<at:int,window:bigint>>"))
 
 
 def _hashed(words: Column) -> Column:
@@ -58,65 +58,73 @@ def _plain(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(F.when(F.startswith(w, F.lit(MARK)), F.substring(w, 3, 1 << 30)).otherwise(w)))
 
 
+def _is_slot(word: Column) -> Column:
+    return F.startswith(word, F.lit(MARK))
+
+
+def _benchmark_windows(items: DataFrame, words: int, literal: int, sizes: list[int]) -> DataFrame:
+    """(item_id, item_key, item_at, window, size, slots, exact): each item's windows, those of few plain words as they stand."""
+    size = F.least(F.size("words"), F.lit(words))
+    made = None
+    for n in sizes:
+        least = literal if n == words else n
+        some = items.where(size == n).select("item_id", "item_key", "words", F.posexplode(_windows(_hashed(F.col("words")), n, False)).alias("k", "w"), _windows(_plain(F.col("words")), n, True).alias("as_is"))
+        slots = F.size(F.filter(F.slice("words", F.col("k") + 1, F.lit(n)), _is_slot))
+        some = some.withColumn("slots", slots).withColumn("exact", F.lit(n) - F.col("slots") < least)
+        window = F.when(F.col("exact"), F.element_at("as_is", F.col("k") + 1)["window"]).otherwise(F.col("w.window"))
+        some = some.select("item_id", "item_key", F.col("k").alias("item_at"), window.alias("window"), F.lit(n).alias("size"), "slots", "exact")
+        made = some if made is None else made.union(some)
+    return made
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WINDOW, literal: int = LITERAL, found: int = FOUND) -> DataFrame:
     """(doc_id, item_id, windows, item_windows, slots) for each benchmark item found in a document.
 
     An item is found in a document if at least found of its distinct windows (all, if it has
     fewer) are there with consistent slots; windows with fewer than literal plain words count
     only where the document has the same words and values, and only for items not found without them. slots is how many of the windows counted hold placeholders. Items shorter than a window
-    are one window of their own length, found only as it stands. Null and empty texts hold nothing; rows with a null id are left
-    out; rows that repeat an id are one text set. Documents where nothing is found give no row.
+    are one window of their own length, found only as it stands if it has a slot. Null and empty texts hold nothing; rows with a
+    null id are left out; rows that repeat an id are one set of texts, each read by itself, and so
+    are items. Documents where nothing is found give no row. Other columns are ignored.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("id"), slotted(F.col("text").cast("string")).alias("words")).where("id is not null and size(words) > 0")
-    items = saved(items.withColumn("hashes", _hashed(F.col("words"))), "items")
-    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    sizes = sorted({words, *(r[0] for r in items.where(F.size("words") < words).select(F.size("words")).distinct().collect())})
-    hits, of, exact, exact_of = None, None, None, None
-    for size in sizes:
-        some = items.where(F.size("words") >= words) if size == words else items.where(F.size("words") == size)
-        least = min(literal, size) if size == words else size
-        known = _placed(some, size).join(some.select("id", "words"), "id")
-        slots = F.size(F.filter(F.slice("words", F.col("at") + 1, F.lit(size)), lambda w: F.startswith(w, F.lit(MARK))))
-        every = saved(known.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "window", slots.alias("slots")), "windows")
-        known = every.where(F.lit(size) - F.col("slots") >= least)
-        few = every.where(F.lit(size) - F.col("slots") < least)
-        if few.limit(1).count():
-            as_is = _placed(some.select("id", _plain(F.col("words")).alias("hashes")), size).select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "window")
-            few = saved(few.drop("window").join(as_is, ["item_id", "item_at"]).select("item_id", "window", "slots").distinct(), "exact")
-            number = few.groupBy("item_id").agg(F.countDistinct("window").alias("n"))
-            right = F.broadcast(few) if few.count() <= BROADCAST else few
-            same = _placed(rows.select("id", _plain(slotted(F.col("text"))).alias("hashes")), size).join(right, "window").select(F.col("id").alias("doc_id"), "item_id", "window", F.col("slots"))
-            exact, exact_of = (same, number) if exact is None else (exact.union(same), exact_of.union(number))
-        there = known.groupBy("item_id").agg(F.countDistinct("window").alias("item_windows"))
-        right = F.broadcast(known) if known.count() <= BROADCAST else known
-        placed = _placed(rows.select("id", _hashed(slotted(F.col("text"))).alias("hashes")), size)
-        part = placed.join(right, "window").select(F.col("id").alias("doc_id"), "at", "window", "item_id", "item_at", "slots", F.lit(size).alias("size"))
-        hits, of = (part, there) if hits is None else (hits.union(part), of.union(there))
+    key = F.xxhash64(F.col("text").cast("string"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), key.alias("item_key"), slotted(F.col("text").cast("string")).alias("words")).where("item_id is not null and size(words) > 0")
+    items = saved(items.distinct(), "items")
+    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("doc_key"), F.col("text").cast("string").alias("text"))
+    sizes = sorted({words, *(r[0] for r in items.select(F.least(F.size("words"), F.lit(words))).distinct().collect())})
+    known = saved(_benchmark_windows(items, words, literal, sizes), "windows")
+    exact = {r["size"] for r in known.where("exact").select("size").distinct().collect()}
+    right = F.broadcast(known) if known.count() <= BROADCAST else known
+    # one scan: the words' hashes once, then the windows of all sizes
+    hashes = rows.select("doc_id", "doc_key", slotted(F.col("text")).alias("words")).select("doc_id", "doc_key", _hashed(F.col("words")).alias("kinds"), (_plain(F.col("words")) if exact else F.lit(None)).alias("plain"))
+    windows = F.concat(*(_windows(F.col("kinds"), n, False) for n in sizes), *(_windows(F.col("plain"), n, True) for n in sorted(exact)))
+    placed = hashes.select("doc_id", "doc_key", F.inline(windows))
+    hits = placed.join(right, "window")
     hits = saved(hits.withColumn("shift", F.col("at") - F.col("item_at")), "hits")
-    wrong = _inconsistent(hits.where("slots > 0"), rows, items)
-    good = hits if wrong is None else hits.join(wrong, ["doc_id", "item_id", "shift"], "left_anti")
-    seen = good.groupBy("doc_id", "item_id").agg(F.countDistinct("window").alias("windows"), F.countDistinct(F.when(F.col("slots") > 0, F.col("window"))).alias("slots"))
-    enough = F.col("windows") >= F.least(F.lit(found), F.col("item_windows"))
-    if exact is None:
-        return seen.join(of, "item_id").where(enough).select("doc_id", "item_id", "windows", "item_windows", "slots")
-    names = ["doc_id", "item_id", "windows", "item_windows", "slots"]
-    seen = saved(seen, "seen")
-    first = saved(seen.join(of, "item_id").where(enough).select(*names), "found")
-    more = exact.groupBy("doc_id", "item_id").agg(F.countDistinct("window").alias("windows"), F.countDistinct("window").alias("slots"))
-    # items of another length have no window in one of the two
-    both = more.unionByName(seen.join(more.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi")).groupBy("doc_id", "item_id").agg(F.sum("windows").alias("windows"), F.sum("slots").alias("slots"))
-    all_of = of.select("item_id", F.col("item_windows").alias("n")).union(exact_of).groupBy("item_id").agg(F.sum("n").alias("item_windows"))
-    rest = both.join(all_of, "item_id").where(enough).join(first.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_anti")
-    return first.unionByName(rest.select(*names))
+    wrong = _inconsistent(hits.where("slots > 0 and not exact"), rows, items)
+    good = hits if wrong is None else hits.join(wrong, ["doc_id", "doc_key", "item_id", "item_key", "shift"], "left_anti").union(hits.where("exact").join(wrong, ["doc_id", "doc_key", "item_id", "item_key", "shift"], "left_semi"))
+
+    def distinct(condition: Column) -> Column:
+        return F.size(F.collect_set(F.when(condition, F.col("window")))).cast("long")
+
+    seen = good.groupBy("doc_id", "item_id").agg(distinct(~F.col("exact")).alias("free"), distinct(~F.col("exact") & (F.col("slots") > 0)).alias("filled"), distinct(F.col("exact")).alias("fixed"))
+    of = known.groupBy("item_id").agg(distinct(~F.col("exact")).alias("n_free"), distinct(F.col("exact")).alias("n_fixed"))
+    first = (F.col("n_free") > 0) & (F.col("free") >= F.least(F.lit(found), F.col("n_free")))
+    second = (F.col("fixed") > 0) & (F.col("free") + F.col("fixed") >= F.least(F.lit(found), F.col("n_free") + F.col("n_fixed")))
+    more = F.when(~first, F.col("fixed")).otherwise(0)
+    out = seen.join(of, "item_id").where(first | second)
+    return out.select("doc_id", "item_id", (F.col("free") + more).alias("windows"), (F.col("n_free") + F.when(~first, F.col("n_fixed")).otherwise(0)).alias("item_windows"), (F.col("filled") + more).alias("slots"))
 
 
 def _inconsistent(hits: DataFrame, rows: DataFrame, items: DataFrame) -> DataFrame | None:
-    """(doc_id, item_id, shift) of occurrences where one benchmark value stands for two values; None if no hit has slots."""
+    """(doc_id, doc_key, item_id, item_key, shift) of occurrences where one benchmark value stands for two values; names are compared by their last words. None if no hit has slots."""
     if hits.limit(1).count() == 0:
         return None
-    ids = hits.select(F.col("doc_id").alias("id")).distinct()
-    texts = rows.join(ids, "id", "left_semi").select(F.col("id").alias("doc_id"), slotted(F.col("text")).alias("here"))
-    pairs = hits.join(texts, "doc_id").join(items.select(F.col("id").alias("item_id"), "words"), "item_id")
-    pairs = pairs.select("doc_id", "item_id", "shift", F.explode(F.arrays_zip(F.slice("words", F.col("item_at") + 1, F.col("size")).alias("asked"), F.slice("here", F.col("at") + 1, F.col("size")).alias("given"))).alias("p"))
-    pairs = pairs.select("doc_id", "item_id", "shift", "p.*").where(F.startswith("asked", F.lit(MARK)))
-    return pairs.groupBy("doc_id", "item_id", "shift", "asked").agg(F.min("given").alias("low"), F.max("given").alias("high")).where("low != high").select("doc_id", "item_id", "shift").distinct()
+    where = ["doc_id", "doc_key", "item_id", "item_key", "shift"]
+    ids = hits.select("doc_id", "doc_key").distinct()
+    texts = rows.join(ids, ["doc_id", "doc_key"], "left_semi").dropDuplicates(["doc_id", "doc_key"]).select("doc_id", "doc_key", slotted(F.col("text")).alias("here"))
+    pairs = hits.join(texts, ["doc_id", "doc_key"]).join(items, ["item_id", "item_key"])
+    pairs = pairs.select(*where, F.explode(F.arrays_zip(F.slice("words", F.col("item_at") + 1, F.col("size")).alias("asked"), F.slice("here", F.col("at") + 1, F.col("size")).alias("given"))).alias("p"))
+    last = lambda w: F.regexp_replace(w, f"^{MARK}n.*{JOIN}", f"{MARK}n")  # noqa: E731  a name is known by its last word
+    pairs = pairs.select(*where, last(F.col("p.asked")).alias("asked"), last(F.col("p.given")).alias("given")).where(_is_slot(F.col("asked")))
+    return saved(pairs.groupBy(*where, "asked").agg(F.min("given").alias("low"), F.max("given").alias("high")).where("low != high").select(*where).distinct(), "wrong")

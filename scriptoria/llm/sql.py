@@ -35,25 +35,31 @@ SELECT whole.doc_id, whole.digest, known.license, line_licenses FROM whole LEFT
 
 
 def _slotted(column: str) -> str:
-    out = f"coalesce({column}, '')"
-    out = rf"regexp_replace({out}, '([\p{{Ll}},;:] )(\p{{Lu}}\p{{Ll}}+)', '\1' || chr(2) || 'n\2', 'g')"
+    out = f"translate(coalesce({column}, ''), chr(2) || chr(3) || chr(4), '   ')"
+    out = rf"regexp_replace({out}, '(^|[^\p{{L}}\p{{N}}])(\p{{Lu}}[\p{{L}}\p{{M}}]*)', '\1' || chr(2) || 'n\2' || chr(3), 'g')"
+    out = f"replace(replace({out}, chr(3) || ' ' || chr(2) || 'n', chr(4)), chr(3), '')"
     out = rf"regexp_replace(lower({out}), '(^|[^\p{{L}}\p{{N}}])(\p{{Nd}}+(?:[.,]\p{{Nd}}+)*)', '\1' || chr(2) || 'd\2', 'g')"
     # RE2 has no look-ahead: the character after a unit is matched and put back
     out = rf"regexp_replace({out}, '(\x02d[\p{{Nd}}.,]*\p{{Nd}}) ?({'|'.join(UNITS)})([^\p{{L}}\p{{N}}]|$)', '\1 ' || chr(2) || 'u\2\3', 'g')"
-    return rf"regexp_extract_all({out}, '\x02d\p{{Nd}}+(?:[.,]\p{{Nd}}+)*|\x02?[\p{{L}}\p{{N}}]+')"
+    return rf"regexp_extract_all({out}, '\x02n[\p{{L}}\p{{M}}\x04]+|\x02d\p{{Nd}}+(?:[.,]\p{{Nd}}+)*|\x02?[\p{{L}}\p{{N}}]+')"
 
 
 def decontaminated() -> str:
     kinds = "list_transform(ws, lambda w: CASE WHEN starts_with(w, chr(2)) THEN left(w, 2) ELSE w END)"
-    return f"""WITH items AS (SELECT item_id, ws, {kinds} AS ks, least(len(ws), {WINDOW}) AS size FROM (SELECT item_id, {_slotted('text')} AS ws FROM benchmark WHERE item_id IS NOT NULL) WHERE len(ws) > 0),
-docs AS (SELECT doc_id, ws, {kinds} AS ks FROM (SELECT doc_id, {_slotted('text')} AS ws FROM documents WHERE doc_id IS NOT NULL)),
+    plain = "list_transform(ws, lambda w: CASE WHEN starts_with(w, chr(2)) THEN substr(w, 3) ELSE w END)"
+    last = lambda w: rf"regexp_replace({w}, '^\x02n.*\x04', chr(2) || 'n')"
+    return f"""WITH items AS (SELECT row_number() OVER () AS ik, item_id, ws, {kinds} AS ks, {plain} AS ps, least(len(ws), {WINDOW}) AS size FROM (SELECT item_id, {_slotted('text')} AS ws FROM benchmark WHERE item_id IS NOT NULL) WHERE len(ws) > 0),
+docs AS (SELECT row_number() OVER () AS dk, doc_id, ws, {kinds} AS ks, {plain} AS ps FROM (SELECT doc_id, {_slotted('text')} AS ws FROM documents WHERE doc_id IS NOT NULL)),
 sizes AS (SELECT DISTINCT size FROM items),
-asked AS (SELECT item_id, size, item_at, array_to_string(ks[item_at + 1 : item_at + size], ' ') AS win, len(list_filter(ws[item_at + 1 : item_at + size], lambda w: starts_with(w, chr(2)))) AS slots FROM (SELECT *, unnest(range(0, len(ks) - size + 1)) AS item_at FROM items)),
-known AS (SELECT * FROM asked WHERE size - slots >= CASE WHEN size = {WINDOW} THEN {LITERAL} ELSE size END),
-placed AS (SELECT doc_id, size, pos, array_to_string(ks[pos + 1 : pos + size], ' ') AS win FROM (SELECT doc_id, ks, size, unnest(range(0, len(ks) - size + 1)) AS pos FROM docs, sizes WHERE len(ks) >= size)),
-hits AS (SELECT doc_id, item_id, size, win, pos, item_at, slots, pos - item_at AS shift FROM placed JOIN known USING (size, win)),
-filled AS (SELECT doc_id, item_id, shift, i.ws[item_at + k] AS asked, d.ws[pos + k] AS given FROM (SELECT *, unnest(range(1, size + 1)) AS k FROM hits WHERE slots > 0) h JOIN items i USING (item_id) JOIN docs d USING (doc_id)),
-wrong AS (SELECT DISTINCT doc_id, item_id, shift FROM filled WHERE starts_with(asked, chr(2)) GROUP BY doc_id, item_id, shift, asked HAVING min(given) <> max(given)),
-seen AS (SELECT doc_id, item_id, count(DISTINCT win) AS windows, count(DISTINCT CASE WHEN slots > 0 THEN win END) AS slots FROM hits ANTI JOIN wrong USING (doc_id, item_id, shift) GROUP BY doc_id, item_id),
-whole AS (SELECT item_id, count(DISTINCT win) AS item_windows FROM known GROUP BY item_id)
-SELECT doc_id, item_id, windows, item_windows, slots FROM seen JOIN whole USING (item_id) WHERE windows >= least({FOUND}, item_windows)"""
+asked AS (SELECT item_id, ik, size, item_at, len(list_filter(ws[item_at + 1 : item_at + size], lambda w: starts_with(w, chr(2)))) AS slots, ks[item_at + 1 : item_at + size] AS kw, ps[item_at + 1 : item_at + size] AS pw FROM (SELECT *, unnest(range(0, len(ks) - size + 1)) AS item_at FROM items)),
+marked AS (SELECT *, size - slots < CASE WHEN size = {WINDOW} THEN {LITERAL} ELSE size END AS exact FROM asked),
+known AS (SELECT item_id, ik, size, item_at, slots, exact, array_to_string(CASE WHEN exact THEN pw ELSE kw END, ' ') AS win FROM marked),
+placed AS (SELECT doc_id, dk, size, pos, unnest([{{'exact': false, 'win': array_to_string(ks[pos + 1 : pos + size], ' ')}}, {{'exact': true, 'win': array_to_string(ps[pos + 1 : pos + size], ' ')}}], recursive := true) FROM (SELECT doc_id, dk, ks, ps, size, unnest(range(0, len(ks) - size + 1)) AS pos FROM docs, sizes WHERE len(ks) >= size)),
+hits AS (SELECT doc_id, dk, item_id, ik, size, exact, win, pos, item_at, slots, pos - item_at AS shift FROM placed JOIN known USING (size, exact, win)),
+filled AS (SELECT h.doc_id, dk, item_id, ik, shift, {last('i.ws[item_at + k]')} AS asked, {last('d.ws[pos + k]')} AS given FROM (SELECT *, unnest(range(1, size + 1)) AS k FROM hits WHERE slots > 0 AND NOT exact) h JOIN items i USING (item_id, ik) JOIN docs d USING (dk)),
+wrong AS (SELECT DISTINCT dk, ik, shift FROM filled WHERE starts_with(asked, chr(2)) GROUP BY dk, ik, shift, asked HAVING min(given) <> max(given)),
+good AS (SELECT h.* FROM hits h LEFT JOIN wrong w ON w.dk = h.dk AND w.ik = h.ik AND w.shift = h.shift WHERE exact OR w.dk IS NULL),
+seen AS (SELECT doc_id, item_id, count(DISTINCT win) FILTER (NOT exact) AS free, count(DISTINCT win) FILTER (NOT exact AND slots > 0) AS filled, count(DISTINCT win) FILTER (exact) AS fixed FROM good GROUP BY doc_id, item_id),
+whole AS (SELECT item_id, count(DISTINCT win) FILTER (NOT exact) AS n_free, count(DISTINCT win) FILTER (exact) AS n_fixed FROM known GROUP BY item_id),
+judged AS (SELECT *, n_free > 0 AND free >= least({FOUND}, n_free) AS first, fixed > 0 AND free + fixed >= least({FOUND}, n_free + n_fixed) AS second FROM seen JOIN whole USING (item_id))
+SELECT doc_id, item_id, free + CASE WHEN first THEN 0 ELSE fixed END AS windows, n_free + CASE WHEN first THEN 0 ELSE n_fixed END AS item_windows, filled + CASE WHEN first THEN 0 ELSE fixed END AS slots FROM judged WHERE first OR second"""
