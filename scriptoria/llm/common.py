@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import tempfile
 import uuid
 
@@ -23,9 +25,11 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every node sees: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder every node sees: spark.checkpoint.dir. Only a local master may leave it unset; it gets a temporary one."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="scriptoria-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -52,6 +56,12 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def released(spark: SparkSession) -> None:
+    """Let the executors drop shuffle files that no table needs any more, before more are written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo modulus; null ids are remainder 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus, F.lit(0))

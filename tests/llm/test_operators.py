@@ -405,3 +405,50 @@ def test_url_templates_reach_any_depth(spark):
     got = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame([(k, k % 2) for k in range(100)], "page_id long, bad int"), []).collect()
     assert all((r.verdict == "block") == (r.page_id % 2 == 1) for r in got)
     assert {r.template for r in got} == {f"/*/*/*/*/*/*/*/{x}/*/{{number}}" for x in ("ads", "news")}
+
+
+def test_pieces_are_the_best_path_through_runs_of_spaces(spark):
+    with open(PIECES, "rb") as f:
+        coder = pieces.Coder(f.read())
+    assert coder.by_word
+    rng = random.Random(8)
+    parts = ["hello", "world", "x", "the", "def f(x):", "é", "🦙", " ", "  ", "    ", "\t", "\n", "\n    ", "return", "▁"]
+    rows = [(k, "".join(rng.choice(parts) for _ in range(rng.randrange(0, 9)))) for k in range(500)] + [(500, "hello    world"), (501, "        if a:\n                b")]
+    got = {r.doc_id: r.ids for r in pieces.encoded(docs(spark, rows), PIECES).collect()}
+    assert all(got[k] == (plain_viterbi(coder, "▁" + t.replace(" ", "▁"))[1] if t else []) for k, t in rows)
+
+
+def test_variable_bitrate_table_stands_at_its_place():
+    mono = bytes([0xFF, 0xFB, 5 << 4 | 2 << 2, 0xC0])
+    size = mpeg.header(mono).size
+    frame = lambda body, at=21: (mono + bytes(at - 4) + body).ljust(size, b"\x00")
+    vbri = b"VBRI" + bytes(6) + (9999).to_bytes(4) + (3).to_bytes(4)
+    read = mpeg.read_stream(frame(vbri, 36) + frame(b"data") * 3)
+    assert (read.table_bytes, read.table_frames, len(read.offsets), read.samples) == (9999, 3, 3, 3 * 1152)
+    assert mpeg.read_stream(frame(vbri, 21) + frame(b"data")).table_frames is None
+    short = mpeg.Stream()
+    mpeg._table(short, b"Xing" + (7).to_bytes(4) + (5).to_bytes(4) + b"\x00")
+    assert short.table_frames == 5 and short.table_bytes is None and short.toc == b""
+
+
+def test_quality_cut_is_a_quantile(spark):
+    d, l, truth = _labelled(spark, "quality")
+    labelled = d.join(l.select("doc_id").distinct(), "doc_id", "left_semi").where("doc_id >= 10")
+    for q in (None, 0.5):
+        model = quality.train_quality(d, l, lambda i: i >= 10, quantile=q)
+        low = labelled.count() - quality.score_quality(labelled, model).where("score >= 0.7").count()
+        assert abs(low / labelled.count() - (0.25 if q is None else q)) < 0.01
+
+
+def test_contamination_reads_each_text_of_an_id(spark):
+    bench = spark.createDataFrame([(1, ITEM), (1, ITEM), (2, "When John Smith met BOB in Rome he had 4 apples and gave them all away")], "item_id long, text string")
+    other = "some other words that stand at the very same place of a text with Anna and Maria and 4 km to go on for long enough"
+    rows = [(1, ITEM), (1, other), (1, None), (2, "when Mary met Alice Jones in Paris he had 9 apples and gave them all away"), (3, "WHEN JOHN SMITH MET BOB"), (4, other)]
+    got = {(r.doc_id, r.item_id): r.windows for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
+    assert set(got) == {(1, 1), (2, 2)} and got[1, 1] == 18
+
+
+def test_names_are_one_slot_wherever_they_stand(spark):
+    one = spark.createDataFrame([("John Smith met ANNA-MARIE. Paris is big, Rome too.",)], "t string").select(decontaminate.slotted(F.col("t")).alias("w")).first().w
+    m, j = decontaminate.MARK, decontaminate.JOIN
+    assert one == [f"{m}njohn{j}smith", "met", f"{m}nanna", f"{m}nmarie", f"{m}nparis", "is", "big", f"{m}nrome", "too"]
