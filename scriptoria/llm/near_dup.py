@@ -123,10 +123,12 @@ def _estimated(batches, least: float):
                 good = (_match(sig[x], sig[y]) >= least) & (ids[x][:, None] != ids[y][None, :])
                 hit[x] |= good.any(axis=1)
                 hit[y] |= good.any(axis=0)
-        n = int(hit.sum())
+        kept, first = np.unique(ids[hit], return_index=True)  # an id with several texts is told once
+        n = len(kept)
         if n:
+            block = table.column("block").to_numpy()[hit][first]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, pivot)), pa.array(np.full(n, i, np.int32)), pa.array(np.full(n, j, np.int32)), table.column("block").combine_chunks().filter(pa.array(hit)), pa.array(ids[hit])],
+                [pa.array(np.full(n, pivot)), pa.array(np.full(n, i, np.int32)), pa.array(np.full(n, j, np.int32)), pa.array(block), pa.array(kept)],
                 names=["pivot", "i", "j", "block", "doc_id"],
             )
 
@@ -195,24 +197,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     Two documents are linked when 100 * |A and B| >= percent * |A or B| for their sets of distinct
     word shingles (A-Z lower-cased). A text shorter than a shingle is one shingle; null, empty
     and blank texts have no shingle and link with nothing. component_id is the smallest doc_id
-    reachable, kept marks it. Rows that repeat a doc_id are one node and each returned; a null doc_id gives a null
-    component and kept false. Other columns of docs are ignored.
+    reachable, kept marks it. Rows that repeat a doc_id are one node, linked by any of their texts, and each returned; a null
+    doc_id gives a null component and kept false. Other columns of docs are ignored. Texts count as
+    copies of one set when its size and two independent 64-bit sums over it agree.
     """
     p = percent / 100
     least = p - MARGIN * ((0.25 + 0.75 * p) * (0.75 - 0.75 * p) / HASHES) ** 0.5 / 0.75
     signed = saved(signatures(docs, words), "signatures")
     known = signed.where("doc_id is not null and n_shingles > 0")
-    sets = known.groupBy("n_shingles", "fp_a", "fp_b").agg(F.min("doc_id").alias("rep"))
+    # Grouped sides are written before they meet rows of a key again: the join then reads the rows from a shuffle of
+    # its own, whose large partitions are split, so that a hot set or bucket does not land in one task.
+    sets = saved(known.groupBy("n_shingles", "fp_a", "fp_b").agg(F.min("doc_id").alias("rep")), "sets")
     reps = known.join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    spread = known.groupBy("doc_id").agg(*(f(c).alias(f"{k}_{c}") for k, f in (("low", F.min), ("high", F.max)) for c in ("fp_a", "fp_b")))
+    several = saved(spread.where("low_fp_a != high_fp_a or low_fp_b != high_fp_b").select("doc_id"), "several")
+    same_id = known.join(several, "doc_id", "left_semi").join(sets, ["n_shingles", "fp_a", "fp_b"]).select(F.col("doc_id").alias("src"), F.col("rep").alias("dst"))
 
     rows = reps.select("doc_id", F.explode("bands").alias("band"))
-    buckets = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = saved(rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "counts")
     rows = saved(rows.join(buckets, "band"), "buckets")
     weight = rows.groupBy("doc_id").agg(F.sum("n").alias("weight"))
-    pivots = rows.join(weight, "doc_id").groupBy("band").agg(F.max(F.struct("weight", -F.col("doc_id"))).alias("top")).select("band", (-F.col("top.col2")).alias("pivot"))
+    pivots = saved(rows.join(weight, "doc_id").groupBy("band").agg(F.max(F.struct("weight", -F.col("doc_id"))).alias("top")).select("band", (-F.col("top.col2")).alias("pivot")), "pivots")
     members = rows.join(pivots, "band").select("pivot", "doc_id").distinct()
     size = members.groupBy("pivot").agg(F.least(F.ceil(F.count("*") / BLOCK), F.lit(BLOCKS)).cast("int").alias("blocks"), F.count("*").alias("n")).where("n > 1").drop("n")
-    laid = members.join(size, "pivot").join(reps.select("doc_id", "sig").dropDuplicates(["doc_id"]), "doc_id")
+    laid = members.join(size, "pivot").join(reps.select("doc_id", "sig"), "doc_id")
     laid = laid.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     laid = laid.select("pivot", "doc_id", "sig", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     laid = laid.select("pivot", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "sig")
@@ -222,8 +230,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     whole = _by_block_pair(likely.join(texts, "doc_id").select("pivot", "i", "j", "block", "doc_id", "text"))
     edges = saved(whole.mapInArrow(lambda b: _confirmed(b, words, percent), "src long, dst long"), "links")
 
-    found = components(edges).withColumnRenamed("node", "rep")
-    named = sets.join(found, "rep", "left").select("n_shingles", "fp_a", "fp_b", F.coalesce("component", "rep").alias("component"))
+    found = components(edges.union(same_id)).withColumnRenamed("node", "rep")
+    named = saved(sets.join(found, "rep", "left").select("n_shingles", "fp_a", "fp_b", F.coalesce("component", "rep").alias("component")), "named")
     out = signed.select("doc_id", "n_shingles", "fp_a", "fp_b").join(named, ["n_shingles", "fp_a", "fp_b"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))

@@ -93,6 +93,14 @@ def test_near_duplicates_edge_cases(spark):
     assert near_dup.near_duplicates(empty(spark)).count() == 0
 
 
+def test_near_duplicates_link_all_texts_of_an_id(spark):
+    one, two = "a b c d e f g h i j", "k l m n o p q r s t"
+    rows = [(9, one), (9, two), (3, one), (5, two), (7, "something else that nobody has"), (9, one)]
+    for part in (1, 3):
+        got = near_dup.near_duplicates(docs(spark, rows).repartition(part), 4, 80).collect()
+        assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [(3, 3, True), (5, 3, False), (7, 7, True), (9, 3, False), (9, 3, False), (9, 3, False)]
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (7, 7)], "src long, dst long")
     got = {r.node: r.component for r in components(edges).collect()}
