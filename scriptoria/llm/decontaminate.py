@@ -16,7 +16,7 @@ from scriptoria.llm.common import saved
 
 #: Words of a window, literal words that one must have, and distinct windows that make a finding.
 WINDOW, LITERAL, FOUND = 8, 4, 3
-#: Benchmark windows that are broadcast at most (each is 24 bytes); more are joined by shuffle.
+#: Benchmark windows (some 40 bytes each), and ids of texts to be read again, that are broadcast at most; more are joined by shuffle.
 BROADCAST = 400_000
 #: Marks a placeholder (the letter after it is its type); the end of a name while a text is read; what joins a name's words.
 MARK, END, JOIN = "\x02", "\x03", "\x04"
@@ -121,7 +121,8 @@ def _inconsistent(hits: DataFrame, rows: DataFrame, items: DataFrame) -> DataFra
     if hits.limit(1).count() == 0:
         return None
     where = ["doc_id", "doc_key", "item_id", "item_key", "shift"]
-    ids = hits.select("doc_id", "doc_key").distinct()
+    ids = saved(hits.select("doc_id", "doc_key").distinct(), "ids")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST else ids
     texts = rows.join(ids, ["doc_id", "doc_key"], "left_semi").dropDuplicates(["doc_id", "doc_key"]).select("doc_id", "doc_key", slotted(F.col("text")).alias("here"))
     pairs = hits.join(texts, ["doc_id", "doc_key"]).join(items, ["item_id", "item_key"])
     pairs = pairs.select(*where, F.explode(F.arrays_zip(F.slice("words", F.col("item_at") + 1, F.col("size")).alias("asked"), F.slice("here", F.col("at") + 1, F.col("size")).alias("given"))).alias("p"))
