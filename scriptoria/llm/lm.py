@@ -1,15 +1,14 @@
 """Katz backoff bigram model over whole corpora, in partitioned tables.
 
 Every word of the training rows is a word of the model, and every bigram is counted; words never
-seen share one place. Counts and backoff weights of frequent words, as contexts and after them, are
-small arrays; those of all other words are joined by bucket, so the vocabulary has no bound. Where
-a vocabulary is asked for, the words outside it share one unknown word, whose probability is divided
-among them by their own counts (add one, with one place for words never seen).
-Bigram counts are Good-Turing discounted up to K; what a context loses goes to the words not
-seen after it, by a backoff weight that makes the context's probabilities sum to one.
-
-Tables hold packed arrays, one row per part of a bucket of bigrams: a bucket is chosen by a hash
-of the bigram, so a frequent word's contexts spread over all of them.
+seen share one place. Bigram counts are Good-Turing discounted up to K; what a context loses goes to
+the words not seen after it, by a backoff weight that makes the context's probabilities sum to one.
+
+Tables hold packed arrays, some rows for each bucket. Words that are frequent are coded by
+ids, and their counts and weights as contexts are small arrays; a bigram of them is put into a
+bucket by its own hash, so that a frequent word spreads over all buckets. Other words meet in the
+bucket of their hash. The most frequent bigrams are scored where the texts are read, from a table
+whose size is bounded: so no bigram, however frequent, sends all its places to one task.
 """
 
 from __future__ import annotations
@@ -22,18 +21,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptoria.llm.common import mix, partitions, saved, slices, text_bytes, word_hashes, word_spans
+from scriptoria.llm.common import dropped, mix, partitions, released, saved, slices, text_bytes, word_hashes, word_spans
 
 #: Discounts apply to counts up to K.
 K = 5
-#: Most words that a vocabulary asked for can have: ids fit 16 bits, with the end of a text and the unknown word.
-VOCABULARY = 65_533
 #: Most frequent words that are coded by ids and held in arrays; others are coded by their hash with the TAIL bit.
 HEAD = 65_533
 TAIL = np.uint64(1 << 63)
 #: Hash that stands for the end of a text, and tokens that a task gathers before it hands on counts.
 END = np.uint64(0xE0D0F0A0E7E7E7E7)
 GATHER = 1 << 20
+#: Bigrams that tasks hold at most: those that are at least this fraction of all tokens, so that there cannot be more.
+HELD = 1 << 20
 #: Tokens that one bucket should hold at most, on average.
 BUCKET = 2_000_000
 _MIXER = np.uint64(0x9E3779B97F4A7C15)
@@ -79,9 +78,9 @@ def _unigrams(batches):
 
 @dataclass(frozen=True)
 class Unigrams:
-    """Words of the model in hash order with their ids, counts by id, and what is left for the rest.
+    """The frequent words in hash order with their ids, and counts by id.
 
-    Ids: 0 is the end of a text and, as a context, its start; 1 is the unknown word.
+    Ids: 0 is the end of a text and, as a context, its start; 1 stands for all words that are not frequent.
     """
 
     words: np.ndarray
@@ -90,8 +89,6 @@ class Unigrams:
     texts: int
     tokens: int
     types: int
-    rest: int
-    rest_types: int
 
     def coded(self, h: np.ndarray) -> np.ndarray:
         out = np.ones(len(h), np.uint16)
@@ -101,50 +98,25 @@ class Unigrams:
         out[h == END] = 0
         return out
 
-    def probabilities(self) -> np.ndarray:
-        """p(id): shares of the training tokens, one more for the unknown word; they sum to one.
 
-        The end of a text counts once where there were no training texts.
-        """
-        c = self.counts.astype(float)
-        c[0] = max(c[0], 1)
-        c[1] += 1
-        return c / c.sum()
-
-    def contexts(self) -> np.ndarray:
-        """How often each id stands before another token."""
-        c = self.counts.astype(float)
-        c[0] = self.texts
-        return c
-
-
-def unigrams(docs: DataFrame, vocabulary: int = VOCABULARY) -> tuple[DataFrame, Unigrams]:
-    """The table (word hash, n) of all training words, and the vocabulary (bounded) on the driver."""
+def unigrams(docs: DataFrame, frequent: int = HEAD) -> tuple[DataFrame, Unigrams]:
+    """The table (word hash, n) of all training words, and the frequent ones (bounded) on the driver."""
     counted = saved(docs.select("text", "train").mapInArrow(_unigrams, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
     end = int(END.view(np.int64))
     sums = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("types"), F.coalesce(F.sum(F.when(F.col("word") == end, F.col("n"))), F.lit(0)).alias("texts")).first()
-    top = counted.where(F.col("word") != end).orderBy(F.desc("n"), "word").limit(vocabulary).toArrow()
+    top = counted.where(F.col("word") != end).orderBy(F.desc("n"), "word").limit(frequent).toArrow()
     words, n = top.column("word").to_numpy().view(np.uint64), top.column("n").to_numpy()
     counts = np.concatenate([[sums["texts"], sums["tokens"] - sums["texts"] - int(n.sum())], n]).astype(np.int64)
     order = np.argsort(words)
-    return counted, Unigrams(words[order], (order + 2).astype(np.uint16), counts, sums["texts"], sums["tokens"], sums["types"], int(counts[1]), max(0, sums["types"] - (sums["texts"] > 0) - len(words)))
+    return counted, Unigrams(words[order], (order + 2).astype(np.uint16), counts, sums["texts"], sums["tokens"], sums["types"])
 
 
-def _pairs(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """context << 16 | id of each token; a text's first token has context 0."""
-    context = np.zeros(len(ids), np.uint32)
-    context[1:] = ids[:-1]
-    context[first[:-1]] = 0
-    return context << np.uint32(16) | ids
-
-
-def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix(keys.astype(np.uint64) * _MIXER) % np.uint64(buckets)).astype(np.int64)
-
-
-def _split(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+def _buckets_of(bucket: np.ndarray):
+    """(bucket, its places) for each bucket that there is."""
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1)) if len(order) else np.zeros(1, np.int64)
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield int(bucket[order[a]]), order[a:b]
 
 
 _PACKED = "bucket int, kind int, gather long, keys binary, counts binary, ids binary"
@@ -157,77 +129,6 @@ def _packed(bucket: int, kind: int, keys: bytes, counts: bytes = b"", ids: bytes
     )
 
 
-def _counted(batches, model: Unigrams, buckets: int):
-    held, n = [], 0
-
-    def out():
-        keys, counts = _merged(held)
-        bucket = _bucket(keys, buckets)
-        order, cuts = _split(bucket, buckets)
-        for b in range(buckets):
-            at = order[cuts[b] : cuts[b + 1]]
-            if len(at):
-                yield _packed(b, 0, keys[at].tobytes(), counts[at].astype(np.uint32).tobytes())
-
-    for batch in slices(batches):
-        h, first = _tokens(batch)
-        train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
-        keys, counts = np.unique(_pairs(model.coded(h), first)[np.repeat(train, np.diff(first))], return_counts=True)
-        held.append((keys, counts))
-        n += len(keys)
-        if n > GATHER:
-            yield from out()
-            held, n = [], 0
-    if held:
-        yield from out()
-
-
-def _by_bucket(batches):
-    """(bucket, merged rows of kind 0, an iterator over its other rows) from batches sorted by bucket and kind.
-
-    Kinds: 0 bigram counts, 1 counts of words outside the vocabulary, 2 to 4 what is to be scored.
-    """
-    rows = (r for batch in batches for r in batch.to_pylist())
-    row = next(rows, None)
-    while row is not None:
-        bucket, model = row["bucket"], []
-        while row is not None and row["bucket"] == bucket and row["kind"] == 0:
-            model.append((np.frombuffer(row["keys"], np.uint32), np.frombuffer(row["counts"], np.uint32).astype(np.int64)))
-            if len(model) > 64:
-                model = [_merged(model)]
-            row = next(rows, None)
-        keys, counts = _merged(model) if model else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
-
-        def rest():
-            nonlocal row
-            while row is not None and row["bucket"] == bucket:
-                yield row
-                row = next(rows, None)
-
-        yield bucket, keys, counts, rest()
-
-
-def bigrams(docs: DataFrame, model: Unigrams, buckets: int) -> DataFrame:
-    """The bigram table: packed keys and counts for each bucket."""
-    rows = docs.select("text", "train").mapInArrow(lambda b: _counted(b, model, buckets), _PACKED)
-
-    def summed(batches):
-        for bucket, keys, counts, _ in _by_bucket(batches):
-            yield _packed(bucket, 0, keys.tobytes(), counts.astype(np.uint32).tobytes())
-
-    return saved(rows.repartitionById(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(summed, _PACKED), "bigrams")
-
-
-def bigram_rows(table: DataFrame) -> DataFrame:
-    """The packed table as rows (context, id, n)."""
-
-    def rows(batches):
-        for _, keys, counts, _ in _by_bucket(batches):
-            yield pa.RecordBatch.from_arrays([pa.array((keys >> np.uint32(16)).astype(np.int32)), pa.array((keys & np.uint32(0xFFFF)).astype(np.int32)), pa.array(counts)], names=["context", "id", "n"])
-
-    return table.mapInArrow(rows, "context int, id int, n long")
-
-
 def discounts(counts_of_counts: np.ndarray, k: int = K) -> np.ndarray:
     """Good-Turing factors for counts 1..k, from n[1..k+1]; 1 where the estimate is no discount."""
     n = counts_of_counts.astype(float)
@@ -242,58 +143,6 @@ def discounts(counts_of_counts: np.ndarray, k: int = K) -> np.ndarray:
     return out
 
 
-@dataclass(frozen=True)
-class Backoff:
-    """What scoring needs of the model beside the bigram table, all of the vocabulary's size."""
-
-    unigrams: Unigrams
-    factors: np.ndarray
-    scale: np.ndarray
-    alpha: np.ndarray
-
-
-def backoff(table: DataFrame, model: Unigrams) -> Backoff:
-    """Discounts, and for each context its exact weights, from sums over the bigram table.
-
-    A context whose counts are all above K would leave nothing: its probabilities are scaled by
-    C / (C + 1) then. One never seen has weight 1.
-    """
-    size, p = len(model.counts), model.probabilities()
-
-    def sums(batches):
-        for _, keys, counts, _ in _by_bucket(batches):
-            h, w = (keys >> np.uint32(16)).astype(np.int64), (keys & np.uint32(0xFFFF)).astype(np.int64)
-            low = np.minimum(counts, K + 1)
-            used = np.bincount(h, counts * (counts > K), minlength=size)
-            each = [np.bincount(h, low == c, minlength=size) for c in range(1, K + 1)]
-            seen = np.bincount(h, p[w], minlength=size)
-            some = np.flatnonzero(np.bincount(h, minlength=size))
-            of = np.bincount(low, minlength=K + 2)[1:].tolist() if len(keys) else [0] * (K + 1)
-            # n(K + 1) counts exactly K + 1, not all that is above K
-            of[K] = int((counts == K + 1).sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(some, -1).astype(np.int32)), pa.array(np.append(used[some], of[K])), pa.array(np.append(seen[some], 0.0)), *(pa.array(np.append(each[c][some], of[c])) for c in range(K))],
-                names=["context", "used", "seen", *(f"n{c}" for c in range(1, K + 1))],
-            )
-
-    names = [f"n{c}" for c in range(1, K + 1)]
-    schema = "context int, used double, seen double, " + ", ".join(f"{n} double" for n in names)
-    got = table.mapInArrow(sums, schema).groupBy("context").agg(*(F.sum(c).alias(c) for c in ["used", "seen", *names])).toArrow().sort_by("context")
-    at = got.column("context").to_numpy()
-    value = {c: got.column(c).to_numpy() for c in ["used", "seen", *names]}
-    whole = at == -1
-    of = np.zeros(K + 2)
-    if whole.any():
-        of[1 : K + 1] = [value[n][whole][0] for n in names]
-        of[K + 1] = value["used"][whole][0]
-    factors = discounts(of)
-    mass, seen = np.zeros(size), np.zeros(size)
-    mass[at[~whole]] = value["used"][~whole] + sum(factors[c] * value[n][~whole] * c for c, n in enumerate(names, 1))
-    seen[at[~whole]] = value["seen"][~whole]
-    scale, alpha = _weights(mass, seen, model.contexts())
-    return Backoff(model, factors, scale, alpha)
-
-
 def _weights(mass: np.ndarray, seen: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(scale, alpha) of contexts from their discounted counts, the probability of what they have seen, and their counts."""
     kept = np.divide(mass, total, out=np.zeros(len(mass)), where=total > 0)
@@ -303,63 +152,9 @@ def _weights(mass: np.ndarray, seen: np.ndarray, total: np.ndarray) -> tuple[np.
     return scale, np.where(seen < 1 - 1e-12, (1 - kept * scale) / np.maximum(1 - seen, 1e-300), 0.0)
 
 
-def katz(keys: np.ndarray, counts: np.ndarray, model: Backoff) -> np.ndarray:
-    """p(id | context) of each packed pair: the discounted count where seen, else the backoff."""
-    h, w = (keys >> np.uint32(16)).astype(np.int64), (keys & np.uint32(0xFFFF)).astype(np.int64)
-    total = model.unigrams.contexts()[h]
-    seen = model.scale[h] * model.factors[np.where(counts <= K, counts, 0)] * counts / np.maximum(total, 1)
-    return np.where(counts > 0, seen, model.alpha[h] * model.unigrams.probabilities()[w])
-
-
-_SUMS = "gather long, kind int, rows binary, sums binary, known binary"
 _OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _events(batches, model: Unigrams, buckets: int):
-    """What is to be scored, for some thousand rows (a gathering) at a time.
-
-    Kind 2: bigrams of a bucket with the rows they are in. Kind 3: words outside the vocabulary,
-    likewise. Kind 4: the gathering's rows, with the sums that need no table.
-    """
-    held: list[tuple[np.ndarray, ...]] = []
-    n = rows = seq = 0
-    part = TaskContext.get().partitionId() if TaskContext.get() else 0
-    log_own = np.log10(model.counts + 1.0) - np.log10(model.tokens + model.types + 1)
-
-    def out():
-        base = np.cumsum([0, *(len(x[0]) for x in held)])
-        size = int(base[-1])
-        ids, empty, train = (np.concatenate([x[k] for x in held]) for k in range(3))
-        keys, row = np.concatenate([x[3] for x in held]), np.concatenate([x[4] + b for x, b in zip(held, base)])
-        words = (keys & np.uint32(0xFFFF)).astype(np.uint16)
-        known = (words != 1) & (model.counts[words] > 0)
-        own = np.where(words != 1, log_own[words], 0.0)
-        sums = [np.bincount(row, minlength=size), np.bincount(row, known, minlength=size), np.bincount(row, words == 1, minlength=size), np.bincount(row, own, minlength=size)]
-        gather = part << 32 | seq
-        yield _packed(gather % buckets, 4, ids.tobytes(), b"".join(x.astype(float).tobytes() for x in sums), np.stack([empty, train]).tobytes(), gather=gather)
-        rare, rare_row = np.concatenate([x[5] for x in held]), np.concatenate([x[6] + b for x, b in zip(held, base)])
-        for kind, keys, row, bucket in ((2, keys, row, _bucket(keys, buckets)), (3, rare, rare_row, (rare % np.uint64(buckets)).astype(np.int64))):
-            order, cuts = _split(bucket, buckets)
-            for b in range(buckets):
-                at = order[cuts[b] : cuts[b + 1]]
-                if len(at):
-                    yield _packed(b, kind, keys[at].tobytes(), b"", row[at].astype(np.uint16).tobytes(), gather=gather)
-
-    for batch in slices(batches):
-        h, first = _tokens(batch)
-        code = model.coded(h)
-        row = np.repeat(np.arange(batch.num_rows, dtype=np.int32), np.diff(first).astype(np.int64))
-        rare = code == 1
-        ids = batch.column("doc_id")
-        held.append((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), batch.column("train").to_numpy(zero_copy_only=False), _pairs(code, first), row, h[rare], row[rare]))
-        n, rows = n + len(h), rows + batch.num_rows
-        if n > GATHER or rows > 40_000:
-            yield from out()
-            held, n, rows, seq = [], 0, 0, seq + 1
-    if held:
-        yield from out()
-
-
 def _found(keys: np.ndarray, counts: np.ndarray, k: np.ndarray) -> np.ndarray:
     """Counts of k in a sorted table, 0 where it is not there."""
     if not len(keys):
@@ -368,45 +163,12 @@ def _found(keys: np.ndarray, counts: np.ndarray, k: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == k, counts[at], 0)
 
 
-def _scored(batches, model: Backoff):
-    """Sums of each gathering's rows over the tokens of a bucket."""
-
-    def packed(r, sums: bytes, known: bytes, rows: bytes) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r["gather"]], pa.int64()), pa.array([r["kind"]], pa.int32()), *(pa.array([x], pa.binary()) for x in (rows, sums, known))],
-            names=["gather", "kind", "rows", "sums", "known"],
-        )
-
-    for _, keys, counts, rest in _by_bucket(batches):
-        table: list[tuple[np.ndarray, np.ndarray]] = []
-        words, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for r in rest:
-            if r["kind"] == 1:
-                table.append((np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64)))
-                continue
-            if table:
-                words, n = _merged(table)
-                table = []
-            if r["kind"] == 4:
-                yield packed(r, r["counts"], r["ids"], r["keys"])
-                continue
-            here, local = np.unique(np.frombuffer(r["ids"], np.uint16), return_inverse=True)
-            if r["kind"] == 2:
-                k = np.frombuffer(r["keys"], np.uint32)
-                value, known = np.log10(katz(k, _found(keys, counts, k), model)), b""
-            else:
-                c = _found(words, n, np.frombuffer(r["keys"], np.uint64))
-                value = np.log10(c + 1)
-                known = np.bincount(local, c > 0, minlength=len(here)).astype(np.uint32).tobytes()
-            yield packed(r, np.bincount(local, value, minlength=len(here)).tobytes(), known, here.tobytes())
-
-
-def _collected(batches, model: Unigrams, whole: bool = False):
-    """Rows of each gathering, from batches sorted by it with kind 4 first; whole: no word shares the unknown word's probability."""
-    log_total, log_rest = np.log10(model.tokens + model.types + 1), np.log10(model.rest + model.rest_types + 1)
+def _collected(batches, model: Unigrams):
+    """Rows of each gathering, from batches sorted by it with kind 4 first."""
+    log_total = np.log10(model.tokens + model.types + 1)
 
     def out(ids, flags, direct, score, rare, known):
-        tokens, own, others, base = direct
+        tokens, own, others, base, held = direct
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(ids, pa.int64(), mask=flags[0]),
@@ -414,7 +176,7 @@ def _collected(batches, model: Unigrams, whole: bool = False):
                 pa.array(tokens.astype(np.int64)),
                 pa.array((own + known).astype(np.int64)),
                 pa.array(base + rare - others * log_total),
-                pa.array(score if whole else score + rare - others * log_rest),
+                pa.array(score + held),
             ],
             names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
         )
@@ -426,7 +188,7 @@ def _collected(batches, model: Unigrams, whole: bool = False):
                 if state:
                     yield out(*state)
                 ids = np.frombuffer(r["rows"], np.int64)
-                state = (ids, np.frombuffer(r["known"], bool).reshape(2, -1), np.frombuffer(r["sums"]).reshape(4, -1), *np.zeros((3, len(ids))))
+                state = (ids, np.frombuffer(r["known"], bool).reshape(2, -1), np.frombuffer(r["sums"]).reshape(5, -1), *np.zeros((3, len(ids))))
                 continue
             at, sums = np.frombuffer(r["rows"], np.uint16), np.frombuffer(r["sums"])
             state[3 if r["kind"] == 2 else 4][at] += sums
@@ -492,11 +254,8 @@ def _counted_pairs(batches, head: Unigrams, buckets: int):
 
     def out():
         c, w, counts = _summed(held)
-        order, cuts = _split(_route(c, w, w, buckets), buckets)
-        for b in range(buckets):
-            at = order[cuts[b] : cuts[b + 1]]
-            if len(at):
-                yield _packed(b, 0, _narrow(c[at]), counts[at].astype(np.uint32).tobytes(), _narrow(w[at]))
+        for b, at in _buckets_of(_route(c, w, w, buckets)):
+            yield _packed(b, 0, _narrow(c[at]), counts[at].astype(np.int64).tobytes(), _narrow(w[at]))
 
     for batch in slices(batches):
         h, first = _tokens(batch)
@@ -516,11 +275,8 @@ def _packed_words(batches, head: Unigrams, buckets: int):
     for batch in batches:
         code, n = _coded(batch.column("word").to_numpy().view(np.uint64), head), batch.column("n").to_numpy()
         code, n = code[code >= TAIL], n[code >= TAIL]
-        order, cuts = _split((mix(code) % np.uint64(buckets)).astype(np.int64), buckets)
-        for b in range(buckets):
-            at = order[cuts[b] : cuts[b + 1]]
-            if len(at):
-                yield _packed(b, 1, code[at].tobytes(), n[at].astype(np.int64).tobytes())
+        for b, at in _buckets_of((mix(code) % np.uint64(buckets)).astype(np.int64)):
+            yield _packed(b, 1, code[at].tobytes(), n[at].astype(np.int64).tobytes())
 
 
 def _buckets(batches):
@@ -551,19 +307,16 @@ def whole_bigrams(docs: DataFrame, counted: DataFrame, head: Unigrams, buckets:
                 if r["kind"] == 1:
                     words.append((np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64)))
                     continue
-                pairs.append((_wide(r["keys"]), _wide(r["ids"]), np.frombuffer(r["counts"], np.uint32).astype(np.int64)))
+                pairs.append((_wide(r["keys"]), _wide(r["ids"]), np.frombuffer(r["counts"], np.int64)))
                 if len(pairs) > 64:
                     pairs = [_summed(pairs)]
             if not pairs:
                 continue
             c, w, n = _summed(pairs)
             own = _found(*_merged(words), w) if words else np.zeros(len(w), np.int64)
-            order, cuts = _split(_route(c, w, c, buckets), buckets)
-            for b in range(buckets):
-                at = order[cuts[b] : cuts[b + 1]]
-                if len(at):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in (_narrow(c[at]), n[at].astype(np.uint32).tobytes(), _narrow(w[at]), own[at][w[at] >= TAIL].astype(np.uint32).tobytes()))],
+            for b, at in _buckets_of(_route(c, w, c, buckets)):
+                yield pa.RecordBatch.from_arrays(
+                        [pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in (_narrow(c[at]), n[at].astype(np.int64).tobytes(), _narrow(w[at]), own[at][w[at] >= TAIL].astype(np.int64).tobytes()))],
                         names=["bucket", "keys", "counts", "ids", "own"],
                     )
 
@@ -573,10 +326,10 @@ def whole_bigrams(docs: DataFrame, counted: DataFrame, head: Unigrams, buckets:
 
 def _unpacked(r, share: np.ndarray, places: float) -> tuple[np.ndarray, ...]:
     """(c, w, n, p(w)) of a row of the table; share has p of the frequent words."""
-    c, w, n = _wide(r["keys"]), _wide(r["ids"]), np.frombuffer(r["counts"], np.uint32).astype(np.int64)
+    c, w, n = _wide(r["keys"]), _wide(r["ids"]), np.frombuffer(r["counts"], np.int64)
     often = w < TAIL
     p = share[np.where(often, w, np.uint64(0)).astype(np.int64)]
-    p[~often] = np.frombuffer(r["own"], np.uint32) / places
+    p[~often] = np.frombuffer(r["own"], np.int64) / places
     return c, w, n, p
 
 
@@ -628,57 +381,76 @@ def whole_backoff(table: DataFrame, head: Unigrams) -> Whole:
     return Whole(head, places, share, factors, value[0], *_weights(mass, value[1], value[0]))
 
 
-def _whole_events(batches, head: Unigrams, buckets: int):
+def held_bigrams(table: DataFrame, model: Whole, held: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, sorted; log10 p) of the bigrams of frequent contexts that are at least 1 / held of all tokens: held of them at most."""
+    least = max(1, -(-model.head.tokens // held)) if held else model.head.tokens + 1
+
+    def rows(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                c, w, n = _wide(r["keys"]), _wide(r["ids"]), np.frombuffer(r["counts"], np.int64)
+                some = (n >= least) & (c < TAIL)
+                yield pa.RecordBatch.from_arrays([pa.array(c[some].astype(np.int32)), pa.array(w[some].view(np.int64)), pa.array(n[some])], names=["c", "w", "n"])
+
+    got = table.select("keys", "ids", "counts").mapInArrow(rows, "c int, w long, n long").toArrow()
+    c, w, n = got.column("c").to_numpy().astype(np.int64), got.column("w").to_numpy().view(np.uint64), got.column("n").to_numpy()
+    keys = _pair(c.astype(np.uint64), w)
+    order = np.argsort(keys)
+    value = np.log10(model.scale[c] * model.discounted(n) / np.maximum(model.total[c], 1))
+    return keys[order], value[order]
+
+
+def _whole_events(batches, head: Unigrams, held: tuple[np.ndarray, np.ndarray], buckets: int):
     """What is to be scored, for some thousand rows (a gathering) at a time.
 
     Kind 2: distinct pairs of a bucket (contexts, then words), a bit for each token that begins a pair, and the tokens' rows.
     Kind 3: words that are not frequent, likewise. Kind 4: the gathering's rows, with the sums that need no table.
     """
-    held: list[tuple[np.ndarray, ...]] = []
+    parts: list[tuple[np.ndarray, ...]] = []
     n = rows = seq = 0
     part = TaskContext.get().partitionId() if TaskContext.get() else 0
     log_own = np.log10(head.counts + 1.0) - np.log10(head.tokens + head.types + 1)
 
     def out():
-        base = np.cumsum([0, *(len(x[0]) for x in held)])
+        base = np.cumsum([0, *(len(x[0]) for x in parts)])
         size = int(base[-1])
-        ids, empty, train, c, w = (np.concatenate([x[k] for x in held]) for k in range(5))
-        row = np.concatenate([x[5] + b for x, b in zip(held, base)])
+        ids, empty, train, c, w = (np.concatenate([x[k] for x in parts]) for k in range(5))
+        row = np.concatenate([x[5] + b for x, b in zip(parts, base)])
         often = w < TAIL
         at = np.where(often, w, np.uint64(0)).astype(np.int64)
         known, own = often & (head.counts[at] > 0), np.where(often, log_own[at], 0.0)
-        sums = [np.bincount(row, minlength=size), np.bincount(row, known, minlength=size), np.bincount(row, ~often, minlength=size), np.bincount(row, own, minlength=size)]
+        direct, ready = np.zeros(size), np.zeros(len(c), bool)
+        if len(held[0]):
+            k = _pair(c, w)
+            at = np.minimum(np.searchsorted(held[0], k), len(held[0]) - 1)
+            ready = held[0][at] == k
+            direct = np.bincount(row[ready], held[1][at[ready]], minlength=size)
+        sums = [np.bincount(row, minlength=size), np.bincount(row, known, minlength=size), np.bincount(row, ~often, minlength=size), np.bincount(row, own, minlength=size), direct]
         gather = part << 32 | seq
         yield _packed(gather % buckets, 4, ids.tobytes(), b"".join(x.astype(float).tobytes() for x in sums), np.stack([empty, train]).tobytes(), gather=gather)
         rare, rare_row = w[~often], row[~often]
-        order, cuts = _split((mix(rare) % np.uint64(buckets)).astype(np.int64), buckets)
-        for b in range(buckets):
-            at = order[cuts[b] : cuts[b + 1]]
-            if len(at):
-                yield _packed(b, 3, rare[at].tobytes(), b"", rare_row[at].astype(np.uint16).tobytes(), gather=gather)
+        for b, at in _buckets_of((mix(rare) % np.uint64(buckets)).astype(np.int64)):
+            yield _packed(b, 3, rare[at].tobytes(), b"", rare_row[at].astype(np.uint16).tobytes(), gather=gather)
+        c, w, row = c[~ready], w[~ready], row[~ready]
         order = np.lexsort((w, c))
         c, w, row = c[order], w[order], row[order].astype(np.uint16)
-        first = np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])])
-        bucket = _route(c, w, c, buckets)
-        order, cuts = _split(bucket, buckets)
-        for b in range(buckets):
-            at = order[cuts[b] : cuts[b + 1]]
-            if len(at):
-                new = at[first[at]]
-                codes = _narrow(np.concatenate([c[new], w[new]]))
-                yield _packed(b, 2, codes, np.packbits(first[at]).tobytes(), row[at].tobytes(), gather=gather)
+        first = np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])])[: len(c)]
+        for b, at in _buckets_of(_route(c, w, c, buckets)):
+            new = at[first[at]]
+            codes = _narrow(np.concatenate([c[new], w[new]]))
+            yield _packed(b, 2, codes, np.packbits(first[at]).tobytes(), row[at].tobytes(), gather=gather)
 
     for batch in slices(batches):
         h, first = _tokens(batch)
         code = _coded(h, head)
         row = np.repeat(np.arange(batch.num_rows, dtype=np.int32), np.diff(first).astype(np.int64))
         ids = batch.column("doc_id")
-        held.append((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), batch.column("train").to_numpy(zero_copy_only=False), _before(code, first), code, row))
+        parts.append((ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), batch.column("train").to_numpy(zero_copy_only=False), _before(code, first), code, row))
         n, rows = n + len(h), rows + batch.num_rows
         if n > GATHER or rows > 40_000:
             yield from out()
-            held, n, rows, seq = [], 0, 0, seq + 1
-    if held:
+            parts, n, rows, seq = [], 0, 0, seq + 1
+    if parts:
         yield from out()
 
 
@@ -700,11 +472,8 @@ def _scored_pairs(batches, model: Whole, buckets: int):
 
     def ask():
         w, gather, row = (np.concatenate([x[k] for x in asked]) for k in range(3))
-        order, cuts = _split((mix(w) % np.uint64(buckets)).astype(np.int64), buckets)
-        for b in range(buckets):
-            at = order[cuts[b] : cuts[b + 1]]
-            if len(at):
-                yield _step(0, 5, w[at].tobytes(), gather[at].tobytes(), row[at].tobytes(), b)
+        for b, at in _buckets_of((mix(w) % np.uint64(buckets)).astype(np.int64)):
+            yield _step(0, 5, w[at].tobytes(), gather[at].tobytes(), row[at].tobytes(), b)
 
     for _, here in _buckets(batches):
         parts, table = [], None
@@ -803,60 +572,37 @@ def _scored_words(batches, places: float):
             yield from told()
 
 
-def _score_whole(rows: DataFrame, frequent: int) -> tuple[DataFrame, Unigrams]:
-    """score_katz by a model of all words; the frequent ones (at most HEAD) are held in arrays, which changes no result."""
+def score_katz(docs: DataFrame, train, frequent: int = HEAD, held: int = HELD) -> DataFrame:
+    """Score every text of docs(doc_id, text) by a model learnt from rows that train(doc_id) accepts.
+
+    Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10).
+    Null texts are empty: one token, the end. Rows that repeat a doc_id all count in training and are
+    scored each; train(null) decides on null ids. Without training rows nothing is known: base_score is
+    that of a uniform guess over one type, and score is that of a word never seen.
+    frequent (at most HEAD) words are coded by ids, and some of the most frequent bigrams, held at most, are
+    scored without a shuffle; neither changes a result.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.withColumn("train", F.coalesce(train(F.col("doc_id")), F.lit(False)))
     counted, head = unigrams(rows, frequent)
-    buckets = max(partitions(rows.sparkSession), -(-head.tokens // BUCKET))
+    buckets = max(partitions(spark), -(-head.tokens // BUCKET))
     table = whole_bigrams(rows, counted, head, buckets)
+    released(spark)
     model = whole_backoff(table, head)
-    events = rows.mapInArrow(lambda b: _whole_events(b, head, buckets), _PACKED).withColumn("own", F.lit(None).cast("binary"))
+    known = held_bigrams(table, model, held)
+    events = rows.mapInArrow(lambda b: _whole_events(b, head, known, buckets), _PACKED).withColumn("own", F.lit(None).cast("binary"))
     pairs = table.select("bucket", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("gather"), "keys", "counts", "ids", "own").union(events)
     pairs = pairs.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "kind")
     first = saved(pairs.mapInArrow(lambda b: _scored_pairs(b, model, buckets), _STEP), "pairs")
+    dropped(table)
+    del pairs, events, table
+    released(spark)
     asked = first.where("kind in (3, 5)").select("bucket", "kind", "gather", F.col("rows").alias("keys"), F.col("sums").alias("counts"), F.col("known").alias("ids"))
     words = counted.mapInArrow(lambda b: _packed_words(b, head, buckets), _PACKED).union(asked)
     words = words.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "kind")
     places = model.places
     sums = first.where("kind in (2, 4)").union(words.mapInArrow(lambda b: _scored_words(b, places), _STEP))
-    return sums.repartition("gather").sortWithinPartitions("gather", F.desc("kind")), head
-
-
-def score_katz(docs: DataFrame, train, vocabulary: int | None = None, frequent: int = HEAD) -> DataFrame:
-    """Score every text of docs(doc_id, text) by a model learnt from rows that train(doc_id) accepts.
-
-    Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10).
-    Null texts are empty: one token, the end. Rows that repeat a doc_id all count in training and are
-    scored each; train(null) decides on null ids. Without training rows nothing is known: base_score is
-    that of a uniform guess over one type, and score is that of the unknown word.
-    The model has all words, unless vocabulary names how many (at most VOCABULARY) it is to have.
-    """
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.withColumn("train", F.coalesce(train(F.col("doc_id")), F.lit(False)))
-    if vocabulary is None:
-        sums, words = _score_whole(rows, frequent)
-        return _returned(sums.mapInArrow(lambda b: _collected(b, words, True), _OUT), words)
-    counted, words = unigrams(rows, vocabulary)
-    buckets = max(partitions(spark), -(-words.tokens // BUCKET))
-    table = bigrams(rows, words, buckets)
-    model = backoff(table, words)
-
-    def packed_words(batches):
-        for batch in batches:
-            k, n = batch.column("word").to_numpy().view(np.uint64), batch.column("n").to_numpy()
-            rare = (words.coded(k) == 1) & (k != END)
-            k, n = k[rare], n[rare]
-            order, cuts = _split((k % np.uint64(buckets)).astype(np.int64), buckets)
-            for b in range(buckets):
-                at = order[cuts[b] : cuts[b + 1]]
-                if len(at):
-                    yield _packed(b, 1, k[at].tobytes(), n[at].astype(np.int64).tobytes())
-
-    parts = table.union(counted.mapInArrow(packed_words, _PACKED)).union(rows.mapInArrow(lambda b: _events(b, words, buckets), _PACKED))
-    parts = parts.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "kind")
-    sums = parts.mapInArrow(lambda b: _scored(b, model), _SUMS).repartition("gather").sortWithinPartitions("gather", F.desc("kind"))
-    return _returned(sums.mapInArrow(lambda b: _collected(b, words), _OUT), words)
-
-
-def _returned(rows: DataFrame, words: Unigrams) -> DataFrame:
-    return rows.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(words.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    sums = sums.repartition("gather").sortWithinPartitions("gather", F.desc("kind"))
+    scored = sums.mapInArrow(lambda b: _collected(b, head), _OUT)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(head.tokens).cast("long").alias("train_tokens"), "base_score", "score")
