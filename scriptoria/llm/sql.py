@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from scriptoria.llm.decontaminate import FOUND, LITERAL, UNITS, WINDOW
-from scriptoria.llm.licenses import KNOWN, SPELLINGS
+from scriptoria.llm.licenses import DIGESTS, KNOWN, SPELLINGS
 
 
 def _text(value: str) -> str:
@@ -25,13 +25,14 @@ def _flat(lines: str) -> str:
 
 def licenses() -> str:
     known = ", ".join(f"({_text(name)}, {_text(text)})" for name, text in KNOWN)
-    return f"""WITH listed(license, text) AS (VALUES {known}),
-known AS (SELECT md5({_flat(_canonical('text'))}) AS digest, min(license) AS license FROM listed GROUP BY 1),
-canon AS (SELECT doc_id, {_canonical('text')} AS lines FROM documents),
-whole AS (SELECT doc_id, md5({_flat('lines')}) AS digest FROM canon),
-each AS (SELECT doc_id, trim(unnest(string_split(lines, chr(10)))) AS line FROM canon WHERE doc_id IS NOT NULL),
-found AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses FROM each JOIN known ON known.digest = md5(line) WHERE line <> '' GROUP BY doc_id)
-SELECT whole.doc_id, whole.digest, known.license, line_licenses FROM whole LEFT JOIN known ON known.digest = whole.digest LEFT JOIN found ON found.doc_id = whole.doc_id"""
+    digests = ", ".join(f"({_text(name)}, {_text(digest)})" for name, digest in DIGESTS)
+    return f"""WITH listed(license, text) AS (VALUES {known}), long(license, digest) AS (VALUES {digests}),
+known AS (SELECT digest, min(license) AS license FROM (SELECT license, md5({_flat(_canonical('text'))}) AS digest FROM listed UNION ALL SELECT license, digest FROM long) GROUP BY 1),
+canon AS (SELECT row_number() OVER () AS k, doc_id, {_canonical('text')} AS lines FROM documents),
+whole AS (SELECT k, doc_id, md5({_flat('lines')}) AS digest FROM canon),
+each AS (SELECT k, trim(unnest(string_split(lines, chr(10)))) AS line FROM canon),
+found AS (SELECT k, string_agg(DISTINCT license, ',' ORDER BY license) AS line_licenses FROM each JOIN known ON known.digest = md5(line) WHERE line <> '' GROUP BY k)
+SELECT whole.doc_id, whole.digest, known.license, line_licenses FROM whole LEFT JOIN known ON known.digest = whole.digest LEFT JOIN found ON found.k = whole.k"""
 
 
 def _slotted(column: str) -> str:
