@@ -17,7 +17,7 @@ from scriptoria.llm.near_dup import near_duplicates
 from scriptoria.llm.pieces import encoded
 from scriptoria.llm.quality import score_quality, train_quality
 from scriptoria.llm.toxicity import score_toxicity, train_toxicity
-from scriptoria.llm.urls import filter_urls
+from scriptoria.llm.urls import filter_urls, page_signals
 from scriptoria.llm.warc import round_trip
 
 #: The public model that op4 and the pipeline encode with; another path may be given.
@@ -33,16 +33,18 @@ RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No table labels pages, so a label is taken to be of the page with its number: quality 0 is bad."""
-    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
-    return filter_urls(_table(spark, sf_dir, "pages"), labels, RULES)
+    """No table labels pages: the labels are signals of the pages themselves."""
+    pages = _table(spark, sf_dir, "pages")
+    return filter_urls(pages, page_signals(pages), RULES)
 
 
 def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked at 80 of 100 shared four-word shingles, and the components they make."""
     return near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text scored by the bigrams of those whose remainder by 7 is not 2."""
     return score_katz(_table(spark, sf_dir, "documents"), lambda doc_id: remainder(doc_id, 7) != 2)
 
 
@@ -52,34 +54,41 @@ def _judged(scored: DataFrame, modulus: int, held: int) -> DataFrame:
 
 
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's pieces, and whether they give it back."""
     return encoded(_table(spark, sf_dir, "documents"), PIECES)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's quality, learnt from labels whose remainder by 4 is not 2."""
     docs = _table(spark, sf_dir, "documents")
     model = train_quality(docs, _table(spark, sf_dir, "labels"), lambda doc_id: remainder(doc_id, 4) != 2)
     return _judged(score_quality(docs, model), 4, 2)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's toxicity, learnt from labels whose remainder by 3 is not 1."""
     docs = _table(spark, sf_dir, "documents")
     model = train_toxicity(docs, _table(spark, sf_dir, "labels"), lambda doc_id: remainder(doc_id, 3) != 1)
     return _judged(score_toxicity(docs, model), 3, 1)
 
 
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text stored as an audio stream and read back."""
     return audio_columns(_table(spark, sf_dir, "documents"))
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents."""
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back from them."""
     return round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that a whole text, or a line of it, is."""
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 

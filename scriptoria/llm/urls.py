@@ -17,6 +17,10 @@ from scriptoria.llm.common import saved
 SUPPORT, APART = 12, 2.5
 #: Strength of the prior in labelled pages, and the share of bad pages at which a template is rejected.
 PRIOR, REJECT = 8.0, 0.5
+# Words of host names and paths that unwanted sites give themselves.
+UNWANTED = ["ads", "adserver", "adult", "bet", "bets", "betting", "casino", "escort", "gambling", "pills", "poker", "porn", "spam", "viagra", "xxx"]
+#: Runs of three equal symbols in a thousand characters of html at which a page counts as junk.
+JUNK = 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -28,6 +32,21 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), _UPPER, _LOWER), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
+def page_signals(pages: DataFrame) -> DataFrame:
+    """Labels (page_id, bad) of pages(page_id, url, html) from the pages themselves.
+
+    bad is 1 where a word of the host or path is one of UNWANTED, or the html holds at least JUNK
+    runs of symbols in a thousand characters; 0 for other pages with html. Pages that are empty or null
+    and tell nothing by their url have no row.
+    """
+    host, path = host_and_path(F.col("url").cast("string"))
+    words = F.split(F.lower(F.concat(host, path)), r"[^a-z0-9]+")
+    html = F.coalesce(F.col("html").cast("string"), F.lit(""))
+    junk = F.regexp_count(html, F.lit(r"%%%|\*\*\*|###|\$\$\$|@@@|!!!|&amp;&amp;&amp;")) * 1000 >= JUNK * F.length(html)
+    bad = F.when(F.arrays_overlap(words, F.array(*map(F.lit, UNWANTED))), 1).when(html != "", junk.cast("int"))
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), bad.alias("bad")).where("bad is not null")
+
+
 def first_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
     """(rule, its verdict) of the longest of (verdict, host/path) that fits; nulls if none does."""
     ranked = sorted(rules, key=lambda r: (-len(r[1]), r[1]))
