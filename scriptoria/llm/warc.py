@@ -14,17 +14,19 @@ import uuid
 import zlib
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.llm.common import fresh, partitions
+from scriptoria.llm.common import fresh, partitions, saved
 
 #: Payloads of fewer bytes are never replaced by revisits.
 LEAST = 1000
-#: Compressed bytes at which a file is closed, ids sampled for the bounds, and shards at most.
-ROLL, SAMPLED, SHARDS = 64 << 20, 20_000, 2048
+#: Compressed bytes at which a file is closed, payload bytes of a shard, and ids sampled for each shard's bounds.
+ROLL, SHARD, SAMPLED = 64 << 20, 512 << 20, 20
 DATE = "2000-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -122,22 +124,32 @@ def _write(batches, uri: str, roll: int, level: int):
         yield pa.RecordBatch.from_pylist([file.close()], _MANIFEST)
 
 
-def _bounds(pages: DataFrame, shards: int) -> list[int]:
-    """Ids that cut the pages into shards of like numbers, from a bounded sample chosen by hash."""
-    rows = pages.count()
-    every = max(1, rows // SAMPLED)
-    got = pages.where((F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0) & F.col("page_id").isNotNull()).select("page_id").distinct().toArrow().column("page_id").to_pylist()
-    got.sort()
-    return sorted({got[len(got) * k // shards] for k in range(1, shards)}) if got else []
+def _bounds(pages: DataFrame, shards: int | None) -> list[int]:
+    """Ids that cut pages(page_id, size) into shards of like bytes, by a sample chosen by hash.
 
+    Unless given, the number of shards follows the bytes. The driver holds some SAMPLED ids for each shard.
+    """
+    whole = pages.agg(F.count("page_id").alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
+    shards = shards or max(partitions(pages.sparkSession), -(-whole["bytes"] // SHARD))
+    every = max(1, whole["rows"] // max(20_000, SAMPLED * shards))
+    got = pages.where((F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0) & F.col("page_id").isNotNull()).groupBy("page_id").agg(F.sum(F.col("size") + 1).alias("size")).toArrow().sort_by("page_id")
+    ids, sizes = got.column("page_id").to_numpy(), np.cumsum(got.column("size").to_numpy())
+    if not len(ids):
+        return []
+    at = np.searchsorted(sizes, sizes[-1] * np.arange(1, shards) / shards)
+    return sorted(set(ids[np.minimum(at, len(ids) - 1)].tolist()))
+
+
+def _shard(bounds: list[int]) -> Column:
+    """Number of bounds not above the id; pages without an id are spread by their digest."""
+    cuts = np.array(bounds, np.int64)
+
+    @F.pandas_udf("int")
+    def of(page_id: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, page_id.to_numpy(), "right").astype(np.int32))
 
-def _shard(bounds: list[int], low: int = 0, high: int | None = None) -> Column:
-    """Number of bounds not above the id, by binary search."""
-    high = len(bounds) if high is None else high
-    if low == high:
-        return F.lit(low)
-    mid = (low + high) // 2
-    return F.when(F.col("page_id") >= bounds[mid], _shard(bounds, mid + 1, high)).otherwise(_shard(bounds, low, mid))
+    spread = F.pmod(F.xxhash64("digest"), F.lit(len(bounds) + 1)).cast("int")
+    return F.when(F.col("page_id").isNull(), spread).otherwise(of(F.coalesce("page_id", F.lit(0))))
 
 
 def write_warc(pages: DataFrame, uri: str, shards: int | None = None, roll: int = ROLL, least: int = LEAST, level: int = 6) -> str:
@@ -146,22 +158,23 @@ def write_warc(pages: DataFrame, uri: str, shards: int | None = None, roll: int
     Of records with equal payloads of at least least bytes, that with the largest page_id is a
     response and the others revisits of it; smaller payloads are all responses. Rows that
     repeat the largest page_id are responses each. Null html is an empty payload, a null url is left
-    out; pages without an id sort first and may revisit, but nothing refers to them. An
-    empty table gives an empty manifest.
+    out; pages without an id are spread over the shards, sort first there and may revisit, but nothing refers to
+    them. Shards are of like bytes, as many as those ask for unless shards is given. An empty table
+    gives an empty manifest.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     body = F.coalesce("html", F.lit("")).cast("binary")
     rows = rows.withColumn("digest", F.sha1(body))
     thin = rows.where(F.octet_length(body) >= least).select("page_id", "digest")
-    kept = thin.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null").select("digest", "refers_to")
+    # written, so that the join below reads the pages of a digest from a shuffle of its own, which is split where it is hot
+    kept = saved(thin.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null").select("digest", "refers_to"), "kept")
     marks = thin.join(kept, "digest").where("page_id is null or page_id < refers_to")
-    n = min(SHARDS, shards or partitions(spark))
-    bounds = _bounds(rows, n)
+    bounds = _bounds(rows.select("page_id", F.octet_length(body).alias("size")), shards)
     empty = F.lit(None).cast("string")
     both = rows.select("page_id", "digest", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("refers_to"), "url", "html")
     both = both.union(marks.select("page_id", "digest", F.lit(0).alias("kind"), "refers_to", empty.alias("url"), empty.alias("html")).distinct())
-    laid = both.withColumn("shard", F.coalesce(_shard(bounds), F.lit(0)).cast("int")).repartitionById(len(bounds) + 1, "shard")
+    laid = both.withColumn("shard", _shard(bounds)).repartitionById(len(bounds) + 1, "shard")
     laid = laid.sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
     manifest = laid.mapInArrow(lambda b: _write(b, uri, roll, level), MANIFEST)
     manifest.write.mode("overwrite").parquet(f"{uri}/_manifest.tmp")
