@@ -190,10 +190,10 @@ def _collected(batches, model: Unigrams):
                 ids = np.frombuffer(r["rows"], np.int64)
                 state = (ids, np.frombuffer(r["known"], bool).reshape(2, -1), np.frombuffer(r["sums"]).reshape(5, -1), *np.zeros((3, len(ids))))
                 continue
-            at, sums = np.frombuffer(r["rows"], np.uint16), np.frombuffer(r["sums"])
-            state[3 if r["kind"] == 2 else 4][at] += sums
-            if r["kind"] == 3:
-                state[5][at] += np.frombuffer(r["known"], np.uint32)
+            at, (score, base) = np.frombuffer(r["rows"], np.uint16), np.frombuffer(r["sums"]).reshape(2, -1)
+            state[3][at] += score
+            state[4][at] += base
+            state[5][at] += np.frombuffer(r["known"], np.int64)
     if state:
         yield out(*state)
 
@@ -325,12 +325,14 @@ def whole_bigrams(docs: DataFrame, counted: DataFrame, head: Unigrams, buckets:
 
 
 def _unpacked(r, share: np.ndarray, places: float) -> tuple[np.ndarray, ...]:
-    """(c, w, n, p(w)) of a row of the table; share has p of the frequent words."""
+    """(c, w, n, p(w), w's own count, 0 for frequent words) of a row of the table; share has p of the frequent words."""
     c, w, n = _wide(r["keys"]), _wide(r["ids"]), np.frombuffer(r["counts"], np.int64)
     often = w < TAIL
     p = share[np.where(often, w, np.uint64(0)).astype(np.int64)]
-    p[~often] = np.frombuffer(r["own"], np.int64) / places
-    return c, w, n, p
+    own = np.zeros(len(w), np.int64)
+    own[~often] = np.frombuffer(r["own"], np.int64)
+    p[~often] = own[~often] / places
+    return c, w, n, p, own
 
 
 @dataclass(frozen=True)
@@ -360,7 +362,7 @@ def whole_backoff(table: DataFrame, head: Unigrams) -> Whole:
         of = np.zeros(K + 2)
         for batch in batches:
             for r in batch.to_pylist():
-                c, _, n, p = _unpacked(r, share, places)
+                c, _, n, p, _ = _unpacked(r, share, places)
                 of += np.bincount(np.where(n <= K + 1, n, 0), minlength=K + 2)
                 often = c < TAIL
                 c, n, p = c[often].astype(np.int64), n[often], p[often]
@@ -381,30 +383,30 @@ def whole_backoff(table: DataFrame, head: Unigrams) -> Whole:
     return Whole(head, places, share, factors, value[0], *_weights(mass, value[1], value[0]))
 
 
-def held_bigrams(table: DataFrame, model: Whole, held: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, sorted; log10 p) of the bigrams of frequent contexts that are at least 1 / held of all tokens: held of them at most."""
+def held_bigrams(table: DataFrame, model: Whole, held: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, sorted; log10 p; the word's own count) of the bigrams of frequent contexts that are at least 1 / held of all tokens: held of them at most."""
     least = max(1, -(-model.head.tokens // held)) if held else model.head.tokens + 1
 
     def rows(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                c, w, n = _wide(r["keys"]), _wide(r["ids"]), np.frombuffer(r["counts"], np.int64)
+                c, w, n, _, own = _unpacked(r, model.share, model.places)
                 some = (n >= least) & (c < TAIL)
-                yield pa.RecordBatch.from_arrays([pa.array(c[some].astype(np.int32)), pa.array(w[some].view(np.int64)), pa.array(n[some])], names=["c", "w", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(c[some].astype(np.int32)), pa.array(w[some].view(np.int64)), pa.array(n[some]), pa.array(own[some])], names=["c", "w", "n", "own"])
 
-    got = table.select("keys", "ids", "counts").mapInArrow(rows, "c int, w long, n long").toArrow()
+    got = table.mapInArrow(rows, "c int, w long, n long, own long").toArrow()
     c, w, n = got.column("c").to_numpy().astype(np.int64), got.column("w").to_numpy().view(np.uint64), got.column("n").to_numpy()
     keys = _pair(c.astype(np.uint64), w)
     order = np.argsort(keys)
     value = np.log10(model.scale[c] * model.discounted(n) / np.maximum(model.total[c], 1))
-    return keys[order], value[order]
+    return keys[order], value[order], got.column("own").to_numpy()[order]
 
 
-def _whole_events(batches, head: Unigrams, held: tuple[np.ndarray, np.ndarray], buckets: int):
+def _whole_events(batches, head: Unigrams, held: tuple[np.ndarray, np.ndarray, np.ndarray], buckets: int):
     """What is to be scored, for some thousand rows (a gathering) at a time.
 
     Kind 2: distinct pairs of a bucket (contexts, then words), a bit for each token that begins a pair, and the tokens' rows.
-    Kind 3: words that are not frequent, likewise. Kind 4: the gathering's rows, with the sums that need no table.
+    Kind 4: the gathering's rows, with the sums that need no table.
     """
     parts: list[tuple[np.ndarray, ...]] = []
     n = rows = seq = 0
@@ -425,12 +427,11 @@ def _whole_events(batches, head: Unigrams, held: tuple[np.ndarray, np.ndarray],
             at = np.minimum(np.searchsorted(held[0], k), len(held[0]) - 1)
             ready = held[0][at] == k
             direct = np.bincount(row[ready], held[1][at[ready]], minlength=size)
+            rare = ready & ~often
+            known[rare], own[rare] = True, np.log10(held[2][at[rare]] + 1)
         sums = [np.bincount(row, minlength=size), np.bincount(row, known, minlength=size), np.bincount(row, ~often, minlength=size), np.bincount(row, own, minlength=size), direct]
         gather = part << 32 | seq
         yield _packed(gather % buckets, 4, ids.tobytes(), b"".join(x.astype(float).tobytes() for x in sums), np.stack([empty, train]).tobytes(), gather=gather)
-        rare, rare_row = w[~often], row[~often]
-        for b, at in _buckets_of((mix(rare) % np.uint64(buckets)).astype(np.int64)):
-            yield _packed(b, 3, rare[at].tobytes(), b"", rare_row[at].astype(np.uint16).tobytes(), gather=gather)
         c, w, row = c[~ready], w[~ready], row[~ready]
         order = np.lexsort((w, c))
         c, w, row = c[order], w[order], row[order].astype(np.uint16)
@@ -465,7 +466,7 @@ def _step(gather: int, kind: int, rows: bytes, sums: bytes = b"", known: bytes =
 
 
 def _scored_pairs(batches, model: Whole, buckets: int):
-    """Sums of each gathering's rows over the pairs of a bucket; kind 3 passes; kind 5: words whose own count is still to be found, with gathering and row."""
+    """Sums of each gathering's rows over the pairs of a bucket; kind 5: words whose own count is still to be found, with gathering and row."""
     log_share, log_alpha = np.log10(model.share), np.log10(np.maximum(model.alpha, 1e-300))
     asked: list[tuple[np.ndarray, ...]] = []
     n_asked = 0
@@ -484,13 +485,10 @@ def _scored_pairs(batches, model: Whole, buckets: int):
             if r["kind"] == 4:
                 yield _step(r["gather"], 4, r["keys"], r["counts"], r["ids"])
                 continue
-            if r["kind"] == 3:
-                yield _step(r["gather"], 3, r["keys"], r["counts"], r["ids"], r["bucket"])
-                continue
             if table is None:
                 table = _whole_table(parts, model)
                 parts = []
-            keys, value, contexts, weights = table
+            keys, value, own, contexts, weights = table
             c, w = _wide(r["keys"]).reshape(2, -1)
             row = np.frombuffer(r["ids"], np.uint16)
             begins = np.unpackbits(np.frombuffer(r["counts"], np.uint8), count=len(row))
@@ -505,8 +503,12 @@ def _scored_pairs(batches, model: Whole, buckets: int):
             log = log + np.where(w < TAIL, log_share[np.where(w < TAIL, w, np.uint64(0)).astype(np.int64)], 0.0)
             if len(keys):
                 log = np.where(seen, value[at], log)
+            base, known = np.zeros(len(k)), seen & (w >= TAIL)
+            if known.any():
+                base[known] = np.log10(own[at[known]] + 1)
             rows, local = np.unique(row, return_inverse=True)
-            yield _step(r["gather"], 2, rows.tobytes(), np.bincount(local, np.repeat(log, times), minlength=len(rows)).tobytes())
+            sums = [np.bincount(local, np.repeat(x, times), minlength=len(rows)) for x in (log, base, known)]
+            yield _step(r["gather"], 2, rows.tobytes(), sums[0].tobytes() + sums[1].tobytes(), sums[2].astype(np.int64).tobytes())
             rest = np.repeat(~seen & (w >= TAIL), times)
             if rest.any():
                 asked.append((np.repeat(w, times)[rest], np.full(int(rest.sum()), r["gather"], np.int64), row[rest]))
@@ -519,10 +521,10 @@ def _scored_pairs(batches, model: Whole, buckets: int):
 
 
 def _whole_table(parts: list[tuple[np.ndarray, ...]], model: Whole) -> tuple[np.ndarray, ...]:
-    """(hashes of pairs, sorted, their log10 p; contexts that are not frequent, sorted, their log10 alpha) of a bucket."""
+    """(hashes of pairs, sorted, their log10 p, their words' own counts; contexts that are not frequent, sorted, their log10 alpha) of a bucket."""
     if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.uint64), np.zeros(0)
-    c, w, n, p = (np.concatenate([x[k] for x in parts]) for k in range(4))
+        return np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0)
+    c, w, n, p, own = (np.concatenate([x[k] for x in parts]) for k in range(5))
     less = model.discounted(n)
     often = c < TAIL
     at = np.where(often, c, np.uint64(0)).astype(np.int64)
@@ -533,24 +535,25 @@ def _whole_table(parts: list[tuple[np.ndarray, ...]], model: Whole) -> tuple[np.
     ratio[~often] = (scale / np.maximum(total, 1))[local]
     keys = _pair(c, w)
     order = np.argsort(keys)
-    return keys[order], np.log10(ratio * less)[order], contexts, np.log10(np.maximum(alpha, 1e-300))
+    return keys[order], np.log10(ratio * less)[order], own[order], contexts, np.log10(np.maximum(alpha, 1e-300))
 
 
 def _scored_words(batches, places: float):
-    """Sums of each gathering's rows over words that are not frequent: kind 3 for the base score, 2 for the score."""
+    """Sums of each gathering's rows over words that are not frequent and were not seen after their context."""
     for _, here in _buckets(batches):
         table, asked, words, n = [], [], np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
         def told():
             k, gather, row = (np.concatenate([x[i] for x in asked]) for i in range(3))
-            value = np.log10(np.maximum(_found(words, n, k), 1)) - np.log10(places)
+            own = _found(words, n, k)
+            value = [np.log10(np.maximum(own, 1)) - np.log10(places), np.log10(own + 1), own > 0]
             order = np.lexsort((row, gather))
-            gather, row, value = gather[order], row[order], value[order]
+            gather, row = gather[order], row[order]
             at = np.flatnonzero(np.concatenate([[True], (gather[1:] != gather[:-1]) | (row[1:] != row[:-1])]))
-            gather, row, value = gather[at], row[at], np.add.reduceat(value, at)
+            gather, row, value = gather[at], row[at], [np.add.reduceat(x[order].astype(float), at) for x in value]
             cuts = np.flatnonzero(np.concatenate([[True], gather[1:] != gather[:-1], [True]]))
             for a, b in zip(cuts[:-1], cuts[1:]):
-                yield _step(int(gather[a]), 2, row[a:b].tobytes(), value[a:b].tobytes())
+                yield _step(int(gather[a]), 2, row[a:b].tobytes(), value[0][a:b].tobytes() + value[1][a:b].tobytes(), value[2][a:b].astype(np.int64).tobytes())
 
         for r in here:
             if r["kind"] == 1:
@@ -559,15 +562,10 @@ def _scored_words(batches, places: float):
             if table:
                 words, n = _merged(table)
                 table = []
-            if r["kind"] == 5:
-                asked.append((np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64), np.frombuffer(r["ids"], np.uint16)))
-                if sum(len(x[0]) for x in asked) > GATHER:
-                    yield from told()
-                    asked = []
-                continue
-            rows, local = np.unique(np.frombuffer(r["ids"], np.uint16), return_inverse=True)
-            own = _found(words, n, np.frombuffer(r["keys"], np.uint64))
-            yield _step(r["gather"], 3, rows.tobytes(), np.bincount(local, np.log10(own + 1), minlength=len(rows)).tobytes(), np.bincount(local, own > 0, minlength=len(rows)).astype(np.uint32).tobytes())
+            asked.append((np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64), np.frombuffer(r["ids"], np.uint16)))
+            if sum(len(x[0]) for x in asked) > GATHER:
+                yield from told()
+                asked = []
         if asked:
             yield from told()
 
@@ -591,6 +589,7 @@ def score_katz(docs: DataFrame, train, frequent: int = HEAD, held: int = HELD) -
     released(spark)
     model = whole_backoff(table, head)
     known = held_bigrams(table, model, held)
+    released(spark)  # what the jobs since the first call still held
     events = rows.mapInArrow(lambda b: _whole_events(b, head, known, buckets), _PACKED).withColumn("own", F.lit(None).cast("binary"))
     pairs = table.select("bucket", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("gather"), "keys", "counts", "ids", "own").union(events)
     pairs = pairs.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "kind")
@@ -598,7 +597,7 @@ def score_katz(docs: DataFrame, train, frequent: int = HEAD, held: int = HELD) -
     dropped(table)
     del pairs, events, table
     released(spark)
-    asked = first.where("kind in (3, 5)").select("bucket", "kind", "gather", F.col("rows").alias("keys"), F.col("sums").alias("counts"), F.col("known").alias("ids"))
+    asked = first.where("kind = 5").select("bucket", "kind", "gather", F.col("rows").alias("keys"), F.col("sums").alias("counts"), F.col("known").alias("ids"))
     words = counted.mapInArrow(lambda b: _packed_words(b, head, buckets), _PACKED).union(asked)
     words = words.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "kind")
     places = model.places
