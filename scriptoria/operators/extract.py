@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptoria.functions.text import without_tags, xml_unescaped
@@ -47,3 +47,17 @@ def entity_counts(tokens: DataFrame, unit: list[str]) -> DataFrame:
     """Capitalised words inside a line as names: count, first position and up to three mentions."""
     names = tokens.where(F.rlike("form", F.lit("^[A-Z][a-z]{3,}$")) & (F.col("i") > 1))
     return names.groupBy(*unit, F.col("form").alias("entity")).agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"))
+
+
+def citations(edges: DataFrame, source: list | None = None, target: list | None = None, kind: str | None = None) -> DataFrame:
+    """Distinct edges(source, target, kind) that agree with what is given; nothing given is all of them."""
+    out = edges.select("source", "target", "kind").distinct()
+    for c, wanted in (("source", source), ("target", target), ("kind", None if kind is None else [kind])):
+        if wanted is not None:
+            out = out.where(F.col(c).isin(wanted))
+    return out
+
+
+def ordered_citations(edges: DataFrame) -> DataFrame:
+    """edges with place: the order of each source's destinations."""
+    return edges.withColumn("place", F.row_number().over(Window.partitionBy("source").orderBy("target", "kind")))
