@@ -11,7 +11,7 @@ _ISO = r"^(-?\d{1,4})(?:-(\d{1,2}))?(?:-(\d{1,2}))?$"
 
 
 def _int(text: Column) -> Column:
-    return F.nullif(text, F.lit("")).try_cast("int")
+    return text.try_cast("int")
 
 
 def partial_date(text: Column) -> Column:
@@ -82,3 +82,42 @@ def within(date: Column, start: Column, end: Column) -> Column:
 def padded_year(year: Column) -> Column:
     """-0431 or 0079, for sorted labels."""
     return F.concat(F.when(year < 0, "-").otherwise(""), F.lpad(F.abs(year).cast("string"), 4, "0"))
+
+
+def free_date(text: Column) -> Column:
+    """Dates as people type them: y, y era, -m, -y, m-d, y-m, -m-d, -y-m, y-m-d, --d and -y-m-d; else null.
+
+    A number over 12 where a month could stand is a year before Christ after a leading minus, else a
+    day after a month. Zero parts are unknown; a date without any part is null.
+    """
+    bare = F.regexp_replace(F.trim(text), "-+$", "")
+    part = lambda k: F.regexp_extract(bare, r"^(-{0,2})(\d+)(?:-(\d*))?(?:-(\d+))?$", k)
+    signs, a, b, c = part(1), _int(part(2)), _int(part(3)), _int(part(4))
+    era = F.replace(F.upper(F.regexp_extract(bare, r"^\d+\s*([A-Za-z.]+)$", 1)), F.lit("."), F.lit(""))
+    named = _int(F.regexp_extract(bare, r"^(\d+)\s*[A-Za-z.]+$", 1))
+    plain, late = signs == "", a > 12
+    month_first = plain & c.isNull() & (b > 12)
+    year = F.when(era != "", F.when(era.isin("BC", "BCE"), -named).otherwise(named)).when(plain & ~F.coalesce(month_first, F.lit(False)), a).when((signs == "-") & (late | c.isNotNull()), -a)
+    month = F.when(month_first, a).when(plain, b).when((signs == "-") & (late | c.isNotNull()), b).when(signs == "-", a)
+    day = F.when(month_first, b).when(plain, c).when((signs == "-") & c.isNotNull(), c).when((signs == "-") & ~late, b).when((signs == "--") & b.isNull() & c.isNull(), a)
+    y, m, d = (F.when(x != 0, x) for x in (year, month, day))
+    return F.when(F.coalesce(y, m, d).isNotNull(), F.struct(y.alias("year"), m.alias("month"), d.alias("day")))
+
+
+def timestamped(text: Column) -> Column:
+    """date, hour, minute, second and fraction of an ISO date with a time; parts that are missing are null.
+
+    The fraction follows a comma or a full stop.
+    """
+    time = F.split_part(text, F.lit("T"), F.lit(2))
+    pattern = r"^(\d{1,2})(?::(\d{2}))?(?::(\d{2}))?(?:[.,](\d+))?"
+    part = lambda k: F.regexp_extract(time, pattern, k)
+    fraction = F.when(part(4) != "", F.concat(F.lit("0."), part(4)).try_cast("double"))
+    return F.struct(partial_date(F.split_part(text, F.lit("T"), F.lit(1))).alias("date"), _int(part(1)).alias("hour"), _int(part(2)).alias("minute"), _int(part(3)).alias("second"), fraction.alias("fraction"))
+
+
+def compared(a: Column, b: Column) -> Column:
+    """-1, 0 or 1 as a is before, like or after b, field by field; unknown parts come first."""
+    one = F.struct(*(F.coalesce(a[k], F.lit(-(1 << 31))) for k in ("year", "month", "day")))
+    two = F.struct(*(F.coalesce(b[k], F.lit(-(1 << 31))) for k in ("year", "month", "day")))
+    return F.when(one < two, -1).when(one > two, 1).otherwise(0)
