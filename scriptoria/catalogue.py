@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,12 +15,10 @@ from scriptoria.operators import search as Q
 from scriptoria.operators import structure as J
 from scriptoria.operators import votes as V
 from scriptoria.plans import requests as P
+from scriptoria.registry import query
 from scriptoria.sources import tables as S
 from scriptoria.streaming import incremental as I
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
 #: Stop words of the default language.
 STOP = ["a", "an", "and", "are", "as", "be", "by", "for", "he", "in", "is", "it", "of", "on", "or", "that", "the", "this", "to", "was", "with", "you"]
 _STOP = ", ".join(f"'{w}'" for w in STOP)
@@ -31,24 +27,13 @@ _LINES = "lines AS (SELECT doc_id, lang, source, generate_subscripts(ls, 1) AS l
 _TOKENS = _LINES + r""", toks AS (SELECT doc_id, lang, source, line, generate_subscripts(ws, 1) AS i, unnest(ws) AS form FROM (SELECT *, regexp_extract_all(regexp_replace(line_text, '[&_][A-Za-z]+;', ' ', 'g'), '[A-Za-z][A-Za-z\[\]]*') AS ws FROM lines)),
 tokens AS (SELECT *, lower(form) AS word FROM toks)"""
 _POS = _TOKENS + ", numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line, i) AS pos FROM tokens)"
-_PARSED = _TOKENS + ", parsed AS (SELECT *, len(ls) AS k, unnest(ls) AS lemma FROM (SELECT *, list_distinct([substring(word, 1, 4), substring(word, 1, 5), substring(word, 1, 6)]) AS ls FROM tokens))"
+_LEXICON = "lexicon AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS lemma FROM benchmark), parses AS (SELECT DISTINCT lemma || ending AS form, lemma, code FROM lexicon, (VALUES " + ", ".join(f"('{e}', '{c}')" for e, c in S.ENDINGS) + ") v(ending, code)), byform AS (SELECT form, list(DISTINCT lemma) AS ls FROM parses GROUP BY form)"
+_PARSED = _TOKENS + ", " + _LEXICON + ", parsed AS (SELECT *, len(ls) AS k, unnest(ls) AS lemma FROM (SELECT t.*, coalesce(b.ls, [t.word]) AS ls FROM tokens t LEFT JOIN byform b ON b.form = t.word))"
 _CHUNKS = _LINES + ", chunks AS (SELECT doc_id, lang, line, line_text, CAST(coalesce(sum(length(line_text) + 1) OVER (PARTITION BY doc_id ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_offset, CAST(sum(length(line_text) + 1) OVER (PARTITION BY doc_id ORDER BY line) - 1 AS BIGINT) AS end_offset FROM lines)"
 _SECTIONS = _CHUNKS + ", sections AS (SELECT doc_id, CAST((line - 1) // 3 AS BIGINT) AS section, min(start_offset) AS start_offset, max(end_offset) AS end_offset FROM chunks GROUP BY ALL)"
 _ATTRS = "attrs AS (SELECT doc_id, 'lang' AS key_name, lang AS value FROM documents WHERE lang IS NOT NULL UNION ALL SELECT doc_id, 'source', source FROM documents WHERE source IS NOT NULL UNION ALL SELECT doc_id, 'size', CAST(n_chars // 1000 AS VARCHAR) FROM documents WHERE n_chars IS NOT NULL)"
 
 
-def query(sql: str | None = None):
-    """Register a function under its own name, with the SQL that gives the same rows."""
-
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
-
 def _docs(spark: SparkSession, d: str) -> DataFrame:
     return S.table(spark, d, "documents")
 
@@ -57,8 +42,14 @@ def _tokens(spark: SparkSession, d: str) -> DataFrame:
     return S.tokens(_docs(spark, d))
 
 
+def _parses(spark: SparkSession, d: str) -> DataFrame:
+    """A parse table: the benchmark's words as headwords, with their regular endings."""
+    lexicon = S.table(spark, d, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("lemma")).distinct()
+    return S.inflected(lexicon)
+
+
 def _parsed(spark: SparkSession, d: str) -> DataFrame:
-    return S.parsed(_tokens(spark, d))
+    return S.parsed(_tokens(spark, d), _parses(spark, d))
 
 
 def _chunks(spark: SparkSession, d: str) -> DataFrame:
@@ -114,7 +105,7 @@ def document_frequencies(spark, d):
 
 @query(f"WITH {_DOCFREQ} SELECT lang, lemma, CAST(sum(max_freq) AS BIGINT) AS max_freq, CAST(sum(min_freq) AS BIGINT) AS min_freq, round(sum(w), 4) AS weighted_freq FROM f GROUP BY ALL")
 def corpus_frequencies(spark, d):
-    out = A.combine(A.ambiguity_counts(_parsed(spark, d), "doc_id", "lang"), "lang")
+    out = A.ambiguity_counts(_parsed(spark, d), "lang")
     return out.withColumn("weighted_freq", _r(F.col("weighted_freq"), 4))
 
 
@@ -126,7 +117,7 @@ def lemma_idf(spark, d):
 
 @query(f"WITH {_DOCFREQ}, t AS (SELECT *, max_freq / count(*) OVER (PARTITION BY doc_id, lang) AS tf FROM f), n AS (SELECT lang, count(DISTINCT doc_id) AS n FROM f GROUP BY lang), i AS (SELECT lang, lemma, log2(any_value(n.n) / count(DISTINCT doc_id)) AS idf FROM f JOIN n USING (lang) GROUP BY lang, lemma) SELECT doc_id, lang, lemma, round(tf * idf, 6) AS tf_idf FROM t JOIN i USING (lang, lemma)")
 def tf_idf(spark, d):
-    counts = A.ambiguity_counts(_parsed(spark, d), "doc_id", "lang")
+    counts = S.kept(A.ambiguity_counts(_parsed(spark, d), "doc_id", "lang"), "counts")
     out = A.tf_idf(A.term_frequency(counts, "doc_id", "lang"), A.inverse_document_frequency(counts, "lang"), "lang")
     return out.select("doc_id", "lang", "lemma", _r(F.col("tf_idf")).alias("tf_idf"))
 
@@ -137,11 +128,10 @@ def vocabulary_density(spark, d):
     return A.vocabulary(counts, "source").withColumn("density", _r(F.col("density")))
 
 
-@query(f"WITH {_TOKENS}, t AS (SELECT lang, count(*) AS total FROM tokens GROUP BY lang) SELECT lang, word, count(*) AS n, round(count(*) / any_value(total) * 10000, 6) AS per_10k FROM tokens JOIN t USING (lang) GROUP BY lang, word HAVING count(*) >= 20")
+@query(f"WITH {_TOKENS}, t AS (SELECT lang, count(*) AS total FROM tokens GROUP BY lang) SELECT lang, word, count(*) AS n, round(count(*) / any_value(total) * 10000, 6) AS per_10k FROM tokens JOIN t USING (lang) GROUP BY lang, word")
 def rates_per_10k(spark, d):
     counts = _tokens(spark, d).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy("lang"))
-    return counts.withColumn("per_10k", _r(A.per_ten_thousand(F.col("n"), total))).where("n >= 20")
+    return A.rates(counts, "lang").withColumn("per_10k", _r(F.col("per_10k")))
 
 
 @query(f"WITH {_TOKENS}, h AS (SELECT lang, word FROM tokens GROUP BY ALL HAVING count(*) = 1) SELECT lang, count(*) AS n_once FROM h GROUP BY lang")
@@ -169,10 +159,10 @@ def stopword_shares(spark, d):
     return _tokens(spark, d).withColumn("is_stop", F.col("word").isin(STOP)).groupBy("lang", "is_stop").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {_TOKENS}, p AS (SELECT *, last_value(CASE WHEN word NOT IN ({_STOP}) THEN word END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous FROM tokens) SELECT previous, word, count(*) AS n FROM p WHERE previous IS NOT NULL GROUP BY ALL HAVING count(*) > 1")
+@query(f"WITH {_TOKENS}, p AS (SELECT *, last_value(CASE WHEN word NOT IN ({_STOP}) THEN word END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous FROM tokens) SELECT previous, word, count(*) AS n FROM p WHERE previous IS NOT NULL GROUP BY ALL")
 def content_bigrams(spark, d):
     rows = A.previous_content_word(_tokens(spark, d), F.col("word").isin(STOP))
-    return rows.where("previous is not null").groupBy("previous", "word").agg(F.count("*").alias("n")).where("n > 1")
+    return rows.where("previous is not null").groupBy("previous", "word").agg(F.count("*").alias("n"))
 
 
 @query("WITH p AS (SELECT unnest(CASE WHEN p_size % 2 = 0 THEN ['', 'brand=' || p_brand, 'size=' || CAST(p_size // 10 AS VARCHAR), 'brand=' || p_brand || ';size=' || CAST(p_size // 10 AS VARCHAR)] ELSE ['', 'brand=' || p_brand] END) AS subset, 1.0 / (1 + p_partkey % 3) AS w FROM part) SELECT subset, round(sum(w), 4) AS weight FROM p GROUP BY subset")
@@ -258,11 +248,11 @@ def strictly_contained(spark, d):
     return pairs.groupBy(F.col("o.doc_id").alias("doc_id"), "section").agg(F.count("*").alias("n"))
 
 
-@query("WITH v AS (SELECT l_suppkey AS k, CAST(l_partkey AS BIGINT) AS v FROM lineitem WHERE l_linenumber = 1), q AS (SELECT DISTINCT l_suppkey AS k, CAST(l_quantity AS BIGINT) * 37 AS lookup FROM lineitem WHERE l_linenumber = 2 AND l_suppkey IN (SELECT k FROM v)) SELECT q.k, lookup, coalesce(max(CASE WHEN v <= lookup THEN v END), min(v)) AS found FROM q JOIN v ON q.k = v.k GROUP BY q.k, lookup")
+@query("WITH v AS (SELECT l_suppkey AS k, CAST(l_partkey AS BIGINT) AS v FROM lineitem WHERE l_partkey IS NOT NULL), q AS (SELECT DISTINCT l_suppkey AS k, CAST(l_quantity AS BIGINT) * 37 AS lookup FROM lineitem) SELECT q.k, lookup, coalesce(max(CASE WHEN v <= lookup THEN v END), min(v)) AS found FROM q JOIN v ON q.k = v.k GROUP BY q.k, lookup")
 def preceding_value(spark, d):
     lines = S.table(spark, d, "lineitem")
-    values = lines.where("l_linenumber = 1").select(F.col("l_suppkey").alias("k"), F.col("l_partkey").cast("long").alias("v"))
-    lookups = lines.where("l_linenumber = 2").select(F.col("l_suppkey").alias("k"), (F.col("l_quantity").cast("long") * 37).alias("lookup")).distinct().join(values.select("k").distinct(), "k", "left_semi")
+    values = lines.where("l_partkey is not null").select(F.col("l_suppkey").alias("k"), F.col("l_partkey").cast("long").alias("v"))
+    lookups = lines.select(F.col("l_suppkey").alias("k"), (F.col("l_quantity").cast("long") * 37).alias("lookup")).distinct()
     return J.predecessor(values, lookups, "k", "v", "lookup")
 
 
@@ -386,12 +376,11 @@ def hits_by_type(spark, d):
     return Q.contents_search(S.table(spark, d, "part"), ["p_name", "p_brand"], ["2"]).groupBy("p_type").agg(F.count("*").alias("n_hits"))
 
 
-@query(f"WITH {_TOKENS}, b AS (SELECT item_id, string_split_regex(lower(text), '[^a-z]+') AS ws FROM benchmark), q AS (SELECT item_id, ws[1] AS w1, ws[2] AS w2 FROM b WHERE len(ws) > 2 AND ws[1] <> '' AND ws[2] <> '') SELECT DISTINCT item_id, t.doc_id FROM q JOIN tokens t ON t.word = w1 JOIN tokens u ON u.doc_id = t.doc_id AND u.line = t.line AND u.i = t.i + 1 AND u.word = w2")
+@query("WITH q AS (SELECT item_id, array_to_string(regexp_extract_all(lower(text), '[a-z]+'), ' ') AS phrase FROM benchmark), t AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(text), '[a-z]+'), ' ') || ' ' AS words FROM documents) SELECT DISTINCT item_id, doc_id FROM q JOIN t ON contains(words, ' ' || phrase || ' ') WHERE phrase <> ''")
 def benchmark_phrases(spark, d):
-    rows = _tokens(spark, d).select("doc_id", "line", "i", "word")
-    q = S.table(spark, d, "benchmark").select("item_id", F.split(F.lower("text"), "[^a-z]+").alias("ws")).where("size(ws) > 2").select("item_id", F.col("ws")[0].alias("w1"), F.col("ws")[1].alias("w2")).where("w1 != '' and w2 != ''")
-    pairs = rows.withColumn("after", F.lead("word").over(Window.partitionBy("doc_id", "line").orderBy("i")))
-    return pairs.join(F.broadcast(q) if q.count() < 100_000 else q, (F.col("word") == F.col("w1")) & (F.col("after") == F.col("w2"))).select("item_id", "doc_id").distinct()
+    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit("[a-z]+"), F.lit(0))
+    phrases = S.table(spark, d, "benchmark").select("item_id", words(F.col("text")).alias("phrase"))
+    return Q.whole_phrases(_docs(spark, d).select("doc_id", words(F.col("text")).alias("words")), phrases, "doc_id", "item_id")
 
 
 # Metadata, predicates, facets
@@ -486,11 +475,11 @@ def names_to_add(spark, d):
     return C.missing_names(c.where("c_nationkey < 10"), c.where("c_acctbal > 5000"), "name")
 
 
-@query("SELECT a.doc_id, count(*) AS n_alike FROM documents a JOIN documents b ON a.source = b.source AND a.lang = b.lang AND a.doc_id <> b.doc_id WHERE a.doc_id % 10 = 0 GROUP BY a.doc_id")
+@query("SELECT a.doc_id, count(*) AS n_alike FROM documents a JOIN documents b ON a.source = b.source AND a.lang = b.lang AND a.doc_id <> b.doc_id GROUP BY a.doc_id")
 def translations(spark, d):
     docs = _docs(spark, d).select("doc_id", "source", "lang")
     sizes = docs.groupBy("source", "lang").agg((F.count("*") - 1).alias("n_alike"))
-    return docs.where("doc_id % 10 = 0").join(sizes, ["source", "lang"]).where("n_alike > 0").select("doc_id", "n_alike")
+    return docs.join(sizes, ["source", "lang"]).where("n_alike > 0").select("doc_id", "n_alike")
 
 
 @query("WITH r AS (SELECT doc_id, lang, CASE WHEN lag(lang) OVER (PARTITION BY source ORDER BY doc_id) IS DISTINCT FROM lang THEN 1 ELSE 0 END AS s, source FROM documents) SELECT doc_id, source, lang, CAST(sum(s) OVER (PARTITION BY source ORDER BY doc_id) AS BIGINT) AS run FROM r")
@@ -685,7 +674,7 @@ def morphology_codes(spark, d):
     return rows.select("p_partkey", *named, (M.features_code(F.col("f"), "grc") == F.col("code")).alias("rebuilt"), M.features_code(F.col("f"), "la").alias("in_latin"))
 
 
-_NEXT = _TOKENS + ", v AS (SELECT DISTINCT substring(word, 1, 3) AS head, word FROM tokens), a AS (SELECT head, word, lead(word) OVER (PARTITION BY head ORDER BY word) AS after FROM v)"
+_NEXT = _TOKENS + ", vocab AS (SELECT DISTINCT substring(word, 1, 3) AS head, word FROM tokens), a AS (SELECT head, word, lead(word) OVER (PARTITION BY head ORDER BY word) AS after FROM vocab)"
 
 
 def _word_pairs(spark, d):
@@ -698,7 +687,16 @@ def initial_similarity(spark, d):
     return _word_pairs(spark, d).select("word", "after", X.common_prefix(F.col("word"), F.col("after")).cast("long").alias("shared"))
 
 
-@query()
+def _aligned_sql(border: str, diagonal: str, above: str, left: str, best: str) -> str:
+    cell = f"{best}({diagonal.format(d='table_row[CAST(j[1] AS BIGINT)]', same='word[CAST(j[1] AS BIGINT)] = after[n + 1]')}, {above.format(x='table_row[CAST(j[1] AS BIGINT) + 1]')}, {left.format(x='acc[-1]')})"
+    row = f"list_reduce(list_transform(range(1, length(word) + 1), lambda k: [CAST(k AS DOUBLE)]), lambda acc, j: list_append(acc, {cell}), [CAST(table_row[1] + ({border}) AS DOUBLE)])"
+    return f"SELECT word, after, 0 AS n, list_transform(range(0, length(word) + 1), lambda k: CAST(k * ({border}) AS DOUBLE)) AS table_row FROM a WHERE after IS NOT NULL UNION ALL SELECT word, after, n + 1, {row} FROM @ WHERE n < length(after)"
+
+
+_ALIGNED = _NEXT.replace("WITH ", "") + ", s AS (" + _aligned_sql("-0.05", "{d} + CASE WHEN {same} THEN 1.0 ELSE 0.0 END", "{x} - 0.05", "{x} - 0.05", "greatest").replace("@", "s") + "), v AS (" + _aligned_sql("0.0", "{d} + CASE WHEN {same} THEN 0.0 ELSE 2.0 END", "{x} + 1.0", "{x} + 1.0", "least").replace("@", "v") + ")"
+
+
+@query(f"WITH RECURSIVE {_ALIGNED} SELECT s.word, s.after, round(s.table_row[-1], 6) AS score, round(1.0 / CASE WHEN v.table_row[-1] = 0 THEN 0.0001 ELSE v.table_row[-1] END, 6) AS vocalisation FROM s JOIN v ON s.word = v.word AND s.after = v.after AND v.n = length(v.after) WHERE s.n = length(s.after)")
 def aligned_similarity(spark, d):
     a, b = F.col("word"), F.col("after")
     return _word_pairs(spark, d).select("word", "after", _r(X.similarity_score(a, b)).alias("score"), _r(X.vocalisation_score(a, b)).alias("vocalisation"))
@@ -757,10 +755,10 @@ def named_in_any_column(spark, d):
     return C.equal_in_any(part, "p_partkey", ["p_name", "p_brand", "p_type"], names, "name").groupBy("name").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {_PARSED}, p AS (SELECT DISTINCT doc_id, line, i, word, last_value(CASE WHEN word NOT IN ({_STOP}) THEN word END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous FROM tokens) SELECT previous, lemma, round(sum(1.0 / k), 4) AS weight FROM parsed JOIN p USING (doc_id, line, i) WHERE previous IS NOT NULL GROUP BY ALL HAVING sum(1.0 / k) > 1.0001")
+@query(f"WITH {_PARSED}, p AS (SELECT DISTINCT doc_id, line, i, word, last_value(CASE WHEN word NOT IN ({_STOP}) THEN word END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous FROM tokens) SELECT previous, lemma, round(sum(1.0 / k), 4) AS weight FROM parsed JOIN p USING (doc_id, line, i) WHERE previous IS NOT NULL GROUP BY ALL")
 def bigram_weights(spark, d):
-    rows = S.parsed(A.previous_content_word(_tokens(spark, d), F.col("word").isin(STOP)))
-    return A.bigram_weights(rows, "previous", "lemma", "k").where("weight > 1.0001").withColumn("weight", _r(F.col("weight"), 4))
+    rows = S.parsed(A.previous_content_word(_tokens(spark, d), F.col("word").isin(STOP)), _parses(spark, d))
+    return A.bigram_weights(rows, "previous", "lemma", "k").withColumn("weight", _r(F.col("weight"), 4))
 
 
 @query(f"WITH {_PARSED}, f AS (SELECT doc_id, lemma, sum(1.0 / k) AS w FROM parsed GROUP BY ALL), c AS (SELECT DISTINCT doc_id, word, lemma FROM parsed WHERE k > 1) SELECT doc_id, word, lemma, round(w / sum(w) OVER (PARTITION BY doc_id, word), 10) AS share FROM c JOIN f USING (doc_id, lemma)")

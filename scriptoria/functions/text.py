@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Accented vowels and their plain letters, by position; ligatures become two letters.
@@ -15,6 +15,28 @@ MACRONS, WITHOUT = "āēīōūĀĒĪŌŪ", "aeiouAEIOU"
 WORDS = {"default": r"[A-Za-z][A-Za-z\[\]]*", "unicode": r"\p{L}+", "la": r"[A-Za-zāēīōūĀĒĪŌŪ]+", "ang": r"[A-Za-zæðþÆÐÞāēīōūǣȳĀĒĪŌŪǢȲ]+", "non": r"[A-Za-zæœøþðáéíóúýöÆŒØÞÐÁÉÍÓÚÝÖ]+", "ar": r"[A-Za-z'`{}|<>&~$*_-]+", "grc": r"[*A-Za-z()/\\=|+']+"}
 
 
+def running_starts(rows: DataFrame, lengths: str, name: str) -> DataFrame:
+    """rows with name: for each entry of an array of lengths, the sum of those before it.
+
+    Sums go over blocks of about the root of the array's size, so that long arrays cost little and
+    no row leaves its task.
+    """
+    zero = F.lit(0).cast("long")
+
+    def total(array: Column) -> Column:
+        return F.aggregate(array, zero, lambda acc, x: acc + x)
+
+    n = F.size(lengths)
+    size = F.greatest(F.ceil(F.sqrt(n)), F.lit(1)).cast("int")
+    blocks = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int"))).otherwise(F.array().cast("array<int>"))
+    sums = F.transform(blocks, lambda b: total(F.slice(lengths, b * size + 1, size)))
+    heads = F.transform(blocks, lambda b: total(F.slice(sums, F.lit(1), b)))
+    # The heads are an argument, not a column that the function reads: that would be worked out anew for each entry.
+    pairs = F.arrays_zip(blocks.alias("b"), heads.alias("head"))
+    inner = lambda z: F.transform(F.sequence(F.lit(0), F.least(size, n - z["b"] * size) - 1), lambda k: z["head"] + total(F.slice(lengths, z["b"] * size + 1, k)))
+    return rows.withColumn(name, F.flatten(F.transform(pairs, inner)))
+
+
 def words(text: Column, language: str = "default") -> Column:
     """The words of a text in order; character entities are not words. Null gives null."""
     return F.regexp_extract_all(F.regexp_replace(text, r"[&_][A-Za-z]+;", " "), F.lit(WORDS.get(language, WORDS["default"])), F.lit(0))
@@ -123,8 +145,8 @@ def _rows(a: Column, b: Column, first: float, border: float, cell) -> Column:
 
 
 def similarity_score(a: Column, b: Column) -> Column:
-    """Best alignment: 1 for each matched character, 0.05 less for each gap."""
-    return _rows(a, b, 0.0, -0.05, lambda d, u, l, same: F.greatest(F.when(same, d + 1.0).otherwise(F.greatest(u, l) - 0.05), F.greatest(u, l) - 0.05))
+    """Best alignment: 1 for each matched character, 0 for two that differ, 0.05 less for each gap."""
+    return _rows(a, b, 0.0, -0.05, lambda d, u, l, same: F.greatest(F.when(same, d + 1.0).otherwise(d), u - 0.05, l - 0.05))
 
 
 def vocalisation_score(a: Column, b: Column) -> Column:
@@ -197,3 +219,31 @@ def sort_title(title: Column) -> Column:
 def sort_value(*keys: Column) -> Column:
     """The first key that is there, else one that sorts last."""
     return F.coalesce(*keys, F.lit("zzzzzzz"))
+
+
+def morphology_link(form: Column, language: Column) -> Column:
+    """An anchor that asks for the parses of a form."""
+    return F.concat(F.lit('<a href="morph?l='), xml_escaped(F.lower(form)), F.lit("&amp;la="), language, F.lit('">'), form, F.lit("</a>"))
+
+
+# Periods as museums name them, and the period that each is sorted under.
+PERIODS = {
+    "Middle Bronze Age": "MBA", "Late Bronze Age": "LBA", "Dark Age": "Dark Age", "Geometric": "Geom", "Geom./Arch./Clas.": "Geom/Arch/Clas",
+    "Archaic": "Archaic", "Early Archaic": "Archaic", "High Archaic": "Archaic", "-500": "Archaic", "Late Archaic": "Late Archaic",
+    "Late Arch./Early Clas.": "L. Arch/Early Clas.", "Archaic/Classical": "Arch/Clas", "Archaic - Hellenistic": "Arch. - Hell.", "Early Classical": "Early Clas.",
+    "Classical": "Classical", "Late Archaic/Early Classical": "Classical", "Classical/Late Class.": "Clas/Late Clas.", "High Classical": "High Classical",
+    "Late Classical": "Late Classical", "Late Classical/Early Hellenistic": "Late Classical", "Late Classical/Hellenistic": "Late Clas./Hell.", "Late Clas./Hell.": "Late Clas/Hell.",
+    "Early Hellenistic": "Early Hellenistic", "Hellenistic": "Hell.", "High Hellenistic": "Hell.", "Late Hellenistic": "Late Hell.",
+    "Graeco-Roman": "Hell./Roman", "Hellenistic/Roman": "Hell./Roman", "Roman": "Roman", "Roman?": "Roman",
+    "Late Etruscan/Republican": "Etruscan/Republican", "Late Republican": "Etruscan/Republican", "Republican": "Etruscan/Republican", "Roman Imperial": "Roman Imperial",
+    "Augustan": "Augustan", "Augustan/Julio-Claudian": "Augustan", "Julio-Claudian": "Julio-Claudian", "Julio-Claudian or Hadrianic": "Julio-Claudian", "Julio-Claudian/Flavian": "Julio-Claudian",
+    "Flavian": "Flavian", "Late Flavian/Trajanic": "Flavian", "Flavian-Antonine?": "Nerva", "Nerva": "Nerva", "Trajanic": "Trajanic", "Trajanic/Hadrianic": "Trajanic", "Trajanic?": "Trajanic",
+    "Hadrianic": "Hadrianic", "Antonine": "Antonine", "Late Antonine/Severan": "Antonine", "Severan": "Severan", "Severan?": "Severan", "Third Century A.C.": "Third Century A.C.",
+    "Late Roman Imperial": "Late Roman", "Late Roman Imperial/Early Byzantine": "Late Roman", "Tetrarchic": "Tetrarchic", "Constantinian": "Constantinian",
+    "Early Byzantine": "Early Byzantine", "Chrisitan": "Early Byzantine", "Modern": "Modern",
+}
+
+
+def sortable_period(period: Column) -> Column:
+    """The period that a museum's name of one is sorted under; null for other names."""
+    return F.try_element_at(F.create_map(*(F.lit(x) for pair in PERIODS.items() for x in pair)), period)

@@ -43,14 +43,28 @@ def per_ten_thousand(frequency: Column, total: Column) -> Column:
     return frequency / total * 10000
 
 
+def rates(counts: DataFrame, by: str) -> DataFrame:
+    """counts(by, ..., n) with per_10k, of the total of each by; the totals are a small table of their own."""
+    total = counts.groupBy(by).agg(F.sum("n").alias("_total"))
+    return counts.join(total, by).withColumn("per_10k", per_ten_thousand(F.col("n"), F.col("_total"))).drop("_total")
+
+
 def coverage(weights: DataFrame, share: float, by: list[str], weight: str, key: str) -> DataFrame:
-    """Rows in descending weight until share of the total is covered, the crossing row included.
+    """Rows in descending weight until share of the total is covered, the crossing row included, with their place.
 
-    One sorted window for each selection: aggregate by key first, so it holds the vocabulary only.
+    Rows of equal weight are in the order of key. Sums run over the distinct weights of a selection, few
+    beside its rows; only rows of one weight are put in order. Rows of null weight are left out.
     """
+    rows = weights.where(F.col(weight).isNotNull())
+    steps = rows.groupBy(*by, weight).agg(F.count("*").alias("_rows"))
     w = Window.partitionBy(*by)
-    before = F.sum(weight).over(w.orderBy(F.desc(weight), key).rowsBetween(Window.unboundedPreceding, 0)) - F.col(weight)
-    return weights.withColumn("_before", before).withColumn("_total", F.sum(weight).over(w)).where(F.col("_before") < F.col("_total") * share).drop("_before", "_total")
+    above = w.orderBy(F.desc(weight)).rowsBetween(Window.unboundedPreceding, -1)
+    mass = F.col("_rows") * F.col(weight)
+    steps = steps.withColumn("_before", F.coalesce(F.sum(mass).over(above), F.lit(0))).withColumn("_place", F.coalesce(F.sum("_rows").over(above), F.lit(0))).withColumn("_limit", F.sum(mass).over(w) * share)
+    steps = steps.where(F.col("_before") < F.col("_limit")).drop("_rows")
+    place = F.row_number().over(Window.partitionBy(*by, weight).orderBy(key))
+    out = rows.join(steps, [*by, weight]).withColumn("_k", place).where(F.col("_before") + (F.col("_k") - 1) * F.col(weight) < F.col("_limit"))
+    return out.withColumn("place", F.col("_place") + F.col("_k")).drop("_before", "_place", "_limit", "_k")
 
 
 def nth_occurrence(rows: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scriptoria.sources.tables import small
+
 
 def postings(tokens: DataFrame) -> DataFrame:
     """Occurrences of each term in each line."""
@@ -46,13 +48,31 @@ def phrase_hits(tokens: DataFrame, phrase: list[str], unit: list[str]) -> DataFr
     Occurrences of the phrase's own words are grouped by where the phrase would start, so rare
     words make few rows and no window over whole texts is needed.
     """
-    parts = None
-    for k, w in enumerate(phrase):
-        part = tokens.where(F.col("word") == w).select(*unit, (F.col("i") - k).alias("i"), F.lit(k).alias("_k"))
-        parts = part if parts is None else parts.unionByName(part)
+    places = F.filter(F.array(*(F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in enumerate(phrase))), lambda p: p["w"] == F.col("word"))
+    parts = tokens.where(F.col("word").isin(sorted(set(phrase)))).select(*unit, "i", F.explode(places).alias("p")).select(*unit, (F.col("i") - F.col("p.k")).alias("i"))
     return parts.groupBy(*unit, "i").agg(F.count("*").alias("_n")).where(F.col("_n") == len(phrase)).select(*unit, "i")
 
 
+def whole_phrases(texts: DataFrame, phrases: DataFrame, key: str, item: str, anchor: int = 3) -> DataFrame:
+    """(item, key): phrases(item, phrase) that texts(key, words) hold, word for word and in order.
+
+    Windows of a phrase's first words (anchor of them, or all of a shorter one's) are joined by hash; then the whole phrase is compared
+    where a window matched. Empty phrases match nothing.
+    """
+    known = phrases.where(F.size("phrase") > 0).withColumn("_n", F.least(F.size("phrase"), F.lit(anchor)))
+    known = known.withColumn("_window", F.xxhash64(F.slice("phrase", F.lit(1), F.col("_n"))))
+
+    def windows_of(n: int):
+        starts = F.when(F.size("words") >= n, F.sequence(F.lit(1), F.size("words") - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda k: F.struct(k.alias("at"), F.xxhash64(F.slice("words", k, F.lit(n))).alias("_window"), F.lit(n).alias("_n")))
+
+    windows = F.flatten(F.array(*(windows_of(n) for n in range(1, anchor + 1))))
+    placed = texts.where("words is not null").select(key, F.inline(windows))
+    found = placed.join(small(known.select(item, "_window", "_n")), ["_window", "_n"]).select(item, key, "at")
+    pairs = found.join(known.select(item, "phrase"), item).join(texts, key)
+    return pairs.where(F.slice("words", F.col("at"), F.size("phrase")) == F.col("phrase")).select(item, key).distinct()
+
+
 def expanded(forms: DataFrame, words: DataFrame) -> DataFrame:
     """All forms(lemma, word) that share a lemma with words(word), with the word that asked for them."""
     lemmas = forms.join(words.select("word"), "word").select("lemma", F.col("word").alias("asked")).distinct()
@@ -121,3 +141,27 @@ def abbreviated(citations: DataFrame, citation: str, abbreviations: DataFrame) -
     heads = rows.select("_words").distinct().select("_words", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("_words"), F.lit(1))), lambda k: F.slice("_words", F.lit(1), k))).alias("tokens"))
     found = heads.join(abbreviations.select("tokens", "target"), "tokens").groupBy("_words").agg(F.max_by("target", F.size("tokens")).alias("target"))
     return rows.join(found, "_words", "left").drop("_words")
+
+
+def possible_abbreviations(citations: DataFrame, citation: str, abbreviations: DataFrame) -> DataFrame:
+    """Each citation with every target it may begin to name: its words are an abbreviation's first, the last one perhaps cut short.
+
+    A citation with more words than an abbreviation is none of it. Without a candidate the target is null. The
+    abbreviations are a checked, small table, read by their first letter.
+    """
+    words = F.filter(F.split(F.lower(citation), "[ .]+"), lambda w: w != "")
+    asked = citations.select(words.alias("_words")).distinct().where("size(_words) > 0").withColumn("_letter", F.left(F.get("_words", F.lit(0)), F.lit(1)))
+    known = abbreviations.select("tokens", "target", F.left(F.get("tokens", F.lit(0)), F.lit(1)).alias("_letter"))
+    n = F.size("_words")
+    fits = (n <= F.size("tokens")) & (F.slice("tokens", F.lit(1), n - 1) == F.slice("_words", F.lit(1), n - 1)) & F.startswith(F.get("tokens", n - 1), F.get("_words", n - 1))
+    found = asked.join(small(known), "_letter").where(fits).select("_words", "target")
+    return citations.withColumn("_words", words).join(found, "_words", "left").drop("_words")
+
+
+def highlighted_phrase(tokens: DataFrame, phrase: list[str], unit: list[str], form: str) -> DataFrame:
+    """(*unit, words): the words of units that hold a phrase, those of the phrase in asterisks."""
+    starts = phrase_hits(tokens, phrase, unit)
+    marks = starts.select(*unit, F.explode(F.sequence(F.col("i"), F.col("i") + len(phrase) - 1)).alias("i")).distinct().withColumn("_hit", F.lit(True))
+    rows = tokens.join(starts.select(*unit).distinct(), unit, "left_semi").join(marks, [*unit, "i"], "left")
+    word = F.when(F.col("_hit"), F.concat(F.lit("*"), form, F.lit("*"))).otherwise(F.col(form))
+    return rows.groupBy(*unit).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", word.alias("w")))), lambda x: x["w"]).alias("words"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptoria.operators.frequency import coverage
@@ -13,8 +13,7 @@ from scriptoria.sources.tables import tokens
 def vocabulary_list(docs: DataFrame, share: float = 0.5, by: str = "lang") -> DataFrame:
     """The words that cover share of each language's running words, the most frequent first."""
     counts = tokens(docs).groupBy(by, "word").agg(F.count("*").alias("n"))
-    out = coverage(counts, share, [by], "n", "word")
-    return out.withColumn("place", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("n"), "word")))
+    return coverage(counts, share, [by], "n", "word").select(by, "word", "n", "place")
 
 
 def corpus_search(docs: DataFrame, required=(), allowed=(), excluded=(), phrase=(), page: int = 1, size: int = 10, sources: list[str] | None = None) -> DataFrame:

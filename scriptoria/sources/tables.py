@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import re
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scriptoria.functions.text import deaccent, words
+from scriptoria.functions.text import deaccent, running_starts, words
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -17,17 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def line_chunks(docs: DataFrame) -> DataFrame:
     """One row for each line of docs(doc_id, lang, source, text): 1-based line and its character span.
 
-    end_offset is exclusive and leaves the line break out. Spans come from a running sum over a
-    document's own lines, held in one array, so no shuffle is needed.
+    end_offset is exclusive and leaves the line break out. Spans come from running sums over a
+    document's own lines, so no shuffle is needed. Null texts have no line, an empty one has an empty line.
     """
-    lines = F.split("text", "\n", -1)
-    spans = F.aggregate(
-        "lines",
-        F.array(F.lit(0)).cast("array<int>"),
-        lambda acc, line: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(line) + 1)),
-    )
-    rows = docs.where("text is not null").select("doc_id", "lang", "source", lines.alias("lines")).withColumn("starts", spans)
-    each = rows.select("doc_id", "lang", "source", F.posexplode(F.arrays_zip("lines", F.slice("starts", F.lit(1), F.size("lines")).alias("start"))).alias("k", "z"))
+    rows = docs.where("text is not null").select("doc_id", "lang", "source", F.split("text", "\n", -1).alias("lines"))
+    rows = running_starts(rows.withColumn("sizes", F.transform("lines", lambda line: F.length(line) + 1)), "sizes", "starts")
+    each = rows.select("doc_id", "lang", "source", F.posexplode(F.arrays_zip("lines", F.col("starts").alias("start"))).alias("k", "z"))
     return each.select("doc_id", "lang", "source", (F.col("k") + 1).alias("line"), F.col("z.lines").alias("line_text"), F.col("z.start").alias("start_offset"), (F.col("z.start") + F.length("z.lines")).alias("end_offset"))
 
 
@@ -46,14 +45,46 @@ def numbered(rows: DataFrame) -> DataFrame:
     return rows.withColumn("pos", F.row_number().over(Window.partitionBy("doc_id").orderBy("line", "i")))
 
 
-def lemmas_of(word: Column) -> Column:
-    """Candidate lemmas of a form. A stand-in for a parse table: the form's first 4, 5 and 6 letters."""
-    return F.array_distinct(F.array(F.substring(word, 1, 4), F.substring(word, 1, 5), F.substring(word, 1, 6)))
+# Regular endings and the code of the forms that they make.
+ENDINGS = [("", "n-s------"), ("s", "n-p------"), ("es", "n-p------"), ("s", "v3spia---"), ("ed", "v--iia---"), ("ing", "v--pp----"), ("er", "a-------c"), ("est", "a-------s"), ("ly", "d--------")]
+
+
+def inflected(lemmas: DataFrame) -> DataFrame:
+    """A parse table (form, lemma, code) of lemmas(lemma): every headword with each regular ending."""
+    endings = F.array(*(F.struct(F.lit(e).alias("ending"), F.lit(c).alias("code")) for e, c in ENDINGS))
+    return lemmas.select("lemma", F.explode(endings).alias("e")).select(F.concat("lemma", "e.ending").alias("form"), "lemma", F.col("e.code").alias("code")).distinct()
+
 
+def small(rows: DataFrame, most: int = 200_000) -> DataFrame:
+    """rows to be broadcast if there are no more than most, else as they are."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
-def parsed(rows: DataFrame) -> DataFrame:
-    """tokens() joined with their candidate lemmas: one row for each, and k, their number."""
-    return rows.withColumn("lemmas", lemmas_of(F.col("word"))).withColumn("k", F.size("lemmas")).select("*", F.explode("lemmas").alias("lemma")).drop("lemmas")
+
+def parsed(rows: DataFrame, parses: DataFrame) -> DataFrame:
+    """tokens() joined with the lemmas of parses(form, lemma): one row for each, and k, their number.
+
+    A form that the table lacks is its own only lemma. Repeated parses count once.
+    """
+    known = parses.groupBy(F.col("form").alias("word")).agg(F.collect_set("lemma").alias("lemmas"))
+    found = rows.join(small(known), "word", "left").withColumn("lemmas", F.coalesce("lemmas", F.array("word")))
+    return found.withColumn("k", F.size("lemmas")).select("*", F.explode("lemmas").alias("lemma")).drop("lemmas")
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share; only a local master may leave it unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="scriptoria-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """Write a table that several branches read to the shared folder, and read it back."""
+    path = shared_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def folded(rows: DataFrame) -> DataFrame:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scriptoria.sources.tables import shared_folder, tokens
+
 
 def due(documents: DataFrame, ledger: DataFrame, task: str, forced: bool = False) -> DataFrame:
     """Documents(doc_id, modified) that a task must process: never run, changed since, or forced."""
@@ -29,11 +28,6 @@ def due_after(ledger: DataFrame, task: str, before: str) -> DataFrame:
     return first.join(own, "doc_id", "left").where("_own is null or _before > _own").select("doc_id")
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="scriptoria-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def event_stream(spark: SparkSession, path: str) -> DataFrame:
     """A file stream of the event table."""
     stream = spark.readStream.schema(spark.read.parquet(path).schema)
@@ -67,7 +61,7 @@ def run_to_end(stream: DataFrame, name: str) -> DataFrame:
     repeated batch overwrites only itself.
     """
     spark = stream.sparkSession
-    folder = work_folder(spark, name)
+    folder = shared_folder(spark, name)
     done: list[int] = []
 
     def write(batch: DataFrame, number: int) -> None:
@@ -85,8 +79,6 @@ def replace_documents(index_path: str):
     Each batch is written to a folder of its own number, so that a repeated batch overwrites only
     itself, with a table of its documents; current_postings reads what holds now.
     """
-    from scriptoria.sources.tables import tokens
-
     def write(batch: DataFrame, number: int) -> None:
         rows = tokens(batch).groupBy("doc_id", F.col("word").alias("term"), "line").agg(F.array_sort(F.collect_list("i")).alias("positions"))
         rows.withColumn("part", F.pmod("doc_id", F.lit(64))).write.mode("overwrite").partitionBy("part").parquet(f"{index_path}/postings/batch={number}")

@@ -33,11 +33,16 @@ def test_alignment_scores_match_a_plain_table(spark):
         if r["a"] is None:
             assert r["s"] is None and r["v"] is None
             continue
-        s = _table(r["a"], r["b"], -0.05, lambda d, u, w, same: max(d + 1 if same else max(u, w) - 0.05, max(u, w) - 0.05))
+        s = _table(r["a"], r["b"], -0.05, lambda d, u, w, same: max(d + same, u - 0.05, w - 0.05))
         v = _table(r["a"], r["b"], 0.0, lambda d, u, w, same: min(d if same else d + 2, u + 1, w + 1))
         assert abs(r["s"] - s) < 1e-9 and abs(r["v"] - 1 / (v or 0.0001)) < 1e-6
 
 
+def test_similarity_of_known_pairs(spark):
+    rows = spark.createDataFrame([("ab", "cb", 1.0), ("abc", "xyz", 0.0), ("arma", "alma", 3.0), ("", "ab", -0.1), ("", "", 0.0)], "a string, b string, want double")
+    assert all(abs(r["s"] - r["want"]) < 1e-9 for r in rows.select("want", X.similarity_score(F.col("a"), F.col("b")).alias("s")).collect())
+
+
 def test_codes_and_features(spark):
     rows = spark.createDataFrame([("v3sria---",), ("?--------",), ("",), (None,)], "code string")
     got = rows.select("code", M.code_features(F.col("code"), "la").alias("f")).select("f", M.features_code(F.col("f"), "la").alias("back")).collect()

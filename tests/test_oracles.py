@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import pytest
 
-from scriptoria import catalogue
+from scriptoria import registry
 from tests.oracle import differences
 
 FOLDER = "/root/testdata/sf0.001"
+QUERIES, ORACLES = registry.load()
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.ORACLES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_as_sql(spark, name):
-    assert differences(spark, FOLDER, catalogue.QUERIES[name], catalogue.ORACLES[name]) == ""
+    assert differences(spark, FOLDER, QUERIES[name], ORACLES[name]) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, name):
-    assert catalogue.QUERIES[name](spark, FOLDER).count() > 0
+    assert QUERIES[name](spark, FOLDER).count() > 0
