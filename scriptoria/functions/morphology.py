@@ -33,6 +33,28 @@ CODES: dict[str, dict[str, dict[str, str]]] = {
         "case": _CASE,
         "degree": _DEGREE,
     },
+    "ang": {
+        "pos": {"n": "noun", "v": "verb", "t": "part", "a": "adj", "d": "adv", "c": "conj", "r": "prep", "p": "pron", "m": "numeral", "i": "interj", "e": "exclam"},
+        "person": _PERSON,
+        "number": {"s": "sg", "p": "pl", "d": "dual"},
+        "tense": {"p": "pres", "i": "imperf", "r": "perf", "l": "plup", "t": "futperf", "f": "fut", "a": "aor"},
+        "mood": {"i": "ind", "s": "subj", "n": "inf", "m": "imperat", "g": "gerundive"},
+        "voice": {"a": "act", "p": "pass", "d": "dep", "e": "mp"},
+        "gender": _GENDER,
+        "case": _CASE,
+        "degree": {"p": "pos", "c": "comp", "s": "superl"},
+    },
+    "non": {
+        "pos": {"n": "noun", "v": "verb", "a": "adj", "d": "adv", "c": "conj", "r": "prep", "p": "pron", "i": "interj", "e": "exclam"},
+        "person": _PERSON,
+        "number": {"s": "sg", "p": "pl", "d": "dual"},
+        "tense": {"p": "pres", "r": "pastabs", "l": "plup", "t": "futperf", "f": "fut"},
+        "mood": {"i": "ind", "s": "subj", "n": "inf", "m": "imperat", "p": "part"},
+        "voice": {"a": "act", "p": "pass", "e": "mp"},
+        "gender": _GENDER,
+        "case": _CASE,
+        "degree": _DEGREE,
+    },
 }
 
 

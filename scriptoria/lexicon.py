@@ -161,6 +161,17 @@ def greek_letters(spark, d):
     return w.select("word", greek.alias("greek"), (~F.rlike(F.translate(greek, G.GREEK, ""), F.lit("[jv]")) & (G.greek_to_beta(greek) == F.col("word"))).alias("whole"))
 
 
+@query("SELECT p_partkey, ['sg', 'pl', 'dual'][p_size % 3 + 1] AS number, CASE WHEN p_partkey % 2 = 0 THEN ['ind', 'subj', 'imperat'][p_size % 3 + 1] END AS mood, CASE WHEN p_partkey % 2 = 0 THEN 'v-' ELSE 'n-' END || ['s', 'p', 'd'][p_size % 3 + 1] || CASE WHEN p_partkey % 2 = 0 THEN 'p' || ['i', 's', 'm'][p_size % 3 + 1] || 'a---' ELSE '---' || ['m', 'f', 'n'][p_size % 3 + 1] || 'd-' END AS in_norse FROM part")
+def germanic_codes(spark, d):
+    """Old English codes, the features they stand for, and the Old Norse code of those."""
+    from scriptoria.functions import morphology as M
+
+    at = lambda letters: F.substring(F.lit(letters), (F.col("p_size") % 3 + 1).cast("int"), F.lit(1))
+    verb, noun = F.concat(F.lit("v-"), at("spd"), F.lit("p"), at("ism"), F.lit("a---")), F.concat(F.lit("n-"), at("spd"), F.lit("---"), at("mfn"), F.lit("d-"))
+    rows = S.table(spark, d, "part").select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, verb).otherwise(noun).alias("code")).withColumn("f", M.code_features(F.col("code"), "ang"))
+    return rows.select("p_partkey", *(F.try_element_at("f", F.lit(k)).alias(k) for k in ("number", "mood")), M.features_code(F.col("f"), "non").alias("in_norse"))
+
+
 @query("WITH p AS (SELECT p_partkey, ['Late Classical', 'Classical', 'Julio-Claudian', '-500', 'Stone Age', NULL][p_partkey % 6 + 1] AS period FROM part) SELECT p_partkey, CASE period WHEN 'Late Classical' THEN 'Late Classical' WHEN 'Classical' THEN 'Classical' WHEN 'Julio-Claudian' THEN 'Julio-Claudian' WHEN '-500' THEN 'Archaic' END AS sortable FROM p")
 def sortable_periods(spark, d):
     given = F.get(F.array(F.lit("Late Classical"), F.lit("Classical"), F.lit("Julio-Claudian"), F.lit("-500"), F.lit("Stone Age"), F.lit(None)), (F.col("p_partkey") % 6).cast("int"))

@@ -100,12 +100,15 @@ def analyses(spark: SparkSession, path: str) -> DataFrame:
     """Parse rows of analysis files: forms and lemmas without # and hyphened prefixes, the number apart."""
     raw = xml_rows(spark, path, "analysis", "form string, lemma string, pos string, number string, gender string, `case` string, tense string, mood string, voice string, person string")
     clean = F.regexp_replace(F.regexp_replace("lemma", "#", ""), r"^.*-", "")
-    return raw.select(
+    names = ("pos", "number", "gender", "case", "tense", "mood", "voice", "person")
+    rows = raw.select(
         F.regexp_replace("form", "#", "").alias("form"),
         F.regexp_extract(clean, r"^(.*?)(\d*)$", 1).alias("headword"),
-        F.nullif(F.regexp_extract(clean, r"^(.*?)(\d*)$", 2), F.lit("")).try_cast("int").alias("sequence"),
-        F.map_filter(F.create_map(*(x for c in ("pos", "number", "gender", "case", "tense", "mood", "voice", "person") for x in (F.lit(c), F.col(f"`{c}`")))), lambda _, v: v.isNotNull()).alias("features"),
+        F.regexp_extract(clean, r"^(.*?)(\d*)$", 2).try_cast("int").alias("sequence"),
+        *(F.col(f"`{c}`") for c in names),
     ).distinct()
+    features = F.map_filter(F.create_map(*(x for c in names for x in (F.lit(c), F.col(f"`{c}`")))), lambda _, v: v.isNotNull())
+    return rows.select("form", "headword", "sequence", features.alias("features"))
 
 
 def senses(spark: SparkSession, path: str) -> DataFrame:
