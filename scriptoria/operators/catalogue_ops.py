@@ -102,3 +102,25 @@ def equal_in_any(rows: DataFrame, key: str, columns: list[str], names: DataFrame
 def without_match(forms: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Distinct forms that the known table lacks."""
     return forms.select(key).distinct().join(known.select(key), key, "left_anti")
+
+
+def matching_metadata(attributes: DataFrame, key: str, names: list[str], words: list[str]) -> DataFrame:
+    """(key, key_name, value): the first of names, in their order, of which a value has one of the words; case does not count."""
+    rank = F.array_position(F.array(*map(F.lit, names)), F.col("key_name"))
+    tokens = F.split(F.lower("value"), "[^a-z0-9]+")
+    hits = attributes.where((rank > 0) & F.arrays_overlap(tokens, F.array(*(F.lit(w.lower()) for w in words))))
+    return hits.groupBy(key).agg(F.min_by(F.struct("key_name", "value"), F.struct(rank, "value")).alias("_m")).select(key, "_m.key_name", "_m.value")
+
+
+def fits_template(metadata: Column, template: dict[str, str]) -> Column:
+    """Whether every key of a template has its value in a map of value lists."""
+    out = F.lit(True)
+    for k, v in template.items():
+        out &= F.coalesce(F.array_contains(F.try_element_at(metadata, F.lit(k)), v), F.lit(False))
+    return out
+
+
+def bags(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, bag, size, n_distinct): how often each key has each value, as sorted (value, n); nulls are left out."""
+    counts = rows.where(F.col(value).isNotNull()).groupBy(key, F.col(value).alias("value")).agg(F.count("*").alias("n"))
+    return counts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("value", "n"))).alias("bag"), F.sum("n").alias("size"), F.count("*").alias("n_distinct"))
