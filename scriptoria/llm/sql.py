@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from scriptoria.llm.audit import CAPITALS, DISTINCT, WORDS
 from scriptoria.llm.decontaminate import FOUND, LITERAL, UNITS, WINDOW
 from scriptoria.llm.licenses import DIGESTS, KNOWN, SPELLINGS
 
@@ -64,3 +65,19 @@ seen AS (SELECT doc_id, item_id, count(DISTINCT win) FILTER (NOT exact) AS free,
 whole AS (SELECT item_id, count(DISTINCT win) FILTER (NOT exact) AS n_free, count(DISTINCT win) FILTER (exact) AS n_fixed FROM known GROUP BY item_id),
 judged AS (SELECT *, n_free > 0 AND free >= least({FOUND}, n_free) AS first, fixed > 0 AND free + fixed >= least({FOUND}, n_free + n_fixed) AS second FROM seen JOIN whole USING (item_id))
 SELECT doc_id, item_id, free + CASE WHEN first THEN 0 ELSE fixed END AS windows, n_free + CASE WHEN first THEN 0 ELSE n_fixed END AS item_windows, filled + CASE WHEN first THEN 0 ELSE fixed END AS slots FROM judged WHERE first OR second"""
+
+
+def audited() -> str:
+    words = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
+    return f"""WITH docs AS (SELECT row_number() OVER () AS k, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+told AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+counted AS (SELECT *, len({words}) AS n, len(list_distinct({words})) AS d, min(doc_id) OVER (PARTITION BY text) AS low FROM docs),
+failed AS (SELECT k, doc_id, part, unnest(['A', 'B', 'C', 'D', 'E']) AS filter, unnest([n < {WORDS}, 100 * d < {DISTINCT} * n, 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > {CAPITALS} * length(text), regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > low, false)]) AS fails FROM counted),
+masks AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, string_agg(filter, '' ORDER BY filter) FILTER (fails) AS mask FROM failed LEFT JOIN told USING (doc_id) GROUP BY k, part, good, toxic),
+cells AS (SELECT part, coalesce(mask, '') AS mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masks GROUP BY ALL),
+letters(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT filter_order, step, filter_order[step] AS filter, left(filter_order, step - 1) AS earlier FROM (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM orders)),
+judged AS (SELECT *, contains(mask, filter) AS fails, translate(mask, earlier, '') <> mask AS gone FROM cells, steps),
+figures AS (SELECT part, filter_order, step, filter, sum(n) FILTER (NOT fails AND NOT gone) AS kept, sum(n) FILTER (fails AND NOT gone) AS removed, sum(n) FILTER (fails AND gone) AS redundant, sum(n) FILTER (mask = filter) AS unique_fails, sum(good) FILTER (fails AND NOT gone) AS good_lost, sum(toxic) FILTER (fails AND NOT gone) AS toxic_lost FROM judged GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost, CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM figures"""
