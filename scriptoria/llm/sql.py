@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from scriptoria.llm.audit import CAPITALS, DISTINCT, WORDS
-from scriptoria.llm.decontaminate import FOUND, LITERAL, UNITS, WINDOW
+from scriptoria.llm.decontaminate import FOUND, LITERAL, NO_NAMES, SHORT, UNITS, WINDOW
 from scriptoria.llm.licenses import DIGESTS, KNOWN, SPELLINGS
 
 
@@ -39,6 +39,7 @@ SELECT whole.doc_id, whole.digest, known.license, line_licenses FROM whole LEFT
 def _slotted(column: str) -> str:
     out = f"translate(coalesce({column}, ''), chr(2) || chr(3) || chr(4), '   ')"
     out = rf"regexp_replace({out}, '(^|[^\p{{L}}\p{{N}}])(\p{{Lu}}[\p{{L}}\p{{M}}]*)', '\1' || chr(2) || 'n\2' || chr(3), 'g')"
+    out = rf"regexp_replace({out}, '\x02n({'|'.join(NO_NAMES)})\x03', '\1', 'g')"
     out = f"replace(replace({out}, chr(3) || ' ' || chr(2) || 'n', chr(4)), chr(3), '')"
     out = rf"regexp_replace(lower({out}), '(^|[^\p{{L}}\p{{N}}])(\p{{Nd}}+(?:[.,]\p{{Nd}}+)*)', '\1' || chr(2) || 'd\2', 'g')"
     # RE2 has no look-ahead: the character after a unit is matched and put back
@@ -54,13 +55,14 @@ def decontaminated() -> str:
 docs AS (SELECT row_number() OVER () AS dk, doc_id, ws, {kinds} AS ks, {plain} AS ps FROM (SELECT doc_id, {_slotted('text')} AS ws FROM documents WHERE doc_id IS NOT NULL)),
 sizes AS (SELECT DISTINCT size FROM items),
 asked AS (SELECT item_id, ik, size, item_at, len(list_filter(ws[item_at + 1 : item_at + size], lambda w: starts_with(w, chr(2)))) AS slots, ks[item_at + 1 : item_at + size] AS kw, ps[item_at + 1 : item_at + size] AS pw FROM (SELECT *, unnest(range(0, len(ks) - size + 1)) AS item_at FROM items)),
-marked AS (SELECT *, size - slots < CASE WHEN size = {WINDOW} THEN {LITERAL} ELSE size END AS exact FROM asked),
+marked AS (SELECT *, slots > 0 AND size - slots < CASE WHEN size = {WINDOW} THEN {LITERAL} ELSE greatest({SHORT}, (size + 1) // 2) END AS exact FROM asked),
 known AS (SELECT item_id, ik, size, item_at, slots, exact, array_to_string(CASE WHEN exact THEN pw ELSE kw END, ' ') AS win FROM marked),
 placed AS (SELECT doc_id, dk, size, pos, unnest([{{'exact': false, 'win': array_to_string(ks[pos + 1 : pos + size], ' ')}}, {{'exact': true, 'win': array_to_string(ps[pos + 1 : pos + size], ' ')}}], recursive := true) FROM (SELECT doc_id, dk, ks, ps, size, unnest(range(0, len(ks) - size + 1)) AS pos FROM docs, sizes WHERE len(ks) >= size)),
 hits AS (SELECT doc_id, dk, item_id, ik, size, exact, win, pos, item_at, slots, pos - item_at AS shift FROM placed JOIN known USING (size, exact, win)),
-filled AS (SELECT h.doc_id, dk, item_id, ik, shift, {last('i.ws[item_at + k]')} AS asked, {last('d.ws[pos + k]')} AS given FROM (SELECT *, unnest(range(1, size + 1)) AS k FROM hits WHERE slots > 0 AND NOT exact) h JOIN items i USING (item_id, ik) JOIN docs d USING (dk)),
-wrong AS (SELECT DISTINCT dk, ik, shift FROM filled WHERE starts_with(asked, chr(2)) GROUP BY dk, ik, shift, asked HAVING min(given) <> max(given)),
-good AS (SELECT h.* FROM hits h LEFT JOIN wrong w ON w.dk = h.dk AND w.ik = h.ik AND w.shift = h.shift WHERE exact OR w.dk IS NULL),
+filled AS (SELECT h.doc_id, dk, item_id, ik, shift, pos, item_at, h.size, {last('i.ws[item_at + k]')} AS asked, {last('d.ws[pos + k]')} AS given FROM (SELECT *, unnest(range(1, size + 1)) AS k FROM hits WHERE slots > 0 AND NOT exact) h JOIN items i USING (item_id, ik) JOIN docs d USING (dk)),
+two AS (SELECT dk, ik, shift, asked FROM filled WHERE starts_with(asked, chr(2)) GROUP BY dk, ik, shift, asked HAVING min(given) <> max(given)),
+wrong AS (SELECT DISTINCT dk, ik, pos, item_at, size FROM filled JOIN two USING (dk, ik, shift, asked)),
+good AS (SELECT h.* FROM hits h LEFT JOIN wrong w ON w.dk = h.dk AND w.ik = h.ik AND w.pos = h.pos AND w.item_at = h.item_at AND w.size = h.size WHERE exact OR w.dk IS NULL),
 seen AS (SELECT doc_id, item_id, count(DISTINCT win) FILTER (NOT exact) AS free, count(DISTINCT win) FILTER (NOT exact AND slots > 0) AS filled, count(DISTINCT win) FILTER (exact) AS fixed FROM good GROUP BY doc_id, item_id),
 whole AS (SELECT item_id, count(DISTINCT win) FILTER (NOT exact) AS n_free, count(DISTINCT win) FILTER (exact) AS n_fixed FROM known GROUP BY item_id),
 judged AS (SELECT *, n_free > 0 AND free >= least({FOUND}, n_free) AS first, fixed > 0 AND free + fixed >= least({FOUND}, n_free + n_fixed) AS second FROM seen JOIN whole USING (item_id))

@@ -326,7 +326,7 @@ def test_contamination(spark):
     ]
     got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
     assert {(1, 1), (2, 1), (7, 1), (8, 2)} <= set(got) and not any(d in (4, 5, 6, None) for d, _ in got)
-    assert (3, 1) not in got
+    assert got[3, 1].windows < got[1, 1].windows  # windows with the changed name do not count, the others do
     assert decontaminate.contaminated(empty(spark), bench).count() == 0 and decontaminate.contaminated(docs(spark), bench.limit(0)).count() == 0
 
 
@@ -335,7 +335,7 @@ def test_contamination_finds_items_full_of_values(spark):
     bench = spark.createDataFrame([(1, short), (2, long), (3, "three plain words")], "item_id long, text string")
     rows = [(1, "he asked: what is 7 plus 5? and left"), (2, "he asked: what is 7 plus 6? and left"), (3, f"so {long} it is"), (4, "so " + long.replace(" 6", " 60").replace(" 10", " 1").replace("14", "40") + " it is"), (5, "three plain words")]
     got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
-    assert got == {(1, 1), (3, 2), (5, 3)}
+    assert got == {(1, 1), (2, 1), (3, 2), (5, 3)}
 
 
 def test_contamination_finds_what_plain_search_finds(spark):
@@ -442,7 +442,7 @@ def test_contamination_reads_each_text_of_an_id(spark):
     other = "some other words that stand at the very same place of a text with Anna and Maria and 4 km to go on for long enough"
     rows = [(1, ITEM), (1, other), (1, None), (2, "when Mary met Alice Jones in Paris he had 9 apples and gave them all away"), (3, "WHEN JOHN SMITH MET BOB"), (4, other)]
     got = {(r.doc_id, r.item_id): r.windows for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
-    assert set(got) == {(1, 1), (2, 2)} and got[1, 1] == 18
+    assert set(got) == {(1, 1), (2, 2)} and got[1, 1] == 19
 
 
 def test_names_are_one_slot_wherever_they_stand(spark):
@@ -537,3 +537,41 @@ def test_warc_shards_are_of_like_bytes_and_nulls_are_spread(spark, tmp_path):
     assert len({f.shard for f in files}) > 4 and len(first) >= 3
     got = warc.read_warc(spark, uri)
     assert got.count() == len(rows) and got.where("page_id is null").count() == 200 and got.where(f"page_id = {2**62 + 1}").first().payload_bytes == 600_000
+
+
+def test_contamination_keeps_windows_without_the_changed_slot(spark):
+    item = "a train leaves Paris at noon and goes along the river for hours until all of its tired riders see the old bridge and the lights of Paris once more while the rain begins to fall on them"
+    short = ["What is the capital of Spain?", "How many days has a leap year in Rome?", "Who wrote Hamlet?"]
+    bench = spark.createDataFrame(list(enumerate([item, *short])), "item_id long, text string")
+    rows = [
+        (1, item),
+        (2, "x " + item.replace("Paris", "Lyon")),
+        (3, item.replace("Paris once", "Lyon once")),
+        (4, "she asked: What is the capital of France? and how many days has a leap year in Oslo?"),
+        (5, "Paris is the capital of France, and nobody knows who wrote Faust"),
+        (6, "who wrote Hamlet"),
+    ]
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
+    assert set(got) == {(1, 0), (2, 0), (3, 0), (4, 1), (4, 2), (6, 3)}
+    assert got[2, 0].windows == got[1, 0].windows > got[3, 0].windows
+    assert got[1, 0].windows - got[3, 0].windows == got[1, 0].slots
+
+
+def test_recall_of_items_with_other_values(spark):
+    """Every benchmark item, put into a document whose id is divisible by 100 with other names and numbers, is found there."""
+    rng = random.Random(9)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    numbered = [(i, t if k % 2 else t + f" How many of the {k + 3} km remain after {k + 5} days for Alice Moore and for Tom?") for k, (i, t) in enumerate(items)]
+
+    def changed(text):
+        names = {n: n[0] + "".join(rng.sample("aeiourstln", 5)) for n in set(re.findall(r"[^\W\d_]+", text)) if n[0].isupper() and n not in decontaminate.NO_NAMES}
+        digits = {n: str(rng.randrange(10, 99)) for n in set(re.findall(r"[0-9]+", text))}
+        return re.sub(r"[^\W_]+", lambda m: names.get(m[0], digits.get(m[0], m[0])), text)
+
+    texts = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id % 3 = 0").collect()]
+    rows = [(100 * k, f"{texts[k % len(texts)]}\n{changed(t)}") for k, (_, t) in enumerate(numbered)]
+    bench = spark.createDataFrame(numbered, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
+    found = sum((100 * k, i) in got for k, (i, _) in enumerate(numbered))
+    print("recall", found, "of", len(numbered))
+    assert found >= 0.9 * len(numbered)
