@@ -12,7 +12,7 @@ from scriptoria.operators import structure as J
 from scriptoria.registry import query
 from scriptoria.sources import markup as K
 from scriptoria.sources import tables as S
-from scriptoria.sources.samples import ORDER_TEXTS, order_texts
+from scriptoria.sources.samples import LEDGER_TEXTS, ORDER_TEXTS, ledger_texts, order_texts
 
 _SECTIONS = ORDER_TEXTS + """, line_places AS (SELECT p.c_custkey, p.o_orderkey, p.nth, l.k, CAST(p.start_offset + length(h) + coalesce(sum(length(l.t)) OVER (PARTITION BY l.l_orderkey ORDER BY l.k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_offset, length(l.t) AS size FROM placed p JOIN line_texts l ON l.l_orderkey = p.o_orderkey),
 found AS (SELECT c_custkey, 'order' AS type, CAST(o_orderkey AS VARCHAR) AS value, start_offset, start_offset + length(t) AS end_offset, 'order=' || o_orderkey AS path FROM placed UNION ALL SELECT c_custkey, 'line', CAST(k AS VARCHAR), start_offset, start_offset + size, 'order=' || o_orderkey || ':line=' || k FROM line_places),
@@ -69,6 +69,30 @@ def markup_contents(spark, d):
     return pairs.groupBy(F.col("o.doc_id").alias("doc_id"), F.col("o.path").alias("path")).agg(F.min_by("i.path", "i.start_offset").alias("first_child"), F.count("*").alias("n_children"))
 
 
+@query(f"WITH {LEDGER_TEXTS} SELECT * FROM ledger_sections")
+def milestone_sections(spark, d):
+    """Books and chapters that are milestones: they nest by their types, and number and end with what holds them."""
+    return K.cited(K.sections(ledger_texts(spark, d)), 3).select("doc_id", "type", "value", "path", "position", "abs_position", "start_offset", "end_offset")
+
+
+@query(f"WITH {LEDGER_TEXTS} SELECT doc_id, path, '<TEI.2><text><body>' || CASE type WHEN 'part' THEN '' ELSE '<div1 type=\"part\" n=\"' || c || '\"><p>' END AS open, CASE type WHEN 'part' THEN '' ELSE '</p></div1>' END || '</body></text></TEI.2>' AS close FROM ledger_sections JOIN ledgers ON doc_id = 'Shop:ledger:' || c")
+def section_contexts(spark, d):
+    """The tags in force where each section begins."""
+    texts = ledger_texts(spark, d)
+    chunks = K.cited(K.sections(texts), 3)
+    tags = K.open_tags(texts, chunks.select("doc_id", F.col("start_offset").alias("offset")))
+    return chunks.select("doc_id", "path", F.col("start_offset").alias("offset")).join(tags, ["doc_id", "offset"]).select("doc_id", "path", "open", "close")
+
+
+@query(f"WITH {LEDGER_TEXTS}, b AS (SELECT *, min(nth) OVER (PARTITION BY c, value) AS seen, lead(value) OVER (PARTITION BY c ORDER BY o) AS next_value FROM books), r AS (SELECT DISTINCT c, 'part=' || c || ':book=' || value AS first, 'part=' || c || ':book=' || next_value AS last FROM b WHERE next_value IS NOT NULL), bounds AS (SELECT c, 'part=' || c || ':book=' || value AS path, min(book_at) AS s, arg_min(book_ends, book_at) AS e FROM books GROUP BY ALL) SELECT 'Shop:ledger:' || r.c AS doc_id, first, last, '<TEI.2><text><body><div1 type=\"part\" n=\"' || r.c || '\"><p>' || substr(text, CAST(x.s + 1 AS BIGINT), CAST(y.e - x.s AS BIGINT)) || CASE WHEN y.e = l.ended THEN '' ELSE '</p>' END || CASE WHEN r.c % 3 = 0 AND y.e = l.ended THEN '</body></text></TEI.2>' ELSE '</div1></body></text></TEI.2>' END AS markup FROM r JOIN bounds x ON x.c = r.c AND x.path = first JOIN bounds y ON y.c = r.c AND y.path = last JOIN ledgers l ON l.c = r.c WHERE x.s < y.e")
+def passage_ranges(spark, d):
+    """From each book to the end of the one after it, with the tags that make it well-formed."""
+    texts = ledger_texts(spark, d)
+    chunks = S.kept(K.cited(K.sections(texts), 3), "cited")
+    books = chunks.where("type = 'book'").withColumn("last", F.lead("path").over(Window.partitionBy("doc_id").orderBy("start_offset")))
+    return K.passages(texts, chunks, books.where("last is not null").select("doc_id", F.col("path").alias("first"), "last"))
+
+
 # Entities
 
 

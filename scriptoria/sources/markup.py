@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptoria.functions.text import running_starts, words
+from scriptoria.sources.tables import kept
 
 # Elements that hold citable sections, and those that begin one without holding it.
 DIVISIONS = ["div", "div0", "div1", "div2", "div3", "div4"]
@@ -18,14 +19,14 @@ MILESTONES = ["milestone", "pb", "lb"]
 
 
 def parts(docs: DataFrame, pattern: str = "<[^>]*>|[^<]+|<") -> DataFrame:
-    """(doc_id, n, raw, start): the pieces of each text in order and the offset of each.
+    """(doc_id, n, raw, start, size): the pieces of each text in order, the offset of each and the length of the text.
 
     pattern must match everything, so that the pieces are the whole text. No shuffle.
     """
-    rows = docs.where("text is not null").select("doc_id", F.regexp_extract_all("text", F.lit("(?s)" + pattern), F.lit(0)).alias("raw"))
+    rows = docs.where("text is not null").select("doc_id", F.length("text").alias("size"), F.regexp_extract_all("text", F.lit("(?s)" + pattern), F.lit(0)).alias("raw"))
     rows = running_starts(rows.withColumn("sizes", F.transform("raw", lambda p: F.length(p))), "sizes", "starts")
-    each = rows.select("doc_id", F.posexplode(F.arrays_zip("raw", F.col("starts").alias("start"))).alias("n", "p"))
-    return each.select("doc_id", "n", F.col("p.raw").alias("raw"), F.col("p.start").alias("start"))
+    each = rows.select("doc_id", "size", F.posexplode(F.arrays_zip("raw", F.col("starts").alias("start"))).alias("n", "p"))
+    return each.select("doc_id", "n", F.col("p.raw").alias("raw"), F.col("p.start").alias("start"), "size")
 
 
 def element(raw: Column) -> Column:
@@ -39,14 +40,37 @@ def attribute(raw: Column, name: str) -> Column:
     return F.when(value != "", value)
 
 
-def sections(docs: DataFrame) -> DataFrame:
+def section_orders(found: DataFrame) -> DataFrame:
+    """(doc_id, above, type): which types of section hold which, learned from the order in which a text's types first appear.
+
+    found(doc_id, n, name, edition, type): divisions and milestones of a unit count, those of each edition by
+    themselves; lines, pages and entries hold nothing and are held by elements only.
+    """
+    first = found.where(F.col("name").isin([*DIVISIONS, "milestone"])).groupBy("doc_id", "edition", "type").agg(F.min("n").alias("n"))
+    types = first.groupBy("doc_id", "edition").agg(F.array_sort(F.collect_list(F.struct("n", "type"))).alias("types"))
+    pairs = F.flatten(F.transform("types", lambda t, k: F.transform(F.slice("types", F.lit(1), k), lambda a: F.struct(a["type"].alias("above"), t["type"].alias("type")))))
+    return types.select("doc_id", F.inline(pairs)).distinct()
+
+
+def scheme_orders(schemes: DataFrame) -> DataFrame:
+    """(doc_id, above, type) of schemes(doc_id, scheme): types from the outermost down, divided by : or *."""
+    steps = F.filter(F.split(F.lower("scheme"), r"[:*]+"), lambda t: t != "")
+    pairs = F.flatten(F.transform(F.col("steps"), lambda t, k: F.transform(F.slice("steps", F.lit(1), k), lambda a: F.struct(a.alias("above"), t.alias("type")))))
+    return schemes.select("doc_id", steps.alias("steps")).select("doc_id", F.inline(pairs)).where("above != type").distinct()
+
+
+def sections(docs: DataFrame, schemes: DataFrame | None = None) -> DataFrame:
     """Citable sections (doc_id, n, parent_n, type, value, section_id, position, abs_position, start_offset, end_offset).
 
     Divisions are of their type, milestones of their unit, pages and lines of those names; an
-    edition other than p stands before the type. value is the declared one, else the running number of the type within the
-    enclosing section (of entries: within the text). A division ends after its closing tag; a milestone where the
-    next of its type begins, or where what encloses it ends. position counts the type, abs_position all
-    sections, in the order of their starts. n names a section within its text.
+    edition other than p stands before the type. Types hold each other as schemes(doc_id, scheme), such as
+    book:chapter, say, or where a text has none as section_orders learns. A division ends after its closing tag.
+    A milestone ends where the next of its type begins, where a section ends of a type that holds its own, or where
+    the element ends that encloses it. An element that is never closed ends with what encloses it, or with the text. value is the
+    declared one, else the running number of the type since a section of a type that holds it ended, within the
+    enclosing element (of entries: within the text). position counts the type, abs_position all
+    sections, in the order of their starts. n names a section within its text; parent_n is the innermost
+    element or open milestone that holds it.
     """
     tags = parts(docs).where(F.startswith("raw", F.lit("<"))).withColumn("name", element(F.col("raw"))).where(F.col("name").isin(CONTAINERS + MILESTONES))
     closing, alone = F.startswith("raw", F.lit("</")), F.endswith("raw", F.lit("/>")) | F.col("name").isin(MILESTONES)
@@ -58,30 +82,96 @@ def sections(docs: DataFrame) -> DataFrame:
     marks = F.when(F.col("step") == 0, F.array(F.struct(own.alias("level"), F.lit("alone").alias("kind"))))
     marks = marks.when(F.col("step") == 1, F.array(F.struct(own.alias("level"), F.lit("open").alias("kind")), F.struct((own + 1).alias("level"), F.lit("begin").alias("kind"))))
     marks = marks.otherwise(F.array(F.struct(own.alias("level"), F.lit("close").alias("kind")), F.struct((own + 1).alias("level"), F.lit("end").alias("kind"))))
-    rows = tags.select("doc_id", "n", "raw", "name", "start", "after", F.inline(marks))
+    rows = tags.select("doc_id", "size", "n", "raw", "name", "start", "after", F.inline(marks))
     level = Window.partitionBy("doc_id", "level")
     back, ahead = level.orderBy("n").rowsBetween(Window.unboundedPreceding, 0), level.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("parent_n", F.last(F.when(F.col("kind") == "begin", F.col("n")), ignorenulls=True).over(back))
-    rows = rows.withColumn("closed", F.last(F.when(F.col("kind") == "close", F.col("after")), ignorenulls=True).over(ahead)).withColumn("ended", F.last(F.when(F.col("kind") == "end", F.col("start")), ignorenulls=True).over(ahead))
+    rows = rows.withColumn("around", F.last(F.when(F.col("kind") == "begin", F.col("n")), ignorenulls=True).over(back))
+    rows = rows.withColumn("close", F.last(F.when(F.col("kind") == "close", F.struct("n", "start", "after", "name")), ignorenulls=True).over(ahead)).withColumn("ended", F.coalesce(F.last(F.when(F.col("kind") == "end", F.col("start")), ignorenulls=True).over(ahead), F.col("size")))
     raw, name = F.col("raw"), F.col("name")
     edition = attribute(raw, "ed")
     base = F.when(name.isin(DIVISIONS), F.coalesce(attribute(raw, "type"), name)).when(name == "milestone", attribute(raw, "unit")).when(name == "pb", "page").when(name.isin("l", "lb"), "line").when(name.isin("entry", "entryFree"), "entry").otherwise(name)
     prefixed = name.isin(DIVISIONS) & attribute(raw, "type").isNotNull() | name.isin(MILESTONES)
-    kind = F.lower(F.when(prefixed & (F.lower(edition) != "p"), F.concat_ws(" ", edition, base)).otherwise(base))
+    edition = F.when(prefixed & (F.lower(edition) != "p"), F.lower(edition))
+    kind = F.lower(F.when(edition.isNotNull(), F.concat_ws(" ", edition, base)).otherwise(base))
     declared = F.when(name.isin("entry", "entryFree"), attribute(raw, "key")).when(name.isin(DIVISIONS) & (F.lower(base) == "entry"), F.coalesce(attribute(raw, "id"), attribute(raw, "n"))).when(name != "titlePage", attribute(raw, "n"))
-    rows = rows.where(F.col("kind").isin("open", "alone") & ((name != "text") | attribute(raw, "n").isNotNull())).withColumn("type", kind).where("type is not null")
-    rows = rows.withColumn("within", F.when(F.col("type") != "entry", F.col("parent_n")))
-    same = Window.partitionBy("doc_id", "within", "type").orderBy("n")
-    rows = rows.withColumn("value", F.coalesce(declared, F.row_number().over(same).cast("string")))
-    later = F.lead("start").over(Window.partitionBy("doc_id", "parent_n", "type").orderBy("n"))
-    end = F.when(F.col("kind") == "open", F.col("closed")).when(name.isin(MILESTONES), F.coalesce(later, F.col("ended"))).otherwise(F.col("after"))
-    rows = rows.withColumn("end_offset", end).withColumn("position", F.row_number().over(Window.partitionBy("doc_id", "type").orderBy("n"))).withColumn("abs_position", F.row_number().over(whole))
+    rows = rows.where(F.col("kind").isin("open", "alone") & ((name != "text") | attribute(raw, "n").isNotNull())).withColumn("edition", edition).withColumn("type", kind).where("type is not null").withColumn("declared", declared)
+    holds = section_orders(rows)
+    if schemes is not None:
+        holds = holds.join(schemes.select("doc_id").distinct(), "doc_id", "left_anti").unionByName(scheme_orders(schemes))
+    # Where sections of a holding type begin or end, seen from each type that they hold.
+    milestone = F.col("name").isin(MILESTONES)
+    turns = rows.select("doc_id", F.col("type").alias("above"), F.when(milestone, F.col("n")).otherwise(F.col("close.n")).alias("n"), F.when(milestone, F.col("start")).otherwise(F.col("close.start")).alias("at"), F.when(milestone, F.col("n")).alias("begins")).where("n is not null")
+    turns = turns.join(holds, ["doc_id", "above"]).select("doc_id", "type", "n", "at", "begins", F.lit(1).alias("turn"))
+    same = Window.partitionBy("doc_id", "type").orderBy("n", F.desc("turn"))
+    both = rows.withColumn("turn", F.lit(0)).withColumn("at", F.when(milestone, F.col("start"))).unionByName(turns, allowMissingColumns=True)
+    both = both.withColumn("scope", F.sum("turn").over(same.rowsBetween(Window.unboundedPreceding, 0))).withColumn("held", F.last("begins", ignorenulls=True).over(same.rowsBetween(Window.unboundedPreceding, -1))).withColumn("later", F.first("at", ignorenulls=True).over(same.rowsBetween(1, Window.unboundedFollowing)))
+    rows = both.where("turn = 0")
+    shut = F.when(F.col("close.name") == name, F.col("close.after")).otherwise(F.col("close.start"))
+    end = F.when(F.col("kind") == "open", F.coalesce(shut, F.col("ended"))).when(milestone, F.least("later", "ended")).otherwise(F.col("after"))
+    within = F.when(F.col("type") != "entry", F.struct("around", "scope"))
+    number = F.row_number().over(Window.partitionBy("doc_id", "type", within).orderBy("n")).cast("string")
+    rows = rows.withColumn("end_offset", end).withColumn("value", F.coalesce("declared", number)).withColumn("position", F.row_number().over(Window.partitionBy("doc_id", "type").orderBy("n"))).withColumn("abs_position", F.row_number().over(whole))
+    above = rows.where(milestone).select("doc_id", F.col("n").alias("held"), F.col("end_offset").alias("_open_to"))
+    rows = rows.join(above, ["doc_id", "held"], "left")
+    parent = F.when((F.col("_open_to") > F.col("start")) & (F.col("held") > F.coalesce("around", F.lit(-1))), F.col("held")).otherwise(F.col("around"))
     identity = F.coalesce(attribute(raw, "id"), F.when(name.isin("entry", "entryFree"), F.col("value")))
-    return rows.select("doc_id", "n", "parent_n", "type", "value", identity.alias("section_id"), "position", "abs_position", F.col("start").alias("start_offset"), "end_offset")
+    return rows.select("doc_id", "n", parent.alias("parent_n"), "type", "value", identity.alias("section_id"), "position", "abs_position", F.col("start").alias("start_offset"), "end_offset")
+
+
+def open_tags(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(doc_id, offset, open, close): the opening tags in force at each of places(doc_id, offset), outermost first, and the closing tags they need.
+
+    An opening tag is in force from its end to the beginning of its closing tag, which closes the last open one whatever its name; a place within a tag is before what it opens and after what it closes. Comments, declarations and empty
+    elements open nothing. A tag's level is the number of those open before it; places are put on all levels that
+    are open there, so that each level finds its last tag by itself. Repeated places count once; places in texts that
+    are missing or null give no row, null places neither.
+    """
+    tags = parts(docs).where(F.startswith("raw", F.lit("<"))).withColumn("name", element(F.col("raw"))).where((F.col("name") != "") & ~F.endswith("raw", F.lit("/>")))
+    shut = F.startswith("raw", F.lit("</"))
+    known = docs.where("text is not null").select("doc_id").distinct()
+    asked = places.where("offset is not null").select("doc_id", F.col("offset").cast("long").alias("at"), F.lit(2).alias("last")).distinct().join(known, "doc_id", "left_semi")
+    # at an equal offset: a tag that ended there comes before the place, one that begins there after it
+    marks = tags.select("doc_id", F.when(shut, F.col("start") + 1).otherwise(F.col("start") + F.length("raw")).alias("at"), F.when(shut, 0).otherwise(1).alias("last"), "raw", "name", F.when(shut, -1).otherwise(1).alias("step"))
+    rows = marks.unionByName(asked, allowMissingColumns=True)
+    along = Window.partitionBy("doc_id").orderBy("at", "last").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("depth", F.sum("step").over(along))
+    levels = F.when(F.col("last") == 2, F.sequence(F.lit(0), F.greatest(F.coalesce("depth", F.lit(0)), F.lit(0)).cast("int"))).otherwise(F.array(F.when(F.col("step") == 1, F.col("depth")).otherwise(F.col("depth") + 1).cast("int")))
+    rows = rows.select("doc_id", "at", "last", "raw", "name", "step", F.explode(levels).alias("level"))
+    upto = Window.partitionBy("doc_id", "level").orderBy("at", "last").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("tag", F.last(F.when(F.col("step") == 1, F.struct("raw", "name")), ignorenulls=True).over(upto)).where("last = 2")
+    found = rows.groupBy("doc_id", F.col("at").alias("offset")).agg(F.array_sort(F.collect_list(F.when((F.col("level") > 0) & F.col("tag").isNotNull(), F.struct("level", "tag.raw", "tag.name")))).alias("tags"))
+    return found.select("doc_id", "offset", F.array_join(F.transform("tags", lambda t: t["raw"]), "").alias("open"), F.array_join(F.transform(F.reverse("tags"), lambda t: F.concat(F.lit("</"), t["name"], F.lit(">"))), "").alias("close"))
+
+
+def slices(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """(doc_id, from_offset, to_offset, markup): spans(doc_id, from_offset, to_offset) of texts as well-formed markup.
+
+    The tags in force at the beginning stand before a span, the closing tags that its end needs after it.
+    Spans that begin or end within a tag, are empty or null give what their bounds say and may not parse.
+    """
+    bounds = spans.select("doc_id", F.explode(F.array("from_offset", "to_offset")).alias("offset"))
+    tags = open_tags(docs, bounds)
+    out = spans.select("doc_id", "from_offset", "to_offset").distinct().join(tags.select("doc_id", F.col("offset").alias("from_offset"), "open"), ["doc_id", "from_offset"]).join(tags.select("doc_id", F.col("offset").alias("to_offset"), "close"), ["doc_id", "to_offset"])
+    text = F.substring("text", F.col("from_offset").cast("int") + 1, F.greatest(F.col("to_offset") - F.col("from_offset"), F.lit(0)).cast("int"))
+    return out.join(docs.select("doc_id", "text"), "doc_id").select("doc_id", "from_offset", "to_offset", F.concat("open", text, "close").alias("markup"))
+
+
+def passages(docs: DataFrame, chunks: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(doc_id, first, last, markup) of ranges(doc_id, first, last): from the beginning of one cited section to the end of another.
+
+    first and last are paths of cited(); an ambiguous path is its earliest section. Ranges with an unknown bound, or that hold nothing, give no row.
+    """
+    places = chunks.groupBy("doc_id", "path").agg(F.min(F.struct("start_offset", "end_offset")).alias("at"))
+    found = ranges.distinct().join(places.select("doc_id", F.col("path").alias("first"), F.col("at.start_offset").alias("from_offset")), ["doc_id", "first"]).join(places.select("doc_id", F.col("path").alias("last"), F.col("at.end_offset").alias("to_offset")), ["doc_id", "last"]).where("from_offset < to_offset")
+    return found.join(slices(docs, found), ["doc_id", "from_offset", "to_offset"]).select("doc_id", "first", "last", "markup")
 
 
 def cited(chunks: DataFrame, depth: int = 3) -> DataFrame:
-    """sections() with path: type=value steps from the outermost section down, at most depth of them."""
+    """sections() with path: type=value steps from the outermost section down, at most depth of them.
+
+    The sections are written once to the shared folder, as each step up reads them.
+    """
+    chunks = kept(chunks, "sections")
     step = F.concat_ws("=", "type", "value")
     out = chunks.withColumn("path", step).withColumn("_up", F.col("parent_n"))
     above = chunks.select("doc_id", F.col("n").alias("_up"), F.concat_ws("=", "type", "value").alias("_step"), F.col("parent_n").alias("_next"))

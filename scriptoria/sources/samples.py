@@ -47,3 +47,37 @@ line_sums AS (SELECT l_orderkey, string_agg(t, '' ORDER BY k) AS t FROM line_tex
 divisions AS (SELECT heads.*, h || coalesce(t, '') || '</div1>' AS t, '<TEI.2><teiHeader><fileDesc><titleStmt><title>' || c_name || '</title><author>' || n_name || '</author></titleStmt></fileDesc><profileDesc><langUsage><language id="en">English</language></langUsage></profileDesc></teiHeader><text><body>' AS header FROM heads LEFT JOIN line_sums ON l_orderkey = o_orderkey),
 placed AS (SELECT *, CAST(length(header) + coalesce(sum(length(t)) OVER (PARTITION BY c_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_offset, row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderkey) AS nth FROM divisions),
 texts AS (SELECT 'Shop:text:' || c_custkey AS doc_id, 'Shop:abo:nation,' || c_nationkey AS work, ['text', 'text', 'commentary', 'summary'][c_custkey % 4 + 1] AS kind, c_custkey, c_name, n_name, any_value(header) || string_agg(t, '' ORDER BY o_orderkey) || '</body></text></TEI.2>' AS text FROM placed GROUP BY ALL)"""
+
+
+def ledger_texts(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, text): each customer's orders as milestones, books that hold chapters, in one division.
+
+    Odd orders declare their number; items are chapters that never do. A page begins before each order. Every third customer's division is never closed, every fifth's chapters are of the edition q.
+    """
+    edition = F.when(F.col("c_custkey") % 5 == 0, ' ed="q"').otherwise("")
+    items = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))).alias("items"))
+    rows = table(spark, d, "orders").join(table(spark, d, "customer").select("c_custkey"), F.col("o_custkey") == F.col("c_custkey")).join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    chapters = F.array_join(F.transform("items", lambda x: F.concat(F.lit('<milestone unit="chapter"'), edition, F.lit("/>part "), x["l_partkey"].cast("string"), F.lit(" "))), "")
+    number = F.when(F.col("o_orderkey") % 2 == 1, F.concat(F.lit(' n="'), F.col("o_orderkey").cast("string"), F.lit('"'))).otherwise("")
+    rows = rows.select("c_custkey", "o_orderkey", F.concat(F.lit('<p><pb n="'), F.col("o_orderkey").cast("string"), F.lit('"/><milestone unit="book"'), number, F.lit("/>order "), F.coalesce(chapters, F.lit("")), F.lit("</p>")).alias("book"))
+    texts = rows.groupBy("c_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "book"))), lambda x: x["book"]), "").alias("body"))
+    close = F.when(F.col("c_custkey") % 3 == 0, "").otherwise("</div1>")
+    return texts.select(F.concat(F.lit("Shop:ledger:"), "c_custkey").alias("doc_id"), F.concat(F.lit('<TEI.2><text><body><div1 type="part" n="'), F.col("c_custkey").cast("string"), F.lit('">'), "body", close, F.lit("</body></text></TEI.2>")).alias("text"))
+
+
+#: The same texts in SQL: chapters and books with their offsets, whole documents, and their sections.
+LEDGER_TEXTS = """chapter_texts AS (SELECT o_custkey AS c, o_orderkey AS o, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS k, '<milestone unit="chapter"' || CASE o_custkey % 5 WHEN 0 THEN ' ed="q"' ELSE '' END || '/>part ' || l_partkey || ' ' AS t FROM orders JOIN customer ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey),
+chapter_sums AS (SELECT o, string_agg(t, '' ORDER BY k) AS chapters FROM chapter_texts GROUP BY o),
+book_texts AS (SELECT o_custkey AS c, o_orderkey AS o, '<pb n="' || o_orderkey || '"/>' AS page, '<milestone unit="book"' || CASE o_orderkey % 2 WHEN 1 THEN ' n="' || o_orderkey || '"' ELSE '' END || '/>order ' AS book, coalesce(chapters, '') AS chapters FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN chapter_sums ON o = o_orderkey),
+heads AS (SELECT *, '<TEI.2><text><body><div1 type="part" n="' || c || '">' AS head, '<p>' || page || book || chapters || '</p>' AS whole FROM book_texts),
+book_places AS (SELECT *, row_number() OVER w AS nth, length(head) + coalesce(sum(length(whole)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 3 AS place FROM heads WINDOW w AS (PARTITION BY c ORDER BY o)),
+ledgers AS (SELECT c, any_value(head) || string_agg(whole, '' ORDER BY o) AS opened, opened || CASE c % 3 WHEN 0 THEN '' ELSE '</div1>' END || '</body></text></TEI.2>' AS text, length(opened) + CASE c % 3 WHEN 0 THEN 7 ELSE 0 END AS ended FROM book_places GROUP BY c),
+books AS (SELECT b.*, ended, place + length(page) AS book_at, coalesce(lead(place) OVER w, ended) AS page_ends, coalesce(lead(place + length(page)) OVER w, ended) AS book_ends, CASE o % 2 WHEN 1 THEN CAST(o AS VARCHAR) ELSE CAST(nth AS VARCHAR) END AS value FROM book_places b JOIN ledgers USING (c) WINDOW w AS (PARTITION BY c ORDER BY o)),
+chapters AS (SELECT b.c, b.o, b.value AS book, x.k, b.book_ends, b.ended, b.book_at + length(b.book) + coalesce(sum(length(x.t)) OVER (PARTITION BY b.o ORDER BY x.k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM books b JOIN chapter_texts x ON x.o = b.o),
+placed_chapters AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY place) AS running, lead(place) OVER (PARTITION BY c ORDER BY place) AS next_at, lead(place) OVER (PARTITION BY o ORDER BY place) AS next_in_book FROM chapters),
+found AS (SELECT c, 'part' AS type, CAST(c AS VARCHAR) AS value, 'part=' || c AS path, 19 AS start_offset, length(opened) + 7 AS end_offset FROM ledgers
+UNION ALL SELECT c, 'page', CAST(o AS VARCHAR), 'part=' || c || ':page=' || o, place, page_ends FROM books
+UNION ALL SELECT c, 'book', value, 'part=' || c || ':book=' || value, book_at, book_ends FROM books
+UNION ALL SELECT c, 'chapter', CAST(k AS VARCHAR), 'part=' || c || ':book=' || book || ':chapter=' || k, place, coalesce(next_in_book, book_ends) FROM placed_chapters WHERE c % 5 <> 0
+UNION ALL SELECT c, 'q chapter', CAST(running AS VARCHAR), 'part=' || c || ':q chapter=' || running, place, coalesce(next_at, ended) FROM placed_chapters WHERE c % 5 = 0),
+ledger_sections AS (SELECT 'Shop:ledger:' || c AS doc_id, type, value, path, CAST(start_offset AS BIGINT) AS start_offset, CAST(end_offset AS BIGINT) AS end_offset, row_number() OVER (PARTITION BY c, type ORDER BY start_offset) AS position, row_number() OVER (PARTITION BY c ORDER BY start_offset) AS abs_position FROM found)"""

@@ -150,3 +150,59 @@ def test_file_sources(spark, tmp_path):
     (tmp_path / "analyses.xml").write_text("<analyses><analysis><form>arm#a</form><lemma>in-arma#2</lemma><pos>noun</pos></analysis></analyses>")
     r = S.analyses(spark, f"file://{tmp_path}/analyses.xml").first()
     assert (r.form, r.headword, r.sequence, r.features) == ("arma", "arma", 2, {"pos": "noun"})
+
+
+PARTED = '<TEI.2><text><body><div1 type="part"><p><milestone unit="book" n="1"/>b1 <milestone unit="chapter" n="1"/>c1 <milestone unit="chapter"/>c2</p><pb n="4"/><p> more <hi>x</hi><milestone unit="book"/>b2 <milestone unit="chapter"/>only <milestone ed="q" unit="chapter"/>of q</p></div1><div1 type="part"><milestone unit="chapter"/>c<l>v</l></body></text></TEI.2>'
+
+
+def test_milestones_nest_by_their_types(spark):
+    rows = K.cited(K.sections(texts(spark, ("d", PARTED))), 4).orderBy("n").collect()
+    by = {r.path: r for r in rows}
+    assert [r.path for r in rows] == [
+        "part=1", "part=1:book=1", "part=1:book=1:chapter=1", "part=1:book=1:chapter=2", "part=1:page=4", "part=1:book=2", "part=1:book=2:chapter=1", "part=1:q chapter=1", "part=2", "part=2:chapter=1", "part=2:line=1",
+    ]
+    second = PARTED.index('<milestone unit="book"/>')
+    assert by["part=1:book=1"].end_offset == by["part=1:book=1:chapter=2"].end_offset == second
+    assert by["part=1:book=1:chapter=1"].end_offset == PARTED.index('<milestone unit="chapter"/>')
+    assert by["part=1:book=2"].end_offset == by["part=1:book=2:chapter=1"].end_offset == PARTED.index("</div1>")
+    assert by["part=2"].end_offset == by["part=2:chapter=1"].end_offset  # never closed: ends with what encloses it
+    assert all(r.end_offset is not None and r.end_offset <= len(PARTED) for r in rows)
+    told = spark.createDataFrame([("d", "part:chapter"), ("d", "chapter:line"), ("e", None)], "doc_id string, scheme string")
+    flat = {r.path: r for r in K.cited(K.sections(texts(spark, ("d", PARTED)), told), 4).collect()}
+    assert "part=1:book=2" in flat and "part=1:chapter=3" in flat and "part=2:chapter=1:line=1" in flat
+    assert flat["part=1:chapter=2"].end_offset == PARTED.index('<milestone unit="chapter"/>only')
+
+
+def plain_context(text, at):
+    import re
+
+    stack = []
+    for m in re.finditer(r"<(/?)([A-Za-z][\w.:-]*)[^>]*?(/?)>", text):
+        if m[1] and m.start() < at or not m[1] and m.end() <= at:
+            if m[1]:
+                stack.pop()
+            elif not m[3]:
+                stack.append((m[0], m[2]))
+    return "".join(t for t, _ in stack), "".join(f"</{n}>" for _, n in reversed(stack))
+
+
+def test_slices_of_markup_are_well_formed(spark):
+    import random
+    import re
+    from xml.etree import ElementTree
+
+    whole = PARTED.replace("</l></body>", "</l></div1></body>")
+    spots = sorted({m.end() for m in re.finditer("<[^>]*>", whole)} | {m.start() for m in re.finditer("<", whole)} | {whole.index("more") + 2})
+    asked = spark.createDataFrame([("d", p) for p in spots] * 2 + [("d", None), ("none", 3), ("z", 0)], "doc_id string, offset int")
+    docs = texts(spark, ("d", whole), ("none", None), ("e", ""))
+    got = {r.offset: (r.open, r.close) for r in K.open_tags(docs, asked).collect()}
+    assert got == {p: plain_context(whole, p) for p in spots}
+    rng = random.Random(2)
+    inner = [p for p in spots if p > len("<TEI.2>")]
+    spans = [("d", *sorted(rng.sample(inner, 2))) for _ in range(40)]
+    for r in K.slices(docs, spark.createDataFrame(spans, "doc_id string, from_offset int, to_offset int")).collect():
+        assert "".join(ElementTree.fromstring(r.markup).itertext()) == re.sub("<[^>]*>", "", whole[r.from_offset : r.to_offset])
+    ranges = spark.createDataFrame([("d", "part=1:book=1:chapter=2", "part=1:book=2"), ("d", "part=2", "part=1"), ("d", "part=9", "part=1")], "doc_id string, first string, last string")
+    (one,) = K.passages(docs, K.cited(K.sections(docs), 4), ranges).collect()
+    assert "".join(ElementTree.fromstring(one.markup).itertext()) == "c2 more xb2 only of q"
+    assert K.open_tags(docs, asked.limit(0)).count() == 0
