@@ -11,6 +11,7 @@ from scriptoria.functions import text as X
 from scriptoria.operators import catalogue_ops as C
 from scriptoria.operators import extract as E
 from scriptoria.operators import frequency as A
+from scriptoria.operators import index as B
 from scriptoria.operators import search as Q
 from scriptoria.operators import structure as J
 from scriptoria.operators import votes as V
@@ -42,6 +43,10 @@ def _tokens(spark: SparkSession, d: str) -> DataFrame:
     return S.tokens(_docs(spark, d))
 
 
+def _index(spark: SparkSession, d: str) -> B.Index:
+    return B.index_of(_docs(spark, d))
+
+
 def _parses(spark: SparkSession, d: str) -> DataFrame:
     """A parse table: the benchmark's words as headwords, with their regular endings."""
     lexicon = S.table(spark, d, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("lemma")).distinct()
@@ -303,22 +308,22 @@ def postings(spark, d):
 
 @query(f"WITH {_TOKENS} SELECT doc_id, line FROM tokens WHERE word IN ('the', 'and', 'of') GROUP BY ALL HAVING count(DISTINCT word) = 3")
 def search_all_words(spark, d):
-    return Q.all_words(_tokens(spark, d), ["the", "and", "of"], ["doc_id", "line"])
+    return B.matches(_index(spark, d), ["doc_id", "line"], required=["the", "and", "of"])
 
 
 @query(f"WITH {_TOKENS} SELECT DISTINCT doc_id, line FROM tokens WHERE word IN ('pour', 'avec', 'por')")
 def search_any_words(spark, d):
-    return Q.any_words(_tokens(spark, d), ["pour", "avec", "por"], ["doc_id", "line"])
+    return B.matches(_index(spark, d), ["doc_id", "line"], allowed=["pour", "avec", "por"])
 
 
 @query(f"WITH {_TOKENS} SELECT doc_id, line FROM tokens GROUP BY ALL HAVING bool_or(word = 'the') AND bool_or(word IN ('with', 'by')) AND NOT bool_or(word = 'of')")
 def search_boolean(spark, d):
-    return Q.boolean(_tokens(spark, d), ["doc_id", "line"], ["the"], ["with", "by"], ["of"])
+    return B.matches(_index(spark, d), ["doc_id", "line"], ["the"], ["with", "by"], ["of"])
 
 
 @query(f"WITH {_TOKENS} SELECT a.doc_id, a.line, a.i FROM tokens a JOIN tokens b ON a.doc_id = b.doc_id AND a.line = b.line AND b.i = a.i + 1 WHERE a.word = 'of' AND b.word = 'the'")
 def search_phrase(spark, d):
-    return Q.phrase_hits(_tokens(spark, d), ["of", "the"], ["doc_id", "line"])
+    return B.phrase_starts(_index(spark, d), ["of", "the"], ["doc_id", "line"]).select("doc_id", "line", F.explode("starts").alias("i"))
 
 
 @query(f"WITH {_PARSED}, forms AS (SELECT DISTINCT lemma, word FROM parsed), q AS (SELECT unnest(['anatnd', 'theaing', 'thering']) AS word), l AS (SELECT DISTINCT lemma, q.word AS asked FROM forms JOIN q USING (word)) SELECT DISTINCT asked, word FROM forms JOIN l USING (lemma)")
@@ -329,18 +334,48 @@ def search_expanded_forms(spark, d):
 
 @query(f"WITH {_TOKENS}, h AS (SELECT DISTINCT doc_id, line FROM tokens WHERE word = 'the'), r AS (SELECT *, dense_rank() OVER (ORDER BY doc_id) AS doc_rank FROM h) SELECT doc_rank, doc_id, line FROM r WHERE doc_rank BETWEEN 11 AND 20")
 def search_page(spark, d):
-    return P.corpus_search(_docs(spark, d), required=["the"], page=2, size=10).withColumn("doc_rank", F.col("doc_rank").cast("long"))
+    return P.corpus_search(_index(spark, d), required=["the"], page=2, size=10).withColumn("doc_rank", F.col("doc_rank").cast("long"))
 
 
 @query(f"WITH {_TOKENS} SELECT doc_id, count(DISTINCT line) AS n_hits FROM tokens WHERE word = 'the' GROUP BY doc_id")
 def hits_per_document(spark, d):
-    return Q.any_words(_tokens(spark, d), ["the"], ["doc_id", "line"]).groupBy("doc_id").agg(F.count("*").alias("n_hits"))
+    return B.matches(_index(spark, d), ["doc_id", "line"], ["the"]).groupBy("doc_id").agg(F.count("*").alias("n_hits"))
 
 
 @query(f"WITH {_TOKENS} SELECT DISTINCT doc_id, line FROM tokens WHERE word = 'the' AND source IN ('src1', 'src2')")
 def search_in_collections(spark, d):
-    rows = S.tokens(_docs(spark, d).where(F.col("source").isin("src1", "src2")))
-    return Q.any_words(rows, ["the"], ["doc_id", "line"])
+    return B.matches(_index(spark, d), ["source", "doc_id", "line"], ["the"]).where(F.col("source").isin("src1", "src2")).select("doc_id", "line").distinct()
+
+
+@query(f"WITH {_TOKENS} SELECT word AS term, count(DISTINCT (doc_id, line)) AS n_lines, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM tokens GROUP BY 1")
+def search_index(spark, d):
+    """The index itself, written anew: its lists by term."""
+    lists = B.write_index(_docs(spark, d)).all_postings().groupBy("term", "doc_id").agg(F.count("*").alias("lines"), F.sum(F.size("positions")).alias("n"))
+    return lists.groupBy("term").agg(F.sum("lines").alias("n_lines"), F.sum("n").alias("n"), F.count("*").alias("n_docs"))
+
+
+@query(f"WITH {_TOKENS} SELECT DISTINCT a.doc_id FROM tokens a JOIN tokens b ON a.doc_id = b.doc_id AND a.line = b.line AND b.i = a.i + 1 JOIN tokens c ON c.doc_id = a.doc_id AND c.line = a.line AND c.i = b.i + 1 WHERE a.word = 'is' AND b.word = 'of' AND c.word = 'the' AND a.doc_id NOT IN (SELECT doc_id FROM tokens WHERE word = 'by')")
+def search_phrase_without(spark, d):
+    """Documents with a phrase and without a word, from the index."""
+    return B.matches(_index(spark, d), ["doc_id"], phrases=[["is", "of", "the"]], excluded=["by"])
+
+
+@query(f"WITH {_TOKENS}, lines_left AS (SELECT doc_id, line FROM lines EXCEPT SELECT doc_id, line FROM tokens WHERE word IN ('the', 'de', 'die', 'of')) SELECT doc_id, count(*) AS n FROM lines_left GROUP BY doc_id")
+def search_only_excluded(spark, d):
+    """Lines without any of some words, counted by document."""
+    return B.matches(_index(spark, d), ["doc_id", "line"], excluded=["the", "de", "die", "of"]).groupBy("doc_id").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {_TOKENS}, asked AS (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM benchmark WHERE item_id % 100 = 0),
+tf AS (SELECT word AS term, doc_id, count(*) AS tf FROM tokens GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+sizes AS (SELECT d.doc_id, count(t.doc_id) AS length FROM (SELECT DISTINCT doc_id FROM lines) d LEFT JOIN tokens t USING (doc_id) GROUP BY 1), every AS (SELECT count(*) AS n, avg(length) AS mean FROM sizes),
+scores AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * {B.K1 + 1} / (tf + {B.K1} * ({1 - B.B} + {B.B} * length / mean))), 6) AS score FROM asked JOIN tf USING (term) JOIN df USING (term) JOIN sizes USING (doc_id), every GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS place FROM scores)
+SELECT query_id, doc_id, round(score, 4) AS score, CAST(place AS INTEGER) AS place FROM ranked WHERE place <= 20""")
+def relevance_ranking(spark, d):
+    """The twenty best documents for each benchmark item whose id is divisible by 100, as a bag of words."""
+    asked = S.table(spark, d, "benchmark").where("item_id % 100 = 0").select(F.col("item_id").alias("query_id"), F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("term"))
+    return B.relevance(_index(spark, d), asked, 20).select("query_id", "doc_id", F.round("score", 4).alias("score"), "place")
 
 
 @query("WITH r AS (SELECT conv_id, turn, role, CASE WHEN lag(role) OVER w IS DISTINCT FROM role THEN 1 ELSE 0 END AS c FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) SELECT conv_id, turn, role, CAST(sum(c) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS run FROM r")

@@ -25,8 +25,10 @@ def any_words(tokens: DataFrame, words: list[str], unit: list[str]) -> DataFrame
 def boolean(tokens: DataFrame, unit: list[str], required: list[str] = (), allowed: list[str] = (), excluded: list[str] = (), phrase: list[str] = ()) -> DataFrame:
     """Units that hold all required words and the phrase, one allowed word, and no excluded one.
 
-    One pass counts all words by unit; only a phrase needs a window.
+    One pass counts all words by unit. With only a phrase, or nothing at all, no word is counted.
     """
+    if not (required or allowed or excluded):
+        return phrase_hits(tokens, phrase, unit).select(*unit).distinct() if phrase else tokens.select(*unit).distinct()
     used = sorted({*required, *allowed, *excluded})
     out = tokens.where(F.col("word").isin(used)) if required or allowed else tokens
     marks = out.groupBy(*unit).agg(*(F.max((F.col("word") == w).cast("int")).alias(f"_{k}") for k, w in enumerate(used)))
@@ -46,11 +48,11 @@ def phrase_hits(tokens: DataFrame, phrase: list[str], unit: list[str]) -> DataFr
     """Where the words of a phrase follow each other within a unit: unit and i of the first.
 
     Occurrences of the phrase's own words are grouped by where the phrase would start, so rare
-    words make few rows and no window over whole texts is needed.
+    words make few rows and no window over whole texts is needed. Repeated rows count once.
     """
     places = F.filter(F.array(*(F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in enumerate(phrase))), lambda p: p["w"] == F.col("word"))
-    parts = tokens.where(F.col("word").isin(sorted(set(phrase)))).select(*unit, "i", F.explode(places).alias("p")).select(*unit, (F.col("i") - F.col("p.k")).alias("i"))
-    return parts.groupBy(*unit, "i").agg(F.count("*").alias("_n")).where(F.col("_n") == len(phrase)).select(*unit, "i")
+    parts = tokens.where(F.col("word").isin(sorted(set(phrase)))).select(*unit, "i", F.explode(places).alias("p")).select(*unit, (F.col("i") - F.col("p.k")).alias("i"), "p.k")
+    return parts.groupBy(*unit, "i").agg(F.size(F.collect_set("k")).alias("_n")).where(F.col("_n") == len(phrase)).select(*unit, "i")
 
 
 def whole_phrases(texts: DataFrame, phrases: DataFrame, key: str, item: str, anchor: int = 3) -> DataFrame:

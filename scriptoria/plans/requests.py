@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptoria.operators.frequency import coverage
-from scriptoria.operators.search import boolean, paged_by_document, phrase_hits
+from scriptoria.operators.index import Index, matches
+from scriptoria.operators.search import paged_by_document
 from scriptoria.sources.tables import tokens
 
 
@@ -16,8 +17,8 @@ def vocabulary_list(docs: DataFrame, share: float = 0.5, by: str = "lang") -> Da
     return coverage(counts, share, [by], "n", "word").select(by, "word", "n", "place")
 
 
-def corpus_search(docs: DataFrame, required=(), allowed=(), excluded=(), phrase=(), page: int = 1, size: int = 10, sources: list[str] | None = None) -> DataFrame:
-    """Lines that match, a page of documents at a time, in document order."""
-    rows = tokens(docs if sources is None else docs.where(F.col("source").isin(sources)))
-    hits = boolean(rows, ["doc_id", "line"], list(required), list(allowed), list(excluded), list(phrase)) if required or allowed or excluded else phrase_hits(rows, list(phrase), ["doc_id", "line"]).select("doc_id", "line").distinct()
+def corpus_search(index: Index, required=(), allowed=(), excluded=(), phrase=(), page: int = 1, size: int = 10, sources: list[str] | None = None) -> DataFrame:
+    """Lines that match, a page of documents at a time, in document order, from a stored index."""
+    hits = matches(index, ["source", "doc_id", "line"], list(required), list(allowed), list(excluded), [list(phrase)] if phrase else [])
+    hits = (hits if sources is None else hits.where(F.col("source").isin(sources))).select("doc_id", "line").distinct()
     return paged_by_document(hits, page, size, ["line"])
