@@ -33,8 +33,8 @@ END = np.uint64(0xE0D0F0A0E7E7E7E7)
 GATHER = 1 << 20
 #: Bigrams that tasks hold at most: those that are at least this fraction of all tokens, so that there cannot be more.
 HELD = 1 << 20
-#: Tokens that one bucket should hold at most, on average.
-BUCKET = 2_000_000
+#: Tokens that one bucket should hold at most, on average, and partitions of a shuffle at most; more buckets share them.
+BUCKET, PARTITIONS = 2_000_000, 20_000
 _MIXER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -295,6 +295,12 @@ def _buckets(batches):
         yield bucket, here()
 
 
+def _dealt(rows: DataFrame, buckets: int) -> DataFrame:
+    """rows by bucket: a partition for each, or beyond PARTITIONS of them several in one, one after the other."""
+    parts = min(buckets, PARTITIONS)
+    return rows.repartitionById(parts, F.col("bucket") % parts).sortWithinPartitions("bucket", "kind")
+
+
 def whole_bigrams(docs: DataFrame, counted: DataFrame, head: Unigrams, buckets: int) -> DataFrame:
     """The table of all bigrams, packed: contexts (keys), words (ids), counts, and the own counts of words that are not frequent (own)."""
     rows = docs.select("text", "train").mapInArrow(lambda b: _counted_pairs(b, head, buckets), _PACKED)
@@ -320,7 +326,7 @@ def whole_bigrams(docs: DataFrame, counted: DataFrame, head: Unigrams, buckets:
                         names=["bucket", "keys", "counts", "ids", "own"],
                     )
 
-    rows = rows.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    rows = _dealt(rows, buckets)
     return saved(rows.mapInArrow(summed, "bucket int, keys binary, counts binary, ids binary, own binary"), "bigrams")
 
 
@@ -592,14 +598,14 @@ def score_katz(docs: DataFrame, train, frequent: int = HEAD, held: int = HELD) -
     released(spark)  # what the jobs since the first call still held
     events = rows.mapInArrow(lambda b: _whole_events(b, head, known, buckets), _PACKED).withColumn("own", F.lit(None).cast("binary"))
     pairs = table.select("bucket", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("gather"), "keys", "counts", "ids", "own").union(events)
-    pairs = pairs.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    pairs = _dealt(pairs, buckets)
     first = saved(pairs.mapInArrow(lambda b: _scored_pairs(b, model, buckets), _STEP), "pairs")
     dropped(table)
     del pairs, events, table
     released(spark)
     asked = first.where("kind = 5").select("bucket", "kind", "gather", F.col("rows").alias("keys"), F.col("sums").alias("counts"), F.col("known").alias("ids"))
     words = counted.mapInArrow(lambda b: _packed_words(b, head, buckets), _PACKED).union(asked)
-    words = words.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    words = _dealt(words, buckets)
     places = model.places
     sums = first.where("kind in (2, 4)").union(words.mapInArrow(lambda b: _scored_words(b, places), _STEP))
     sums = sums.repartition("gather").sortWithinPartitions("gather", F.desc("kind"))

@@ -575,3 +575,13 @@ def test_recall_of_items_with_other_values(spark):
     found = sum((100 * k, i) in got for k, (i, _) in enumerate(numbered))
     print("recall", found, "of", len(numbered))
     assert found >= 0.9 * len(numbered)
+
+
+def test_lm_buckets_share_a_bounded_number_of_partitions(spark, monkeypatch):
+    rows = random_texts(80, 12)
+    monkeypatch.setattr(lm, "BUCKET", 300)
+    monkeypatch.setattr(lm, "PARTITIONS", 3)
+    got = lm.score_katz(docs(spark, rows), lambda i: i % 4 != 0, frequent=40, held=10).collect()
+    want = plain_katz(rows, lambda i: i % 4 != 0)
+    assert len(got) == len(rows) and all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-9) for r in got)
+    assert got[0].train_tokens > 300 * 10  # so that there are more buckets than partitions
