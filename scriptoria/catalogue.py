@@ -608,9 +608,9 @@ def tagless_text(spark, d):
 # Functions
 
 
-@query(f"WITH {_LINES.replace('lines AS', 'ls0 AS')}, u AS (SELECT DISTINCT unnest(regexp_extract_all(line_text, '\\p{{L}}+')) AS word FROM ls0) SELECT word, translate(word, '{X.ACCENTED}', '{X.PLAIN}') AS plain, translate(word, '{X.MACRONS}', '{X.WITHOUT}') AS short FROM u WHERE word NOT LIKE '%æ%' AND word NOT LIKE '%œ%'")
+@query(f"WITH {_LINES.replace('lines AS', 'ls0 AS')}, u AS (SELECT DISTINCT unnest(regexp_extract_all(line_text, '\\p{{L}}+')) AS word FROM ls0) SELECT word, replace(replace(replace(replace(translate(word, '{X.ACCENTED}', '{X.PLAIN}'), 'æ', 'ae'), 'œ', 'oe'), 'Æ', 'AE'), 'Œ', 'OE') AS plain, translate(word, '{X.MACRONS}', '{X.WITHOUT}') AS short FROM u")
 def folded_words(spark, d):
-    rows = S.tokens(_docs(spark, d), "unicode").select(F.col("form").alias("word")).distinct().where("word not like '%æ%' and word not like '%œ%'")
+    rows = S.tokens(_docs(spark, d), "unicode").select(F.col("form").alias("word")).distinct()
     return rows.select("word", X.deaccent(F.col("word")).alias("plain"), X.drop_macrons(F.col("word")).alias("short"))
 
 

@@ -84,7 +84,7 @@ def number_of_senses(spark, d):
     return S.table(spark, d, "part").groupBy(F.col("p_type").alias("lemma")).agg(F.count("*").alias("n_senses"), F.countDistinct("p_brand").alias("n_meanings"))
 
 
-_CANDIDATES = _LEXICON + ", words AS (SELECT DISTINCT substring(w, 1, 40) AS form FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM documents)), candidates AS (SELECT form, lemma, code FROM parses WHERE form IN (SELECT form FROM words)), frequency AS (SELECT code, count(*) AS n FROM candidates GROUP BY code)"
+_CANDIDATES = _LEXICON + ", words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS form FROM documents), candidates AS (SELECT form, lemma, code FROM parses WHERE form IN (SELECT form FROM words)), frequency AS (SELECT code, count(*) AS n FROM candidates GROUP BY code)"
 
 
 def _candidates(spark, d):
@@ -153,11 +153,11 @@ def search_everywhere(spark, d):
 # Encodings and forms
 
 
-@query("WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM benchmark) SELECT word, translate(word, 'abgdezhqiklmncoprstufxyw', 'αβγδεζηθικλμνξοπρστυφχψω') AS greek, regexp_replace(word, 'j|v', '', 'g') = word AS whole FROM w")
+@query("WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM benchmark) SELECT word, regexp_replace(translate(word, 'abgdezhqiklmncoprstufxyw', 'αβγδεζηθικλμνξοπρστυφχψω'), 'σ$', 'ς') AS greek, regexp_replace(word, 'j|v', '', 'g') = word AS whole FROM w")
 def greek_letters(spark, d):
-    """Beta Code words in Greek letters and back, without the rule of the final sigma; j and v stand for no letter."""
+    """Beta Code words in Greek letters and back; a word's last sigma has its own form, j and v stand for no letter."""
     w = S.table(spark, d, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word")).distinct()
-    greek = G.beta_to_greek(F.col("word"), final=False)
+    greek = G.beta_to_greek(F.col("word"))
     return w.select("word", greek.alias("greek"), (~F.rlike(F.translate(greek, G.GREEK, ""), F.lit("[jv]")) & (G.greek_to_beta(greek) == F.col("word"))).alias("whole"))
 
 
@@ -189,10 +189,10 @@ def free_dates(spark, d):
     return rows.select("o_orderkey", F.when(~odd, F.col("p.year")).cast("long").alias("y"), F.col("p.month").cast("long").alias("m"), F.col("p.day").cast("long").alias("d"), F.when(odd, F.col("p.year")).cast("long").alias("y_or_month"))
 
 
-@query("SELECT event_id, CAST(hour(ts) AS BIGINT) AS h, CAST(minute(ts) AS BIGINT) AS m, CAST(second(ts) AS BIGINT) AS s, 0.25 AS fraction, CAST(CASE WHEN ts < TIMESTAMP '2024-01-15' THEN -1 ELSE 1 END AS BIGINT) AS side FROM events WHERE date_trunc('day', ts) <> TIMESTAMP '2024-01-15'")
+@query("SELECT event_id, CAST(hour(ts) AS BIGINT) AS h, CAST(minute(ts) AS BIGINT) AS m, CAST(second(ts) AS BIGINT) AS s, 0.25 AS fraction, CAST(CASE WHEN CAST(ts AS DATE) < DATE '2024-01-15' THEN -1 WHEN CAST(ts AS DATE) = DATE '2024-01-15' THEN 0 ELSE 1 END AS BIGINT) AS side FROM events")
 def timestamps(spark, d):
     from scriptoria.functions.dates import compared, partial_date, timestamped
 
-    t = S.table(spark, d, "events").where("date_trunc('day', ts) != timestamp_ntz'2024-01-15'").select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(",25")).alias("text"))
+    t = S.table(spark, d, "events").select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(",25")).alias("text"))
     t = t.select("event_id", F.inline(F.array(F.struct(timestamped(F.col("text")).alias("p")))))
     return t.select("event_id", *(F.col(f"p.{k}").cast("long").alias(k[0]) for k in ("hour", "minute", "second")), F.col("p.fraction").alias("fraction"), compared(F.col("p.date"), partial_date(F.lit("2024-01-15"))).cast("long").alias("side"))
