@@ -12,7 +12,7 @@ from scriptoria.operators import structure as J
 from scriptoria.registry import query
 from scriptoria.sources import markup as K
 from scriptoria.sources import tables as S
-from scriptoria.sources.samples import LEDGER_TEXTS, ORDER_TEXTS, ledger_texts, order_texts
+from scriptoria.sources.samples import LEDGER_TEXTS, ORDER_TEXTS, ledger_texts, order_texts, talk_texts
 
 _SECTIONS = ORDER_TEXTS + """, line_places AS (SELECT p.c_custkey, p.o_orderkey, p.nth, l.k, CAST(p.start_offset + length(h) + coalesce(sum(length(l.t)) OVER (PARTITION BY l.l_orderkey ORDER BY l.k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_offset, length(l.t) AS size FROM placed p JOIN line_texts l ON l.l_orderkey = p.o_orderkey),
 found AS (SELECT c_custkey, 'order' AS type, CAST(o_orderkey AS VARCHAR) AS value, start_offset, start_offset + length(t) AS end_offset, 'order=' || o_orderkey AS path FROM placed UNION ALL SELECT c_custkey, 'line', CAST(k AS VARCHAR), start_offset, start_offset + size, 'order=' || o_orderkey || ':line=' || k FROM line_places),
@@ -93,6 +93,33 @@ def passage_ranges(spark, d):
     return K.passages(texts, chunks, books.where("last is not null").select("doc_id", F.col("path").alias("first"), "last"))
 
 
+@query("WITH t AS (SELECT 'talk:' || conv_id AS doc_id, turn, len(regexp_extract_all(regexp_replace(coalesce(text, ''), '[<>&_]', ' ', 'g'), '[A-Za-z][A-Za-z\\[\\]]*')) AS w FROM conversations), e AS (SELECT doc_id, unnest(CASE turn % 4 WHEN 0 THEN ['la'] WHEN 1 THEN ['greek', 'en'] WHEN 2 THEN ['de'] ELSE ['unknown'] END) AS lang, unnest(CASE turn % 4 WHEN 0 THEN [w] WHEN 1 THEN [w + 1, 2] WHEN 2 THEN [w] ELSE [w + 1] END) AS n FROM t UNION ALL SELECT DISTINCT doc_id, 'en', 2 FROM t) SELECT doc_id, lang, CAST(sum(n) AS BIGINT) AS n FROM e GROUP BY ALL HAVING sum(n) > 0")
+def words_by_scope(spark, d):
+    """Words of each text by the language in force where they stand."""
+    return K.scoped_tokens(talk_texts(spark, d)).where("kind = 'word'").groupBy("doc_id", "lang").agg(F.count("*").alias("n"))
+
+
+@query(r"""WITH p AS (SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang, len(regexp_extract_all(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[&_][A-Za-z]+;', ' ', 'g'), '[A-Za-z][A-Za-z\[\]]*')) AS n FROM pages) SELECT lang, CAST(sum(n) AS BIGINT) AS n, count(*) AS n_pages FROM p WHERE n > 0 GROUP BY lang""")
+def page_words_by_language(spark, d):
+    """Words of web pages, scripts and styles too, by the language that their tags declare."""
+    pages = S.table(spark, d, "pages").select(F.col("page_id").alias("doc_id"), F.col("html").alias("text"), F.lit(None).cast("string").alias("lang"))
+    by_page = K.scoped_tokens(pages).where("kind = 'word'").groupBy("doc_id", "lang").agg(F.count("*").alias("n"))
+    return by_page.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("n_pages"))
+
+
+@query("SELECT 'talk:' || conv_id AS doc_id, CASE turn % 4 WHEN 2 THEN 'work:' || turn ELSE 't:' || turn END AS target, CASE WHEN turn % 4 = 3 THEN 'index' ELSE ['lexicon', 'commentary', 'text'][conv_id % 3 + 1] END AS kind, CASE turn % 4 WHEN 2 THEN 'turn=' || turn ELSE 'index=' || turn END AS around, CASE turn % 4 WHEN 3 THEN 'see' END AS caption FROM conversations WHERE turn % 4 >= 2")
+def links_in_place(spark, d):
+    """Links with the kind that their surroundings give them and the section that they stand in."""
+    return K.placed_links(talk_texts(spark, d)).select("doc_id", "target", "kind", "around", "caption")
+
+
+@query(r"""WITH parts AS (SELECT page_id, string_split(html, '</nav>') AS ps FROM pages), each AS (SELECT page_id, generate_subscripts(ps, 1) < len(ps) AS nav, unnest(ps) AS part FROM parts), l AS (SELECT page_id, nav, unnest(regexp_extract_all(part, '<a href="([^"]+)"', 1)) AS target FROM each) SELECT page_id, CASE WHEN nav THEN 'index' ELSE 'text' END AS kind, count(*) AS n, count(DISTINCT target) AS n_targets FROM l GROUP BY ALL""")
+def page_link_kinds(spark, d):
+    """Links of web pages: those in navigation index, those of the text."""
+    pages = S.table(spark, d, "pages").select(F.col("page_id").alias("doc_id"), F.lit(None).cast("string").alias("kind"), F.col("html").alias("text"))
+    return K.placed_links(pages).groupBy(F.col("doc_id").alias("page_id"), "kind").agg(F.count("*").alias("n"), F.countDistinct("target").alias("n_targets"))
+
+
 # Entities
 
 

@@ -10,23 +10,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptoria.functions.text import running_starts, words
+from scriptoria.operators.structure import bucketed_range_join, contains
 from scriptoria.sources.tables import kept
 
 # Elements that hold citable sections, and those that begin one without holding it.
 DIVISIONS = ["div", "div0", "div1", "div2", "div3", "div4"]
 CONTAINERS = [*DIVISIONS, "titlePage", "text", "entry", "entryFree", "l"]
 MILESTONES = ["milestone", "pb", "lb"]
+# Elements of web pages that have no end, and codes, names and abbreviations of languages.
+VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"]
+LANGUAGES = {"ang": "ang", "ar": "ar", "ara": "ar", "arabic": "ar", "de": "de", "deu": "de", "ger": "de", "german": "de", "en": "en", "eng": "en", "english": "en", "es": "es", "spa": "es", "spanish": "es", "fr": "fr", "fre": "fr", "french": "fr", "gr": "greek", "grc": "greek", "greek": "greek", "it": "it", "ita": "it", "italian": "it", "la": "la", "lat": "la", "latin": "la", "non": "non", "oldenglish": "ang", "oldnorse": "non"}
 
 
-def parts(docs: DataFrame, pattern: str = "<[^>]*>|[^<]+|<") -> DataFrame:
-    """(doc_id, n, raw, start, size): the pieces of each text in order, the offset of each and the length of the text.
+def parts(docs: DataFrame, pattern: str = "<[^>]*>|[^<]+|<", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n, raw, start, size): the pieces of each text in order, the offset of each and the length of the text, with columns of docs to carry.
 
     pattern must match everything, so that the pieces are the whole text. No shuffle.
     """
-    rows = docs.where("text is not null").select("doc_id", F.length("text").alias("size"), F.regexp_extract_all("text", F.lit("(?s)" + pattern), F.lit(0)).alias("raw"))
+    rows = docs.where("text is not null").select("doc_id", *carry, F.length("text").alias("size"), F.regexp_extract_all("text", F.lit("(?s)" + pattern), F.lit(0)).alias("raw"))
     rows = running_starts(rows.withColumn("sizes", F.transform("raw", lambda p: F.length(p))), "sizes", "starts")
-    each = rows.select("doc_id", "size", F.posexplode(F.arrays_zip("raw", F.col("starts").alias("start"))).alias("n", "p"))
-    return each.select("doc_id", "n", F.col("p.raw").alias("raw"), F.col("p.start").alias("start"), "size")
+    each = rows.select("doc_id", "size", *carry, F.posexplode(F.arrays_zip("raw", F.col("starts").alias("start"))).alias("n", "p"))
+    return each.select("doc_id", "n", F.col("p.raw").alias("raw"), F.col("p.start").alias("start"), "size", *carry)
 
 
 def element(raw: Column) -> Column:
@@ -189,14 +193,88 @@ def headers(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.inline(each)).select("doc_id", "key_name", F.explode("values").alias("value"))
 
 
-def tokens(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, i, kind, token): tags, links, character entities and words of each text, in order.
+def scoped(docs: DataFrame) -> DataFrame:
+    """(doc_id, n, raw, start, lang): parts() of docs(doc_id, text, lang) with the language in force at each, lang of the text outside of all.
 
-    A link is a tag named a, ref, xref or bibl. i counts within the piece n between two tags.
+    An element's language is that of its lang attribute (unknown, if LANGUAGES has no such code), else English in a teiHeader, else
+    the first of its classes that names a language, else that of the element around it; a tag has the language of what it encloses. Ends are matched
+    to beginnings of the same name, so that elements that are never closed, or out of order, disturb no others; an element with a language that is
+    never closed reaches to the end of the text.
     """
+    codes = F.create_map(*(F.lit(x) for pair in LANGUAGES.items() for x in pair))
+    raw = F.col("raw")
+    rows = parts(docs, carry=("lang",)).withColumnRenamed("lang", "_default").withColumn("name", F.lower(element(raw)))
+    said = attribute(raw, "lang")
+    classes = F.get(F.filter(F.transform(F.split(F.lower(attribute(raw, "class")), r"\s+"), lambda c: F.try_element_at(codes, c)), lambda c: c.isNotNull()), F.lit(0))
+    shut = F.startswith(raw, F.lit("</"))
+    alone = (F.col("name") == "") | F.endswith(raw, F.lit("/>")) | F.col("name").isin(VOID)
+    own = F.when(~alone & ~shut, F.when(said.isNotNull(), F.coalesce(F.try_element_at(codes, F.lower(said)), F.lit("unknown"))).when(F.col("name") == "teiheader", "en").otherwise(classes))
+    rows = rows.withColumn("own", own).withColumn("step", F.when(alone, 0).when(shut, -1).otherwise(1))
+    until = lambda w: w.orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    tags = rows.where("step != 0").withColumn("depth", F.sum("step").over(until(Window.partitionBy("doc_id", "name"))))
+    tags = tags.withColumn("level", F.when(F.col("step") == 1, F.col("depth")).otherwise(F.col("depth") + 1))
+    begun = F.last(F.when(F.col("step") == 1, F.col("own").isNotNull()), ignorenulls=True).over(until(Window.partitionBy("doc_id", "name", "level")))
+    turns = tags.withColumn("turn", F.when(begun, F.col("step")).otherwise(0)).drop("depth", "level")
+    every = turns.unionByName(rows.where("step = 0").withColumn("turn", F.lit(0)))
+    within = F.sum("turn").over(until(Window.partitionBy("doc_id")))
+    every = every.withColumn("within", within + F.when(F.col("turn") == -1, 1).otherwise(0))
+    lang = F.last(F.when(F.col("turn") == 1, F.col("own")), ignorenulls=True).over(until(Window.partitionBy("doc_id", "within")))
+    return every.select("doc_id", "n", "raw", "start", F.when(F.col("within") > 0, lang).otherwise(F.col("_default")).alias("lang"))
+
+
+def _tokens(pieces: DataFrame, *keep: str) -> DataFrame:
     raw = F.col("raw")
     tag = F.when(element(raw).isin("a", "ref", "xref", "bibl"), "link").otherwise("tag")
     entities = F.transform(F.regexp_extract_all(raw, F.lit("[&_][A-Za-z]+;"), F.lit(0)), lambda t: F.struct(F.lit("entity").alias("kind"), t.alias("token")))
     found = F.concat(entities, F.transform(words(raw), lambda t: F.struct(F.lit("word").alias("kind"), t.alias("token"))))
     each = F.when(F.startswith(raw, F.lit("<")) & (F.length(raw) > 1), F.array(F.struct(tag.alias("kind"), raw.alias("token")))).otherwise(found)
-    return parts(docs).select("doc_id", "n", F.posexplode(each).alias("i", "t")).select("doc_id", "n", "i", "t.kind", "t.token")
+    return pieces.select("doc_id", "n", *keep, F.posexplode(each).alias("i", "t")).select("doc_id", "n", "i", *keep, "t.kind", "t.token")
+
+
+def tokens(docs: DataFrame) -> DataFrame:
+    """(doc_id, n, i, kind, token): tags, links, character entities and words of each text, in order.
+
+    A link is a tag named a, ref, xref or bibl. i counts within the piece n between two tags.
+    """
+    return _tokens(parts(docs))
+
+
+def scoped_tokens(docs: DataFrame) -> DataFrame:
+    """tokens() with lang, the language in force at each by scoped()."""
+    return _tokens(scoped(docs), "lang")
+
+
+#: What a link is by the innermost element around it that tells, or by its document: first what wins.
+LINK_PLACES = ["index", "specific lexicon", "lexicon", "commentary"]
+
+
+def placed_links(docs: DataFrame) -> DataFrame:
+    """(doc_id, n, start, target, caption, kind, around) of the links of docs(doc_id, text, kind): a, ref, xref and bibl with a target.
+
+    A link within an element whose type, n or class is index, or that is a nav element, is of kind index; else it is of its document's
+    kind (specific lexicon, lexicon, commentary), or of kind text if that is none of these. around is the path by cited() of the
+    innermost section that holds it, which the link cites from; null outside of all. caption is the text up to the next tag. Null texts have no link.
+    """
+    raw = F.col("raw")
+    rows = parts(docs).withColumn("name", F.lower(element(raw)))
+    shut = F.startswith(raw, F.lit("</"))
+    alone = (F.col("name") == "") | F.endswith(raw, F.lit("/>")) | F.col("name").isin(VOID)
+    index = (F.col("name") == "nav") | F.lower(F.concat_ws(" ", attribute(raw, "type"), attribute(raw, "n"), attribute(raw, "class"))).rlike(r"(^| )index( |$)")
+    rows = rows.withColumn("step", F.when(alone, 0).when(shut, -1).otherwise(1)).withColumn("index", index & ~alone & ~shut)
+    until = lambda w: w.orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    tags = rows.where("step != 0").withColumn("depth", F.sum("step").over(until(Window.partitionBy("doc_id", "name"))))
+    tags = tags.withColumn("level", F.when(F.col("step") == 1, F.col("depth")).otherwise(F.col("depth") + 1))
+    begun = F.last(F.when(F.col("step") == 1, F.col("index")), ignorenulls=True).over(until(Window.partitionBy("doc_id", "name", "level")))
+    turns = tags.withColumn("turn", F.when(begun, F.col("step")).otherwise(0)).drop("depth", "level")
+    every = turns.unionByName(rows.where("step = 0").withColumn("turn", F.lit(0)))
+    every = every.withColumn("inside", F.sum("turn").over(until(Window.partitionBy("doc_id"))) > 0)
+    every = every.withColumn("caption", F.lead(F.when(~F.startswith(raw, F.lit("<")), raw)).over(Window.partitionBy("doc_id").orderBy("n")))
+    target = F.when(F.col("name") == "a", attribute(raw, "href")).when(F.col("name") == "bibl", attribute(raw, "n")).otherwise(attribute(raw, "target"))
+    links = every.where(F.col("name").isin("a", "ref", "xref", "bibl") & ~shut).withColumn("target", target).where("target is not null")
+    kinds = docs.where("text is not null").select("doc_id", F.when(F.col("kind").isin(LINK_PLACES[1:]), F.col("kind")).otherwise("text").alias("_kind"))
+    links = links.join(kinds, "doc_id").withColumn("kind", F.when(F.col("inside"), "index").otherwise(F.col("_kind")))
+    links = links.select("doc_id", "n", "start", "target", "caption", "kind")
+    chunks = cited(sections(docs), 4)
+    held = bucketed_range_join(chunks.select("doc_id", "path", "abs_position", "start_offset", "end_offset"), links.select("doc_id", "n", F.col("start").alias("start_offset"), (F.col("start") + 1).alias("end_offset")), "doc_id", contains() & (F.col("i.start_offset") < F.col("o.end_offset")))
+    inner = held.groupBy(F.col("i.doc_id").alias("doc_id"), F.col("i.n").alias("n")).agg(F.max_by("o.path", "o.abs_position").alias("around"))
+    return links.join(inner, ["doc_id", "n"], "left")

@@ -81,3 +81,18 @@ UNION ALL SELECT c, 'book', value, 'part=' || c || ':book=' || value, book_at, b
 UNION ALL SELECT c, 'chapter', CAST(k AS VARCHAR), 'part=' || c || ':book=' || book || ':chapter=' || k, place, coalesce(next_in_book, book_ends) FROM placed_chapters WHERE c % 5 <> 0
 UNION ALL SELECT c, 'q chapter', CAST(running AS VARCHAR), 'part=' || c || ':q chapter=' || running, place, coalesce(next_at, ended) FROM placed_chapters WHERE c % 5 = 0),
 ledger_sections AS (SELECT 'Shop:ledger:' || c AS doc_id, type, value, path, CAST(start_offset AS BIGINT) AS start_offset, CAST(end_offset AS BIGINT) AS end_offset, row_number() OVER (PARTITION BY c, type ORDER BY start_offset) AS position, row_number() OVER (PARTITION BY c ORDER BY start_offset) AS abs_position FROM found)"""
+
+
+def talk_texts(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, kind, lang, text): each conversation as a text, a division a turn, with languages on texts, paragraphs and words.
+
+    Every fourth turn names its language, holds words of another or names it as a class; the last of four is an index of an unknown language. Links are in the third and fourth of them.
+    """
+    said, k, n = F.regexp_replace(F.coalesce("text", F.lit("")), "[<>&_]", " "), F.col("turn") % 4, F.col("turn").cast("string")
+    head = F.concat(F.lit('<div1 type="'), F.when(k == 3, "index").otherwise("turn"), F.lit('" n="'), n, F.lit('">'))
+    body = F.when(k == 0, F.concat(F.lit("<p>"), said)).when(k == 1, F.concat(F.lit('<p lang="grc">'), said, F.lit(' <foreign lang="en">as said</foreign> so')))
+    body = body.when(k == 2, F.concat(F.lit('<p class="note german">'), said, F.lit('<bibl n="work:'), n, F.lit('"/>'))).otherwise(F.concat(F.lit('<p lang="zz">'), said, F.lit('<xref target="t:'), n, F.lit('">see</xref>')))
+    turns = table(spark, d, "conversations").select("conv_id", "turn", F.concat(head, body, F.lit("</p></div1>")).alias("t"))
+    texts = turns.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "t"))), lambda x: x["t"]), "").alias("body"))
+    kind = F.when(F.col("conv_id") % 3 == 0, "lexicon").when(F.col("conv_id") % 3 == 1, "commentary")
+    return texts.select(F.concat(F.lit("talk:"), "conv_id").alias("doc_id"), kind.alias("kind"), F.lit("fr").alias("lang"), F.concat(F.lit('<TEI.2><teiHeader><title>one conversation</title></teiHeader><text lang="la"><body>'), "body", F.lit("</body></text></TEI.2>")).alias("text"))

@@ -206,3 +206,23 @@ def test_slices_of_markup_are_well_formed(spark):
     (one,) = K.passages(docs, K.cited(K.sections(docs), 4), ranges).collect()
     assert "".join(ElementTree.fromstring(one.markup).itertext()) == "c2 more xb2 only of q"
     assert K.open_tags(docs, asked.limit(0)).count() == 0
+
+
+def test_languages_in_scope(spark):
+    text = '<TEI.2><teiHeader><p>head</p></teiHeader><text lang="LA"><p>a<br>b<hi lang="grc">c<hi>d</hi><foreign class="x Latin">e</foreign>f</hi>g<q lang="zz">h<i>i</i></q></p><p lang="en">j<p>k</p>l</p>m</text>n<b lang="it">o'
+    docs = spark.createDataFrame([("d", text, "fr"), ("none", None, "fr"), ("e", "", None), ("t", "plain words</p>", None)], "doc_id string, text string, lang string").withColumn("own", F.lit("clash"))
+    got = {r.token: r.lang for r in K.scoped_tokens(docs).where("doc_id = 'd' and kind = 'word'").collect()}
+    assert got == {"head": "en", "a": "la", "b": "la", "c": "greek", "d": "greek", "e": "la", "f": "greek", "g": "la", "h": "unknown", "i": "unknown", "j": "en", "k": "en", "l": "en", "m": "la", "n": "fr", "o": "it"}
+    tags = {r.token: r.lang for r in K.scoped_tokens(docs).where("doc_id = 'd' and kind = 'tag'").collect()}
+    assert tags['<hi lang="grc">'] == "greek" and tags["</q>"] == "unknown"
+    assert {(r.token, r.lang) for r in K.scoped_tokens(docs).where("doc_id = 't' and kind = 'word'").collect()} == {("plain", None), ("words", None)}
+    assert K.scoped_tokens(docs.limit(0)).count() == 0
+
+
+def test_links_by_their_place(spark):
+    text = '<text><div1 type="chapter" n="1"><p>see <bibl n="Hom. Il. 1"/> or <ref target="x">there</ref></p><div2 type="list" n="index"><ref target="y">z</ref><bibl>none</bibl></div2></div1><a href="u">w</a></text>'
+    docs = spark.createDataFrame([("d", "lexicon", text), ("e", None, text), ("n", "lexicon", None)], "doc_id string, kind string, text string")
+    got = sorted((r.doc_id, r.target, r.kind, r.around, r.caption) for r in K.placed_links(docs).collect())
+    rows = lambda i, kind: [(i, "Hom. Il. 1", kind, "chapter=1", " or "), (i, "u", kind, None, "w"), (i, "x", kind, "chapter=1", "there"), (i, "y", "index", "chapter=1:list=index", "z")]
+    assert got == rows("d", "lexicon") + rows("e", "text")
+    assert K.placed_links(docs.limit(0)).count() == 0
