@@ -84,36 +84,61 @@ def number_of_senses(spark, d):
     return S.table(spark, d, "part").groupBy(F.col("p_type").alias("lemma")).agg(F.count("*").alias("n_senses"), F.countDistinct("p_brand").alias("n_meanings"))
 
 
-_CANDIDATES = _LEXICON + ", words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS form FROM documents), candidates AS (SELECT form, lemma, code FROM parses WHERE form IN (SELECT form FROM words)), frequency AS (SELECT code, count(*) AS n FROM candidates GROUP BY code)"
-
-
-def _candidates(spark, d):
-    words = S.table(spark, d, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("form")).distinct()
-    return _parses(spark, d).join(words, "form", "left_semi")
-
-
-@query(f"WITH {_CANDIDATES} SELECT form, lemma, code, n, round(n / sum(n) OVER (PARTITION BY form), 6) AS share FROM candidates JOIN frequency USING (code)")
+# Evaluators: parses in the context of the whole corpus
+
+_EVALUATED = _LEXICON + r""", ws AS (SELECT doc_id, generate_subscripts(w, 1) AS pos, unnest(w) AS word FROM (SELECT doc_id, list_transform(regexp_extract_all(regexp_replace(text, '[&_][A-Za-z]+;', ' ', 'g'), '[A-Za-z][A-Za-z\[\]]*'), lambda x: lower(x)) AS w FROM documents)),
+placed AS (SELECT *, lag(word) OVER (PARTITION BY doc_id ORDER BY pos) AS previous FROM ws),
+k AS (SELECT form, count(*) AS k, bool_or(NOT regexp_full_match(code, '.-*')) AS telling FROM parses GROUP BY form),
+counts AS (SELECT word, count(*) AS n FROM ws GROUP BY word),
+marked AS (SELECT form, lemma, code, k, telling, list_filter(list_transform(range(1, len(code) + 1), lambda i: i || code[i]), lambda m: NOT suffix(m, '-')) AS marks FROM parses JOIN k USING (form)),
+shared AS (SELECT form, m, count(*) AS have FROM (SELECT form, unnest(marks) AS m FROM marked) GROUP BY ALL),
+differ AS (SELECT form, lemma, code, string_agg(m, ';' ORDER BY nth) AS special FROM (SELECT form, lemma, code, k, unnest(marks) AS m, generate_subscripts(marks, 1) AS nth FROM marked) JOIN shared USING (form, m) WHERE have < k GROUP BY ALL),
+weights AS (SELECT code, sum(n / k) AS w FROM counts JOIN marked ON form = word GROUP BY code),
+taken AS (SELECT w, marks, unnest(range(0, CAST(pow(2, len(marks)) AS BIGINT))) AS mask FROM weights JOIN (SELECT DISTINCT code, marks FROM marked) USING (code)),
+cube AS (SELECT array_to_string(list_filter(marks, lambda x, i: (mask >> (i - 1)) & 1 = 1), ';') AS subset, sum(w) AS weight FROM taken GROUP BY 1),
+own AS (SELECT m.form, m.lemma, m.code, coalesce(weight, 0) AS weight FROM marked m JOIN counts ON word = m.form LEFT JOIN differ d ON d.form = m.form AND d.lemma = m.lemma AND d.code = m.code LEFT JOIN cube ON subset = coalesce(special, array_to_string(marks, ';'))),
+by_form AS (SELECT *, CASE WHEN sum(weight) OVER w > 0 THEN weight / sum(weight) OVER w ELSE 1.0 / count(*) OVER w END AS share FROM own WINDOW w AS (PARTITION BY form)),
+pairs AS (SELECT previous, word, count(*) AS n FROM placed WHERE previous IS NOT NULL GROUP BY ALL),
+lattice AS (SELECT p.code AS prior_code, p.lemma AS prior_lemma, m.lemma, m.code, sum(n / (p.k * m.k)) AS w FROM pairs JOIN marked m ON m.form = word JOIN marked p ON p.form = previous GROUP BY ALL),
+by_code AS (SELECT prior_code, lemma, code, sum(w) AS w FROM lattice GROUP BY ALL), by_lemma AS (SELECT prior_lemma, lemma, code, sum(w) AS w FROM lattice GROUP BY ALL), by_none AS (SELECT lemma, code, sum(w) AS w FROM lattice GROUP BY ALL),
+asked AS (SELECT previous, word AS form, m.lemma, m.code, k.telling FROM pairs JOIN marked m ON m.form = word LEFT JOIN k ON k.form = previous),
+after AS (SELECT a.previous, a.form, a.lemma, a.code, x.w FROM asked a JOIN (SELECT DISTINCT form, code FROM parses) p ON p.form = a.previous LEFT JOIN by_code x ON prior_code = p.code AND x.lemma = a.lemma AND x.code = a.code WHERE a.telling
+UNION ALL SELECT a.previous, a.form, a.lemma, a.code, x.w FROM asked a JOIN (SELECT DISTINCT form, lemma FROM parses) p ON p.form = a.previous LEFT JOIN by_lemma x ON prior_lemma = p.lemma AND x.lemma = a.lemma AND x.code = a.code WHERE NOT a.telling
+UNION ALL SELECT a.previous, a.form, a.lemma, a.code, x.w FROM asked a LEFT JOIN by_none x ON x.lemma = a.lemma AND x.code = a.code WHERE a.telling IS NULL),
+sums AS (SELECT previous, form, lemma, code, coalesce(sum(w), 0) AS weight FROM after GROUP BY ALL),
+by_prior AS (SELECT *, CASE WHEN sum(weight) OVER w > 0 THEN weight / sum(weight) OVER w ELSE 1.0 / count(*) OVER w END AS share FROM sums WINDOW w AS (PARTITION BY previous, form))"""
+
+
+def _word_counts(spark, d):
+    return _tokens(spark, d).groupBy("word").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_EVALUATED} SELECT form, lemma, code, round(weight, 4) AS weight, round(share, 4) AS share FROM by_form")
 def form_frequency_evaluator(spark, d):
-    """Each parse's share by how frequent its code is among all parses of attested forms."""
-    out = P.by_code_frequency(_candidates(spark, d))
-    return out.withColumn("share", F.round("share", 6))
+    """Each parse of an attested form by the corpus frequency of the features that tell it apart from the form's other parses."""
+    out = P.by_form_frequency(_parses(spark, d), S.kept(_word_counts(spark, d), "counts"))
+    return out.select("form", "lemma", "code", F.round("weight", 4).alias("weight"), F.round("share", 4).alias("share"))
 
 
-@query(f"WITH {_CANDIDATES}, pairs AS (SELECT a.code AS prior, b.code, count(*) AS n FROM candidates a JOIN candidates b USING (lemma) WHERE a.form < b.form GROUP BY ALL), s AS (SELECT form, lemma, code, coalesce((SELECT sum(n) FROM pairs p WHERE p.code = candidates.code AND p.prior IN ('n-s------', 'v3spia---')), 0) AS score FROM candidates) SELECT form, lemma, code, CAST(score AS BIGINT) AS score FROM s")
+@query(f"WITH {_EVALUATED} SELECT previous, form, lemma, code, round(weight, 4) AS weight, round(share, 4) AS share FROM by_prior")
 def prior_frequency_evaluator(spark, d):
-    """Scores of parses after a word that is a singular noun or a third person: sums over code pairs of the same lemma."""
-    c = _candidates(spark, d)
-    pairs = c.select("lemma", F.col("form").alias("_f"), F.col("code").alias("prior")).join(c, "lemma").where("_f < form").groupBy("prior", "code").agg(F.count("*").alias("n"))
-    return P.by_prior(c, pairs, ["n-s------", "v3spia---"])
+    """Each parse of a word after each word before it, by weighted counts over the lattice of both words' parses."""
+    out = P.by_prior_frequency(_parses(spark, d), P.word_pairs(S.table(spark, d, "documents")))
+    return out.select("previous", "form", "lemma", "code", F.round("weight", 4).alias("weight"), F.round("share", 4).alias("share"))
+
+
+@query(f"WITH {_EVALUATED}, scores AS (SELECT previous, form, lemma, code, (f.share + p.share) / 2 AS score FROM by_prior p JOIN by_form f USING (form, lemma, code) UNION ALL SELECT NULL, form, lemma, code, share FROM by_form), best AS (SELECT *, row_number() OVER (PARTITION BY previous, form ORDER BY round(score, 9) DESC, lemma, code) AS place FROM scores) SELECT doc_id, CAST(pos AS INTEGER) AS pos, word, lemma, code, round(score, 4) AS score FROM placed JOIN best ON form = word AND best.previous IS NOT DISTINCT FROM placed.previous WHERE place = 1")
+def parses_in_context(spark, d):
+    """The best parse of every word that has one, where it stands."""
+    return P.chosen_in_context(S.table(spark, d, "documents"), _parses(spark, d)).withColumn("score", F.round("score", 4))
 
 
-@query(f"WITH {_CANDIDATES}, {_VOTES}, v AS (SELECT code, count(*) AS score FROM votes WHERE code IS NOT NULL GROUP BY code), e AS (SELECT form, lemma, code, n / sum(n) OVER (PARTITION BY form) AS x FROM candidates JOIN frequency USING (code) UNION ALL SELECT form, lemma, code, score FROM candidates JOIN v USING (code)), m AS (SELECT form, lemma, code, avg(x) AS mean FROM e GROUP BY ALL), r AS (SELECT *, sum(mean) OVER (PARTITION BY form) AS total, row_number() OVER (PARTITION BY form ORDER BY round(mean, 9) DESC, lemma, code) AS place FROM m) SELECT form, lemma, code, round(CASE WHEN total > 0 THEN mean / total ELSE mean END, 6) AS score FROM r WHERE place = 1")
+@query(f"WITH {_EVALUATED}, {_VOTES}, v AS (SELECT code, count(*) AS score FROM votes WHERE code IS NOT NULL GROUP BY code), e AS (SELECT form, lemma, code, share AS x FROM by_form UNION ALL SELECT form, lemma, code, score FROM by_form JOIN v USING (code)), m AS (SELECT form, lemma, code, avg(x) AS mean FROM e GROUP BY ALL), r AS (SELECT *, sum(mean) OVER (PARTITION BY form) AS total, row_number() OVER (PARTITION BY form ORDER BY round(mean, 9) DESC, lemma, code) AS place FROM m) SELECT form, lemma, code, round(CASE WHEN total > 0 THEN mean / total ELSE mean END, 6) AS score FROM r WHERE place = 1")
 def morphology_request(spark, d):
-    """The best parse of every attested form: the mean over code frequency and readers' votes, renormalised."""
-    c = _candidates(spark, d)
-    frequency = P.by_code_frequency(c).select("form", "lemma", "code", F.col("share").alias("x"))
+    """The best parse of each attested form by itself: the mean over feature frequency and readers' votes, renormalised."""
+    frequency = S.kept(P.by_form_frequency(_parses(spark, d), S.kept(_word_counts(spark, d), "counts")).select("form", "lemma", "code", F.col("share").alias("x")), "shares")
     voted = _votes(spark, d).where("code is not null").groupBy("code").agg(F.count("*").cast("double").alias("x"))
-    scores = frequency.unionByName(c.join(S.small(voted), "code").select("form", "lemma", "code", "x"))
+    scores = frequency.unionByName(frequency.drop("x").join(S.small(voted), "code").select("form", "lemma", "code", "x"))
     return P.best(scores).select("form", "lemma", "code", F.round("score", 6).alias("score"))
 
 
