@@ -41,7 +41,8 @@ def votes_on(parses: DataFrame, votes: DataFrame) -> DataFrame:
 
 def marks(code: Column) -> Column:
     """The features of a code of one letter a place, each as its place and letter; hyphens are none."""
-    return F.filter(F.transform(F.split(code, ""), lambda c, k: F.concat((k + 1).cast("string"), c)), lambda m: ~F.endswith(m, F.lit("-")) & (F.length(m) > F.length(F.regexp_extract(m, r"^\d+", 0))))
+    letters = F.filter(F.transform(F.split(code, ""), lambda c, k: F.struct((k + 1).cast("string").alias("k"), c.alias("c"))), lambda x: ~x["c"].isin("", "-"))
+    return F.transform(letters, lambda x: F.concat(x["k"], x["c"]))
 
 
 def told_apart(parses: DataFrame) -> DataFrame:
