@@ -378,6 +378,27 @@ def relevance_ranking(spark, d):
     return B.relevance(_index(spark, d), asked, 20).select("query_id", "doc_id", F.round("score", 4).alias("score"), "place")
 
 
+_TYPED = _POS + """, asked AS (SELECT doc_id AS query_id, doc_id // 100 % 4 AS k, max(word) FILTER (pos = 1) AS a, max(word) FILTER (pos = 2) AS b, max(word) FILTER (pos = 3) AS c FROM numbered WHERE doc_id % 100 = 0 GROUP BY ALL HAVING c IS NOT NULL)"""
+
+
+def _typed(spark, d):
+    """A line as a reader types it for each document whose id is divisible by 100: two words; a phrase; a word without another; or the document's id."""
+    ws = F.transform(X.words(F.col("text")), lambda w: F.lower(w))
+    rows = _docs(spark, d).where("doc_id % 100 = 0").select("doc_id", ws.alias("w")).where("size(w) > 2")
+    k, w = F.floor(F.col("doc_id") / 100) % 4, lambda i: F.element_at("w", i)
+    line = F.when(k == 0, F.concat_ws(" ", w(1), w(3))).when(k == 1, F.concat(F.lit('"'), w(1), F.lit(" "), w(2), F.lit('"'))).when(k == 2, F.concat(w(1), F.lit(" -"), w(2))).otherwise(F.concat(F.lit("Shop:text:"), "doc_id", F.lit(":line=2")))
+    return rows.select(F.col("doc_id").alias("query_id"), line.alias("line"))
+
+
+@query(f"""WITH {_TYPED}, t AS (SELECT DISTINCT doc_id, line, word FROM tokens)
+SELECT query_id, doc_id, line FROM asked JOIN t x ON x.word = a JOIN t y USING (doc_id, line) WHERE k = 0 AND y.word = c
+UNION ALL SELECT DISTINCT query_id, x.doc_id, x.line FROM asked JOIN tokens x ON x.word = a JOIN tokens y ON y.doc_id = x.doc_id AND y.line = x.line AND y.i = x.i + 1 AND y.word = b WHERE k = 1
+UNION ALL SELECT query_id, x.doc_id, x.line FROM asked JOIN t x ON x.word = a WHERE k = 2 AND a <> b AND NOT EXISTS (SELECT 1 FROM t y WHERE y.doc_id = x.doc_id AND y.line = x.line AND y.word = b)""")
+def typed_searches(spark, d):
+    """What typed lines find, all of them answered at once from the index."""
+    return B.line_hits(_index(spark, d), S.kept(B.line_plans(_typed(spark, d)), "plans"))
+
+
 @query("WITH r AS (SELECT conv_id, turn, role, CASE WHEN lag(role) OVER w IS DISTINCT FROM role THEN 1 ELSE 0 END AS c FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) SELECT conv_id, turn, role, CAST(sum(c) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS run FROM r")
 def hit_runs(spark, d):
     return Q.runs(S.table(spark, d, "conversations").select("conv_id", "turn", "role"), ["conv_id", "turn"], "role").withColumn("run", F.col("run").cast("long"))

@@ -23,9 +23,9 @@ def combine(counts: DataFrame, *by: str) -> DataFrame:
 
 
 def inverse_document_frequency(counts: DataFrame, *within: str) -> DataFrame:
-    """Documents and totals by lemma, and log2(N / df), N the documents of the same language."""
+    """Documents and totals by lemma, and log2(N / df), N the documents of the same language. counts has one row a document and lemma, as ambiguity_counts() gives by doc_id."""
     n = counts.groupBy(*within).agg(F.countDistinct("doc_id").alias("n_docs"))
-    df = counts.groupBy(*within, "lemma").agg(F.countDistinct("doc_id").alias("doc_count"), F.sum("max_freq").alias("max_occ"), F.sum("min_freq").alias("min_occ"))
+    df = counts.groupBy(*within, "lemma").agg(F.count("doc_id").alias("doc_count"), F.sum("max_freq").alias("max_occ"), F.sum("min_freq").alias("min_occ"))
     return df.join(F.broadcast(n) if within == ("lang",) else n, list(within)).withColumn("idf", F.log2(F.col("n_docs") / F.col("doc_count"))).drop("n_docs")
 
 
