@@ -74,7 +74,7 @@ def sections(docs: DataFrame, schemes: DataFrame | None = None) -> DataFrame:
     declared one, else the running number of the type since a section of a type that holds it ended, within the
     enclosing element (of entries: within the text). position counts the type, abs_position all
     sections, in the order of their starts. n names a section within its text; parent_n is the innermost
-    element or open milestone that holds it.
+    element or open milestone that holds it. Tags, and sections with their ends, are written to the shared folder, as several steps read them.
     """
     tags = parts(docs).where(F.startswith("raw", F.lit("<"))).withColumn("name", element(F.col("raw"))).where(F.col("name").isin(CONTAINERS + MILESTONES))
     closing, alone = F.startswith("raw", F.lit("</")), F.endswith("raw", F.lit("/>")) | F.col("name").isin(MILESTONES)
@@ -98,7 +98,8 @@ def sections(docs: DataFrame, schemes: DataFrame | None = None) -> DataFrame:
     edition = F.when(prefixed & (F.lower(edition) != "p"), F.lower(edition))
     kind = F.lower(F.when(edition.isNotNull(), F.concat_ws(" ", edition, base)).otherwise(base))
     declared = F.when(name.isin("entry", "entryFree"), attribute(raw, "key")).when(name.isin(DIVISIONS) & (F.lower(base) == "entry"), F.coalesce(attribute(raw, "id"), attribute(raw, "n"))).when(name != "titlePage", attribute(raw, "n"))
-    rows = rows.where(F.col("kind").isin("open", "alone") & ((name != "text") | attribute(raw, "n").isNotNull())).withColumn("edition", edition).withColumn("type", kind).where("type is not null").withColumn("declared", declared)
+    rows = rows.where(F.col("kind").isin("open", "alone") & ((name != "text") | attribute(raw, "n").isNotNull())).withColumn("edition", edition).withColumn("type", kind).where("type is not null").withColumn("declared", declared).withColumn("id", attribute(raw, "id"))
+    rows = kept(rows.select("doc_id", "n", "name", "start", "after", "kind", "around", "close", "ended", "edition", "type", "declared", "id"), "tags")
     holds = section_orders(rows)
     if schemes is not None:
         holds = holds.join(schemes.select("doc_id").distinct(), "doc_id", "left_anti").unionByName(scheme_orders(schemes))
@@ -115,10 +116,11 @@ def sections(docs: DataFrame, schemes: DataFrame | None = None) -> DataFrame:
     within = F.when(F.col("type") != "entry", F.struct("around", "scope"))
     number = F.row_number().over(Window.partitionBy("doc_id", "type", within).orderBy("n")).cast("string")
     rows = rows.withColumn("end_offset", end).withColumn("value", F.coalesce("declared", number)).withColumn("position", F.row_number().over(Window.partitionBy("doc_id", "type").orderBy("n"))).withColumn("abs_position", F.row_number().over(whole))
+    rows = kept(rows, "ends")  # read twice below
     above = rows.where(milestone).select("doc_id", F.col("n").alias("held"), F.col("end_offset").alias("_open_to"))
     rows = rows.join(above, ["doc_id", "held"], "left")
     parent = F.when((F.col("_open_to") > F.col("start")) & (F.col("held") > F.coalesce("around", F.lit(-1))), F.col("held")).otherwise(F.col("around"))
-    identity = F.coalesce(attribute(raw, "id"), F.when(name.isin("entry", "entryFree"), F.col("value")))
+    identity = F.coalesce("id", F.when(name.isin("entry", "entryFree"), F.col("value")))
     return rows.select("doc_id", "n", parent.alias("parent_n"), "type", "value", identity.alias("section_id"), "position", "abs_position", F.col("start").alias("start_offset"), "end_offset")
 
 
