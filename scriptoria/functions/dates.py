@@ -70,6 +70,15 @@ def is_valid(date: Column) -> Column:
     return F.coalesce(date["month"].between(1, 12), F.lit(True)) & F.coalesce(date["day"].between(1, 31), F.lit(True))
 
 
+def is_valid_time(hour: Column, minute: Column, second: Column, fraction: Column) -> Column:
+    """Whether every known part of a time is within its bounds; -1 says that a part is not known, 24 and 60 are allowed."""
+    bounds = [(hour, -1, 24), (minute, -1, 60), (second, -1, 60), (fraction, 0, 1)]
+    out = F.lit(True)
+    for part, low, high in bounds:
+        out = out & F.coalesce(part.between(low, high), F.lit(True))
+    return out
+
+
 def within(date: Column, start: Column, end: Column) -> Column:
     """Lexicographic range test; missing parts are the first of a start and the last of an end."""
 

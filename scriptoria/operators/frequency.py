@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,3 +108,9 @@ def lemma_shares_in_document(parsed: DataFrame) -> DataFrame:
     words = parsed.where("k > 1").select("doc_id", "word", "lemma").distinct()
     total = F.sum("weight").over(Window.partitionBy("doc_id", "word"))
     return words.join(weight, ["doc_id", "lemma"]).withColumn("share", F.col("weight") / total).drop("weight")
+
+
+def first_pages(rows: DataFrame, orders: dict[str, list], size: int) -> DataFrame:
+    """rows with sorted_by and place, the first size of each of several orders, which must tell rows apart; each is a limited sort, so no task holds all rows."""
+    pages = [rows.orderBy(*order).limit(size).withColumn("sorted_by", F.lit(name)).withColumn("place", F.row_number().over(Window.partitionBy("sorted_by").orderBy(*order))) for name, order in orders.items()]
+    return reduce(DataFrame.unionByName, pages)

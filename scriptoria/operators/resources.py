@@ -18,6 +18,15 @@ def siblings(works: DataFrame, asked: DataFrame) -> DataFrame:
     return rows.where("doc_id != other").select("doc_id", "other")
 
 
+def same_passages(passages: DataFrame, asked: DataFrame) -> DataFrame:
+    """(doc_id, path, other): for each asked(doc_id, work, path) the citation of the same passage in the work's other documents, of those that have it.
+
+    Rows grow with the documents of a work. Repeated rows of passages or asked repeat their results; null works and paths match nothing.
+    """
+    rows = asked.select("doc_id", "work", "path").join(passages.select("work", "path", F.col("doc_id").alias("_other")), ["work", "path"])
+    return rows.where("doc_id != _other").select("doc_id", "path", F.concat_ws(":", "_other", "path").alias("other"))
+
+
 def commentary_path(steps: Column, scheme: Column) -> Column:
     """Where a commentary of a scheme such as a:b=c:d speaks of a text's steps (type, value).
 

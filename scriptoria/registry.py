@@ -26,6 +26,6 @@ def query(sql: str | None = None):
 
 def load() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
     """All queries outside the training-data subpackage, and their SQL."""
-    from scriptoria import archive, catalogue, forms, lexicon, markup_queries  # noqa: F401  they register themselves
+    from scriptoria import archive, catalogue, files, forms, lexicon, markup_queries  # noqa: F401  they register themselves
 
     return QUERIES, ORACLES

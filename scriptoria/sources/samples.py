@@ -96,3 +96,86 @@ def talk_texts(spark: SparkSession, d: str) -> DataFrame:
     texts = turns.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "t"))), lambda x: x["t"]), "").alias("body"))
     kind = F.when(F.col("conv_id") % 3 == 0, "lexicon").when(F.col("conv_id") % 3 == 1, "commentary")
     return texts.select(F.concat(F.lit("talk:"), "conv_id").alias("doc_id"), kind.alias("kind"), F.lit("fr").alias("lang"), F.concat(F.lit('<TEI.2><teiHeader><title>one conversation</title></teiHeader><text lang="la"><body>'), "body", F.lit("</body></text></TEI.2>")).alias("text"))
+
+
+# Catalogue files, written from the driver's tables and read again by sources/loads.py.
+
+
+def spoken_words(spark: SparkSession, d: str) -> DataFrame:
+    """(w, size): the distinct words of three letters and more of all conversations."""
+    words = table(spark, d, "conversations").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))).alias("w")).distinct()
+    return words.withColumn("size", F.length("w"))
+
+
+def lexicon_file(spark: SparkSession, d: str) -> DataFrame:
+    """Entries of two lexica: every spoken word in the large one, every fourth length with a homograph; every fifth length in the small one too, with a long mark."""
+    rows = spoken_words(spark, d)
+    entry = lambda document, key, told: rows.select(F.lit(document).alias("_document"), F.concat(F.lit("n"), (F.crc32("w") % 1_000_000_000).cast("string")).alias("_id"), key.alias("_key"), F.when(told[0], F.array(F.concat(F.lit(told[1]), "w"))).alias("sense"), "size")
+    plain, known = F.when(F.col("size") % 2 == 0, F.concat("w", F.lit("1"))).otherwise(F.col("w")), F.col("size") % 3 != 0
+    large = entry("large", plain, (known, "of "))
+    second = entry("large", F.concat("w", F.lit("#2")), (known, "other ")).where("size % 4 = 0")
+    small = entry("small", F.concat("w", F.lit("_")), (F.col("size") % 2 == 0, "short ")).where("size % 5 = 0")
+    return large.unionByName(second).unionByName(small).drop("size")
+
+
+def analysis_file(spark: SparkSession, d: str) -> DataFrame:
+    """Analyses of each spoken word: itself, a plural (of the homograph, where there is one), a participle under a hyphened lemma, and a form of no lemma."""
+    rows = spoken_words(spark, d)
+    none = F.lit(None).cast("string")
+    one = lambda form, lemma, pos, number, mood: F.struct(form.alias("form"), F.lit(lemma).alias("lemma") if isinstance(lemma, str) else lemma.alias("lemma"), F.lit(pos).alias("pos"), (F.lit(number) if number else none).alias("number"), (F.lit(mood) if mood else none).alias("mood"))
+    w = F.col("w")
+    plural = F.when(F.col("size") % 4 == 0, F.concat(w, F.lit("#2"))).otherwise(w)
+    each = F.array(one(w, w, "noun", "sg", None), one(F.concat(w, F.lit("s")), plural, "noun", "pl", None), one(F.concat(w, F.lit("ing")), F.concat(F.lit("re-"), w), "verb", None, "part"), one(F.concat(w, F.lit("zzz")), F.concat(w, F.lit("zzz")), "noun", "sg", None))
+    return rows.select(F.inline(each))
+
+
+#: The lemmas and parses of these files in SQL.
+LOADED = """spoken AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS w FROM conversations),
+loaded AS (SELECT w AS headword, 1 AS sequence, CASE WHEN length(w) % 10 = 0 THEN 'short ' || w WHEN length(w) % 3 <> 0 THEN 'of ' || w END AS definition FROM spoken UNION ALL SELECT w, 2, CASE WHEN length(w) % 3 <> 0 THEN 'other ' || w END FROM spoken WHERE length(w) % 4 = 0),
+asked AS (SELECT w AS form, w AS headword, NULL AS number, 'noun' AS pos, 'sg' AS n, NULL AS mood FROM spoken UNION ALL SELECT w || 's', w, CASE WHEN length(w) % 4 = 0 THEN 2 END, 'noun', 'pl', NULL FROM spoken UNION ALL SELECT w || 'ing', w, NULL, 'verb', NULL, 'part' FROM spoken UNION ALL SELECT w || 'zzz', w || 'zzz', NULL, 'noun', 'sg', NULL FROM spoken),
+loaded_parses AS (SELECT DISTINCT form, headword, sequence, pos, n, mood FROM asked JOIN loaded USING (headword) WHERE number IS NULL OR number = sequence)"""
+
+
+def artifact_file(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as artifacts of seven kinds, one of which is unknown; some lack a field, a version or a place among finished ones."""
+    from scriptoria.sources.loads import FIELDS
+
+    kinds = [*FIELDS, "Other"]
+    kind = F.get(F.array(*map(F.lit, kinds)), (F.col("p_partkey") % 7).cast("int"))
+    rest = F.get(F.array(*(F.lit(FIELDS.get(k, 20) - 5) for k in kinds)), (F.col("p_partkey") % 7).cast("int")) - (F.col("p_partkey") % 13 == 0).cast("int")
+    version = F.when(F.col("p_partkey") % 11 == 0, "").otherwise((F.col("p_size") % 8 - 1).cast("string"))
+    return table(spark, d, "part").select(
+        F.concat("p_brand", F.lit(" & "), F.col("p_partkey").cast("string")).alias("name"), kind.alias("type"), F.col("p_type").alias("location"), F.col("p_name").alias("summary"), version.alias("perseus_version"), F.array_repeat(F.lit("told"), rest).alias("other_notes")
+    )
+
+
+def keyword_file(spark: SparkSession, d: str) -> DataFrame:
+    """A keyword for each large part, every fourth under another type than the artifact's."""
+    rows = artifact_file(spark, d).select("name", "type", "location", F.split_part("name", F.lit(" & "), F.lit(2)).cast("long").alias("k"))
+    kept = rows.join(table(spark, d, "part").where("p_size > 25").select(F.col("p_partkey").alias("k")), "k")
+    return kept.select(F.col("name").alias("artifactName"), F.when(F.col("k") % 4 == 0, "Other").otherwise(F.col("type")).alias("artifactType"), F.lit("subject").alias("keyclass"), F.col("location").alias("keyword"))
+
+
+def image_file(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as images, every fifth without a caption."""
+    k = F.col("s_suppkey")
+    return table(spark, d, "supplier").select(F.concat(F.lit("img."), k.cast("string")).alias("archive_number"), F.when(k % 5 != 0, F.col("s_name")).alias("caption"), F.lit("").alias("credits"), (k % 3).cast("string").alias("status"), F.lit("1").alias("source_id"))
+
+
+def image_name_file(spark: SparkSession, d: str) -> DataFrame:
+    """The images of each part by its suppliers, named in one of three fields, in two of them for even parts."""
+    names = table(spark, d, "part").select(F.concat("p_brand", F.lit(" & "), F.col("p_partkey").cast("string")).alias("n"), "p_partkey")
+    rows = table(spark, d, "lineitem").select("l_partkey", "l_suppkey").distinct().join(names, F.col("l_partkey") == F.col("p_partkey"))
+    place, even = (F.col("l_partkey") + F.col("l_suppkey")) % 3, F.col("l_partkey") % 2 == 0
+    at = lambda k: F.when((place == k) | (even & ((place + 1) % 3 == k)), F.col("n")).otherwise("")
+    return rows.select(F.concat(F.lit("img."), F.col("l_suppkey").cast("string")).alias("archive_number"), at(0).alias("name"), at(1).alias("secondary_name"), at(2).alias("tertiary_name"), F.lit("parts").alias("image_schema"))
+
+
+def gazetteer_file(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as places: some with a common name, some without nation or state; those of one nation lie on the equator."""
+    k = F.col("c_custkey")
+    rows = table(spark, d, "customer").join(small(table(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    return rows.select(
+        F.concat(F.lit("tgn,"), k.cast("string")).alias("id"), F.col("c_name").alias("name"), F.when(k % 3 == 0, F.concat(F.lit("C "), "c_name")).alias("cname"),
+        F.when(k % 5 != 0, F.col("n_name")).alias("nation"), F.when(k % 4 != 0, F.col("c_mktsegment")).alias("state"), (k % 360 - 179.5).cast("string").alias("lon"), (F.col("c_nationkey") * 2.0 - 20).cast("string").alias("lat"),
+    )

@@ -97,18 +97,22 @@ def xml_rows(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataF
 
 
 def analyses(spark: SparkSession, path: str) -> DataFrame:
-    """Parse rows of analysis files: forms and lemmas without # and hyphened prefixes, the number apart."""
-    raw = xml_rows(spark, path, "analysis", "form string, lemma string, pos string, number string, gender string, `case` string, tense string, mood string, voice string, person string")
-    clean = F.regexp_replace(F.regexp_replace("lemma", "#", ""), r"^.*-", "")
+    """(form, expanded, headword, sequence, features): analysis files, forms and lemmas without # and hyphened prefixes, a lemma's number apart.
+
+    expanded is the form with its quantities where a file has it, else the form. Repeated analyses are one.
+    """
+    raw = xml_rows(spark, path, "analysis", "form string, orth string, lemma string, pos string, number string, gender string, `case` string, tense string, mood string, voice string, person string")
+    clean = F.regexp_replace(F.regexp_replace("lemma", "#", ""), r"^.+-(.+)$", "$1")
     names = ("pos", "number", "gender", "case", "tense", "mood", "voice", "person")
     rows = raw.select(
         F.regexp_replace("form", "#", "").alias("form"),
-        F.regexp_extract(clean, r"^(.*?)(\d*)$", 1).alias("headword"),
-        F.regexp_extract(clean, r"^(.*?)(\d*)$", 2).try_cast("int").alias("sequence"),
+        F.regexp_replace(F.coalesce("orth", "form"), "#", "").alias("expanded"),
+        F.regexp_replace(clean, r"^(\D+)\d+$", "$1").alias("headword"),
+        F.regexp_extract(clean, r"^\D+(\d+)$", 1).try_cast("int").alias("sequence"),
         *(F.col(f"`{c}`") for c in names),
     ).distinct()
     features = F.map_filter(F.create_map(*(x for c in names for x in (F.lit(c), F.col(f"`{c}`")))), lambda _, v: v.isNotNull())
-    return rows.select("form", "headword", "sequence", features.alias("features"))
+    return rows.select("form", "expanded", "headword", "sequence", features.alias("features"))
 
 
 def senses(spark: SparkSession, path: str) -> DataFrame:
