@@ -51,8 +51,7 @@ def parses_from_files(spark, d):
 def lemmas_of_loaded_parses(spark, d):
     """Frequencies of lemmas over all texts, by parses and a lexicon read from files; a form of no parse is its own lemma."""
     parses = _loaded_parses(spark, d).select("form", F.concat("headword", F.col("sequence").cast("string")).alias("lemma"))
-    by_document = A.ambiguity_counts(S.parsed(_tokens(spark, d), parses), "doc_id")
-    rows = by_document.groupBy("lemma").agg(*(F.sum(c).alias(c) for c in ("max_freq", "min_freq", "weighted_freq")), F.count("*").alias("n_docs"))
+    rows = A.corpus_lemmas(S.table(spark, d, "documents"), parses)
     return rows.withColumn("weighted_freq", F.round("weighted_freq", 4))
 
 

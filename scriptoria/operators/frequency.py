@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scriptoria.functions.text import words
+from scriptoria.sources.tables import kept, small
+
 
 def ambiguity_counts(parsed: DataFrame, *by: str) -> DataFrame:
     """max (occurrences), min (those with one candidate) and weighted (1/k each) by unit and lemma."""
@@ -114,3 +117,23 @@ def first_pages(rows: DataFrame, orders: dict[str, list], size: int) -> DataFram
     """rows with sorted_by and place, the first size of each of several orders, which must tell rows apart; each is a limited sort, so no task holds all rows."""
     pages = [rows.orderBy(*order).limit(size).withColumn("sorted_by", F.lit(name)).withColumn("place", F.row_number().over(Window.partitionBy("sorted_by").orderBy(*order))) for name, order in orders.items()]
     return reduce(DataFrame.unionByName, pages)
+
+
+def corpus_lemmas(docs: DataFrame, parses: DataFrame, language: str = "default") -> DataFrame:
+    """(lemma, max_freq, min_freq, weighted_freq, n_docs) over all of docs(doc_id, text), each row one document, by parses(form, lemma).
+
+    A form that parses lack is its own lemma; repeated parses count once; null texts hold nothing. Words are counted before they meet their
+    lemmas, so the sums shuffle vocabularies only. A lemma of one attested form is in the documents of that form; only
+    words of lemmas with several are followed into their documents.
+    """
+    held = docs.where("text is not null").select("doc_id", F.transform(words(F.col("text"), language), F.lower).alias("_words"))
+    counts = held.select(F.explode("_words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    distinct = held.select("doc_id", F.explode(F.array_distinct("_words")).alias("word"))
+    in_docs = distinct.groupBy("word").agg(F.count("*").alias("n_docs"))
+    forms = parses.groupBy(F.col("form").alias("word")).agg(F.collect_set("lemma").alias("lemmas"))
+    known = counts.join(in_docs, "word").join(forms, "word", "left").withColumn("lemmas", F.coalesce("lemmas", F.array("word")))
+    pairs = kept(known.select("word", "n", "n_docs", F.size("lemmas").alias("k"), F.explode("lemmas").alias("lemma")), "lemmas")
+    sums = pairs.groupBy("lemma").agg(F.sum("n").alias("max_freq"), F.sum(F.when(F.col("k") == 1, F.col("n")).otherwise(0)).alias("min_freq"), F.sum(F.col("n") / F.col("k")).alias("weighted_freq"), F.count("*").alias("_forms"), F.max("n_docs").alias("_docs"))
+    shared = kept(pairs.select("word", "lemma").join(sums.where("_forms > 1").select("lemma"), "lemma"), "shared")
+    several = distinct.join(small(shared), "word").select("doc_id", "lemma").distinct().groupBy("lemma").agg(F.count("*").alias("_several"))
+    return sums.join(several, "lemma", "left").select("lemma", "max_freq", "min_freq", "weighted_freq", F.coalesce("_several", "_docs").alias("n_docs"))

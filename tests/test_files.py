@@ -115,3 +115,21 @@ def test_pages_passages_times(spark):
     assert sorted(map(tuple, W.same_passages(passages, passages).collect())) == [("a", "p=1", "b:p=1"), ("b", "p=1", "a:p=1")]
     times = spark.createDataFrame([(24, 60, 60, 1.0), (25, 0, 0, 0.0), (-1, -1, -1, None), (None, None, None, None), (0, 61, 0, 0.0), (0, 0, -2, 0.0), (0, 0, 0, 1.1)], "h int, m int, s int, f double")
     assert [r.v for r in times.select(D.is_valid_time(*map(F.col, "hmsf")).alias("v")).collect()] == [True, False, True, True, False, False, False]
+
+
+def test_lemmas_of_a_corpus_match_plain_sums(spark):
+    draw = random.Random(9)
+    texts = [(k, " ".join(draw.choices(["luo", "Lues", "lues", "mare", "maris", "et", "x"], k=draw.randint(0, 30)))) for k in range(20)] + [(90, None), (91, "")]
+    parses = [("luo", "luo"), ("lues", "luo"), ("lues", "lues"), ("mare", "mare"), ("mare", "mas"), ("maris", "mare"), ("maris", "mare"), ("unseen", "y")]
+    want = {}
+    for k, t in texts:
+        for w in (t or "").lower().split():
+            of = sorted({lemma for f, lemma in parses if f == w}) or [w]
+            for lemma in of:
+                m = want.setdefault(lemma, [0, 0, 0.0, set()])
+                m[0], m[1], m[2] = m[0] + 1, m[1] + (len(of) == 1), m[2] + 1 / len(of)
+                m[3].add(k)
+    docs, table = spark.createDataFrame(texts, "doc_id int, text string"), spark.createDataFrame(parses, "form string, lemma string")
+    got = {r.lemma: (r.max_freq, r.min_freq, round(r.weighted_freq, 6), r.n_docs) for r in A.corpus_lemmas(docs, table).collect()}
+    assert got == {k: (m[0], m[1], round(m[2], 6), len(m[3])) for k, m in want.items()}
+    assert A.corpus_lemmas(docs.limit(0), table).count() == 0 and A.corpus_lemmas(docs, table.limit(0)).where("lemma = 'lues'").count() == 1
