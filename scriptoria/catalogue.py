@@ -12,6 +12,7 @@ from scriptoria.operators import catalogue_ops as C
 from scriptoria.operators import extract as E
 from scriptoria.operators import frequency as A
 from scriptoria.operators import index as B
+from scriptoria.operators import ranks as O
 from scriptoria.operators import search as Q
 from scriptoria.operators import structure as J
 from scriptoria.operators import votes as V
@@ -53,6 +54,11 @@ def _parses(spark: SparkSession, d: str) -> DataFrame:
     return S.inflected(lexicon)
 
 
+def _with_words(spark: SparkSession, d: str) -> DataFrame:
+    """The documents that hold a word."""
+    return _docs(spark, d).where(X.holds_word(F.col("text"))).select("doc_id", "lang")
+
+
 def _parsed(spark: SparkSession, d: str) -> DataFrame:
     return S.parsed(_tokens(spark, d), _parses(spark, d))
 
@@ -116,14 +122,14 @@ def corpus_frequencies(spark, d):
 
 @query(f"WITH {_DOCFREQ}, n AS (SELECT lang, count(DISTINCT doc_id) AS n FROM f GROUP BY lang) SELECT lang, lemma, count(DISTINCT doc_id) AS doc_count, CAST(sum(max_freq) AS BIGINT) AS max_occ, CAST(sum(min_freq) AS BIGINT) AS min_occ, round(log2(any_value(n.n) / count(DISTINCT doc_id)), 6) AS idf FROM f JOIN n USING (lang) GROUP BY lang, lemma")
 def lemma_idf(spark, d):
-    out = A.inverse_document_frequency(A.ambiguity_counts(_parsed(spark, d), "doc_id", "lang"), "lang")
+    out = A.inverse_document_frequency(A.ambiguity_counts(_parsed(spark, d), "doc_id", "lang"), _with_words(spark, d), "lang")
     return out.withColumn("idf", _r(F.col("idf")))
 
 
 @query(f"WITH {_DOCFREQ}, t AS (SELECT *, max_freq / count(*) OVER (PARTITION BY doc_id, lang) AS tf FROM f), n AS (SELECT lang, count(DISTINCT doc_id) AS n FROM f GROUP BY lang), i AS (SELECT lang, lemma, log2(any_value(n.n) / count(DISTINCT doc_id)) AS idf FROM f JOIN n USING (lang) GROUP BY lang, lemma) SELECT doc_id, lang, lemma, round(tf * idf, 6) AS tf_idf FROM t JOIN i USING (lang, lemma)")
 def tf_idf(spark, d):
     counts = S.kept(A.ambiguity_counts(_parsed(spark, d), "doc_id", "lang"), "counts")
-    out = A.tf_idf(A.term_frequency(counts, "doc_id", "lang"), A.inverse_document_frequency(counts, "lang"), "lang")
+    out = A.tf_idf(A.term_frequency(counts, "doc_id", "lang"), A.inverse_document_frequency(counts, _with_words(spark, d), "lang"), "lang")
     return out.select("doc_id", "lang", "lemma", _r(F.col("tf_idf")).alias("tf_idf"))
 
 
@@ -166,8 +172,7 @@ def stopword_shares(spark, d):
 
 @query(f"WITH {_TOKENS}, p AS (SELECT *, last_value(CASE WHEN word NOT IN ({_STOP}) THEN word END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous FROM tokens) SELECT previous, word, count(*) AS n FROM p WHERE previous IS NOT NULL GROUP BY ALL")
 def content_bigrams(spark, d):
-    rows = A.previous_content_word(_tokens(spark, d), F.col("word").isin(STOP))
-    return rows.where("previous is not null").groupBy("previous", "word").agg(F.count("*").alias("n"))
+    return A.content_pairs(_docs(spark, d), STOP)
 
 
 @query("WITH p AS (SELECT unnest(CASE WHEN p_size % 2 = 0 THEN ['', 'brand=' || p_brand, 'size=' || CAST(p_size // 10 AS VARCHAR), 'brand=' || p_brand || ';size=' || CAST(p_size // 10 AS VARCHAR)] ELSE ['', 'brand=' || p_brand] END) AS subset, 1.0 / (1 + p_partkey % 3) AS w FROM part) SELECT subset, round(sum(w), 4) AS weight FROM p GROUP BY subset")
@@ -540,7 +545,7 @@ def translations(spark, d):
 
 @query("WITH r AS (SELECT doc_id, lang, CASE WHEN lag(lang) OVER (PARTITION BY source ORDER BY doc_id) IS DISTINCT FROM lang THEN 1 ELSE 0 END AS s, source FROM documents) SELECT doc_id, source, lang, CAST(sum(s) OVER (PARTITION BY source ORDER BY doc_id) AS BIGINT) AS run FROM r")
 def listing_runs(spark, d):
-    return Q.runs(_docs(spark, d).select("doc_id", "source", "lang"), ["source", "doc_id"], "lang").withColumn("run", F.col("run").cast("long"))
+    return O.runs(_docs(spark, d).select("doc_id", "source", "lang"), ["source"], [F.col("doc_id")], "lang")
 
 
 # Votes and disambiguation
@@ -813,8 +818,8 @@ def named_in_any_column(spark, d):
 
 @query(f"WITH {_PARSED}, p AS (SELECT DISTINCT doc_id, line, i, word, last_value(CASE WHEN word NOT IN ({_STOP}) THEN word END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous FROM tokens) SELECT previous, lemma, round(sum(1.0 / k), 4) AS weight FROM parsed JOIN p USING (doc_id, line, i) WHERE previous IS NOT NULL GROUP BY ALL")
 def bigram_weights(spark, d):
-    rows = S.parsed(A.previous_content_word(_tokens(spark, d), F.col("word").isin(STOP)), _parses(spark, d))
-    return A.bigram_weights(rows, "previous", "lemma", "k").withColumn("weight", _r(F.col("weight"), 4))
+    rows = S.parsed(A.content_pairs(_docs(spark, d), STOP), _parses(spark, d))
+    return A.bigram_weights(rows, "previous", "lemma", "k", "n").withColumn("weight", _r(F.col("weight"), 4))
 
 
 @query(f"WITH {_PARSED}, f AS (SELECT doc_id, lemma, sum(1.0 / k) AS w FROM parsed GROUP BY ALL), c AS (SELECT DISTINCT doc_id, word, lemma FROM parsed WHERE k > 1) SELECT doc_id, word, lemma, round(w / sum(w) OVER (PARTITION BY doc_id, word), 10) AS share FROM c JOIN f USING (doc_id, lemma)")

@@ -11,6 +11,7 @@ from scriptoria.functions import text as X
 from scriptoria.markup_queries import _NAMES, _occurrences
 from scriptoria.operators import catalogue_ops as C
 from scriptoria.operators import predicates as W
+from scriptoria.operators import ranks as O
 from scriptoria.operators import structure as J
 from scriptoria.registry import query
 from scriptoria.sources import markup as K
@@ -60,10 +61,9 @@ def weights_of_collections(spark, d):
 def frequency_orders(spark, d):
     """The heads of a language's vocabulary in each of its orders, fifty lemmas each."""
     v = _parsed(spark, d).groupBy("lang", "lemma").agg(F.count("*").alias("max_freq"), F.count_if(F.col("k") == 1).alias("min_freq"), F.round(F.sum(1.0 / F.col("k")), 6).alias("weighted"))
-    w = Window.partitionBy("lang")
-    for name, key in (("by_max", F.desc("max_freq")), ("by_min", F.desc("min_freq")), ("by_weight", F.desc("weighted")), ("by_name", F.asc("lemma"))):
-        v = v.withColumn(name, F.row_number().over(w.orderBy(key, "lemma")))
-    return v.where(F.least("by_max", "by_min", "by_weight", "by_name") <= 50).select("lang", "lemma", "by_max", "by_min", "by_weight", "by_name")
+    name = F.col("lemma")
+    orders = {"by_max": [F.desc("max_freq"), name], "by_min": [F.desc("min_freq"), name], "by_weight": [F.desc("weighted"), name], "by_name": [name]}
+    return O.heads_of_orders(v, ["lang"], orders, "lemma", 50)
 
 
 @query("WITH c AS (SELECT p_brand AS key, count(*) AS n FROM part GROUP BY p_brand) SELECT key, n, row_number() OVER (ORDER BY n DESC, key) AS from_most, row_number() OVER (ORDER BY n, key) AS from_least FROM c")

@@ -42,6 +42,11 @@ def words(text: Column, language: str = "default") -> Column:
     return F.regexp_extract_all(F.regexp_replace(text, r"[&_][A-Za-z]+;", " "), F.lit(WORDS.get(language, WORDS["default"])), F.lit(0))
 
 
+def holds_word(text: Column, language: str = "default") -> Column:
+    """Whether words() of a text has any; null for null."""
+    return F.rlike(F.regexp_replace(text, r"[&_][A-Za-z]+;", " "), F.lit(WORDS.get(language, WORDS["default"])))
+
+
 def deaccent(text: Column) -> Column:
     out = F.translate(text, ACCENTED, PLAIN)
     for old, new in (("æ", "ae"), ("œ", "oe"), ("Æ", "AE"), ("Œ", "OE")):

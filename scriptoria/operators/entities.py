@@ -16,66 +16,77 @@ _MENTION = r"<(placeName|persName|dateStruct|date|name)\b[^>]*>.*?</\1>|<dateRan
 def mentions(docs: DataFrame) -> DataFrame:
     """(doc_id, k, start_offset, end_offset, name, raw, display_text): marked names and dates of docs(doc_id, text), k from 1.
 
-    A mention within another belongs to it. Offsets are of the whole element.
+    A mention within another belongs to it. Offsets are of the whole element. No shuffle.
     """
-    rows = parts(docs, _MENTION + "|<[^>]*>|[^<]+|<").withColumn("name", element(F.col("raw")))
-    rows = rows.where(F.col("name").isin("placeName", "persName", "date", "dateStruct", "dateRange") | ((F.col("name") == "name") & (attribute(F.col("raw"), "type") == "place")))
-    rows = rows.where(~F.startswith("raw", F.lit("</"))).withColumn("k", F.row_number().over(Window.partitionBy("doc_id").orderBy("n")))
-    return rows.select("doc_id", "k", F.col("start").alias("start_offset"), (F.col("start") + F.length("raw")).alias("end_offset"), "name", "raw", without_tags(F.col("raw")).alias("display_text"))
 
+    def marked(raw: Column) -> Column:
+        name = element(raw)
+        known = name.isin("placeName", "persName", "date", "dateStruct", "dateRange") | ((name == "name") & (attribute(raw, "type") == "place"))
+        return F.startswith(raw, F.lit("<")) & ~F.startswith(raw, F.lit("</")) & F.coalesce(known, F.lit(False))
 
-def places(found: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """Mentions of places with the gazetteer's entry: by key, else by n, reg or text, the first that is known.
+    rows = parts(docs, _MENTION + "|<[^>]*>|[^<]+|<", keep=marked)
+    return rows.select("doc_id", (F.col("n") + 1).alias("k"), F.col("start").alias("start_offset"), (F.col("start") + F.length("raw")).alias("end_offset"), element(F.col("raw")).alias("name"), "raw", without_tags(F.col("raw")).alias("display_text"))
 
-    gazetteer(auth_name, display_name); of entries with one display name the least counts. A place of
-    which nothing is known is no entity. It is ambiguous unless its text has a bracket or comma.
-    """
-    raw, text = F.col("raw"), F.col("display_text")
+
+def _asked(raw: Column, text: Column) -> Column:
+    """What a place may be known by, the first that is known counts: its key, else n, reg or text."""
     tries = [("auth", F.split_part(attribute(raw, "key"), F.lit(";"), F.lit(1))), ("display", attribute(raw, "n")), ("display", attribute(raw, "reg")), ("display", F.nullif(text, F.lit("")))]
-    tried = F.array(*(F.struct(F.lit(k).alias("step"), F.lit(kind).alias("kind"), v.alias("asked")) for k, (kind, v) in enumerate(tries)))
-    rows = found.where(F.col("name").isin("placeName", "name")).withColumn("t", F.explode(tried)).select("*", "t.*").drop("t").where("asked is not null")
-    known = gazetteer.select(F.lit("auth").alias("kind"), F.col("auth_name").alias("asked"), "auth_name", "display_name")
-    known = known.unionByName(gazetteer.groupBy("display_name").agg(F.min("auth_name").alias("auth_name")).select(F.lit("display").alias("kind"), F.col("display_name").alias("asked"), "auth_name", "display_name"))
-    hits = rows.join(small(known), ["kind", "asked"]).groupBy("doc_id", "k", "start_offset", "end_offset", "display_text").agg(F.min_by(F.struct("auth_name", "display_name"), "step").alias("e"))
-    ambiguous = ~(text.contains("(") | text.contains(","))
-    return hits.select("doc_id", "k", "start_offset", "end_offset", F.lit("place").alias("class"), "e.auth_name", "e.display_name", "display_text", ambiguous.alias("ambiguous"))
+    return F.filter(F.array(*(F.struct(F.lit(k).alias("step"), F.lit(kind).alias("kind"), v.alias("asked")) for k, (kind, v) in enumerate(tries))), lambda t: t["asked"].isNotNull())
 
 
-def persons(found: DataFrame) -> DataFrame:
-    """Mentions of persons by their registered form kind:surname,forename,...; nomatch and empty forenames are left out.
+def _names(raw: Column) -> Column:
+    """Surname, then forenames, of a registered form kind:surname,forename,...; null without one. nomatch and empty forenames are left out."""
+    reg = attribute(raw, "reg")
+    names = F.split(F.regexp_extract(reg, r"^.*?:([^:]*)(?::.*)?$", 1), ",")
+    forenames = F.filter(F.transform(F.slice(names, F.lit(2), F.size(names)), lambda x: F.trim(x)), lambda x: (x != "") & (x != "nomatch"))
+    return F.when(reg.contains(":"), F.concat(F.slice(names, F.lit(1), F.lit(1)), forenames))
 
-    A mention is ambiguous if it has no more words than the person has names. Without a registered form
-    there is no entity.
-    """
-    form = F.regexp_extract(attribute(F.col("raw"), "reg"), r"^.*?:([^:]*)(?::.*)?$", 1)
-    rows = found.where((F.col("name") == "persName") & attribute(F.col("raw"), "reg").contains(":")).withColumn("names", F.split(form, ","))
-    forenames = F.filter(F.transform(F.slice("names", F.lit(2), F.size("names")), lambda x: F.trim(x)), lambda x: (x != "") & (x != "nomatch"))
-    rows = rows.withColumn("surname", F.get("names", F.lit(0))).withColumn("forename", F.array_join(forenames, " ")).withColumn("count", F.size(forenames) + 1)
-    words = F.size(F.split(F.trim("display_text"), r"\s+"))
-    auth, display = F.lower(join_present(",", F.col("surname"), F.replace("forename", F.lit(" "), F.lit(",")))), join_present(" ", F.col("forename"), F.col("surname"))
-    return rows.select("doc_id", "k", "start_offset", "end_offset", F.lit("person").alias("class"), auth.alias("auth_name"), display.alias("display_name"), "display_text", (F.col("count") >= words).alias("ambiguous"))
-
-
-def dates(found: DataFrame) -> DataFrame:
-    """Mentions of dates, by value, else text or parts, and of ranges, by their ends; unreadable ones are left out. None is ambiguous."""
-    raw = F.col("raw")
-    part = lambda k: F.regexp_extract(raw, rf"<{k}[^>]*>\s*(\d+)\s*</{k}>", 1).try_cast("int")
-    rows = found.where(F.col("name").isin("date", "dateStruct", "dateRange"))
-    text = F.coalesce(attribute(raw, "value"), F.when(F.col("name") == "date", F.col("display_text")))
-    structured = F.struct(part("year").alias("year"), part("month").alias("month"), part("day").alias("day"))
-    # exploded, so that what follows reads parsed dates and does not parse again for each of their parts
-    parsed = F.struct(D.free_date(text).alias("_d"), D.free_date(attribute(raw, "from")).alias("_a"), D.free_date(attribute(raw, "to")).alias("_b"), structured.alias("_s"))
-    rows = rows.select("*", F.inline(F.array(parsed)))
-    single = F.coalesce("_d", F.when((F.col("name") == "dateStruct") & F.coalesce("_s.year", "_s.month", "_s.day").isNotNull(), F.col("_s")))
-    rows = rows.withColumn("_one", D.authority_date(single)).withColumn("_ends", F.concat(D.authority_date(F.col("_a")), F.lit("/"), D.authority_date(F.col("_b"))))
-    rows = rows.withColumn("auth_name", F.when(F.col("name") == "dateRange", F.col("_ends")).otherwise(F.col("_one"))).where("auth_name is not null")
-    return rows.select("doc_id", "k", "start_offset", "end_offset", F.when(F.col("name") == "dateRange", "range").otherwise("date").alias("class"), "auth_name", F.col("auth_name").alias("display_name"), "display_text", F.lit(False).alias("ambiguous"))
+
+def _gazetteer(gazetteer: DataFrame) -> DataFrame:
+    """(kind, asked, place_auth, place_display); of entries with one display name the least counts."""
+    known = gazetteer.select(F.lit("auth").alias("kind"), F.col("auth_name").alias("asked"), F.col("auth_name").alias("place_auth"), F.col("display_name").alias("place_display"))
+    return known.unionByName(gazetteer.groupBy("display_name").agg(F.min("auth_name").alias("place_auth")).select(F.lit("display").alias("kind"), F.col("display_name").alias("asked"), "place_auth", F.col("display_name").alias("place_display")))
 
 
 def occurrences(docs: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """All entity occurrences of docs(doc_id, text)."""
-    found = mentions(docs)
-    return places(found, gazetteer).unionByName(persons(found)).unionByName(dates(found))
+    """All entity occurrences of docs(doc_id, text), by gazetteer(auth_name, display_name); each text is read once for all classes.
+
+    A place of which the gazetteer knows nothing is no entity; it is ambiguous unless its text has a bracket
+    or comma. A person without a registered form is none; it is ambiguous if its text has no more words than
+    the person has names. Dates are by value, else text or parts, ranges by their ends; unreadable ones
+    are left out and none is ambiguous.
+    """
+    raw, text, name = F.col("raw"), F.col("display_text"), F.col("name")
+    place, person, dated, span = name.isin("placeName", "name"), name == "persName", name.isin("date", "dateStruct", "dateRange"), name == "dateRange"
+    part = lambda k: F.regexp_extract(raw, rf"<{k}[^>]*>\s*(\d+)\s*</{k}>", 1).try_cast("int")
+    value = F.coalesce(attribute(raw, "value"), F.when(name == "date", text))
+    read = F.struct(
+        F.when(dated & ~span, D.free_date(value)).alias("_d"),
+        F.when(span, D.free_date(attribute(raw, "from"))).alias("_a"),
+        F.when(span, D.free_date(attribute(raw, "to"))).alias("_b"),
+        F.when(name == "dateStruct", F.struct(part("year").alias("year"), part("month").alias("month"), part("day").alias("day"))).alias("_s"),
+        F.when(person, _names(raw)).alias("_names"),
+        F.when(place, _asked(raw, text)).alias("_asked"),
+    )
+    # exploded, so that what follows reads the parsed values and does not parse again for each of their parts
+    rows = mentions(docs).select("doc_id", "k", "start_offset", "end_offset", "name", "display_text", F.inline(F.array(read)))
+
+    surname, forename = F.get("_names", F.lit(0)), F.array_join(F.slice("_names", F.lit(2), F.size("_names")), " ")
+    single = F.coalesce("_d", F.when(F.coalesce("_s.year", "_s.month", "_s.day").isNotNull(), F.col("_s")))
+    date = F.when(span, F.concat(D.authority_date(F.col("_a")), F.lit("/"), D.authority_date(F.col("_b")))).otherwise(D.authority_date(single))
+    auth = F.when(person, F.lower(join_present(",", surname, F.replace(forename, F.lit(" "), F.lit(","))))).when(dated, date)
+    display = F.when(person, join_present(" ", forename, surname)).when(dated, date)
+    ambiguous = F.when(place, ~(text.contains("(") | text.contains(","))).when(person, F.size("_names") >= F.size(F.split(F.trim(text), r"\s+"))).otherwise(F.lit(False))
+    kind = F.when(place, "place").when(person, "person").when(span, "range").otherwise("date")
+    rows = rows.select("doc_id", "k", "start_offset", "end_offset", kind.alias("class"), auth.alias("auth_name"), display.alias("display_name"), "display_text", ambiguous.alias("ambiguous"), "_names", "_asked")
+    rows = rows.where(F.col("_asked").isNotNull() | F.col("_names").isNotNull() | (F.col("class").isin("date", "range") & F.col("auth_name").isNotNull())).drop("_names")
+
+    told = ["doc_id", "k", "start_offset", "end_offset", "class", "auth_name", "display_name", "display_text", "ambiguous"]
+    tried = rows.select(*told, F.explode_outer("_asked").alias("t")).select(*told, "t.*")
+    found = tried.join(small(_gazetteer(gazetteer)), ["kind", "asked"], "left")
+    step = F.when(F.col("place_auth").isNotNull(), F.col("step"))
+    found = found.groupBy(*told).agg(F.min_by(F.struct("place_auth", "place_display"), step).alias("e")).where("class != 'place' or e is not null")
+    return found.select("doc_id", "k", "start_offset", "end_offset", "class", F.coalesce("e.place_auth", "auth_name").alias("auth_name"), F.coalesce("e.place_display", "display_name").alias("display_name"), "display_text", "ambiguous")
 
 
 def frequencies(found: DataFrame, *unit: str) -> DataFrame:

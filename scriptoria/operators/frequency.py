@@ -27,9 +27,13 @@ def combine(counts: DataFrame, *by: str) -> DataFrame:
     return counts.groupBy(*by, "lemma").agg(*(F.sum(c).alias(c) for c in ("max_freq", "min_freq", "weighted_freq")))
 
 
-def inverse_document_frequency(counts: DataFrame, *within: str) -> DataFrame:
-    """Documents and totals by lemma, and log2(N / df), N the documents of the same language. counts has one row a document and lemma, as ambiguity_counts() gives by doc_id."""
-    n = counts.groupBy(*within).agg(F.countDistinct("doc_id").alias("n_docs"))
+def inverse_document_frequency(counts: DataFrame, held: DataFrame, *within: str) -> DataFrame:
+    """Documents and totals by lemma, and log2(N / df), N the documents of the same language.
+
+    counts has one row a document and lemma, as ambiguity_counts() gives by doc_id; held(doc_id, within) has
+    the documents that hold a word, so that N is counted over documents and not over their lemmas.
+    """
+    n = held.select("doc_id", *within).distinct().groupBy(*within).agg(F.count("*").alias("n_docs"))
     df = counts.groupBy(*within, "lemma").agg(F.count("doc_id").alias("doc_count"), F.sum("max_freq").alias("max_occ"), F.sum("min_freq").alias("min_occ"))
     return df.join(F.broadcast(n) if within == ("lang",) else n, list(within)).withColumn("idf", F.log2(F.col("n_docs") / F.col("doc_count"))).drop("n_docs")
 
@@ -77,10 +81,22 @@ def nth_occurrence(rows: DataFrame) -> DataFrame:
     return rows.withColumn("occurrence", F.row_number().over(Window.partitionBy("doc_id", "form").orderBy("line", "i")))
 
 
-def previous_content_word(rows: DataFrame, stopword: Column) -> DataFrame:
-    """The last word before each that is no stopword, along the document."""
-    w = Window.partitionBy("doc_id").orderBy("line", "i").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("previous", F.last(F.when(~stopword, F.col("word")), ignorenulls=True).over(w))
+def content_pairs(docs: DataFrame, stop: list[str], language: str = "default") -> DataFrame:
+    """(previous, word, n): how often each word of docs(text) has previous as the last word before it that is no stop word.
+
+    A text is cut where its content words begin: each cut is a content word and the stop words after it, to
+    which the next cut's head belongs. All of that happens within the row, so that only counts are shuffled.
+    Null texts and words before the first content word give nothing; each row is a text of its own.
+    """
+    mark = "\u0001"  # no word holds it
+    rows = docs.where("text is not null").select(F.transform(words(F.col("text"), language), F.lower).alias("_words"))
+    joined = F.array_join(F.transform("_words", lambda w: F.when(w.isin(stop), w).otherwise(F.concat(F.lit(mark), w))), " ")
+    rows = rows.select(F.split(joined, mark).alias("_all")).select(F.slice("_all", F.lit(2), F.size("_all") - 1).alias("_cuts"))
+    heads = F.transform(F.slice("_cuts", F.lit(2), F.size("_cuts")), lambda c: F.substring_index(c, " ", 1))
+    cuts = rows.select(F.inline(F.arrays_zip("_cuts", heads.alias("_next"))))
+    cuts = cuts.select(F.filter(F.split("_cuts", " "), lambda w: w != "").alias("_held"), "_next")
+    after = F.array_compact(F.concat(F.slice("_held", F.lit(2), F.size("_held")), F.array("_next")))
+    return cuts.select(F.get("_held", F.lit(0)).alias("previous"), F.explode(after).alias("word")).groupBy("previous", "word").agg(F.count("*").alias("n"))
 
 
 def feature_subsets(parses: DataFrame, features: list[str], weight: str) -> DataFrame:
@@ -100,9 +116,10 @@ def words_by_year(rows: DataFrame) -> DataFrame:
     return rows.select("year", "lang", "word", "doc_id").distinct().groupBy("year", "lang", "word").agg(F.count("*").alias("n_docs"))
 
 
-def bigram_weights(rows: DataFrame, previous: str, lemma: str, k: str) -> DataFrame:
-    """Weight of each lemma after each previous word: 1/k for every candidate of a token."""
-    return rows.where(F.col(previous).isNotNull()).groupBy(previous, lemma).agg(F.sum(1.0 / F.col(k)).alias("weight"))
+def bigram_weights(rows: DataFrame, previous: str, lemma: str, k: str, n: str | None = None) -> DataFrame:
+    """Weight of each lemma after each previous word: 1/k for every candidate of a token; a row stands for n tokens, or one."""
+    tokens = F.col(n) if n else F.lit(1.0)
+    return rows.where(F.col(previous).isNotNull()).groupBy(previous, lemma).agg(F.sum(tokens / F.col(k)).alias("weight"))
 
 
 def lemma_shares_in_document(parsed: DataFrame) -> DataFrame:

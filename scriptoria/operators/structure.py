@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scriptoria.operators.ranks import placed
+
 #: Characters of a bucket in range joins.
 BUCKET = 2048
 
@@ -92,9 +94,8 @@ def contents(levels: list[DataFrame], key: str) -> DataFrame:
 
 
 def grouped_entries(entries: DataFrame, by: str, head: str, size: int = 50) -> DataFrame:
-    """Entries in groups of size for each letter, headed first - last."""
-    k = F.floor((F.row_number().over(Window.partitionBy(by).orderBy(head)) - 1) / size)
-    rows = entries.withColumn("group_no", k)
+    """Entries in groups of size for each letter, headed first - last; a letter of any size is spread over tasks."""
+    rows = placed(entries, [by], [F.col(head)], "_place").withColumn("group_no", F.floor((F.col("_place") - 1) / size))
     return rows.groupBy(by, "group_no").agg(F.concat_ws(" - ", F.min(head), F.max(head)).alias("heading"), F.count("*").alias("n_entries"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from scriptoria.operators.ranks import placed
+
 
 def vote_counts(votes: DataFrame, *by: str) -> DataFrame:
     """Votes by choice; a null choice is none of the above and counted as such."""
@@ -41,9 +43,8 @@ def distinguishing(parses: DataFrame, group: list[str], feature: str, candidate:
 
 
 def ranked_candidates(candidates: DataFrame, group: str) -> DataFrame:
-    """Order by votes, then the current choice, then occurrences; ties by id."""
-    w = Window.partitionBy(group).orderBy(F.desc("votes"), F.desc("is_current"), F.desc("max_occ"), "entity_id")
-    return candidates.withColumn("place", F.row_number().over(w))
+    """Order by votes, then the current choice, then occurrences; ties by id. A group of any size is spread over tasks."""
+    return placed(candidates, [group], [F.desc("votes"), F.desc("is_current"), F.desc("max_occ"), F.col("entity_id")])
 
 
 def verified(chunks: DataFrame, parent: str, failed: str) -> DataFrame:

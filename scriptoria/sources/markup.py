@@ -6,6 +6,8 @@ well-formed markup is read as far as its tags go.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,14 +24,18 @@ VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 LANGUAGES = {"ang": "ang", "ar": "ar", "ara": "ar", "arabic": "ar", "de": "de", "deu": "de", "ger": "de", "german": "de", "en": "en", "eng": "en", "english": "en", "es": "es", "spa": "es", "spanish": "es", "fr": "fr", "fre": "fr", "french": "fr", "gr": "greek", "grc": "greek", "greek": "greek", "it": "it", "ita": "it", "italian": "it", "la": "la", "lat": "la", "latin": "la", "non": "non", "oldenglish": "ang", "oldnorse": "non"}
 
 
-def parts(docs: DataFrame, pattern: str = "<[^>]*>|[^<]+|<", carry: tuple[str, ...] = ()) -> DataFrame:
+def parts(docs: DataFrame, pattern: str = "<[^>]*>|[^<]+|<", carry: tuple[str, ...] = (), keep: Callable[[Column], Column] | None = None) -> DataFrame:
     """(doc_id, n, raw, start, size): the pieces of each text in order, the offset of each and the length of the text, with columns of docs to carry.
 
-    pattern must match everything, so that the pieces are the whole text. No shuffle.
+    pattern must match everything, so that the pieces are the whole text. n counts from 0 the pieces that
+    keep, if given, is true of; others are left out. No shuffle.
     """
     rows = docs.where("text is not null").select("doc_id", *carry, F.length("text").alias("size"), F.regexp_extract_all("text", F.lit("(?s)" + pattern), F.lit(0)).alias("raw"))
     rows = running_starts(rows.withColumn("sizes", F.transform("raw", lambda p: F.length(p))), "sizes", "starts")
-    each = rows.select("doc_id", "size", *carry, F.posexplode(F.arrays_zip("raw", F.col("starts").alias("start"))).alias("n", "p"))
+    pieces = F.arrays_zip("raw", F.col("starts").alias("start"))
+    if keep:
+        pieces = F.filter(pieces, lambda p: keep(p["raw"]))
+    each = rows.select("doc_id", "size", *carry, F.posexplode(pieces).alias("n", "p"))
     return each.select("doc_id", "n", F.col("p.raw").alias("raw"), F.col("p.start").alias("start"), "size", *carry)
 
 
