@@ -37,7 +37,7 @@ _ATTRS = "attrs AS (SELECT doc_id, 'lang' AS key_name, lang AS value FROM docume
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return S.table(spark, d, "documents")
+    return S.spread(S.table(spark, d, "documents"))
 
 
 def _tokens(spark: SparkSession, d: str) -> DataFrame:

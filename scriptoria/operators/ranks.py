@@ -6,10 +6,12 @@ many tasks; what leaves a range is one row for each group in it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptoria.sources.tables import kept
+from scriptoria.sources.tables import kept, small
 
 
 def ranged(rows: DataFrame, by: list[str], order: list[Column], ranges: int | None = None) -> DataFrame:
@@ -19,13 +21,16 @@ def ranged(rows: DataFrame, by: list[str], order: list[Column], ranges: int | No
     return kept(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
 
 
+def _same(columns: list[str], prefix: str) -> Column:
+    """Each of the columns is equal to the one of its number under a prefix; nulls are equal."""
+    return reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"{prefix}{k}")) for k, c in enumerate(columns)))
+
+
 def _joined(rows: DataFrame, heads: DataFrame, by: list[str]) -> DataFrame:
     """rows with the columns of heads, one row a range and group; null groups are groups."""
-    heads = heads.withColumnsRenamed({c: f"_g{k}" for k, c in enumerate(["_range", *by])})
-    same = F.col("_range") == F.col("_g0")
-    for k, c in enumerate(by):
-        same &= F.col(c).eqNullSafe(F.col(f"_g{k + 1}"))
-    return rows.join(heads, same).drop("_range", *(f"_g{k}" for k in range(len(by) + 1)))
+    fields = ["_range", *by]
+    heads = heads.withColumnsRenamed({c: f"_g{k}" for k, c in enumerate(fields)})
+    return rows.join(heads, _same(fields, "_g")).drop("_range", *(f"_g{k}" for k in range(len(fields))))
 
 
 def _earlier(by: list[str], *columns: Column) -> Column:
@@ -63,20 +68,18 @@ def runs(rows: DataFrame, by: list[str], order: list[Column], key: str, ranges:
 def heads_of_orders(rows: DataFrame, by: list[str], orders: dict[str, list[Column]], key: str, most: int) -> DataFrame:
     """(*by, key, one place for each order): the rows among the first most of their group in any order; key tells a group's rows apart.
 
-    All places are those in the whole group. Only heads, most for each group and order, are joined.
+    All places are those in the whole group. The heads come from limited windows, of which each task ships most rows
+    a group; only they, most for each group and order, meet the places.
     """
-    rows = kept(rows, "ordered")
-    tables = {name: kept(placed(rows, by, order, name).select(*by, key, name), name) for name, order in orders.items()}
-    firsts = None
-    for name, table in tables.items():
-        part = table.where(F.col(name) <= most).select(*by, key)
-        firsts = part if firsts is None else firsts.unionByName(part)
-    out = firsts.distinct()
-    for table in tables.values():
-        fields = [*by, key]
-        other = table.withColumnsRenamed({c: f"_j{k}" for k, c in enumerate(fields)})
-        same = F.lit(True)
-        for k, c in enumerate(fields):
-            same &= F.col(c).eqNullSafe(F.col(f"_j{k}"))
-        out = out.join(other, same).drop(*(f"_j{k}" for k in range(len(fields))))
+    rows, fields = kept(rows, "ordered"), [*by, key]
+    firsts = []
+    for order in orders.values():
+        k = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        firsts.append(rows.withColumn("_k", k).where(F.col("_k") <= most).select(*fields))
+    heads = kept(reduce(DataFrame.unionByName, firsts).distinct(), "heads")
+    wanted = small(heads.select(*(F.col(c).alias(f"_h{k}") for k, c in enumerate(fields))))
+    out = heads
+    for name, order in orders.items():
+        places = placed(rows, by, order, name).join(wanted, _same(fields, "_h"), "left_semi")
+        out = out.join(places.select(name, *(F.col(c).alias(f"_j{k}") for k, c in enumerate(fields))), _same(fields, "_j")).drop(*(f"_j{k}" for k in range(len(fields))))
     return out

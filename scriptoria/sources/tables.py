@@ -18,6 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows dealt to all cores if their files would make fewer tasks than there are cores, else as they are.
+
+    A few files in one piece each would keep all but a few cores idle while texts are read; larger tables have
+    pieces enough and are not shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def line_chunks(docs: DataFrame) -> DataFrame:
     """One row for each line of docs(doc_id, lang, source, text): 1-based line and its character span.
 
