@@ -2,7 +2,7 @@
 
 A document's strength is linear in dense text features. It is learned from preference pairs (a
 labelled good document preferred to a labelled bad one) by logistic loss on the difference of
-their features. The threshold is a quantile of the labelled strengths: that below which there
+their features. Every labelled document takes part: they are dealt to blocks, and all pairs of a block count. The threshold is a quantile of the strengths of all labelled documents: that below which there
 are as many documents as are labelled bad, unless another is asked for.
 """
 
@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from scriptoria.llm.common import SEPARATORS, slices, text_bytes, word_hashes, word_spans
+from scriptoria.llm.common import SEPARATORS, dropped, saved, slices, text_bytes, word_hashes, word_spans
 
 FEATURES = ["words", "word_length", "symbols", "bars", "bangs", "capitals", "digits", "repeats", "distinct", "line_words", "stops", "wide"]
-#: Labelled rows of each class that a fit takes at most, by the order of a hash of their ids.
-SAMPLE = 6000
-#: Opponents that each labelled bad document meets.
+#: Documents of the larger class in a block of pairs, on average.
+BLOCK = 64
+#: Documents of the smaller class that each block has at least, on average; they are copied to several blocks for that.
 OPPONENTS = 16
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#$%&*+<=>@\\^_`{}~")] = True
@@ -85,37 +85,100 @@ class Ranking:
         return 1 / (1 + np.exp(-np.clip(self.strength(x) - self.threshold + np.log(0.7 / 0.3), -40, 40)))
 
 
-def fitted(x: np.ndarray, good: np.ndarray, shares: tuple[float, float], quantile: float | None = None, penalty: float = 1e-3) -> Ranking:
-    """Fit on features x and 0/1 labels; shares: of bad and good rows among all labelled ones.
+def blocks_of(rows: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """(block, members) of rows(doc_id, label, x): each row in a block at least, with rows of the other label; members are in one order.
+
+    A row of the larger class is in one block. Those of the smaller one are copied to as many blocks as are needed for OPPONENTS of them in each.
+    """
+    larger = int(counts[1] >= counts[0])
+    n = -(-counts[larger] // BLOCK)
+    copies = min(n, -(-OPPONENTS * n // counts[1 - larger]))
+    last = F.when(F.col("label") == larger, 0).otherwise(copies - 1)
+    dealt = rows.select("*", F.explode(F.sequence(F.lit(0), last)).alias("j"))
+    block = F.pmod(F.xxhash64("doc_id") + F.col("j"), F.lit(n))
+    return dealt.groupBy(block.alias("block")).agg(F.array_sort(F.collect_list(F.struct("label", "doc_id", "x"))).alias("members"))
+
+
+def _step(blocks: DataFrame, mean: np.ndarray, scale: np.ndarray, w: np.ndarray, penalty: float) -> np.ndarray:
+    """One Newton step on the mean logistic loss of all pairs with an L2 penalty; blocks add up where they are, the driver gets a sum from each task."""
+    width = len(w)
+
+    def sums(batches):
+        total = np.zeros(1 + width + width * width)
+        for batch in batches:
+            for members in batch.column("members"):
+                members = members.values
+                z = (np.asarray(members.field("x").flatten()).reshape(-1, width) - mean) / scale
+                good = np.asarray(members.field("label")) == 1
+                d = (z[good][:, None, :] - z[~good][None, :, :]).reshape(-1, width)
+                p = 1 / (1 + np.exp(-np.clip(d @ w, -40, 40)))
+                total += np.concatenate([[len(d)], d.T @ (1 - p), ((d * (p * (1 - p))[:, None]).T @ d).ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["sums"])
+
+    n, *rest = np.sum([r["sums"] for r in blocks.select("members").mapInArrow(sums, "sums array<double>").collect()], axis=0)
+    gradient, curve = np.array(rest[:width]), np.array(rest[width:]).reshape(width, width)
+    return np.linalg.solve(curve / n + penalty * np.eye(width), gradient / n - penalty * w)
+
+
+def cut_at(rows: DataFrame, masses: tuple[float, float], quantile: float, most: int = 10_000) -> float:
+    """The strength below which there is a quantile of all rows(label, s), each of the mass of its label: halfway between the strengths on its two sides.
+
+    Bins of strengths are counted over all rows, ever finer about the cut, until the bin that holds it has few rows or
+    one strength; so the driver sees bins, and most strengths at last.
+    """
+    both = [F.count_if(F.col("label") == k).alias(f"n{k}") for k in (0, 1)]
+    mass = lambda r: masses[0] * r["n0"] + masses[1] * r["n1"]
+    low, high, n = rows.agg(F.min("s"), F.max("s"), F.count("*")).first()
+    below = 0.0
+    while n > most and low < high:
+        bins = rows.where(F.col("s").between(low, high)).groupBy(F.floor((F.col("s") - low) / (high - low) * 1000).alias("bin")).agg(*both, F.min("s").alias("low"), F.max("s").alias("high")).orderBy("bin").collect()
+        for r in bins:
+            if r is bins[-1] or below + mass(r) >= quantile:
+                break
+            below += mass(r)
+        low, high, n = r["low"], r["high"], r["n0"] + r["n1"]
+    levels = rows.where(F.col("s").between(low, high)).groupBy("s").agg(*both).orderBy("s").collect()
+    under, over = rows.agg(F.max(F.when(F.col("s") < low, F.col("s"))), F.min(F.when(F.col("s") > high, F.col("s")))).first()
+    places = [levels[0]["s"] - 2 if under is None else under, *(r["s"] for r in levels), levels[-1]["s"] + 2 if over is None else over]
+    cut = int(np.abs(below + np.cumsum([0.0, *map(mass, levels)]) - quantile).argmin())
+    return (places[cut] + places[cut + 1]) / 2
+
+
+def fitted(rows: DataFrame, counts: dict[int, int], quantile: float | None = None, penalty: float = 1e-3) -> Ranking:
+    """Fit on all of rows(doc_id, label, x), labels 0 and 1; counts: of all labelled documents by label.
 
     quantile: the share of labelled rows to fall below the threshold; by default that of bad ones.
     The cut lies halfway between the strengths on its two sides. Without rows of both classes nothing can be preferred: all strengths are equal and every
     document passes if good rows were the only ones, or there were none.
     """
     width = len(FEATURES)
-    if not good.any() or good.all():
-        only_bad = len(good) > 0 and not good.any()
+    x = [F.get("x", F.lit(k)) for k in range(width)]
+    told = rows.agg(*(F.count_if(F.col("label") == k) for k in (0, 1)), *map(F.avg, x), *map(F.stddev_pop, x)).first()
+    have = {0: told[0], 1: told[1]}
+    if not have[0] or not have[1]:
+        only_bad = have[0] > 0
         return Ranking(np.zeros(width), np.ones(width), np.zeros(width), 1.0 if only_bad else -1.0, 1.0 if only_bad else 0.0)
-    mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
-    z = (x - mean) / scale
-    bad, best = np.flatnonzero(~good), np.flatnonzero(good)
-    rng = np.random.default_rng(7)
-    d = z[rng.choice(best, (len(bad), OPPONENTS))].reshape(-1, width) - np.repeat(z[bad], OPPONENTS, axis=0)
-    w = np.zeros(width)
-    for _ in range(30):  # Newton steps on the mean logistic loss with an L2 penalty
-        p = 1 / (1 + np.exp(-np.clip(d @ w, -40, 40)))
-        step = np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / len(d) + penalty * np.eye(width), d.T @ (1 - p) / len(d) - penalty * w)
+    mean, scale = np.round(told[2 : 2 + width], 12), np.maximum(np.round(told[2 + width :], 12), 1e-6)
+    blocks, w = saved(blocks_of(rows, have), "blocks"), np.zeros(width)
+    for _ in range(30):
+        step = _step(blocks, mean, scale, w, penalty)
         w += step
         if np.abs(step).max() < 1e-8:
             break
-    s = z @ w
-    mass = np.where(good, shares[1] / good.sum(), shares[0] / (~good).sum())
-    order = np.argsort(s, kind="stable")
-    quantile = shares[0] if quantile is None else quantile
-    below = np.concatenate([[0], np.cumsum(mass[order])])
-    cut = int(np.abs(below - quantile).argmin())
-    ranked = s[order]
-    at = ranked[0] - 1 if cut == 0 else ranked[-1] + 1 if cut == len(s) else (ranked[cut - 1] + ranked[cut]) / 2
+    dropped(blocks)
+    w = np.round(w, 6)  # sums of tasks come in any order
+    ranking = Ranking(mean, scale, w, 0.0, counts[0] / (counts[0] + counts[1]))
+
+    def strengths(batches):
+        for batch in batches:
+            s = ranking.strength(np.asarray(batch.column("x").flatten()).reshape(-1, width))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(s)], names=["label", "s"])
+
+    ranked = saved(rows.select("label", "x").mapInArrow(strengths, "label int, s double"), "strengths")
+    share = ranking.quantile
+    quantile = share if quantile is None else quantile
+    at = cut_at(ranked, (share / have[0], (1 - share) / have[1]), quantile)
+    dropped(ranked)
     return Ranking(mean, scale, w, float(at), quantile)
 
 
@@ -123,7 +186,15 @@ def _measured(batches):
     for batch in slices(batches):
         data, offsets = text_bytes(batch.column("text"))
         x = text_features(data, offsets)
-        yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(list(x), pa.list_(pa.float64()))], names=["label", "x"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "x"])
+
+
+def known_labels(labels: DataFrame, label: str, train) -> tuple[DataFrame, dict[int, int]]:
+    """(doc_id, label) of labels(doc_id, <label>) rows that train(doc_id) accepts, each id once, and the number of either label; null ids and labels are left out."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+    known = known.where("doc_id is not null and label in (0, 1)").where(train(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
+    rows = known.groupBy("label").count().collect()
+    return known, {0: 0, 1: 0} | {r["label"]: r["count"] for r in rows}
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train, each: int) -> tuple[DataFrame, dict[int, int]]:
@@ -132,10 +203,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train, each:
     labels(doc_id, <label>) rows that train(doc_id) accepts count once per id; null ids and
     labels are left out. The rows kept are those with the least hash of the id.
     """
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-    known = known.where("doc_id is not null and label in (0, 1)").where(train(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
-    rows = known.groupBy("label").count().collect()
-    counts = {0: 0, 1: 0} | {r["label"]: r["count"] for r in rows}
+    known, counts = known_labels(labels, label, train)
     chosen = None
     for value in (0, 1):
         part = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(each)
@@ -144,19 +212,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train, each:
     return texts.join(F.broadcast(chosen), "doc_id"), counts
 
 
-def train_quality(docs: DataFrame, labels: DataFrame, train, sample: int = SAMPLE, quantile: float | None = None) -> Ranking:
-    """Learn from labels(doc_id, quality) of the rows that train(doc_id) accepts; quantile is that of fitted().
+def train_quality(docs: DataFrame, labels: DataFrame, train, quantile: float | None = None) -> Ranking:
+    """Learn from labels(doc_id, quality) of all rows that train(doc_id) accepts; quantile is that of fitted().
 
-    The fit sees at most sample rows of each class, so the driver holds at most 2 * sample
-    feature rows whatever the size of the tables.
+    Features are measured where the texts are, so that only they are shuffled to meet their labels; they are written
+    once and read by each step of the fit. The driver holds sums and bins, whatever the size of the tables.
     """
-    rows, counts = labelled_sample(docs, labels, "quality", train, sample)
-    got = rows.select("label", "text").mapInArrow(_measured, "label int, x array<double>").toArrow()
-    x = np.array(got.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
-    y = got.column("label").to_numpy() == 1
-    order = np.lexsort((*x.T, y))  # the order of arrival must not matter
-    every = max(1, counts[0] + counts[1])
-    return fitted(x[order], y[order], (counts[0] / every, counts[1] / every), quantile)
+    known, counts = known_labels(labels, "quality", train)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null").where(train(F.col("doc_id")))
+    rows = saved(texts.mapInArrow(_measured, "doc_id long, x array<double>").join(known, "doc_id").select("doc_id", "label", "x"), "features")
+    ranking = fitted(rows, counts, quantile)
+    dropped(rows)
+    return ranking
 
 
 def score_quality(docs: DataFrame, model: Ranking, carry: tuple[str, ...] = ()) -> DataFrame:

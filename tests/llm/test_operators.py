@@ -585,3 +585,18 @@ def test_lm_buckets_share_a_bounded_number_of_partitions(spark, monkeypatch):
     want = plain_katz(rows, lambda i: i % 4 != 0)
     assert len(got) == len(rows) and all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-9) for r in got)
     assert got[0].train_tokens > 300 * 10  # so that there are more buckets than partitions
+
+
+def test_quality_is_learned_from_every_labelled_row(spark):
+    rows = [(k, 1, [float(k % 7)] * 12) for k in range(1000)] + [(k, 0, [float(k % 5)] * 12) for k in range(1000, 1003)]
+    table = spark.createDataFrame(rows, "doc_id long, label int, x array<double>")
+    members = quality.blocks_of(table, {0: 3, 1: 1000}).collect()
+    inside = [m.doc_id for b in members for m in b.members]
+    assert set(inside) == {r[0] for r in rows} and all({m.label for m in b.members} == {0, 1} for b in members)
+    strengths = spark.range(30_000).selectExpr("cast(id % 10 = 0 as int) as label", "cast(id as double) as s")
+    assert quality.cut_at(strengths, (1 / 30_000, 1 / 30_000), 0.25, most=50) == 7499.5
+    d, l, truth = _labelled(spark, "quality")
+    d, l = d.where("doc_id >= 10"), l.where("doc_id >= 10")
+    one, other = quality.train_quality(d, l, lambda i: F.lit(True)), quality.train_quality(d, l.withColumn("quality", F.when(F.col("doc_id") == 13, 1 - F.col("quality")).otherwise(F.col("quality"))), lambda i: F.lit(True))
+    assert not np.array_equal(one.weight, other.weight)
+    assert np.array_equal(one.weight, quality.train_quality(d.repartition(7), l, lambda i: F.lit(True)).weight)
