@@ -15,10 +15,16 @@ from scriptoria.sources.tables import xml_rows
 # How many fields a finished record of each kind of artifact has.
 FIELDS = {"Building": 43, "Coin": 45, "Gem": 58, "Sculpture": 59, "Site": 17, "Vase": 53}
 
+#: Rows of a file that write_xml writes, at most.
+FILE_ROWS = 10_000
+
 
 def write_xml(rows: DataFrame, path: str, root: str, row: str) -> str:
-    """Write a file of markup for each partition; columns whose names begin with _ are attributes, nulls are left out. The path."""
-    rows.write.format("xml").option("rootTag", root).option("rowTag", row).save(path)
+    """Write files of markup of FILE_ROWS rows at most; columns whose names begin with _ are attributes, nulls are left out. The path.
+
+    A file with a root is read by one task, so its size must not follow the table's.
+    """
+    rows.write.format("xml").option("rootTag", root).option("rowTag", row).option("maxRecordsPerFile", FILE_ROWS).save(path)
     return path
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.sources.tables import small, table
+from scriptoria.sources.tables import small, spread, table
 
 
 def order_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -144,7 +144,7 @@ def artifact_file(spark: SparkSession, d: str) -> DataFrame:
     kind = F.get(F.array(*map(F.lit, kinds)), (F.col("p_partkey") % 7).cast("int"))
     rest = F.get(F.array(*(F.lit(FIELDS.get(k, 20) - 5) for k in kinds)), (F.col("p_partkey") % 7).cast("int")) - (F.col("p_partkey") % 13 == 0).cast("int")
     version = F.when(F.col("p_partkey") % 11 == 0, "").otherwise((F.col("p_size") % 8 - 1).cast("string"))
-    return table(spark, d, "part").select(
+    return spread(table(spark, d, "part")).select(
         F.concat("p_brand", F.lit(" & "), F.col("p_partkey").cast("string")).alias("name"), kind.alias("type"), F.col("p_type").alias("location"), F.col("p_name").alias("summary"), version.alias("perseus_version"), F.array_repeat(F.lit("told"), rest).alias("other_notes")
     )
 

@@ -133,3 +133,12 @@ def test_lemmas_of_a_corpus_match_plain_sums(spark):
     got = {r.lemma: (r.max_freq, r.min_freq, round(r.weighted_freq, 6), r.n_docs) for r in A.corpus_lemmas(docs, table).collect()}
     assert got == {k: (m[0], m[1], round(m[2], 6), len(m[3])) for k, m in want.items()}
     assert A.corpus_lemmas(docs.limit(0), table).count() == 0 and A.corpus_lemmas(docs, table.limit(0)).where("lemma = 'lues'").count() == 1
+
+
+def test_files_of_markup_are_bounded(spark, monkeypatch):
+    import os
+
+    monkeypatch.setattr(L, "FILE_ROWS", 100)
+    path = L.write_xml(spark.range(1050).coalesce(1).selectExpr("id as n"), S.shared_folder(spark, "bounded"), "rows", "row")
+    files = [f for f in os.listdir(path.removeprefix("file://")) if f.startswith("part-")]
+    assert len(files) == 11 and S.xml_rows(spark, path, "row", "n long").selectExpr("sum(n)", "count(*)").first() == (1049 * 525, 1050)
