@@ -27,13 +27,18 @@ def _texts(spark, d):
     return order_texts(spark, d)
 
 
-def _sections(spark, d):
-    return K.cited(K.sections(_texts(spark, d)), 2)
+def _kept_texts(spark, d):
+    """The texts, written once for queries that read them twice."""
+    return S.kept(_texts(spark, d), "texts")
 
 
-def _occurrences(spark, d):
+def _sections(spark, d, texts=None):
+    return K.cited(K.sections(_texts(spark, d) if texts is None else texts), 2)
+
+
+def _occurrences(spark, d, texts=None):
     gazetteer = S.table(spark, d, "nation").select(F.concat(F.lit("nation,"), "n_nationkey").alias("auth_name"), F.col("n_name").alias("display_name"))
-    return N.occurrences(_texts(spark, d), gazetteer)
+    return N.occurrences(_texts(spark, d) if texts is None else texts, gazetteer)
 
 
 @query(f"WITH {_SECTIONS} SELECT doc_id, type, value, path, position, abs_position, start_offset, end_offset FROM sections")
@@ -140,15 +145,17 @@ def entities_in_window(spark, d):
 
 @query(f"WITH {_NAMES} SELECT doc_id, 'order=' || o_orderkey AS path, class, auth_name, count(*) AS n, min(start_offset) AS first_position FROM occurrences GROUP BY ALL")
 def entities_by_section(spark, d):
-    chunks = _sections(spark, d).where("type = 'order'").select("doc_id", "path", "start_offset", "end_offset")
-    pairs = J.bucketed_range_join(chunks, _occurrences(spark, d), "doc_id", J.contains())
+    texts = _kept_texts(spark, d)
+    chunks = _sections(spark, d, texts).where("type = 'order'").select("doc_id", "path", "start_offset", "end_offset")
+    pairs = J.bucketed_range_join(chunks, _occurrences(spark, d, texts), "doc_id", J.contains())
     return pairs.groupBy(F.col("o.doc_id").alias("doc_id"), F.col("o.path").alias("path"), "class", "auth_name").agg(F.count("*").alias("n"), F.min("i.start_offset").alias("first_position"))
 
 
 @query(f"WITH {_NAMES} SELECT collection, class, auth_name, count(*) AS max_freq, CAST(sum(CASE WHEN ambiguous THEN 0 ELSE 1 END) AS BIGINT) AS min_freq, count(DISTINCT doc_id) AS n_docs FROM occurrences GROUP BY ALL")
 def entities_of_collections(spark, d):
-    members = K.headers(_texts(spark, d)).where("key_name = 'creator'").select("doc_id", F.col("value").alias("collection"))
-    by_doc = N.frequencies(_occurrences(spark, d), "doc_id").join(members, "doc_id")
+    texts = _kept_texts(spark, d)
+    members = K.headers(texts).where("key_name = 'creator'").select("doc_id", F.col("value").alias("collection"))
+    by_doc = N.frequencies(_occurrences(spark, d, texts), "doc_id").join(members, "doc_id")
     return by_doc.groupBy("collection", "class", "auth_name").agg(F.sum("max_freq").alias("max_freq"), F.sum("min_freq").alias("min_freq"), F.count("*").alias("n_docs"))
 
 
@@ -193,8 +200,9 @@ def places_with_their_entries(spark, d):
 @query(f"WITH {_NAMES} SELECT doc_id, class, auth_name, 'order=' || o_orderkey AS root, row_number() OVER (PARTITION BY doc_id ORDER BY o_orderkey, k) AS place FROM occurrences")
 def entities_under_their_division(spark, d):
     """Occurrences re-rooted at their outermost section, in the order of section and position."""
-    chunks = _sections(spark, d).select("doc_id", F.split_part("path", F.lit(":"), F.lit(1)).alias("root"), "start_offset", "end_offset", "parent_n", "type").where("type = 'order'")
-    pairs = J.bucketed_range_join(chunks, _occurrences(spark, d), "doc_id", J.contains()).select(F.col("o.doc_id").alias("doc_id"), "class", "auth_name", "o.root", "i.start_offset")
+    texts = _kept_texts(spark, d)
+    chunks = _sections(spark, d, texts).select("doc_id", F.split_part("path", F.lit(":"), F.lit(1)).alias("root"), "start_offset", "end_offset", "parent_n", "type").where("type = 'order'")
+    pairs = J.bucketed_range_join(chunks, _occurrences(spark, d, texts), "doc_id", J.contains()).select(F.col("o.doc_id").alias("doc_id"), "class", "auth_name", "o.root", "i.start_offset")
     order = X.path_steps(F.col("root"))[0]["value"].cast("long")
     return pairs.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy(order, "start_offset"))).select("doc_id", "class", "auth_name", "root", "place")
 
@@ -300,7 +308,7 @@ def abstract_works(spark, d):
 
 @query(f"WITH {_SECTIONS}, w AS (SELECT *, row_number() OVER o AS nth, lag(path) OVER o AS previous, lead(path) OVER o AS next, first_value(path) OVER o AS first, count(*) OVER (PARTITION BY doc_id) AS n_references FROM sections WHERE type = 'order' WINDOW o AS (PARTITION BY doc_id ORDER BY start_offset)) SELECT doc_id, path, nth, previous, next, first, n_references, md5(substring(text, CAST(start_offset + 1 AS BIGINT), CAST(end_offset - start_offset AS BIGINT))) AS passage FROM w JOIN texts USING (doc_id)")
 def passages_by_reference(spark, d):
-    texts = _texts(spark, d)
+    texts = _kept_texts(spark, d)
     refs = R.references(K.cited(K.sections(texts), 2), "order")
     return R.passages(refs, texts).select("doc_id", "path", "nth", "previous", "next", "first", "n_references", F.md5("passage").alias("passage"))
 

@@ -10,6 +10,8 @@ from scriptoria.functions.text import join_present, without_tags
 from scriptoria.sources.markup import attribute, element, parts
 from scriptoria.sources.tables import small
 
+#: Entries of a gazetteer that is sent to all tasks, at most; with more, places are shuffled to meet theirs.
+FEW = 200_000
 _MENTION = r"<(placeName|persName|dateStruct|date|name)\b[^>]*>.*?</\1>|<dateRange\b[^>]*>"
 
 
@@ -82,10 +84,22 @@ def occurrences(docs: DataFrame, gazetteer: DataFrame) -> DataFrame:
     rows = rows.where(F.col("_asked").isNotNull() | F.col("_names").isNotNull() | (F.col("class").isin("date", "range") & F.col("auth_name").isNotNull())).drop("_names")
 
     told = ["doc_id", "k", "start_offset", "end_offset", "class", "auth_name", "display_name", "display_text", "ambiguous"]
+    if gazetteer.limit(FEW + 1).count() <= FEW:  # each step of a place is looked up where the row is
+        known, found = _gazetteer(gazetteer).groupBy("kind", "asked").agg(F.min(F.struct("place_auth", "place_display")).alias("e")), rows
+        for k in range(4):
+            step = F.broadcast(known.select(F.col("kind").alias("_kind"), F.col("asked").alias("_name"), F.col("e").alias(f"_e{k}")))
+            of = lambda field: F.get("_asked", F.lit(k))[field]  # noqa: B023, E731
+            found = found.join(step, (of("kind") == F.col("_kind")) & (of("asked") == F.col("_name")), "left").drop("_kind", "_name")
+        found = found.select(*told, F.coalesce(*(f"_e{k}" for k in range(4))).alias("e")).where("class != 'place' or e is not null")
+        return _resolved(found)
     tried = rows.select(*told, F.explode_outer("_asked").alias("t")).select(*told, "t.*")
     found = tried.join(small(_gazetteer(gazetteer)), ["kind", "asked"], "left")
     step = F.when(F.col("place_auth").isNotNull(), F.col("step"))
     found = found.groupBy(*told).agg(F.min_by(F.struct("place_auth", "place_display"), step).alias("e")).where("class != 'place' or e is not null")
+    return _resolved(found)
+
+
+def _resolved(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "k", "start_offset", "end_offset", "class", F.coalesce("e.place_auth", "auth_name").alias("auth_name"), F.coalesce("e.place_display", "display_name").alias("display_name"), "display_text", "ambiguous")
 
 

@@ -57,12 +57,17 @@ def nearest(asked: DataFrame, known: DataFrame, key: list[str]) -> DataFrame:
 
 def references(chunks: DataFrame, kind: str) -> DataFrame:
     """(doc_id, path, nth, previous, next, first, n_references, start_offset, end_offset) of a text's sections of one type."""
-    w = Window.partitionBy("doc_id").orderBy("start_offset", "n")
+    whole = Window.partitionBy("doc_id")
+    w = whole.orderBy("start_offset", "n")
     rows = chunks.where(F.col("type") == kind).withColumn("nth", F.row_number().over(w)).withColumn("previous", F.lag("path").over(w)).withColumn("next", F.lead("path").over(w))
-    sizes = rows.groupBy("doc_id").agg(F.count("*").alias("n_references"), F.min_by("path", "nth").alias("first"))
-    return rows.join(sizes, "doc_id").select("doc_id", "path", "nth", "previous", "next", "first", "n_references", "start_offset", "end_offset")
+    rows = rows.withColumn("first", F.first("path").over(w)).withColumn("n_references", F.count("*").over(whole))
+    return rows.select("doc_id", "path", "nth", "previous", "next", "first", "n_references", "start_offset", "end_offset")
 
 
 def passages(refs: DataFrame, docs: DataFrame) -> DataFrame:
-    """refs with passage: the text between a reference's offsets."""
-    return refs.join(docs.select("doc_id", "text"), "doc_id").withColumn("passage", F.substring("text", F.col("start_offset") + 1, F.col("end_offset") - F.col("start_offset"))).drop("text")
+    """refs with passage: the text between a reference's offsets. A text meets its references once, and is not copied to each of them."""
+    rest = [c for c in refs.columns if c != "doc_id"]
+    of_text = refs.groupBy("doc_id").agg(F.collect_list(F.struct(*rest)).alias("refs"))
+    part = lambda r: F.substring(F.col("text"), r["start_offset"] + 1, r["end_offset"] - r["start_offset"])
+    told = F.transform("refs", lambda r: F.struct(*(r[c].alias(c) for c in rest), part(r).alias("passage")))
+    return of_text.join(docs.select("doc_id", "text"), "doc_id").select("doc_id", F.inline(told))

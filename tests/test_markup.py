@@ -226,3 +226,27 @@ def test_links_by_their_place(spark):
     rows = lambda i, kind: [(i, "Hom. Il. 1", kind, "chapter=1", " or "), (i, "u", kind, None, "w"), (i, "x", kind, "chapter=1", "there"), (i, "y", "index", "chapter=1:list=index", "z")]
     assert got == rows("d", "lexicon") + rows("e", "text")
     assert K.placed_links(docs.limit(0)).count() == 0
+
+
+def test_places_are_looked_up_without_a_shuffle(spark, monkeypatch):
+    from scriptoria.operators import entities
+
+    docs = spark.createDataFrame([(1, '<placeName key="a;x">home</placeName> <placeName n="none" reg="B">b</placeName> <placeName>nowhere</placeName> <persName reg="p:Smith,Jo">Jo</persName>')], "doc_id long, text string")
+    known = spark.createDataFrame([("a", "A"), ("a", "A2"), ("b", "B"), ("b2", "B")], "auth_name string, display_name string").coalesce(1)
+    found = entities.occurrences(docs, known)
+    assert not [x for x in found._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning(doc_id" in x]
+    rows = sorted((r.k, r.auth_name, r.display_name, r.ambiguous) for r in found.collect())
+    assert rows == [(1, "a", "A", True), (2, "b", "B", True), (4, "smith,jo", "Jo Smith", True)]
+    monkeypatch.setattr(entities, "FEW", 0)
+    assert sorted((r.k, r.auth_name, r.ambiguous) for r in entities.occurrences(docs, known).collect()) == [(k, a, m) for k, a, _, m in rows]
+
+
+def test_references_read_their_sections_once(spark):
+    from scriptoria.operators import resources
+
+    chunks = spark.createDataFrame([(1, n, "order", f"order={n}", 5 * n, 5 * n + 4) for n in (2, 0, 1)] + [(1, 9, "line", "line=9", 0, 1)], "doc_id long, n int, type string, path string, start_offset long, end_offset long")
+    refs = resources.references(chunks, "order")
+    assert "Join" not in refs._jdf.queryExecution().executedPlan().toString()
+    docs = spark.createDataFrame([(1, "abcd efgh ijkl"), (2, "none")], "doc_id long, text string")
+    got = sorted((r.nth, r.first, r.previous, r.n_references, r.passage) for r in resources.passages(refs.withColumns({c: F.col(c).cast("int") for c in ("start_offset", "end_offset")}), docs).collect())
+    assert got == [(1, "order=0", None, 3, "abcd"), (2, "order=0", "order=0", 3, "efgh"), (3, "order=0", "order=1", 3, "ijkl")]
