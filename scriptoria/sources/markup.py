@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from scriptoria.functions.text import running_starts, words
 from scriptoria.operators.structure import bucketed_range_join, contains
-from scriptoria.sources.tables import kept
+from scriptoria.sources.tables import dealt
 
 # Elements that hold citable sections, and those that begin one without holding it.
 DIVISIONS = ["div", "div0", "div1", "div2", "div3", "div4"]
@@ -47,26 +47,115 @@ def element(raw: Column) -> Column:
 def attribute(raw: Column, name: str) -> Column:
     """An attribute of a tag; null if it is missing or empty."""
     value = F.regexp_extract(raw, rf'^<[^>]*?\s{name}="([^"]*)"', 1)
-    return F.when(value != "", value)
+    return F.when(F.contains(raw, F.lit(f'{name}="')), F.when(value != "", value))
 
 
-def section_orders(found: DataFrame) -> DataFrame:
-    """(doc_id, above, type): which types of section hold which, learned from the order in which a text's types first appear.
+def tags_named(text: Column, names: list[str]) -> Column:
+    """The tags of these names in order, an array of (length, own, raw, name, step, line, type).
 
-    found(doc_id, n, name, edition, type): divisions and milestones of a unit count, those of each edition by
-    themselves; lines, pages and entries hold nothing and are held by elements only.
+    own is a tag's length, length that with all since the tag before, so that a running sum of it is where the tag ends. step is 1 for an opening
+    tag, -1 for a closing one, 0 for others. type is that of the section that the tag begins, null if it begins none, line its edition.
     """
-    first = found.where(F.col("name").isin([*DIVISIONS, "milestone"])).groupBy("doc_id", "edition", "type").agg(F.min("n").alias("n"))
-    types = first.groupBy("doc_id", "edition").agg(F.array_sort(F.collect_list(F.struct("n", "type"))).alias("types"))
-    pairs = F.flatten(F.transform("types", lambda t, k: F.transform(F.slice("types", F.lit(1), k), lambda a: F.struct(a["type"].alias("above"), t["type"].alias("type")))))
-    return types.select("doc_id", F.inline(pairs)).distinct()
+    pattern = rf"(?s)(?:[^<]++|<(?!/?(?:{'|'.join(names)})(?![\w.:-]))[^>]*+>|<(?![^>]*+>))*+(?:(<[^>]*+>)|\z)"
+    pieces = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda p: F.struct(F.length(p).alias("length"), F.regexp_extract(p, "^" + pattern, 1).alias("raw")))
+    kept = lambda t, *c: [t[x].alias(x) for x in c]
+    named = F.transform(F.filter(pieces, lambda t: t["raw"] != ""), lambda t: F.struct(*kept(t, "length", "raw"), element(t["raw"]).alias("name")))
+    step = lambda t: F.when(F.endswith(t["raw"], F.lit("/>")) | t["name"].isin(MILESTONES), 0).when(F.startswith(t["raw"], F.lit("</")), -1).otherwise(1)
+    begins = lambda t: ~F.startswith(t["raw"], F.lit("</")) & ((t["name"] != "text") | attribute(t["raw"], "n").isNotNull())
+    stepped = F.transform(named, lambda t: F.struct(*kept(t, "length", "raw", "name"), step(t).alias("step"), F.when(begins(t), F.struct(*_typed(t["raw"], t["name"]))).alias("of")))
+    kind = lambda o: F.when(o["line"].isNotNull() | o["base"].isNotNull(), F.lower(F.concat_ws(" ", o["line"], o["base"])))
+    return F.transform(stepped, lambda t: F.struct(*kept(t, "length", "raw", "name", "step"), F.length(t["raw"]).alias("own"), t["of"]["line"].alias("line"), kind(t["of"]).alias("type")))
+
+
+def _typed(raw: Column, name: Column) -> tuple[Column, Column]:
+    """Edition and base of the type of the section that a tag begins; both may be null."""
+    edition = F.lower(attribute(raw, "ed"))
+    base = F.when(name.isin("l", "lb"), "line").when(name.isin(DIVISIONS), F.coalesce(attribute(raw, "type"), name)).when(name == "milestone", attribute(raw, "unit")).when(name == "pb", "page").when(name.isin("entry", "entryFree"), "entry").otherwise(name)
+    prefixed = name.isin(MILESTONES) | name.isin(DIVISIONS) & attribute(raw, "type").isNotNull()
+    return F.when(prefixed & (edition != "p"), edition).alias("line"), base.alias("base")
+
+
+def section_orders(tags: Column) -> Column:
+    """Which types of section hold which, learned from the order in which a text's types first appear: an array of (line, k, type).
+
+    tags are those of tags_named. A type holds those of the same line with a larger k. Divisions and milestones of a unit count, those of each edition
+    are a line; lines, pages and entries hold nothing and are held by elements only.
+    """
+    found = F.filter(tags, lambda t: t["type"].isNotNull() & t["name"].isin(*DIVISIONS, "milestone"))
+    types = F.array_distinct(F.transform(found, lambda t: F.struct(F.coalesce(t["line"], F.lit("")).alias("line"), t["type"].alias("type"))))
+    return F.transform(types, lambda t, k: F.struct(t["line"].alias("line"), k.alias("k"), t["type"].alias("type")))
 
 
 def scheme_orders(schemes: DataFrame) -> DataFrame:
-    """(doc_id, above, type) of schemes(doc_id, scheme): types from the outermost down, divided by : or *."""
+    """(doc_id, orders) of schemes(doc_id, scheme), orders as section_orders gives: types from the outermost down, divided by : or *."""
     steps = F.filter(F.split(F.lower("scheme"), r"[:*]+"), lambda t: t != "")
-    pairs = F.flatten(F.transform(F.col("steps"), lambda t, k: F.transform(F.slice("steps", F.lit(1), k), lambda a: F.struct(a.alias("above"), t.alias("type")))))
-    return schemes.select("doc_id", steps.alias("steps")).select("doc_id", F.inline(pairs)).where("above != type").distinct()
+    lines = F.transform(steps, lambda t, k: F.struct(F.lower("scheme").alias("line"), k.alias("k"), t.alias("type")))
+    return schemes.groupBy("doc_id").agg(F.flatten(F.collect_list(lines)).alias("orders"))
+
+
+def held_types(orders: Column) -> Column:
+    """A map from each type to those that it holds by orders; types that hold none are left out."""
+    below = lambda kind: F.array_distinct(F.transform(F.filter(orders, lambda t: (t["type"] != kind) & F.exists(orders, lambda a: (a["type"] == kind) & (a["line"] == t["line"]) & (a["k"] < t["k"]))), lambda t: t["type"]))
+    kinds = F.array_distinct(F.transform(orders, lambda t: t["type"]))
+    return F.map_from_entries(F.filter(F.transform(kinds, lambda t: F.struct(t.alias("key"), below(t).alias("value"))), lambda e: F.size(e["value"]) > 0))
+
+
+def nested(docs: DataFrame, schemes: DataFrame | None = None) -> DataFrame:
+    """(doc_id, sections): the sections of each text with one, as sections() describes, in one array in the order of their n.
+
+    Texts are dealt by doc_id once; tags are brought into order within the text from there, and no tag is shuffled or written.
+    """
+    told = None if schemes is None else scheme_orders(schemes)
+    docs = docs.where("text is not null").select("doc_id", "text")
+    docs = docs.withColumn("told", F.lit(None).cast("array<struct<line:string,k:int,type:string>>")) if told is None else docs.join(told, "doc_id", "left").withColumnRenamed("orders", "told")
+    texts = dealt(docs, "doc_id").select("doc_id", F.monotonically_increasing_id().alias("_row"), F.length("text").alias("size"), "told", tags_named(F.col("text"), CONTAINERS + MILESTONES).alias("tags"))
+    texts = texts.withColumn("orders", held_types(F.coalesce("told", section_orders(F.col("tags")))))
+    raw, name, section = F.col("raw"), F.col("name"), F.col("type").isNotNull()
+    tags = texts.select("doc_id", "_row", "size", "orders", F.posexplode("tags").alias("n", "t")).select("doc_id", "_row", "size", "orders", "n", "t.*")
+    tags = tags.select("doc_id", "_row", "n", "raw", "name", "step", "type", "length", "own", "size", F.coalesce(F.try_element_at("orders", F.col("type")), F.array().cast("array<string>")).alias("holds"))
+    whole = Window.partitionBy("_row", "doc_id").orderBy("n")
+    upto = whole.rowsBetween(Window.unboundedPreceding, 0)
+    tags = tags.withColumn("depth", F.sum("step").over(upto)).withColumn("after", F.sum("length").over(upto)).withColumn("abs_position", F.count("type").over(upto)).withColumn("_next", F.lead(F.struct("step", "length", "own", "name")).over(whole)).withColumn("_last", F.lag("step").over(whole))
+    # An opening tag marks its own level and, for what it holds, the next; a closing tag likewise. An element that holds no other is one mark.
+    start = (F.col("after") - F.col("own")).alias("start")
+    leaf = F.when((F.col("step") == 1) & (F.col("_next.step") == -1), F.struct((F.col("n") + 1).alias("n"), (F.col("after") + F.col("_next.length") - F.col("_next.own")).alias("start"), (F.col("after") + F.col("_next.length")).alias("after"), F.col("_next.name").alias("name")))
+    level = F.when(F.col("step") == 1, F.col("depth")).otherwise(F.col("depth") + 1)
+    mark = lambda kind, at: F.struct((level + at).alias("level"), F.lit(kind).alias("kind"))
+    marks = F.when(F.col("step") == 0, F.array(mark("alone", 0))).when(leaf.isNotNull(), F.array(mark("leaf", 0))).when(F.col("step") == 1, F.array(mark("open", 0), mark("begin", 1)))
+    marks = marks.when((F.col("step") == -1) & F.coalesce(F.col("_last") != 1, F.lit(True)), F.array(mark("close", 0), mark("end", 1)))
+    rows = tags.select("doc_id", "_row", "n", F.when(section, raw).alias("raw"), "name", "type", "holds", "size", start, "after", F.when(section, F.col("abs_position")).alias("abs_position"), leaf.alias("leaf"), F.inline(marks))
+    rows = rows.withColumn("begun", F.when(F.col("kind") == "begin", F.struct("n", F.col("abs_position").alias("at")))).withColumn("shut", F.when(F.col("kind") == "close", F.struct("n", "start", "after", "name"))).withColumn("left", F.when(F.col("kind") == "end", F.col("start")))
+    over = "over (partition by _row, doc_id, level order by n)"
+    around = F.last("begun", ignorenulls=True).over(Window.partitionBy("_row", "doc_id", "level").orderBy("n").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("around", around).withColumn("close", F.coalesce("leaf", F.expr(f"lead(shut) ignore nulls {over}"))).withColumn("ended", F.coalesce(F.expr(f"lead(left) ignore nulls {over}"), F.col("size").cast("long")))
+    rows = rows.where(F.col("kind").isin("open", "leaf", "alone") & section)
+    declared = F.when(name.isin("entry", "entryFree"), attribute(raw, "key")).when(name.isin(DIVISIONS) & (F.lower(F.coalesce(attribute(raw, "type"), name)) == "entry"), F.coalesce(attribute(raw, "id"), attribute(raw, "n"))).when(name != "titlePage", attribute(raw, "n"))
+    milestone = name.isin(MILESTONES)
+    shut = F.when(F.col("close.name") == name, F.col("close.after")).otherwise(F.col("close.start"))
+    closed = F.when(F.col("kind") != "alone", F.coalesce(shut, F.col("ended"))).when(milestone, F.col("ended")).otherwise(F.col("after"))
+    # Where a section begins or ends of a type that holds others, each of those types has a turn.
+    turn_n, turn_at = F.when(milestone, F.col("n")).otherwise(F.col("close.n")), F.when(milestone, F.col("start")).otherwise(F.col("close.start"))
+    begins = F.when(milestone, F.struct("n", F.col("abs_position").alias("at")))
+    turn = lambda kind, n, at, begins, k: F.struct(kind.alias("of"), n.alias("turn_n"), at.alias("at"), begins.alias("begins"), F.lit(k).alias("turn"))
+    own = turn(F.col("type"), F.col("n"), F.when(milestone, F.col("start")), F.when(F.lit(False), F.struct("n", F.col("abs_position").alias("at"))), 0)
+    turns = F.concat(F.array(own), F.when(turn_n.isNotNull(), F.transform("holds", lambda t: turn(t, turn_n, turn_at, begins, 1))).otherwise(F.array().cast("array<struct<of:string,turn_n:int,at:bigint,begins:struct<n:int,at:bigint>,turn:int>>")))
+    rows = rows.select("doc_id", "_row", "n", "type", declared.alias("declared"), F.coalesce(attribute(raw, "id"), F.when(name.isin("entry", "entryFree"), "")).alias("id"), "start", closed.alias("closed"), milestone.alias("milestone"), "abs_position", "around", F.inline(turns))
+    same = Window.partitionBy("_row", "doc_id", "of").orderBy("turn_n", F.desc("turn"))
+    so_far = same.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("scope", F.sum("turn").over(so_far)).withColumn("position", F.count_if(F.col("turn") == 0).over(so_far)).withColumn("held", F.last("begins", ignorenulls=True).over(so_far)).withColumn("later", F.expr("lead(at) ignore nulls over (partition by _row, doc_id, of order by turn_n, turn desc)"))
+    rows = rows.where("turn = 0")
+    within = [F.when(F.col("type") != "entry", c) for c in (F.col("around.n"), F.col("scope"))]
+    rows = rows.withColumn("value", F.coalesce("declared", F.row_number().over(Window.partitionBy("_row", "doc_id", "type", *within).orderBy("n")).cast("string")))
+    end = F.when(F.col("milestone"), F.least("later", "closed")).otherwise(F.col("closed"))
+    identity = F.when(F.col("id") == "", F.col("value")).otherwise(F.col("id"))
+    each = F.struct(F.col("abs_position").cast("int").alias("n"), "type", "value", identity.alias("section_id"), F.col("position").cast("int").alias("position"), F.col("start").alias("start_offset"), end.alias("end_offset"), "around", "held")
+    texts = rows.groupBy("_row", "doc_id").agg(F.sort_array(F.collect_list(each)).alias("_found"))
+    # Sections of a text are numbered without gaps, so that one is at its number.
+    found = F.col("_found")
+    inside = lambda s: (F.get(found, (s["held"]["at"] - 1).cast("int"))["end_offset"] > s["start_offset"]) & (s["held"]["n"] > F.coalesce(s["around"]["n"], F.lit(-1)))
+    parent = lambda s: F.when(inside(s), s["held"]["at"]).otherwise(s["around"]["at"]).cast("int")
+    out = F.transform(found, lambda s: F.struct(s["n"].alias("n"), parent(s).alias("parent_n"), *(s[c].alias(c) for c in ("type", "value", "section_id", "position")), s["n"].alias("abs_position"), *(s[c].alias(c) for c in ("start_offset", "end_offset"))))
+    return texts.select("doc_id", out.alias("sections"))
 
 
 def sections(docs: DataFrame, schemes: DataFrame | None = None) -> DataFrame:
@@ -79,55 +168,10 @@ def sections(docs: DataFrame, schemes: DataFrame | None = None) -> DataFrame:
     the element ends that encloses it. An element that is never closed ends with what encloses it, or with the text. value is the
     declared one, else the running number of the type since a section of a type that holds it ended, within the
     enclosing element (of entries: within the text). position counts the type, abs_position all
-    sections, in the order of their starts. n names a section within its text; parent_n is the innermost
-    element or open milestone that holds it. Tags, and sections with their ends, are written to the shared folder, as several steps read them.
+    sections, in the order of their starts. n names a section within its text, counted from 1; parent_n is that of the innermost
+    element or open milestone that holds it, null if that is no section.
     """
-    tags = parts(docs).where(F.startswith("raw", F.lit("<"))).withColumn("name", element(F.col("raw"))).where(F.col("name").isin(CONTAINERS + MILESTONES))
-    closing, alone = F.startswith("raw", F.lit("</")), F.endswith("raw", F.lit("/>")) | F.col("name").isin(MILESTONES)
-    step = F.when(alone, 0).when(closing, -1).otherwise(1)
-    whole = Window.partitionBy("doc_id").orderBy("n")
-    tags = tags.withColumn("after", F.col("start") + F.length("raw")).withColumn("step", step).withColumn("depth", F.sum("step").over(whole.rowsBetween(Window.unboundedPreceding, 0)))
-    # An opening tag marks its own level and, for what it holds, the next; a closing tag likewise.
-    own = F.when(F.col("step") == 1, F.col("depth")).otherwise(F.col("depth") + 1)
-    marks = F.when(F.col("step") == 0, F.array(F.struct(own.alias("level"), F.lit("alone").alias("kind"))))
-    marks = marks.when(F.col("step") == 1, F.array(F.struct(own.alias("level"), F.lit("open").alias("kind")), F.struct((own + 1).alias("level"), F.lit("begin").alias("kind"))))
-    marks = marks.otherwise(F.array(F.struct(own.alias("level"), F.lit("close").alias("kind")), F.struct((own + 1).alias("level"), F.lit("end").alias("kind"))))
-    rows = tags.select("doc_id", "size", "n", "raw", "name", "start", "after", F.inline(marks))
-    level = Window.partitionBy("doc_id", "level")
-    back, ahead = level.orderBy("n").rowsBetween(Window.unboundedPreceding, 0), level.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("around", F.last(F.when(F.col("kind") == "begin", F.col("n")), ignorenulls=True).over(back))
-    rows = rows.withColumn("close", F.last(F.when(F.col("kind") == "close", F.struct("n", "start", "after", "name")), ignorenulls=True).over(ahead)).withColumn("ended", F.coalesce(F.last(F.when(F.col("kind") == "end", F.col("start")), ignorenulls=True).over(ahead), F.col("size")))
-    raw, name = F.col("raw"), F.col("name")
-    edition = attribute(raw, "ed")
-    base = F.when(name.isin(DIVISIONS), F.coalesce(attribute(raw, "type"), name)).when(name == "milestone", attribute(raw, "unit")).when(name == "pb", "page").when(name.isin("l", "lb"), "line").when(name.isin("entry", "entryFree"), "entry").otherwise(name)
-    prefixed = name.isin(DIVISIONS) & attribute(raw, "type").isNotNull() | name.isin(MILESTONES)
-    edition = F.when(prefixed & (F.lower(edition) != "p"), F.lower(edition))
-    kind = F.lower(F.when(edition.isNotNull(), F.concat_ws(" ", edition, base)).otherwise(base))
-    declared = F.when(name.isin("entry", "entryFree"), attribute(raw, "key")).when(name.isin(DIVISIONS) & (F.lower(base) == "entry"), F.coalesce(attribute(raw, "id"), attribute(raw, "n"))).when(name != "titlePage", attribute(raw, "n"))
-    rows = rows.where(F.col("kind").isin("open", "alone") & ((name != "text") | attribute(raw, "n").isNotNull())).withColumn("edition", edition).withColumn("type", kind).where("type is not null").withColumn("declared", declared).withColumn("id", attribute(raw, "id"))
-    rows = kept(rows.select("doc_id", "n", "name", "start", "after", "kind", "around", "close", "ended", "edition", "type", "declared", "id"), "tags")
-    holds = section_orders(rows)
-    if schemes is not None:
-        holds = holds.join(schemes.select("doc_id").distinct(), "doc_id", "left_anti").unionByName(scheme_orders(schemes))
-    # Where sections of a holding type begin or end, seen from each type that they hold.
-    milestone = F.col("name").isin(MILESTONES)
-    turns = rows.select("doc_id", F.col("type").alias("above"), F.when(milestone, F.col("n")).otherwise(F.col("close.n")).alias("n"), F.when(milestone, F.col("start")).otherwise(F.col("close.start")).alias("at"), F.when(milestone, F.col("n")).alias("begins")).where("n is not null")
-    turns = turns.join(holds, ["doc_id", "above"]).select("doc_id", "type", "n", "at", "begins", F.lit(1).alias("turn"))
-    same = Window.partitionBy("doc_id", "type").orderBy("n", F.desc("turn"))
-    both = rows.withColumn("turn", F.lit(0)).withColumn("at", F.when(milestone, F.col("start"))).unionByName(turns, allowMissingColumns=True)
-    both = both.withColumn("scope", F.sum("turn").over(same.rowsBetween(Window.unboundedPreceding, 0))).withColumn("held", F.last("begins", ignorenulls=True).over(same.rowsBetween(Window.unboundedPreceding, -1))).withColumn("later", F.first("at", ignorenulls=True).over(same.rowsBetween(1, Window.unboundedFollowing)))
-    rows = both.where("turn = 0")
-    shut = F.when(F.col("close.name") == name, F.col("close.after")).otherwise(F.col("close.start"))
-    end = F.when(F.col("kind") == "open", F.coalesce(shut, F.col("ended"))).when(milestone, F.least("later", "ended")).otherwise(F.col("after"))
-    within = F.when(F.col("type") != "entry", F.struct("around", "scope"))
-    number = F.row_number().over(Window.partitionBy("doc_id", "type", within).orderBy("n")).cast("string")
-    rows = rows.withColumn("end_offset", end).withColumn("value", F.coalesce("declared", number)).withColumn("position", F.row_number().over(Window.partitionBy("doc_id", "type").orderBy("n"))).withColumn("abs_position", F.row_number().over(whole))
-    rows = kept(rows, "ends")  # read twice below
-    above = rows.where(milestone).select("doc_id", F.col("n").alias("held"), F.col("end_offset").alias("_open_to"))
-    rows = rows.join(above, ["doc_id", "held"], "left")
-    parent = F.when((F.col("_open_to") > F.col("start")) & (F.col("held") > F.coalesce("around", F.lit(-1))), F.col("held")).otherwise(F.col("around"))
-    identity = F.coalesce("id", F.when(name.isin("entry", "entryFree"), F.col("value")))
-    return rows.select("doc_id", "n", parent.alias("parent_n"), "type", "value", identity.alias("section_id"), "position", "abs_position", F.col("start").alias("start_offset"), "end_offset")
+    return nested(docs, schemes).select("doc_id", F.inline("sections"))
 
 
 def open_tags(docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -181,15 +225,27 @@ def passages(docs: DataFrame, chunks: DataFrame, ranges: DataFrame) -> DataFrame
 def cited(chunks: DataFrame, depth: int = 3) -> DataFrame:
     """sections() with path: type=value steps from the outermost section down, at most depth of them.
 
-    The sections are written once to the shared folder, as each step up reads them.
+    chunks are all sections of their texts, as each finds those that hold it by their n.
     """
-    chunks = kept(chunks, "sections")
-    step = F.concat_ws("=", "type", "value")
-    out = chunks.withColumn("path", step).withColumn("_up", F.col("parent_n"))
-    above = chunks.select("doc_id", F.col("n").alias("_up"), F.concat_ws("=", "type", "value").alias("_step"), F.col("parent_n").alias("_next"))
-    for _ in range(depth - 1):
-        out = out.join(above, ["doc_id", "_up"], "left").withColumn("path", F.concat_ws(":", "_step", "path")).drop("_up", "_step").withColumnRenamed("_next", "_up")
-    return out.drop("_up")
+    rest = [c for c in chunks.columns if c != "doc_id"]
+    texts = chunks.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("n", *(c for c in rest if c != "n")))).alias("sections"))
+    return _with_paths(texts, rest, depth)
+
+
+def cited_sections(docs: DataFrame, depth: int = 3, schemes: DataFrame | None = None) -> DataFrame:
+    """cited() of the sections of docs; a text's sections are not brought together a second time."""
+    return _with_paths(nested(docs, schemes), ["n", "parent_n", "type", "value", "section_id", "position", "abs_position", "start_offset", "end_offset"], depth)
+
+
+def _with_paths(texts: DataFrame, columns: list[str], depth: int) -> DataFrame:
+    def path(s: Column) -> Column:
+        line = [s]
+        for _ in range(depth - 1):
+            line.append(F.get("sections", line[-1]["parent_n"] - 1))
+        return F.concat_ws(":", *(F.concat_ws("=", x["type"], x["value"]) if x is s else F.when(x.isNotNull(), F.concat_ws("=", x["type"], x["value"])) for x in reversed(line)))
+
+    each = F.transform("sections", lambda s: F.struct(*(s[c].alias(c) for c in columns), path(s).alias("path")))
+    return texts.select("doc_id", F.inline(each))
 
 
 def headers(docs: DataFrame) -> DataFrame:

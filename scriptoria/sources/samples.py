@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.sources.tables import small, spread, table
+from scriptoria.sources.tables import dealt, small, spread, table
 
 
 def order_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -20,19 +20,21 @@ def order_texts(spark: SparkSession, d: str) -> DataFrame:
     items = items.select("l_orderkey", F.array_join(F.transform("items", line), "").alias("lines"))
     nation = small(table(spark, d, "nation"))
     people = table(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_name", "c_nationkey", "n_name")
-    rows = table(spark, d, "orders").join(people, F.col("o_custkey") == F.col("c_custkey")).join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    # Orders meet their items first and their customer where the text is put together, so that neither names nor heads are shuffled.
+    rows = table(spark, d, "orders").join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(F.concat(F.lit("Shop:text:"), "o_custkey").alias("doc_id"), "o_orderkey", "o_orderdate", "lines")
+    rows = dealt(rows, "doc_id").join(people.withColumn("doc_id", F.concat(F.lit("Shop:text:"), "c_custkey")), "doc_id")
     k = F.col("o_orderkey") % 5
     place = F.when(k == 0, F.concat(F.lit('<placeName key="nation,'), "c_nationkey", F.lit(';x">home</placeName>'))).when(k == 1, F.concat(F.lit('<placeName n="'), "n_name", F.lit('">home</placeName>')))
     place = place.when(k == 2, F.concat(F.lit('<placeName reg="'), "n_name", F.lit('">home</placeName>'))).when(k == 3, F.concat(F.lit("<placeName>"), "n_name", F.lit("</placeName>"))).otherwise("<placeName>Nowhere, far</placeName>")
     head = F.concat(
         F.lit('<div1 type="order" n="'), "o_orderkey", F.lit('"><head>Order '), "o_orderkey", F.lit('</head><p>On <date value="'), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit('">a day</date> for <persName reg="p:Smith,'), "c_name", F.lit('">'), "c_name", F.lit("</persName> of "), place, F.lit(".</p>")
     )
-    rows = rows.select("c_custkey", "c_name", "n_name", "c_nationkey", "o_orderkey", F.concat(head, F.coalesce("lines", F.lit("")), F.lit("</div1>")).alias("division"))
-    texts = rows.groupBy("c_custkey", "c_name", "n_name", "c_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "division"))), lambda x: x["division"]), "").alias("body"))
+    rows = rows.select("doc_id", "c_custkey", "c_name", "n_name", "c_nationkey", "o_orderkey", F.concat(head, F.coalesce("lines", F.lit("")), F.lit("</div1>")).alias("division"))
+    texts = rows.groupBy("doc_id", "c_custkey", "c_name", "n_name", "c_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "division"))), lambda x: x["division"]), "").alias("body"))
     header = F.concat(F.lit("<TEI.2><teiHeader><fileDesc><titleStmt><title>"), "c_name", F.lit("</title><author>"), "n_name", F.lit('</author></titleStmt></fileDesc><profileDesc><langUsage><language id="en">English</language></langUsage></profileDesc></teiHeader><text><body>'))
     kind = F.element_at(F.array(F.lit("text"), F.lit("text"), F.lit("commentary"), F.lit("summary")), (F.col("c_custkey") % 4 + 1).cast("int"))
     return texts.select(
-        F.concat(F.lit("Shop:text:"), "c_custkey").alias("doc_id"),
+        "doc_id",
         F.concat(F.lit("Shop:abo:nation,"), "c_nationkey").alias("work"),
         kind.alias("kind"),
         F.concat(header, "body", F.lit("</body></text></TEI.2>")).alias("text"),
@@ -56,13 +58,16 @@ def ledger_texts(spark: SparkSession, d: str) -> DataFrame:
     """
     edition = F.when(F.col("c_custkey") % 5 == 0, ' ed="q"').otherwise("")
     items = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))).alias("items"))
-    rows = table(spark, d, "orders").join(table(spark, d, "customer").select("c_custkey"), F.col("o_custkey") == F.col("c_custkey")).join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    chapters = F.array_join(F.transform("items", lambda x: F.concat(F.lit('<milestone unit="chapter"'), edition, F.lit("/>part "), x["l_partkey"].cast("string"), F.lit(" "))), "")
+    known = table(spark, d, "customer").select(F.concat(F.lit("Shop:ledger:"), "c_custkey").alias("doc_id"), "c_custkey")
+    parts = F.transform("items", lambda x: x["l_partkey"]).alias("parts")
+    rows = table(spark, d, "orders").join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(F.concat(F.lit("Shop:ledger:"), "o_custkey").alias("doc_id"), "o_orderkey", parts)
+    rows = dealt(rows, "doc_id").join(known, "doc_id")
+    chapters = F.array_join(F.transform("parts", lambda x: F.concat(F.lit('<milestone unit="chapter"'), edition, F.lit("/>part "), x.cast("string"), F.lit(" "))), "")
     number = F.when(F.col("o_orderkey") % 2 == 1, F.concat(F.lit(' n="'), F.col("o_orderkey").cast("string"), F.lit('"'))).otherwise("")
-    rows = rows.select("c_custkey", "o_orderkey", F.concat(F.lit('<p><pb n="'), F.col("o_orderkey").cast("string"), F.lit('"/><milestone unit="book"'), number, F.lit("/>order "), F.coalesce(chapters, F.lit("")), F.lit("</p>")).alias("book"))
-    texts = rows.groupBy("c_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "book"))), lambda x: x["book"]), "").alias("body"))
+    rows = rows.select("doc_id", "c_custkey", "o_orderkey", F.concat(F.lit('<p><pb n="'), F.col("o_orderkey").cast("string"), F.lit('"/><milestone unit="book"'), number, F.lit("/>order "), F.coalesce(chapters, F.lit("")), F.lit("</p>")).alias("book"))
+    texts = rows.groupBy("doc_id", "c_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "book"))), lambda x: x["book"]), "").alias("body"))
     close = F.when(F.col("c_custkey") % 3 == 0, "").otherwise("</div1>")
-    return texts.select(F.concat(F.lit("Shop:ledger:"), "c_custkey").alias("doc_id"), F.concat(F.lit('<TEI.2><text><body><div1 type="part" n="'), F.col("c_custkey").cast("string"), F.lit('">'), "body", close, F.lit("</body></text></TEI.2>")).alias("text"))
+    return texts.select("doc_id", F.concat(F.lit('<TEI.2><text><body><div1 type="part" n="'), F.col("c_custkey").cast("string"), F.lit('">'), "body", close, F.lit("</body></text></TEI.2>")).alias("text"))
 
 
 #: The same texts in SQL: chapters and books with their offsets, whole documents, and their sections.

@@ -250,3 +250,22 @@ def test_references_read_their_sections_once(spark):
     docs = spark.createDataFrame([(1, "abcd efgh ijkl"), (2, "none")], "doc_id long, text string")
     got = sorted((r.nth, r.first, r.previous, r.n_references, r.passage) for r in resources.passages(refs.withColumns({c: F.col(c).cast("int") for c in ("start_offset", "end_offset")}), docs).collect())
     assert got == [(1, "order=0", None, 3, "abcd"), (2, "order=0", "order=0", 3, "efgh"), (3, "order=0", "order=1", 3, "ijkl")]
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_sections_deal_texts_once(spark):
+    docs = texts(spark, ("d", PARTED), ("e", TEXT))
+    found = K.cited_sections(docs, 4)
+    assert exchanges(found) == 1 and "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, K.cited(K.sections(docs), 4).collect()))
+
+
+def test_frequencies_in_a_document_deal_texts_once(spark):
+    docs = spark.createDataFrame([(1, None, "s", "a b a\nc"), (2, "en", "s", None)], "doc_id long, lang string, source string, text string")
+    tokens = S.parsed(S.tokens(S.dealt(docs, "doc_id")), spark.createDataFrame([("a", "x")], "form string, lemma string"))
+    found = W.term_frequency(W.ambiguity_counts(tokens, "doc_id", "lang"), "doc_id", "lang")
+    assert found._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(doc_id") == 1
+    assert sorted((r.lemma, r.max_freq, round(r.tf, 6)) for r in found.collect()) == [("b", 1, 0.333333), ("c", 1, 0.333333), ("x", 2, 0.666667)]
