@@ -63,6 +63,11 @@ def _parsed(spark: SparkSession, d: str) -> DataFrame:
     return S.parsed(_tokens(spark, d), _parses(spark, d))
 
 
+def _parsed_by_document(spark: SparkSession, d: str) -> DataFrame:
+    """_parsed() of texts dealt by doc_id, so that what is counted within a document is not shuffled by the token."""
+    return S.parsed(S.tokens(S.dealt(S.table(spark, d, "documents"), "doc_id")), _parses(spark, d))
+
+
 def _chunks(spark: SparkSession, d: str) -> DataFrame:
     return S.line_chunks(_docs(spark, d))
 
@@ -101,7 +106,7 @@ def collection_word_counts(spark, d):
 
 @query(f"WITH {_PARSED}, f AS (SELECT doc_id, line, lemma, count(*) AS max_freq, CAST(sum(CASE WHEN k = 1 THEN 1 ELSE 0 END) AS BIGINT) AS min_freq, sum(1.0 / k) AS w FROM parsed GROUP BY ALL) SELECT doc_id, line, lemma, max_freq, min_freq, round(w, 6) AS weighted_freq, round(max_freq / count(*) OVER (PARTITION BY doc_id, line), 6) AS tf FROM f")
 def chunk_frequencies(spark, d):
-    out = A.term_frequency(A.ambiguity_counts(_parsed(spark, d), "doc_id", "line"), "doc_id", "line")
+    out = A.term_frequency(A.ambiguity_counts(_parsed_by_document(spark, d), "doc_id", "line"), "doc_id", "line")
     return out.select("doc_id", "line", "lemma", "max_freq", "min_freq", _r(F.col("weighted_freq")).alias("weighted_freq"), _r(F.col("tf")).alias("tf"))
 
 
@@ -110,7 +115,7 @@ _DOCFREQ = _PARSED + ", f AS (SELECT doc_id, lang, lemma, count(*) AS max_freq,
 
 @query(f"WITH {_DOCFREQ} SELECT doc_id, lang, lemma, max_freq, min_freq, round(w, 6) AS weighted_freq, round(max_freq / count(*) OVER (PARTITION BY doc_id, lang), 6) AS tf FROM f")
 def document_frequencies(spark, d):
-    out = A.term_frequency(A.ambiguity_counts(_parsed(spark, d), "doc_id", "lang"), "doc_id", "lang")
+    out = A.term_frequency(A.ambiguity_counts(_parsed_by_document(spark, d), "doc_id", "lang"), "doc_id", "lang")
     return out.select("doc_id", "lang", "lemma", "max_freq", "min_freq", _r(F.col("weighted_freq")).alias("weighted_freq"), _r(F.col("tf")).alias("tf"))
 
 
@@ -122,13 +127,13 @@ def corpus_frequencies(spark, d):
 
 @query(f"WITH {_DOCFREQ}, n AS (SELECT lang, count(DISTINCT doc_id) AS n FROM f GROUP BY lang) SELECT lang, lemma, count(DISTINCT doc_id) AS doc_count, CAST(sum(max_freq) AS BIGINT) AS max_occ, CAST(sum(min_freq) AS BIGINT) AS min_occ, round(log2(any_value(n.n) / count(DISTINCT doc_id)), 6) AS idf FROM f JOIN n USING (lang) GROUP BY lang, lemma")
 def lemma_idf(spark, d):
-    out = A.inverse_document_frequency(A.ambiguity_counts(_parsed(spark, d), "doc_id", "lang"), _with_words(spark, d), "lang")
+    out = A.inverse_document_frequency(A.ambiguity_counts(_parsed_by_document(spark, d), "doc_id", "lang"), _with_words(spark, d), "lang")
     return out.withColumn("idf", _r(F.col("idf")))
 
 
 @query(f"WITH {_DOCFREQ}, t AS (SELECT *, max_freq / count(*) OVER (PARTITION BY doc_id, lang) AS tf FROM f), n AS (SELECT lang, count(DISTINCT doc_id) AS n FROM f GROUP BY lang), i AS (SELECT lang, lemma, log2(any_value(n.n) / count(DISTINCT doc_id)) AS idf FROM f JOIN n USING (lang) GROUP BY lang, lemma) SELECT doc_id, lang, lemma, round(tf * idf, 6) AS tf_idf FROM t JOIN i USING (lang, lemma)")
 def tf_idf(spark, d):
-    counts = S.kept(A.ambiguity_counts(_parsed(spark, d), "doc_id", "lang"), "counts")
+    counts = S.kept(A.ambiguity_counts(_parsed_by_document(spark, d), "doc_id", "lang"), "counts")
     out = A.tf_idf(A.term_frequency(counts, "doc_id", "lang"), A.inverse_document_frequency(counts, _with_words(spark, d), "lang"), "lang")
     return out.select("doc_id", "lang", "lemma", _r(F.col("tf_idf")).alias("tf_idf"))
 

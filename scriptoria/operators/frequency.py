@@ -18,8 +18,7 @@ def ambiguity_counts(parsed: DataFrame, *by: str) -> DataFrame:
 
 def term_frequency(counts: DataFrame, *unit: str) -> DataFrame:
     """tf: occurrences over the number of distinct lemmas of the unit (not over its tokens)."""
-    sizes = counts.groupBy(*unit).agg(F.count("*").alias("n_lemmas"))
-    return counts.join(sizes, list(unit)).withColumn("tf", F.col("max_freq") / F.col("n_lemmas")).drop("n_lemmas")
+    return counts.withColumn("tf", F.col("max_freq") / F.count("*").over(Window.partitionBy(*unit)))
 
 
 def combine(counts: DataFrame, *by: str) -> DataFrame:
