@@ -12,7 +12,7 @@ from scriptoria.operators import structure as J
 from scriptoria.registry import query
 from scriptoria.sources import markup as K
 from scriptoria.sources import tables as S
-from scriptoria.sources.samples import LEDGER_TEXTS, ORDER_TEXTS, ledger_texts, order_texts, talk_texts
+from scriptoria.sources.samples import LEDGER_TEXTS, ORDER_TEXTS, ledger_texts, order_texts, talk_texts, text_tasks
 
 _SECTIONS = ORDER_TEXTS + """, line_places AS (SELECT p.c_custkey, p.o_orderkey, p.nth, l.k, CAST(p.start_offset + length(h) + coalesce(sum(length(l.t)) OVER (PARTITION BY l.l_orderkey ORDER BY l.k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_offset, length(l.t) AS size FROM placed p JOIN line_texts l ON l.l_orderkey = p.o_orderkey),
 found AS (SELECT c_custkey, 'order' AS type, CAST(o_orderkey AS VARCHAR) AS value, start_offset, start_offset + length(t) AS end_offset, 'order=' || o_orderkey AS path FROM placed UNION ALL SELECT c_custkey, 'line', CAST(k AS VARCHAR), start_offset, start_offset + size, 'order=' || o_orderkey || ':line=' || k FROM line_places),
@@ -33,7 +33,7 @@ def _kept_texts(spark, d):
 
 
 def _sections(spark, d, texts=None):
-    return K.cited_sections(_texts(spark, d) if texts is None else texts, 2)
+    return K.cited_sections(_texts(spark, d) if texts is None else texts, 2, tasks=text_tasks(spark, d))
 
 
 def _occurrences(spark, d, texts=None):
@@ -77,23 +77,23 @@ def markup_contents(spark, d):
 @query(f"WITH {LEDGER_TEXTS} SELECT * FROM ledger_sections")
 def milestone_sections(spark, d):
     """Books and chapters that are milestones: they nest by their types, and number and end with what holds them."""
-    return K.cited_sections(ledger_texts(spark, d), 3).select("doc_id", "type", "value", "path", "position", "abs_position", "start_offset", "end_offset")
+    return K.cited_sections(ledger_texts(spark, d), 3, tasks=text_tasks(spark, d)).select("doc_id", "type", "value", "path", "position", "abs_position", "start_offset", "end_offset")
 
 
 @query(f"WITH {LEDGER_TEXTS} SELECT doc_id, path, '<TEI.2><text><body>' || CASE type WHEN 'part' THEN '' ELSE '<div1 type=\"part\" n=\"' || c || '\"><p>' END AS open, CASE type WHEN 'part' THEN '' ELSE '</p></div1>' END || '</body></text></TEI.2>' AS close FROM ledger_sections JOIN ledgers ON doc_id = 'Shop:ledger:' || c")
 def section_contexts(spark, d):
     """The tags in force where each section begins."""
     texts = ledger_texts(spark, d)
-    chunks = K.cited_sections(texts, 3)
-    tags = K.open_tags(texts, chunks.select("doc_id", F.col("start_offset").alias("offset")))
-    return chunks.select("doc_id", "path", F.col("start_offset").alias("offset")).join(tags, ["doc_id", "offset"]).select("doc_id", "path", "open", "close")
+    chunks = K.cited_texts(texts, 3, tasks=text_tasks(spark, d)).select("doc_id", F.col("sections.path").alias("path"), F.col("sections.start_offset").alias("offset"))
+    found = texts.join(chunks, "doc_id").withColumn("tags", K.tags_in_force("text", "offset"))
+    return found.select("doc_id", F.inline(F.arrays_zip("path", F.col("tags.open").alias("open"), F.col("tags.close").alias("close"))))
 
 
 @query(f"WITH {LEDGER_TEXTS}, b AS (SELECT *, min(nth) OVER (PARTITION BY c, value) AS seen, lead(value) OVER (PARTITION BY c ORDER BY o) AS next_value FROM books), r AS (SELECT DISTINCT c, 'part=' || c || ':book=' || value AS first, 'part=' || c || ':book=' || next_value AS last FROM b WHERE next_value IS NOT NULL), bounds AS (SELECT c, 'part=' || c || ':book=' || value AS path, min(book_at) AS s, arg_min(book_ends, book_at) AS e FROM books GROUP BY ALL) SELECT 'Shop:ledger:' || r.c AS doc_id, first, last, '<TEI.2><text><body><div1 type=\"part\" n=\"' || r.c || '\"><p>' || substr(text, CAST(x.s + 1 AS BIGINT), CAST(y.e - x.s AS BIGINT)) || CASE WHEN y.e = l.ended THEN '' ELSE '</p>' END || CASE WHEN r.c % 3 = 0 AND y.e = l.ended THEN '</body></text></TEI.2>' ELSE '</div1></body></text></TEI.2>' END AS markup FROM r JOIN bounds x ON x.c = r.c AND x.path = first JOIN bounds y ON y.c = r.c AND y.path = last JOIN ledgers l ON l.c = r.c WHERE x.s < y.e")
 def passage_ranges(spark, d):
     """From each book to the end of the one after it, with the tags that make it well-formed."""
     texts = ledger_texts(spark, d)
-    chunks = S.kept(K.cited_sections(texts, 3), "cited")
+    chunks = S.kept(K.cited_sections(texts, 3, tasks=text_tasks(spark, d)), "cited")
     books = chunks.where("type = 'book'").withColumn("last", F.lead("path").over(Window.partitionBy("doc_id").orderBy("start_offset")))
     return K.passages(texts, chunks, books.where("last is not null").select("doc_id", F.col("path").alias("first"), "last"))
 
@@ -272,7 +272,7 @@ def commentaries_on_lines(spark, d):
     """Orders of a work's commentaries that are numbered as lines of its texts, by the scheme order=card."""
     works = _works(spark, d)
     asked = works.where(F.split_part("doc_id", F.lit(":"), F.lit(3)).cast("long") % 100 == 0).where("kind = 'text'")
-    chunks = K.cited_sections(_texts(spark, d), 2).join(works, "doc_id")
+    chunks = _sections(spark, d).join(works, "doc_id")
     lines = chunks.where("type = 'line'").join(asked.select("doc_id"), "doc_id", "left_semi").withColumn("steps", X.path_steps(F.concat(F.lit("d:"), "path")))
     lines = lines.select("work", "doc_id", F.col("steps")[0]["value"].alias("book"), F.col("value").alias("line"), R.commentary_path(F.col("steps"), F.lit("order=card")).alias("path"))
     comments = chunks.where("type = 'order' and kind = 'commentary'").select("work", "path", F.col("doc_id").alias("commentary"))
@@ -283,7 +283,7 @@ def commentaries_on_lines(spark, d):
 def summaries_found_by_climbing(spark, d):
     """For each order, asked for a line that it lacks, the longest part of the citation that a summary of the work has."""
     works = _works(spark, d)
-    chunks = K.cited_sections(_texts(spark, d), 2).join(works, "doc_id")
+    chunks = _sections(spark, d).join(works, "doc_id")
     asked = chunks.where("type = 'order'").select("work", F.concat("path", F.lit(":line=99")).alias("path"))
     return R.nearest(asked, chunks.where("kind = 'summary'").select("work", "path"), ["work"])
 
@@ -309,7 +309,7 @@ def abstract_works(spark, d):
 @query(f"WITH {_SECTIONS}, w AS (SELECT *, row_number() OVER o AS nth, lag(path) OVER o AS previous, lead(path) OVER o AS next, first_value(path) OVER o AS first, count(*) OVER (PARTITION BY doc_id) AS n_references FROM sections WHERE type = 'order' WINDOW o AS (PARTITION BY doc_id ORDER BY start_offset)) SELECT doc_id, path, nth, previous, next, first, n_references, md5(substring(text, CAST(start_offset + 1 AS BIGINT), CAST(end_offset - start_offset AS BIGINT))) AS passage FROM w JOIN texts USING (doc_id)")
 def passages_by_reference(spark, d):
     texts = _kept_texts(spark, d)
-    refs = R.references(K.cited_sections(texts, 2), "order")
+    refs = R.references(K.cited_sections(texts, 2, tasks=text_tasks(spark, d)), "order")
     return R.passages(refs, texts).select("doc_id", "path", "nth", "previous", "next", "first", "n_references", F.md5("passage").alias("passage"))
 
 

@@ -6,10 +6,13 @@ well-formed markup is read as far as its tags go.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from scriptoria.functions.text import running_starts, words
 from scriptoria.operators.structure import bucketed_range_join, contains
@@ -100,15 +103,15 @@ def held_types(orders: Column) -> Column:
     return F.map_from_entries(F.filter(F.transform(kinds, lambda t: F.struct(t.alias("key"), below(t).alias("value"))), lambda e: F.size(e["value"]) > 0))
 
 
-def nested(docs: DataFrame, schemes: DataFrame | None = None) -> DataFrame:
+def nested(docs: DataFrame, schemes: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """(doc_id, sections): the sections of each text with one, as sections() describes, in one array in the order of their n.
 
-    Texts are dealt by doc_id once; tags are brought into order within the text from there, and no tag is shuffled or written.
+    Texts are dealt by doc_id once, to that many tasks or as many as shuffles have; tags are brought into order within the text from there, and no tag is shuffled or written.
     """
     told = None if schemes is None else scheme_orders(schemes)
     docs = docs.where("text is not null").select("doc_id", "text")
     docs = docs.withColumn("told", F.lit(None).cast("array<struct<line:string,k:int,type:string>>")) if told is None else docs.join(told, "doc_id", "left").withColumnRenamed("orders", "told")
-    texts = dealt(docs, "doc_id").select("doc_id", F.monotonically_increasing_id().alias("_row"), F.length("text").alias("size"), "told", tags_named(F.col("text"), CONTAINERS + MILESTONES).alias("tags"))
+    texts = dealt(docs, "doc_id", tasks).select("doc_id", F.monotonically_increasing_id().alias("_row"), F.length("text").alias("size"), "told", tags_named(F.col("text"), CONTAINERS + MILESTONES).alias("tags"))
     texts = texts.withColumn("orders", held_types(F.coalesce("told", section_orders(F.col("tags")))))
     raw, name, section = F.col("raw"), F.col("name"), F.col("type").isNotNull()
     tags = texts.select("doc_id", "_row", "size", "orders", F.posexplode("tags").alias("n", "t")).select("doc_id", "_row", "size", "orders", "n", "t.*")
@@ -174,29 +177,42 @@ def sections(docs: DataFrame, schemes: DataFrame | None = None) -> DataFrame:
     return nested(docs, schemes).select("doc_id", F.inline("sections"))
 
 
+#: A tag, or what begins like one; its name is missing in comments and declarations.
+_TAG = re.compile(r"<(?:(/?)([A-Za-z][\w.:-]*))?[^>]*>", re.ASCII)
+
+
+def _in_force(text: str, offsets: list[int]) -> list[tuple[str, str]]:
+    """The tags open at each of offsets and those that close them: one walk along the text with a stack."""
+    tags = (m for m in _TAG.finditer(text) if m[2] and not m[0].endswith("/>"))
+    tag, stack, found = next(tags, None), [], {}
+    for at in sorted(set(offsets)):
+        while tag and (tag.start() < at if tag[1] else tag.end() <= at):
+            if not tag[1]:
+                stack.append((tag[0], tag[2]))
+            elif stack:
+                stack.pop()
+            tag = next(tags, None)
+        found[at] = "".join(raw for raw, _ in stack), "".join(f"</{name}>" for _, name in reversed(stack))
+    return [found[at] for at in offsets]
+
+
+@F.arrow_udf(ArrayType(StructType([StructField("open", StringType()), StructField("close", StringType())])))
+def tags_in_force(texts: pa.Array, offsets: pa.Array) -> pa.Array:
+    """For each of offsets, an array without nulls, the opening tags in force there and the closing tags they need, as open_tags() describes."""
+    rows = ([{"open": o, "close": c} for o, c in _in_force(t.as_py(), at.as_py())] for t, at in zip(texts, offsets))
+    return pa.array(rows, pa.list_(pa.struct([("open", pa.string()), ("close", pa.string())])))
+
+
 def open_tags(docs: DataFrame, places: DataFrame) -> DataFrame:
     """(doc_id, offset, open, close): the opening tags in force at each of places(doc_id, offset), outermost first, and the closing tags they need.
 
     An opening tag is in force from its end to the beginning of its closing tag, which closes the last open one whatever its name; a place within a tag is before what it opens and after what it closes. Comments, declarations and empty
-    elements open nothing. A tag's level is the number of those open before it; places are put on all levels that
-    are open there, so that each level finds its last tag by itself. Repeated places count once; places in texts that
+    elements open nothing, a closing tag where nothing is open closes nothing. A text's places are brought to it once and found along it. Repeated places count once; places in texts that
     are missing or null give no row, null places neither.
     """
-    tags = parts(docs).where(F.startswith("raw", F.lit("<"))).withColumn("name", element(F.col("raw"))).where((F.col("name") != "") & ~F.endswith("raw", F.lit("/>")))
-    shut = F.startswith("raw", F.lit("</"))
-    known = docs.where("text is not null").select("doc_id").distinct()
-    asked = places.where("offset is not null").select("doc_id", F.col("offset").cast("long").alias("at"), F.lit(2).alias("last")).distinct().join(known, "doc_id", "left_semi")
-    # at an equal offset: a tag that ended there comes before the place, one that begins there after it
-    marks = tags.select("doc_id", F.when(shut, F.col("start") + 1).otherwise(F.col("start") + F.length("raw")).alias("at"), F.when(shut, 0).otherwise(1).alias("last"), "raw", "name", F.when(shut, -1).otherwise(1).alias("step"))
-    rows = marks.unionByName(asked, allowMissingColumns=True)
-    along = Window.partitionBy("doc_id").orderBy("at", "last").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("depth", F.sum("step").over(along))
-    levels = F.when(F.col("last") == 2, F.sequence(F.lit(0), F.greatest(F.coalesce("depth", F.lit(0)), F.lit(0)).cast("int"))).otherwise(F.array(F.when(F.col("step") == 1, F.col("depth")).otherwise(F.col("depth") + 1).cast("int")))
-    rows = rows.select("doc_id", "at", "last", "raw", "name", "step", F.explode(levels).alias("level"))
-    upto = Window.partitionBy("doc_id", "level").orderBy("at", "last").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("tag", F.last(F.when(F.col("step") == 1, F.struct("raw", "name")), ignorenulls=True).over(upto)).where("last = 2")
-    found = rows.groupBy("doc_id", F.col("at").alias("offset")).agg(F.array_sort(F.collect_list(F.when((F.col("level") > 0) & F.col("tag").isNotNull(), F.struct("level", "tag.raw", "tag.name")))).alias("tags"))
-    return found.select("doc_id", "offset", F.array_join(F.transform("tags", lambda t: t["raw"]), "").alias("open"), F.array_join(F.transform(F.reverse("tags"), lambda t: F.concat(F.lit("</"), t["name"], F.lit(">"))), "").alias("close"))
+    asked = places.where("offset is not null").groupBy("doc_id").agg(F.collect_set(F.col("offset").cast("long")).alias("offset"))
+    found = docs.where("text is not null").select("doc_id", "text").join(asked, "doc_id").withColumn("tags", tags_in_force("text", "offset"))
+    return found.select("doc_id", F.inline(F.arrays_zip("offset", F.col("tags.open").alias("open"), F.col("tags.close").alias("close"))))
 
 
 def slices(docs: DataFrame, spans: DataFrame) -> DataFrame:
@@ -229,12 +245,17 @@ def cited(chunks: DataFrame, depth: int = 3) -> DataFrame:
     """
     rest = [c for c in chunks.columns if c != "doc_id"]
     texts = chunks.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("n", *(c for c in rest if c != "n")))).alias("sections"))
-    return _with_paths(texts, rest, depth)
+    return _with_paths(texts, rest, depth).select("doc_id", F.inline("sections"))
 
 
-def cited_sections(docs: DataFrame, depth: int = 3, schemes: DataFrame | None = None) -> DataFrame:
+def cited_sections(docs: DataFrame, depth: int = 3, schemes: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
     """cited() of the sections of docs; a text's sections are not brought together a second time."""
-    return _with_paths(nested(docs, schemes), ["n", "parent_n", "type", "value", "section_id", "position", "abs_position", "start_offset", "end_offset"], depth)
+    return cited_texts(docs, depth, schemes, tasks).select("doc_id", F.inline("sections"))
+
+
+def cited_texts(docs: DataFrame, depth: int = 3, schemes: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
+    """(doc_id, sections): cited_sections() of each text with one, in one array in their order, dealt by doc_id as nested() says."""
+    return _with_paths(nested(docs, schemes, tasks), ["n", "parent_n", "type", "value", "section_id", "position", "abs_position", "start_offset", "end_offset"], depth)
 
 
 def _with_paths(texts: DataFrame, columns: list[str], depth: int) -> DataFrame:
@@ -245,7 +266,7 @@ def _with_paths(texts: DataFrame, columns: list[str], depth: int) -> DataFrame:
         return F.concat_ws(":", *(F.concat_ws("=", x["type"], x["value"]) if x is s else F.when(x.isNotNull(), F.concat_ws("=", x["type"], x["value"])) for x in reversed(line)))
 
     each = F.transform("sections", lambda s: F.struct(*(s[c].alias(c) for c in columns), path(s).alias("path")))
-    return texts.select("doc_id", F.inline(each))
+    return texts.select("doc_id", each.alias("sections"))
 
 
 def headers(docs: DataFrame) -> DataFrame:

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.sources.tables import dealt, small, spread, table
+from scriptoria.sources.tables import dealt, small, spread, table, tasks_for
+
+#: Items of orders in one task, so that what their tags unfold into is sorted in its memory however large the tables are.
+ITEMS = 100_000
+
+
+def text_tasks(spark: SparkSession, d: str) -> int:
+    """The tasks that order_texts and ledger_texts, and what is found in them, are dealt to."""
+    return tasks_for(table(spark, d, "lineitem"), ITEMS)
 
 
 def order_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -22,7 +30,7 @@ def order_texts(spark: SparkSession, d: str) -> DataFrame:
     people = table(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_name", "c_nationkey", "n_name")
     # Orders meet their items first and their customer where the text is put together, so that neither names nor heads are shuffled.
     rows = table(spark, d, "orders").join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(F.concat(F.lit("Shop:text:"), "o_custkey").alias("doc_id"), "o_orderkey", "o_orderdate", "lines")
-    rows = dealt(rows, "doc_id").join(people.withColumn("doc_id", F.concat(F.lit("Shop:text:"), "c_custkey")), "doc_id")
+    rows = dealt(rows, "doc_id", text_tasks(spark, d)).join(people.withColumn("doc_id", F.concat(F.lit("Shop:text:"), "c_custkey")), "doc_id")
     k = F.col("o_orderkey") % 5
     place = F.when(k == 0, F.concat(F.lit('<placeName key="nation,'), "c_nationkey", F.lit(';x">home</placeName>'))).when(k == 1, F.concat(F.lit('<placeName n="'), "n_name", F.lit('">home</placeName>')))
     place = place.when(k == 2, F.concat(F.lit('<placeName reg="'), "n_name", F.lit('">home</placeName>'))).when(k == 3, F.concat(F.lit("<placeName>"), "n_name", F.lit("</placeName>"))).otherwise("<placeName>Nowhere, far</placeName>")
@@ -61,7 +69,7 @@ def ledger_texts(spark: SparkSession, d: str) -> DataFrame:
     known = table(spark, d, "customer").select(F.concat(F.lit("Shop:ledger:"), "c_custkey").alias("doc_id"), "c_custkey")
     parts = F.transform("items", lambda x: x["l_partkey"]).alias("parts")
     rows = table(spark, d, "orders").join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(F.concat(F.lit("Shop:ledger:"), "o_custkey").alias("doc_id"), "o_orderkey", parts)
-    rows = dealt(rows, "doc_id").join(known, "doc_id")
+    rows = dealt(rows, "doc_id", text_tasks(spark, d)).join(known, "doc_id")
     chapters = F.array_join(F.transform("parts", lambda x: F.concat(F.lit('<milestone unit="chapter"'), edition, F.lit("/>part "), x.cast("string"), F.lit(" "))), "")
     number = F.when(F.col("o_orderkey") % 2 == 1, F.concat(F.lit(' n="'), F.col("o_orderkey").cast("string"), F.lit('"'))).otherwise("")
     rows = rows.select("doc_id", "c_custkey", "o_orderkey", F.concat(F.lit('<p><pb n="'), F.col("o_orderkey").cast("string"), F.lit('"/><milestone unit="book"'), number, F.lit("/>order "), F.coalesce(chapters, F.lit("")), F.lit("</p>")).alias("book"))

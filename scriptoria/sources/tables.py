@@ -28,13 +28,18 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
-def dealt(rows: DataFrame, key: str) -> DataFrame:
-    """rows by a key in as many tasks as shuffles have.
+def tasks_for(rows: DataFrame, most: int) -> int:
+    """As many tasks as shuffles have, or as leave each no more than most of rows on average; a count of Parquet files reads no column."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // most))
+
+
+def dealt(rows: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
+    """rows by a key in that many tasks, or as many as shuffles have.
 
     Texts unfold into many times their rows, so tasks must not be merged by the size of what is shuffled. What follows
     by that key, alone or with others, is not shuffled again.
     """
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    return rows.repartition(tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def line_chunks(docs: DataFrame) -> DataFrame:

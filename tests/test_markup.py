@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from scriptoria.functions import dates as D
@@ -269,3 +272,26 @@ def test_frequencies_in_a_document_deal_texts_once(spark):
     found = W.term_frequency(W.ambiguity_counts(tokens, "doc_id", "lang"), "doc_id", "lang")
     assert found._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(doc_id") == 1
     assert sorted((r.lemma, r.max_freq, round(r.tf, 6)) for r in found.collect()) == [("b", 1, 0.333333), ("c", 1, 0.333333), ("x", 2, 0.666667)]
+
+
+def test_closing_tags_without_an_open_one_close_nothing(spark):
+    text = "</x><a>b<c>d</c></a></a>e<!-- <n> --><f/>g<h\n k='1'>i"
+    asked = spark.createDataFrame([("d", text.index(c)) for c in "bdegi"], "doc_id string, offset int")
+    found = K.open_tags(texts(spark, ("d", text)), asked)
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {text[r.offset]: (r.open, r.close) for r in found.collect()} == {"b": ("<a>", "</a>"), "d": ("<a><c>", "</c></a>"), "e": ("", ""), "g": ("", ""), "i": ("<h\n k='1'>", "</h>")}
+
+
+@pytest.mark.parametrize("name", ["section_contexts", "markup_sections"])
+def test_sections_are_found_once_in_tasks_by_the_size_of_the_tables(spark, monkeypatch, name):
+    from scriptoria import registry
+    from scriptoria.sources import samples, tables
+    from tests.oracle import differences
+
+    folder, (queries, sql) = "/root/testdata/sf0.001", registry.load()
+    monkeypatch.setattr(samples, "ITEMS", 500)
+    monkeypatch.setattr(tables, "kept", None)
+    tasks = -(-spark.read.parquet(f"{folder}/lineitem.parquet").count() // 500)
+    plan = queries[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"Exchange hashpartitioning\(doc_id#\d+, (\d+)\)", plan)) == {str(tasks)} and plan.count("Generate posexplode") == 1
+    assert differences(spark, folder, queries[name], sql[name]) == ""
