@@ -93,9 +93,9 @@ def section_contexts(spark, d):
 def passage_ranges(spark, d):
     """From each book to the end of the one after it, with the tags that make it well-formed."""
     texts = ledger_texts(spark, d)
-    chunks = S.kept(K.cited_sections(texts, 3, tasks=text_tasks(spark, d)), "cited")
-    books = chunks.where("type = 'book'").withColumn("last", F.lead("path").over(Window.partitionBy("doc_id").orderBy("start_offset")))
-    return K.passages(texts, chunks, books.where("last is not null").select("doc_id", F.col("path").alias("first"), "last"))
+    chunks = K.cited_texts(texts, 3, tasks=text_tasks(spark, d)).withColumn("books", F.transform(F.filter("sections", lambda s: s["type"] == "book"), lambda s: s["path"]))
+    ranges = F.filter(F.arrays_zip(F.col("books").alias("first"), F.slice("books", F.lit(2), F.size("books")).alias("last")), lambda r: r["last"].isNotNull())
+    return K.passages_within(texts, chunks.select("doc_id", "sections", F.array_distinct(ranges).alias("ranges")))
 
 
 @query("WITH t AS (SELECT 'talk:' || conv_id AS doc_id, turn, len(regexp_extract_all(regexp_replace(coalesce(text, ''), '[<>&_]', ' ', 'g'), '[A-Za-z][A-Za-z\\[\\]]*')) AS w FROM conversations), e AS (SELECT doc_id, unnest(CASE turn % 4 WHEN 0 THEN ['la'] WHEN 1 THEN ['greek', 'en'] WHEN 2 THEN ['de'] ELSE ['unknown'] END) AS lang, unnest(CASE turn % 4 WHEN 0 THEN [w] WHEN 1 THEN [w + 1, 2] WHEN 2 THEN [w] ELSE [w + 1] END) AS n FROM t UNION ALL SELECT DISTINCT doc_id, 'en', 2 FROM t) SELECT doc_id, lang, CAST(sum(n) AS BIGINT) AS n FROM e GROUP BY ALL HAVING sum(n) > 0")

@@ -219,13 +219,22 @@ def slices(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """(doc_id, from_offset, to_offset, markup): spans(doc_id, from_offset, to_offset) of texts as well-formed markup.
 
     The tags in force at the beginning stand before a span, the closing tags that its end needs after it.
-    Spans that begin or end within a tag, are empty or null give what their bounds say and may not parse.
+    Spans that begin or end within a tag, or are empty, give what their bounds say and may not parse; null ones and those of missing or null texts give no row.
     """
-    bounds = spans.select("doc_id", F.explode(F.array("from_offset", "to_offset")).alias("offset"))
-    tags = open_tags(docs, bounds)
-    out = spans.select("doc_id", "from_offset", "to_offset").distinct().join(tags.select("doc_id", F.col("offset").alias("from_offset"), "open"), ["doc_id", "from_offset"]).join(tags.select("doc_id", F.col("offset").alias("to_offset"), "close"), ["doc_id", "to_offset"])
-    text = F.substring("text", F.col("from_offset").cast("int") + 1, F.greatest(F.col("to_offset") - F.col("from_offset"), F.lit(0)).cast("int"))
-    return out.join(docs.select("doc_id", "text"), "doc_id").select("doc_id", "from_offset", "to_offset", F.concat("open", text, "close").alias("markup"))
+    asked = spans.where("from_offset is not null and to_offset is not null").groupBy("doc_id").agg(F.collect_set(F.struct("from_offset", "to_offset")).alias("spans"))
+    return _sliced(docs, asked).select("doc_id", "from_offset", "to_offset", "markup")
+
+
+def _sliced(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """slices() of asked(doc_id, spans), one row for each text, with all that spans hold."""
+    bounds = F.concat("spans.from_offset", "spans.to_offset").cast("array<bigint>")
+    rows = docs.where("text is not null").select("doc_id", "text").join(asked, "doc_id").withColumn("tags", tags_in_force("text", bounds))
+    text = lambda s: F.substring("text", s["from_offset"].cast("int") + 1, F.greatest(s["to_offset"] - s["from_offset"], F.lit(0)).cast("int"))
+    n = F.size("spans")
+    tags = F.arrays_zip(F.col("spans").alias("span"), F.col("tags.open").alias("open"), F.slice("tags.close", n + 1, n).alias("close"))
+    tags = F.slice(tags, F.lit(1), n)
+    markup = F.transform(tags, lambda t: F.struct(t["span"].alias("span"), F.concat(t["open"], text(t["span"]), t["close"]).alias("markup")))
+    return rows.select("doc_id", F.inline(markup)).select("doc_id", "span.*", "markup")
 
 
 def passages(docs: DataFrame, chunks: DataFrame, ranges: DataFrame) -> DataFrame:
@@ -233,9 +242,23 @@ def passages(docs: DataFrame, chunks: DataFrame, ranges: DataFrame) -> DataFrame
 
     first and last are paths of cited(); an ambiguous path is its earliest section. Ranges with an unknown bound, or that hold nothing, give no row.
     """
-    places = chunks.groupBy("doc_id", "path").agg(F.min(F.struct("start_offset", "end_offset")).alias("at"))
-    found = ranges.distinct().join(places.select("doc_id", F.col("path").alias("first"), F.col("at.start_offset").alias("from_offset")), ["doc_id", "first"]).join(places.select("doc_id", F.col("path").alias("last"), F.col("at.end_offset").alias("to_offset")), ["doc_id", "last"]).where("from_offset < to_offset")
-    return found.join(slices(docs, found), ["doc_id", "from_offset", "to_offset"]).select("doc_id", "first", "last", "markup")
+    held = chunks.groupBy("doc_id").agg(F.collect_list(F.struct("path", "start_offset", "end_offset")).alias("sections"))
+    asked = ranges.groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
+    return passages_within(docs, held.join(asked, "doc_id"))
+
+
+def passages_within(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """passages() of texts(doc_id, sections, ranges), one row for each text with its sections and the distinct ranges asked of it.
+
+    Where docs and texts are dealt by doc_id alike, nothing is shuffled.
+    """
+    place = F.transform("sections", lambda s: F.struct(s["path"].alias("path"), F.struct(*(s[c].cast("long").alias(c) for c in ("start_offset", "end_offset"))).alias("at"), F.lit(None).cast("struct<first:string,last:string>").alias("range"), F.lit(False).alias("begins")))
+    bound = lambda end: F.transform("ranges", lambda r: F.struct(r[end].alias("path"), F.lit(None).cast("struct<start_offset:bigint,end_offset:bigint>").alias("at"), r.alias("range"), F.lit(end == "first").alias("begins")))
+    rows = texts.select("doc_id", F.inline(F.concat(place, bound("first"), bound("last"))))
+    rows = rows.withColumn("at", F.min("at").over(Window.partitionBy("doc_id", "path"))).where("range is not null")
+    spans = rows.groupBy("doc_id", "range").agg(F.min(F.when(F.col("begins"), F.col("at.start_offset"))).alias("from_offset"), F.min(F.when(~F.col("begins"), F.col("at.end_offset"))).alias("to_offset"))
+    asked = spans.where("from_offset < to_offset").groupBy("doc_id").agg(F.collect_list(F.struct("range.first", "range.last", "from_offset", "to_offset")).alias("spans"))
+    return _sliced(docs, asked).select("doc_id", "first", "last", "markup")
 
 
 def cited(chunks: DataFrame, depth: int = 3) -> DataFrame:

@@ -282,7 +282,7 @@ def test_closing_tags_without_an_open_one_close_nothing(spark):
     assert {text[r.offset]: (r.open, r.close) for r in found.collect()} == {"b": ("<a>", "</a>"), "d": ("<a><c>", "</c></a>"), "e": ("", ""), "g": ("", ""), "i": ("<h\n k='1'>", "</h>")}
 
 
-@pytest.mark.parametrize("name", ["section_contexts", "markup_sections"])
+@pytest.mark.parametrize("name", ["section_contexts", "passage_ranges", "markup_sections"])
 def test_sections_are_found_once_in_tasks_by_the_size_of_the_tables(spark, monkeypatch, name):
     from scriptoria import registry
     from scriptoria.sources import samples, tables
@@ -295,3 +295,14 @@ def test_sections_are_found_once_in_tasks_by_the_size_of_the_tables(spark, monke
     plan = queries[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert set(re.findall(r"Exchange hashpartitioning\(doc_id#\d+, (\d+)\)", plan)) == {str(tasks)} and plan.count("Generate posexplode") == 1
     assert differences(spark, folder, queries[name], sql[name]) == ""
+
+
+def test_passages_of_a_text_meet_in_its_row(spark):
+    docs = texts(spark, ("d", "<a><b>one</b><b>two</b></a>"), ("e", None)).repartition(4, "doc_id")
+    sections = [("p=1", 3, 13), ("p=1", 13, 23), ("p=2", 13, 23)]
+    held = spark.createDataFrame([(i, sections, [("p=1", "p=2"), ("p=2", "p=1"), ("p=1", "p=1"), ("p=1", None), (None, "p=2"), ("p=9", "p=2")]) for i in ("d", "e")], "doc_id string, sections array<struct<path:string,start_offset:int,end_offset:int>>, ranges array<struct<first:string,last:string>>")
+    found = K.passages_within(docs, held.repartition(4, "doc_id"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange ") <= 2
+    assert sorted((r.first, r.last, r.markup) for r in found.collect()) == [("p=1", "p=1", "<a><b>one</b></a>"), ("p=1", "p=2", "<a><b>one</b><b>two</b></a>")]
+    chunks, ranges = held.select("doc_id", F.inline("sections")), held.select("doc_id", F.inline(F.concat("ranges", "ranges")))
+    assert sorted(map(tuple, K.passages(docs, chunks, ranges).collect())) == sorted(map(tuple, found.collect()))
