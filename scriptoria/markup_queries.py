@@ -83,19 +83,17 @@ def milestone_sections(spark, d):
 @query(f"WITH {LEDGER_TEXTS} SELECT doc_id, path, '<TEI.2><text><body>' || CASE type WHEN 'part' THEN '' ELSE '<div1 type=\"part\" n=\"' || c || '\"><p>' END AS open, CASE type WHEN 'part' THEN '' ELSE '</p></div1>' END || '</body></text></TEI.2>' AS close FROM ledger_sections JOIN ledgers ON doc_id = 'Shop:ledger:' || c")
 def section_contexts(spark, d):
     """The tags in force where each section begins."""
-    texts = ledger_texts(spark, d)
-    chunks = K.cited_texts(texts, 3, tasks=text_tasks(spark, d)).select("doc_id", F.col("sections.path").alias("path"), F.col("sections.start_offset").alias("offset"))
-    found = texts.join(chunks, "doc_id").withColumn("tags", K.tags_in_force("text", "offset"))
+    texts = K.cited_texts(ledger_texts(spark, d), 3, tasks=text_tasks(spark, d), carry=("text",))
+    found = texts.select("doc_id", F.col("sections.path").alias("path"), K.tags_in_force("text", F.col("sections.start_offset")).alias("tags"))
     return found.select("doc_id", F.inline(F.arrays_zip("path", F.col("tags.open").alias("open"), F.col("tags.close").alias("close"))))
 
 
 @query(f"WITH {LEDGER_TEXTS}, b AS (SELECT *, min(nth) OVER (PARTITION BY c, value) AS seen, lead(value) OVER (PARTITION BY c ORDER BY o) AS next_value FROM books), r AS (SELECT DISTINCT c, 'part=' || c || ':book=' || value AS first, 'part=' || c || ':book=' || next_value AS last FROM b WHERE next_value IS NOT NULL), bounds AS (SELECT c, 'part=' || c || ':book=' || value AS path, min(book_at) AS s, arg_min(book_ends, book_at) AS e FROM books GROUP BY ALL) SELECT 'Shop:ledger:' || r.c AS doc_id, first, last, '<TEI.2><text><body><div1 type=\"part\" n=\"' || r.c || '\"><p>' || substr(text, CAST(x.s + 1 AS BIGINT), CAST(y.e - x.s AS BIGINT)) || CASE WHEN y.e = l.ended THEN '' ELSE '</p>' END || CASE WHEN r.c % 3 = 0 AND y.e = l.ended THEN '</body></text></TEI.2>' ELSE '</div1></body></text></TEI.2>' END AS markup FROM r JOIN bounds x ON x.c = r.c AND x.path = first JOIN bounds y ON y.c = r.c AND y.path = last JOIN ledgers l ON l.c = r.c WHERE x.s < y.e")
 def passage_ranges(spark, d):
     """From each book to the end of the one after it, with the tags that make it well-formed."""
-    texts = ledger_texts(spark, d)
-    chunks = K.cited_texts(texts, 3, tasks=text_tasks(spark, d)).withColumn("books", F.transform(F.filter("sections", lambda s: s["type"] == "book"), lambda s: s["path"]))
+    texts = K.cited_texts(ledger_texts(spark, d), 3, tasks=text_tasks(spark, d), carry=("text",)).withColumn("books", F.transform(F.filter("sections", lambda s: s["type"] == "book"), lambda s: s["path"]))
     ranges = F.filter(F.arrays_zip(F.col("books").alias("first"), F.slice("books", F.lit(2), F.size("books")).alias("last")), lambda r: r["last"].isNotNull())
-    return K.passages_within(texts, chunks.select("doc_id", "sections", F.array_distinct(ranges).alias("ranges")))
+    return K.passages_of(texts.select("doc_id", "text", "sections", F.array_distinct(ranges).alias("ranges")))
 
 
 @query("WITH t AS (SELECT 'talk:' || conv_id AS doc_id, turn, len(regexp_extract_all(regexp_replace(coalesce(text, ''), '[<>&_]', ' ', 'g'), '[A-Za-z][A-Za-z\\[\\]]*')) AS w FROM conversations), e AS (SELECT doc_id, unnest(CASE turn % 4 WHEN 0 THEN ['la'] WHEN 1 THEN ['greek', 'en'] WHEN 2 THEN ['de'] ELSE ['unknown'] END) AS lang, unnest(CASE turn % 4 WHEN 0 THEN [w] WHEN 1 THEN [w + 1, 2] WHEN 2 THEN [w] ELSE [w + 1] END) AS n FROM t UNION ALL SELECT DISTINCT doc_id, 'en', 2 FROM t) SELECT doc_id, lang, CAST(sum(n) AS BIGINT) AS n FROM e GROUP BY ALL HAVING sum(n) > 0")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from scriptoria.operators.ranks import placed
 
@@ -33,6 +37,40 @@ def contains() -> Column:
     return F.col("i.start_offset").between(F.col("o.start_offset"), F.col("o.end_offset"))
 
 
+def _dealt(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The values of lists, the row of each and where each row begins; null lists are empty."""
+    sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+    return lists.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(sizes)), sizes), np.concatenate([[0], np.cumsum(sizes)])
+
+
+def _meeting(begins: pa.Array, ends: pa.Array, starts: pa.Array) -> tuple[np.ndarray, ...]:
+    """For each span the first of its row's starts within it and their number; with where rows begin among spans and among starts."""
+    (low, row, outer), (high, _, _), (at, of, inner) = _dealt(begins), _dealt(ends), _dealt(starts)
+    width = max((int(x.max()) for x in (low, high, at) if len(x)), default=0) + 1
+    places = of * width + at
+    first = np.searchsorted(places, row * width + low, "left")
+    return first, np.maximum(np.searchsorted(places, row * width + high, "right") - first, 0), row, outer, inner
+
+
+@F.arrow_udf(ArrayType(StructType([StructField("first", IntegerType()), StructField("n", IntegerType())])))
+def starts_within(begins: pa.Array, ends: pa.Array, starts: pa.Array) -> pa.Array:
+    """contains() within a row: for each span, in the order of begins and ends, the index of the first of starts within it, and how many they are. starts ascend; all are arrays of longs without nulls."""
+    first, n, row, outer, inner = _meeting(begins, ends, starts)
+    runs = [pa.array(first - inner[row], pa.int32()), pa.array(n, pa.int32())]
+    return pa.ListArray.from_arrays(pa.array(outer, pa.int32()), pa.StructArray.from_arrays(runs, ["first", "n"]))
+
+
+@F.arrow_udf(ArrayType(ArrayType(IntegerType())))
+def spans_around(begins: pa.Array, ends: pa.Array, starts: pa.Array) -> pa.Array:
+    """contains() within a row, the other way round: for each of starts the indices of the spans that it is within, which grows with the pairs."""
+    first, n, row, outer, inner = _meeting(begins, ends, starts)
+    span, start = np.repeat(np.arange(len(n)), n), np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+    order = np.argsort(start, kind="stable")
+    each = np.concatenate([[0], np.cumsum(np.bincount(start, minlength=inner[-1]))])
+    held = pa.ListArray.from_arrays(pa.array(each, pa.int32()), pa.array((span - outer[row[span]])[order], pa.int32()))
+    return pa.ListArray.from_arrays(pa.array(inner, pa.int32()), held)
+
+
 def strictly_contains() -> Column:
     same = (F.col("o.start_offset") == F.col("i.start_offset")) & (F.col("o.end_offset") == F.col("i.end_offset"))
     return (F.col("o.start_offset") <= F.col("i.start_offset")) & (F.col("o.end_offset") >= F.col("i.end_offset")) & ~same

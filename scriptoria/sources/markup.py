@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from scriptoria.functions.text import running_starts, words
 from scriptoria.operators.structure import bucketed_range_join, contains
@@ -53,112 +54,196 @@ def attribute(raw: Column, name: str) -> Column:
     return F.when(F.contains(raw, F.lit(f'{name}="')), F.when(value != "", value))
 
 
-def tags_named(text: Column, names: list[str]) -> Column:
-    """The tags of these names in order, an array of (length, own, raw, name, step, line, type).
+#: A tag of an element that holds or begins sections, or any other, which has no name here; what only begins like a tag is none.
+_NAMED = re.compile(rf"<(?:/?({'|'.join(CONTAINERS + MILESTONES)})(?![\w.:-]))?[^>]*>", re.ASCII)
+_ATTRIBUTES = {name: re.compile(rf'<[^>]*?\s{name}="([^"]*)"', re.ASCII) for name in ("ed", "type", "unit", "key", "id", "n")}
 
-    own is a tag's length, length that with all since the tag before, so that a running sum of it is where the tag ends. step is 1 for an opening
-    tag, -1 for a closing one, 0 for others. type is that of the section that the tag begins, null if it begins none, line its edition.
+
+@lru_cache(4096)
+def _tag(raw: str, name: str) -> tuple[int, str | None, str | None, str | None, str | None]:
+    """(step, type, line, declared, id) of a tag of _NAMED.
+
+    step is 1 for an opening tag, -1 for a closing one, 0 for others. type is that of the section that the tag begins, null if it begins none, line its
+    edition, declared the value that it gives; id is empty for entries that name none.
     """
-    pattern = rf"(?s)(?:[^<]++|<(?!/?(?:{'|'.join(names)})(?![\w.:-]))[^>]*+>|<(?![^>]*+>))*+(?:(<[^>]*+>)|\z)"
-    pieces = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda p: F.struct(F.length(p).alias("length"), F.regexp_extract(p, "^" + pattern, 1).alias("raw")))
-    kept = lambda t, *c: [t[x].alias(x) for x in c]
-    named = F.transform(F.filter(pieces, lambda t: t["raw"] != ""), lambda t: F.struct(*kept(t, "length", "raw"), element(t["raw"]).alias("name")))
-    step = lambda t: F.when(F.endswith(t["raw"], F.lit("/>")) | t["name"].isin(MILESTONES), 0).when(F.startswith(t["raw"], F.lit("</")), -1).otherwise(1)
-    begins = lambda t: ~F.startswith(t["raw"], F.lit("</")) & ((t["name"] != "text") | attribute(t["raw"], "n").isNotNull())
-    stepped = F.transform(named, lambda t: F.struct(*kept(t, "length", "raw", "name"), step(t).alias("step"), F.when(begins(t), F.struct(*_typed(t["raw"], t["name"]))).alias("of")))
-    kind = lambda o: F.when(o["line"].isNotNull() | o["base"].isNotNull(), F.lower(F.concat_ws(" ", o["line"], o["base"])))
-    return F.transform(stepped, lambda t: F.struct(*kept(t, "length", "raw", "name", "step"), F.length(t["raw"]).alias("own"), t["of"]["line"].alias("line"), kind(t["of"]).alias("type")))
 
+    def said(attribute: str) -> str | None:
+        found = f'{attribute}="' in raw and _ATTRIBUTES[attribute].match(raw)
+        return found[1] or None if found else None
 
-def _typed(raw: Column, name: Column) -> tuple[Column, Column]:
-    """Edition and base of the type of the section that a tag begins; both may be null."""
-    edition = F.lower(attribute(raw, "ed"))
-    base = F.when(name.isin("l", "lb"), "line").when(name.isin(DIVISIONS), F.coalesce(attribute(raw, "type"), name)).when(name == "milestone", attribute(raw, "unit")).when(name == "pb", "page").when(name.isin("entry", "entryFree"), "entry").otherwise(name)
-    prefixed = name.isin(MILESTONES) | name.isin(DIVISIONS) & attribute(raw, "type").isNotNull()
-    return F.when(prefixed & (edition != "p"), edition).alias("line"), base.alias("base")
+    shut, milestone, division, entry = raw.startswith("</"), name in MILESTONES, name in DIVISIONS, name in ("entry", "entryFree")
+    step = 0 if milestone or raw.endswith("/>") else -1 if shut else 1
+    number = said("n")
+    if shut or name == "text" and not number:
+        return step, None, None, None, None
+    kind, edition = said("type"), (said("ed") or "").lower()
+    base = "line" if name in ("l", "lb") else kind or name if division else said("unit") if name == "milestone" else "page" if name == "pb" else "entry" if entry else name
+    line = edition if edition not in ("", "p") and (milestone or division and kind) else None
+    own = " ".join(x for x in (line, base) if x).lower() or None
+    declared = said("key") if entry else said("id") or number if division and (kind or name).lower() == "entry" else number if name != "titlePage" else None
+    return step, own, line, declared, said("id") or ("" if entry else None)
 
 
-def section_orders(tags: Column) -> Column:
-    """Which types of section hold which, learned from the order in which a text's types first appear: an array of (line, k, type).
+def _orders(tags: list) -> list[tuple[str, int, str]]:
+    """Which types of section hold which, learned from the order in which a text's types first appear: (line, k, type).
 
-    tags are those of tags_named. A type holds those of the same line with a larger k. Divisions and milestones of a unit count, those of each edition
+    A type holds those of the same line with a larger k. Divisions and milestones of a unit count, those of each edition
     are a line; lines, pages and entries hold nothing and are held by elements only.
     """
-    found = F.filter(tags, lambda t: t["type"].isNotNull() & t["name"].isin(*DIVISIONS, "milestone"))
-    types = F.array_distinct(F.transform(found, lambda t: F.struct(F.coalesce(t["line"], F.lit("")).alias("line"), t["type"].alias("type"))))
-    return F.transform(types, lambda t, k: F.struct(t["line"].alias("line"), k.alias("k"), t["type"].alias("type")))
+    types = dict.fromkeys((line or "", kind) for _, _, name, (_, kind, line, _, _) in tags if kind and (name == "milestone" or name in DIVISIONS))
+    return [(line, k, kind) for k, (line, kind) in enumerate(types)]
+
+
+def _held(orders: list[tuple[str, int, str]]) -> dict[str, list[str]]:
+    """The types that each type holds by orders; types that hold none are left out."""
+    first: dict[str, dict[str, int]] = {}
+    for line, k, kind in orders:
+        of = first.setdefault(kind, {})
+        of[line] = min(k, of.get(line, k))
+    below = {kind: list(dict.fromkeys(t for line, k, t in orders if t != kind and k > of.get(line, k))) for kind, of in first.items()}
+    return {kind: types for kind, types in below.items() if types}
 
 
 def scheme_orders(schemes: DataFrame) -> DataFrame:
-    """(doc_id, orders) of schemes(doc_id, scheme), orders as section_orders gives: types from the outermost down, divided by : or *."""
+    """(doc_id, orders) of schemes(doc_id, scheme), orders as _orders() gives: types from the outermost down, divided by : or *."""
     steps = F.filter(F.split(F.lower("scheme"), r"[:*]+"), lambda t: t != "")
     lines = F.transform(steps, lambda t, k: F.struct(F.lower("scheme").alias("line"), k.alias("k"), t.alias("type")))
     return schemes.groupBy("doc_id").agg(F.flatten(F.collect_list(lines)).alias("orders"))
 
 
-def held_types(orders: Column) -> Column:
-    """A map from each type to those that it holds by orders; types that hold none are left out."""
-    below = lambda kind: F.array_distinct(F.transform(F.filter(orders, lambda t: (t["type"] != kind) & F.exists(orders, lambda a: (a["type"] == kind) & (a["line"] == t["line"]) & (a["k"] < t["k"]))), lambda t: t["type"]))
-    kinds = F.array_distinct(F.transform(orders, lambda t: t["type"]))
-    return F.map_from_entries(F.filter(F.transform(kinds, lambda t: F.struct(t.alias("key"), below(t).alias("value"))), lambda e: F.size(e["value"]) > 0))
+def _sections_of(text: str, told: list[tuple[str, int, str]] | None = None) -> list[tuple]:
+    """(n, parent_n, type, value, section_id, position, start, end) of the sections of a text, as sections() describes, by one walk along its tags.
 
-
-def nested(docs: DataFrame, schemes: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
-    """(doc_id, sections): the sections of each text with one, as sections() describes, in one array in the order of their n.
-
-    Texts are dealt by doc_id once, to that many tasks or as many as shuffles have; tags are brought into order within the text from there, and no tag is shuffled or written.
+    told are orders as _orders() gives; without them they are learned. Work and memory grow with the tags, and with the types that sections hold.
     """
-    told = None if schemes is None else scheme_orders(schemes)
-    docs = docs.where("text is not null").select("doc_id", "text")
-    docs = docs.withColumn("told", F.lit(None).cast("array<struct<line:string,k:int,type:string>>")) if told is None else docs.join(told, "doc_id", "left").withColumnRenamed("orders", "told")
-    texts = dealt(docs, "doc_id", tasks).select("doc_id", F.monotonically_increasing_id().alias("_row"), F.length("text").alias("size"), "told", tags_named(F.col("text"), CONTAINERS + MILESTONES).alias("tags"))
-    texts = texts.withColumn("orders", held_types(F.coalesce("told", section_orders(F.col("tags")))))
-    raw, name, section = F.col("raw"), F.col("name"), F.col("type").isNotNull()
-    tags = texts.select("doc_id", "_row", "size", "orders", F.posexplode("tags").alias("n", "t")).select("doc_id", "_row", "size", "orders", "n", "t.*")
-    tags = tags.select("doc_id", "_row", "n", "raw", "name", "step", "type", "length", "own", "size", F.coalesce(F.try_element_at("orders", F.col("type")), F.array().cast("array<string>")).alias("holds"))
-    whole = Window.partitionBy("_row", "doc_id").orderBy("n")
-    upto = whole.rowsBetween(Window.unboundedPreceding, 0)
-    tags = tags.withColumn("depth", F.sum("step").over(upto)).withColumn("after", F.sum("length").over(upto)).withColumn("abs_position", F.count("type").over(upto)).withColumn("_next", F.lead(F.struct("step", "length", "own", "name")).over(whole)).withColumn("_last", F.lag("step").over(whole))
-    # An opening tag marks its own level and, for what it holds, the next; a closing tag likewise. An element that holds no other is one mark.
-    start = (F.col("after") - F.col("own")).alias("start")
-    leaf = F.when((F.col("step") == 1) & (F.col("_next.step") == -1), F.struct((F.col("n") + 1).alias("n"), (F.col("after") + F.col("_next.length") - F.col("_next.own")).alias("start"), (F.col("after") + F.col("_next.length")).alias("after"), F.col("_next.name").alias("name")))
-    level = F.when(F.col("step") == 1, F.col("depth")).otherwise(F.col("depth") + 1)
-    mark = lambda kind, at: F.struct((level + at).alias("level"), F.lit(kind).alias("kind"))
-    marks = F.when(F.col("step") == 0, F.array(mark("alone", 0))).when(leaf.isNotNull(), F.array(mark("leaf", 0))).when(F.col("step") == 1, F.array(mark("open", 0), mark("begin", 1)))
-    marks = marks.when((F.col("step") == -1) & F.coalesce(F.col("_last") != 1, F.lit(True)), F.array(mark("close", 0), mark("end", 1)))
-    rows = tags.select("doc_id", "_row", "n", F.when(section, raw).alias("raw"), "name", "type", "holds", "size", start, "after", F.when(section, F.col("abs_position")).alias("abs_position"), leaf.alias("leaf"), F.inline(marks))
-    rows = rows.withColumn("begun", F.when(F.col("kind") == "begin", F.struct("n", F.col("abs_position").alias("at")))).withColumn("shut", F.when(F.col("kind") == "close", F.struct("n", "start", "after", "name"))).withColumn("left", F.when(F.col("kind") == "end", F.col("start")))
-    over = "over (partition by _row, doc_id, level order by n)"
-    around = F.last("begun", ignorenulls=True).over(Window.partitionBy("_row", "doc_id", "level").orderBy("n").rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("around", around).withColumn("close", F.coalesce("leaf", F.expr(f"lead(shut) ignore nulls {over}"))).withColumn("ended", F.coalesce(F.expr(f"lead(left) ignore nulls {over}"), F.col("size").cast("long")))
-    rows = rows.where(F.col("kind").isin("open", "leaf", "alone") & section)
-    declared = F.when(name.isin("entry", "entryFree"), attribute(raw, "key")).when(name.isin(DIVISIONS) & (F.lower(F.coalesce(attribute(raw, "type"), name)) == "entry"), F.coalesce(attribute(raw, "id"), attribute(raw, "n"))).when(name != "titlePage", attribute(raw, "n"))
-    milestone = name.isin(MILESTONES)
-    shut = F.when(F.col("close.name") == name, F.col("close.after")).otherwise(F.col("close.start"))
-    closed = F.when(F.col("kind") != "alone", F.coalesce(shut, F.col("ended"))).when(milestone, F.col("ended")).otherwise(F.col("after"))
+    tags = []
+    for m in _NAMED.finditer(text, 0, text.rfind(">") + 1):
+        name = m[1]
+        if name:
+            tags.append((m.start(), m.end(), name, _tag(m[0], name)))
+    # An element that is opened encloses the level below it until a closing tag comes back to its own. One that holds no other encloses nothing.
+    found, begun, depth, last, closing = [], {}, 0, 0, len(tags) - 1
+    levels = []
+    for n, (_, _, _, (step, kind, _, _, _)) in enumerate(tags):
+        depth += step
+        leaf = step == 1 and n < closing and tags[n + 1][3][0] == -1
+        level = depth if step == 1 else depth + 1
+        levels.append(None if step == -1 and last == 1 else level)
+        if kind:
+            found.append((n, level, leaf, begun.get(level)))
+        if step == 1 and not leaf:
+            begun[depth + 1] = (n, len(found) if kind else None)
+        last = step
+    if not found:
+        return []
+    closes, ends, upto, bounds = {}, {}, closing, [None] * len(found)
+    for k in range(len(found) - 1, -1, -1):
+        n, level, leaf, _ = found[k]
+        while upto > n:
+            start, _, _, (step, _, _, _, _) = tags[upto]
+            if step == -1 and levels[upto] is not None:
+                closes[levels[upto]], ends[levels[upto] + 1] = upto, start
+            upto -= 1
+        bounds[k] = (n + 1 if leaf else closes.get(level), ends.get(level, len(text)))
+    holds = _held(_orders(tags) if told is None else told)
     # Where a section begins or ends of a type that holds others, each of those types has a turn.
-    turn_n, turn_at = F.when(milestone, F.col("n")).otherwise(F.col("close.n")), F.when(milestone, F.col("start")).otherwise(F.col("close.start"))
-    begins = F.when(milestone, F.struct("n", F.col("abs_position").alias("at")))
-    turn = lambda kind, n, at, begins, k: F.struct(kind.alias("of"), n.alias("turn_n"), at.alias("at"), begins.alias("begins"), F.lit(k).alias("turn"))
-    own = turn(F.col("type"), F.col("n"), F.when(milestone, F.col("start")), F.when(F.lit(False), F.struct("n", F.col("abs_position").alias("at"))), 0)
-    turns = F.concat(F.array(own), F.when(turn_n.isNotNull(), F.transform("holds", lambda t: turn(t, turn_n, turn_at, begins, 1))).otherwise(F.array().cast("array<struct<of:string,turn_n:int,at:bigint,begins:struct<n:int,at:bigint>,turn:int>>")))
-    rows = rows.select("doc_id", "_row", "n", "type", declared.alias("declared"), F.coalesce(attribute(raw, "id"), F.when(name.isin("entry", "entryFree"), "")).alias("id"), "start", closed.alias("closed"), milestone.alias("milestone"), "abs_position", "around", F.inline(turns))
-    same = Window.partitionBy("_row", "doc_id", "of").orderBy("turn_n", F.desc("turn"))
-    so_far = same.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("scope", F.sum("turn").over(so_far)).withColumn("position", F.count_if(F.col("turn") == 0).over(so_far)).withColumn("held", F.last("begins", ignorenulls=True).over(so_far)).withColumn("later", F.expr("lead(at) ignore nulls over (partition by _row, doc_id, of order by turn_n, turn desc)"))
-    rows = rows.where("turn = 0")
-    within = [F.when(F.col("type") != "entry", c) for c in (F.col("around.n"), F.col("scope"))]
-    rows = rows.withColumn("value", F.coalesce("declared", F.row_number().over(Window.partitionBy("_row", "doc_id", "type", *within).orderBy("n")).cast("string")))
-    end = F.when(F.col("milestone"), F.least("later", "closed")).otherwise(F.col("closed"))
-    identity = F.when(F.col("id") == "", F.col("value")).otherwise(F.col("id"))
-    each = F.struct(F.col("abs_position").cast("int").alias("n"), "type", "value", identity.alias("section_id"), F.col("position").cast("int").alias("position"), F.col("start").alias("start_offset"), end.alias("end_offset"), "around", "held")
-    texts = rows.groupBy("_row", "doc_id").agg(F.sort_array(F.collect_list(each)).alias("_found"))
-    # Sections of a text are numbered without gaps, so that one is at its number.
-    found = F.col("_found")
-    inside = lambda s: (F.get(found, (s["held"]["at"] - 1).cast("int"))["end_offset"] > s["start_offset"]) & (s["held"]["n"] > F.coalesce(s["around"]["n"], F.lit(-1)))
-    parent = lambda s: F.when(inside(s), s["held"]["at"]).otherwise(s["around"]["at"]).cast("int")
-    out = F.transform(found, lambda s: F.struct(s["n"].alias("n"), parent(s).alias("parent_n"), *(s[c].alias(c) for c in ("type", "value", "section_id", "position")), s["n"].alias("abs_position"), *(s[c].alias(c) for c in ("start_offset", "end_offset"))))
-    return texts.select("doc_id", out.alias("sections"))
+    turns: dict[str, list] = {}
+    for k, (n, _, _, _) in enumerate(found):
+        start, _, name, (_, kind, _, _, _) = tags[n]
+        milestone = name in MILESTONES
+        turns.setdefault(kind, []).append((n, 0, start if milestone else None, None, k))
+        turn = n if milestone else bounds[k][0]
+        if turn is not None:
+            for t in holds.get(kind, ()):
+                turns.setdefault(t, []).append((turn, -1, tags[turn][0], (n, k + 1) if milestone else None, None))
+    state: list = [None] * len(found)
+    for kind, events in turns.items():
+        if holds:
+            events.sort(key=lambda e: e[:2])
+        later = [None] * len(events)
+        for j in range(len(events) - 2, -1, -1):
+            later[j] = later[j + 1] if events[j + 1][2] is None else events[j + 1][2]
+        scope, position, held = 0, 0, None
+        for (_, turn, _, begins, k), at in zip(events, later):
+            if turn:
+                scope, held = scope + 1, begins or held
+            else:
+                position += 1
+                state[k] = (scope, position, held, at)
+    out, counts = [], {}
+    for k, (n, level, leaf, around) in enumerate(found):
+        start, after, name, (step, kind, _, declared, own) = tags[n]
+        scope, position, held, later = state[k]
+        close, ended = bounds[k]
+        if step:
+            end = ended if close is None else tags[close][1 if tags[close][2] == name else 0]
+        elif name in MILESTONES:
+            end = ended if later is None else min(later, ended)
+        else:
+            end = after
+        key = kind if kind == "entry" else (kind, around and around[0], scope)
+        counts[key] = counts.get(key, 0) + 1
+        value = declared or str(counts[key])
+        parent = around and around[1]
+        if held and held[0] > (around[0] if around else -1) and out[held[1] - 1][7] > start:
+            parent = held[1]
+        out.append((k + 1, parent, kind, value, value if own == "" else own, position, start, end))
+    return out
+
+
+_SECTION = StructType([StructField("n", IntegerType()), StructField("parent_n", IntegerType()), *(StructField(c, StringType()) for c in ("type", "value", "section_id")), StructField("position", IntegerType()), StructField("abs_position", IntegerType()), *(StructField(c, LongType()) for c in ("start_offset", "end_offset"))])
+
+
+def _finder(depth: int):
+    """A function of texts, and of the orders told of each if there are such, that gives arrays of their sections; with path, at most depth steps of it, if there is a depth."""
+    of = StructType([*_SECTION.fields, *([StructField("path", StringType())] if depth else [])])
+    kinds = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
+
+    def found(texts: pa.Array, told=None) -> pa.Array:
+        rows, offsets, paths = [], [0], []
+        for i, text in enumerate(texts):
+            orders = told[i].as_py() if told is not None else None
+            each = _sections_of(text.as_py(), None if orders is None else [(o["line"], o["k"], o["type"]) for o in orders])
+            rows += each
+            offsets.append(len(rows))
+            if depth:
+                steps = [f"{s[2]}={s[3]}" for s in each]
+                for s in each:
+                    path, up = steps[s[0] - 1], s[1]
+                    for _ in range(depth - 1):
+                        if up is None:
+                            break
+                        path, up = f"{steps[up - 1]}:{path}", each[up - 1][1]
+                    paths.append(path)
+        n, parent, kind, value, own, position, start, end = zip(*rows) if rows else ((),) * 8
+        columns = [n, parent, kind, value, own, position, n, start, end, *([paths] if depth else [])]
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], of.names))
+
+    @F.arrow_udf(ArrayType(of))
+    def of_texts(texts: pa.Array) -> pa.Array:
+        return found(texts)
+
+    @F.arrow_udf(ArrayType(of))
+    def of_told(texts: pa.Array, told: pa.Array) -> pa.Array:
+        return found(texts, told)
+
+    return of_texts, of_told
+
+
+def nested(docs: DataFrame, schemes: DataFrame | None = None, tasks: int | None = None, depth: int = 0, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, sections): the sections of each text with one, as sections() describes, in one array in the order of their n, with columns of docs to carry.
+
+    With a depth they have path, as cited() describes. Texts are dealt by doc_id once, to that many tasks or as many as shuffles have; sections are found within the text's row, and no tag is shuffled or written.
+    """
+    told = None if schemes is None else scheme_orders(schemes)
+    kept = list(dict.fromkeys(["doc_id", "text", *carry]))
+    docs = docs.where("text is not null").select(*kept)
+    docs = docs if told is None else docs.join(told, "doc_id", "left")
+    of_texts, of_told = _finder(depth)
+    found = of_texts("text") if told is None else of_told("text", "orders")
+    # exploded, so that what follows reads the sections found and does not find them again
+    texts = dealt(docs, "doc_id", tasks).select("doc_id", *carry, F.posexplode(F.array(found)).alias("_once", "sections"))
+    return texts.where(F.size("sections") > 0).select("doc_id", *carry, "sections")
 
 
 def sections(docs: DataFrame, schemes: DataFrame | None = None) -> DataFrame:
@@ -166,7 +251,7 @@ def sections(docs: DataFrame, schemes: DataFrame | None = None) -> DataFrame:
 
     Divisions are of their type, milestones of their unit, pages and lines of those names; an
     edition other than p stands before the type. Types hold each other as schemes(doc_id, scheme), such as
-    book:chapter, say, or where a text has none as section_orders learns. A division ends after its closing tag.
+    book:chapter, say, or where a text has none as _orders() learns. A division ends after its closing tag.
     A milestone ends where the next of its type begins, where a section ends of a type that holds its own, or where
     the element ends that encloses it. An element that is never closed ends with what encloses it, or with the text. value is the
     declared one, else the running number of the type since a section of a type that holds it ended, within the
@@ -227,8 +312,12 @@ def slices(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def _sliced(docs: DataFrame, asked: DataFrame) -> DataFrame:
     """slices() of asked(doc_id, spans), one row for each text, with all that spans hold."""
+    return _sliced_rows(docs.where("text is not null").select("doc_id", "text").join(asked, "doc_id"))
+
+
+def _sliced_rows(rows: DataFrame) -> DataFrame:
     bounds = F.concat("spans.from_offset", "spans.to_offset").cast("array<bigint>")
-    rows = docs.where("text is not null").select("doc_id", "text").join(asked, "doc_id").withColumn("tags", tags_in_force("text", bounds))
+    rows = rows.withColumn("tags", tags_in_force("text", bounds))
     text = lambda s: F.substring("text", s["from_offset"].cast("int") + 1, F.greatest(s["to_offset"] - s["from_offset"], F.lit(0)).cast("int"))
     n = F.size("spans")
     tags = F.arrays_zip(F.col("spans").alias("span"), F.col("tags.open").alias("open"), F.slice("tags.close", n + 1, n).alias("close"))
@@ -261,6 +350,26 @@ def passages_within(docs: DataFrame, texts: DataFrame) -> DataFrame:
     return _sliced(docs, asked).select("doc_id", "first", "last", "markup")
 
 
+@F.arrow_udf(ArrayType(StructType([StructField("from_offset", LongType()), StructField("to_offset", LongType())])))
+def _bounds(paths: pa.Array, starts: pa.Array, ends: pa.Array, firsts: pa.Array, lasts: pa.Array) -> pa.Array:
+    """Where each range from a first to a last path begins and ends, by the earliest section of a path; null for unknown ones."""
+    rows = []
+    for path, start, end, first, last in zip(*(x.to_pylist() for x in (paths, starts, ends, firsts, lasts))):
+        at: dict = {}
+        for p, span in zip(path, zip(start, end)):
+            if p is not None and (p not in at or span < at[p]):
+                at[p] = span
+        rows.append([{"from_offset": at[a][0] if a in at else None, "to_offset": at[b][1] if b in at else None} for a, b in zip(first, last)])
+    return pa.array(rows, pa.list_(pa.struct([("from_offset", pa.int64()), ("to_offset", pa.int64())])))
+
+
+def passages_of(texts: DataFrame) -> DataFrame:
+    """passages() of texts(doc_id, text, sections, ranges), each with its text in its row, so that nothing is joined or shuffled."""
+    at = _bounds(F.col("sections.path"), F.col("sections.start_offset"), F.col("sections.end_offset"), F.col("ranges.first"), F.col("ranges.last"))
+    spans = F.transform(F.arrays_zip(F.col("ranges").alias("range"), at.alias("at")), lambda s: F.struct(s["range"]["first"].alias("first"), s["range"]["last"].alias("last"), s["at"]["from_offset"].alias("from_offset"), s["at"]["to_offset"].alias("to_offset")))
+    return _sliced_rows(texts.select("doc_id", "text", F.filter(spans, lambda s: s["from_offset"] < s["to_offset"]).alias("spans")).where("size(spans) > 0")).select("doc_id", "first", "last", "markup")
+
+
 def cited(chunks: DataFrame, depth: int = 3) -> DataFrame:
     """sections() with path: type=value steps from the outermost section down, at most depth of them.
 
@@ -271,14 +380,14 @@ def cited(chunks: DataFrame, depth: int = 3) -> DataFrame:
     return _with_paths(texts, rest, depth).select("doc_id", F.inline("sections"))
 
 
-def cited_sections(docs: DataFrame, depth: int = 3, schemes: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
-    """cited() of the sections of docs; a text's sections are not brought together a second time."""
-    return cited_texts(docs, depth, schemes, tasks).select("doc_id", F.inline("sections"))
+def cited_sections(docs: DataFrame, depth: int = 3, schemes: DataFrame | None = None, tasks: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """cited() of the sections of docs, with columns of docs to carry; a text's sections are not brought together a second time."""
+    return cited_texts(docs, depth, schemes, tasks, carry).select("doc_id", *carry, F.inline("sections"))
 
 
-def cited_texts(docs: DataFrame, depth: int = 3, schemes: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
-    """(doc_id, sections): cited_sections() of each text with one, in one array in their order, dealt by doc_id as nested() says."""
-    return _with_paths(nested(docs, schemes, tasks), ["n", "parent_n", "type", "value", "section_id", "position", "abs_position", "start_offset", "end_offset"], depth)
+def cited_texts(docs: DataFrame, depth: int = 3, schemes: DataFrame | None = None, tasks: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, sections): cited_sections() of each text with one, in one array in their order, dealt by doc_id as nested() says, with columns of docs to carry."""
+    return nested(docs, schemes, tasks, depth, carry)
 
 
 def _with_paths(texts: DataFrame, columns: list[str], depth: int) -> DataFrame:

@@ -306,3 +306,73 @@ def test_passages_of_a_text_meet_in_its_row(spark):
     assert sorted((r.first, r.last, r.markup) for r in found.collect()) == [("p=1", "p=1", "<a><b>one</b></a>"), ("p=1", "p=2", "<a><b>one</b><b>two</b></a>")]
     chunks, ranges = held.select("doc_id", F.inline("sections")), held.select("doc_id", F.inline(F.concat("ranges", "ranges")))
     assert sorted(map(tuple, K.passages(docs, chunks, ranges).collect())) == sorted(map(tuple, found.collect()))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sections_are_found_by_one_walk_along_a_text(spark):
+    from scriptoria import markup_queries
+
+    found = K.cited_sections(texts(spark, ("d", PARTED)).withColumn("own", F.lit(5)), 4, carry=("own",))
+    assert "Window" not in plan(found) and {r.own for r in found.collect()} == {5}
+    for name in ("markup_sections", "milestone_sections", "sections_by_type"):
+        assert "Window" not in plan(getattr(markup_queries, name)(spark, "/root/testdata/sf0.001"))
+
+
+def test_a_milestone_may_be_held_by_one_that_began_before_the_element(spark):
+    text = '</x><milestone unit="book" n="A"/><milestone unit="chapter"/><p><milestone unit="chapter"/></p><milestone unit="book"/><milestone unit="chapter"/><div type="entry" id="k"/><div1>'
+    rows = K.cited_sections(texts(spark, ("d", text), ("e", "<!-- <l> -->"), ("f", "< <l>")), 3).orderBy("doc_id", "n").collect()
+    assert [(r.doc_id, r.path, r.parent_n) for r in rows] == [("d", "book=A", None), ("d", "book=A:chapter=1", 1), ("d", "book=A:chapter=2", 1), ("d", "book=2", None), ("d", "book=2:chapter=1", 4), ("d", "book=2:chapter=1:entry=k", 5), ("d", "book=2:chapter=1:div1=1", 5)]
+
+
+def test_spans_that_hold_starts_are_found_in_the_row(spark):
+    from scriptoria.operators import structure
+
+    rows = [(1, [0, 3, 9], [9, 5, 8], [0, 3, 5, 9, 12]), (2, [], [], [4]), (3, [1], [2], []), (4, [7, 0], [9, 9], [7])]
+    df = spark.createDataFrame(rows, "i int, b array<bigint>, e array<bigint>, s array<bigint>").coalesce(1)
+    got = {r.i: ([tuple(x) for x in r.w], r.a) for r in df.select("i", structure.starts_within("b", "e", "s").alias("w"), structure.spans_around("b", "e", "s").alias("a")).collect()}
+    assert {i: ([n for _, n in w], a) for i, (w, a) in got.items()} == {1: ([4, 2, 0], [[0], [0, 1], [0, 1], [0], []]), 2: ([], [[]]), 3: ([0], []), 4: ([1, 1], [[0, 1]])}
+    assert got[1][0][:2] == [(0, 4), (1, 2)]
+
+
+def test_contents_and_passages_are_found_in_the_row_of_a_text(spark, monkeypatch):
+    from scriptoria import markup_queries
+    from scriptoria.sources import tables
+
+    monkeypatch.setattr(tables, "kept", None)
+    contents = plan(markup_queries.markup_contents(spark, "/root/testdata/sf0.001"))
+    assert "_bucket" not in contents and "Window" not in contents
+    assert "Window" not in plan(markup_queries.passages_by_reference(spark, "/root/testdata/sf0.001"))
+    docs = texts(spark, ("d", '<div1 type="order" n="é"><l>x</l></div1><div1 type="order">y</div1>'), ("e", "<l>x</l>"))
+    found = R.passages_within(K.cited_texts(docs, 2, carry=("text",)).select("doc_id", "text", R.references_within(F.col("sections"), "order").alias("refs")))
+    assert [(r.path, r.nth, r.previous, r.next, r.first, r.n_references, r.passage) for r in found.orderBy("nth").collect()] == [
+        ("order=é", 1, None, "order=2", "order=é", 2, '<div1 type="order" n="é"><l>x</l></div1>'), ("order=2", 2, "order=é", None, "order=é", 2, '<div1 type="order">y</div1>'),
+    ]
+
+
+def test_what_is_asked_of_known_paths_is_read_once(spark):
+    asked = spark.createDataFrame([("w", "a=1:b=2"), ("w", "a=1:b=2"), ("w", None), (None, "a=1"), ("v", "a=1")], "work string, path string")
+    known = spark.createDataFrame([("w", "a=1"), ("w", "a=1"), ("w", ""), (None, "a=1")], "work string, path string")
+    found = R.nearest(asked, known, ["work"])
+    assert plan(found).count("Join") == 1
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, [("w", "a=1:b=2", "a=1"), ("w", "a=1:b=2", "a=1"), ("w", None, None), (None, "a=1", None), ("v", "a=1", None)]))
+
+
+def test_commentaries_are_found_for_the_lines_of_all_texts(spark):
+    from scriptoria import markup_queries
+
+    folder = "/root/testdata/sf0.01"
+    found = markup_queries.commentaries_on_lines(spark, folder)
+    of = F.split_part("doc_id", F.lit(":"), F.lit(3)).cast("long")
+    assert found.where(of % 100 != 0).count() > 0
+
+
+def test_passages_are_found_with_the_text_in_their_row(spark):
+    text = "<a><b>one</b><b>two</b></a>"
+    docs = texts(spark, ("d", text), ("e", text))
+    held = spark.createDataFrame([(i, text, [("p=1", 13, 23), ("p=1", 3, 13), ("p=2", 13, 23)], [("p=1", "p=2"), ("p=2", "p=1"), ("p=1", "p=1"), ("p=1", None), (None, "p=2"), ("p=9", "p=2")]) for i in ("d", "e")], "doc_id string, text string, sections array<struct<path:string,start_offset:int,end_offset:int>>, ranges array<struct<first:string,last:string>>")
+    found = K.passages_of(held)
+    assert exchanges(found) == 0
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, K.passages_within(docs, held.drop("text")).collect())) and found.count() == 4
