@@ -69,9 +69,13 @@ def sections_by_type(spark, d):
 
 @query(f"WITH {_SECTIONS} SELECT s.doc_id, s.path, arg_min(c.path, c.start_offset) AS first_child, count(*) AS n_children FROM sections s JOIN sections c ON s.doc_id = c.doc_id AND s.type = 'order' AND c.type = 'line' AND c.start_offset BETWEEN s.start_offset AND s.end_offset GROUP BY ALL")
 def markup_contents(spark, d):
-    chunks = _sections(spark, d)
-    pairs = J.bucketed_range_join(chunks.where("type = 'order'"), chunks.where("type = 'line'"), "doc_id", J.contains())
-    return pairs.groupBy(F.col("o.doc_id").alias("doc_id"), F.col("o.path").alias("path")).agg(F.min_by("i.path", "i.start_offset").alias("first_child"), F.count("*").alias("n_children"))
+    of = lambda kind: F.filter("sections", lambda s: s["type"] == kind)
+    texts = K.cited_texts(_texts(spark, d), 2, tasks=text_tasks(spark, d)).select("doc_id", of("order").alias("orders"), of("line").alias("lines"))
+    held = texts.withColumn("runs", J.starts_within("orders.start_offset", "orders.end_offset", "lines.start_offset"))
+    child = lambda k: F.get("lines", k)
+    each = F.transform(F.arrays_zip(F.col("orders.path").alias("path"), "runs"), lambda o: F.struct(o["path"].alias("path"), child(o["runs"]["first"])["path"].alias("child"), child(o["runs"]["first"])["start_offset"].alias("at"), o["runs"]["n"].alias("n")))
+    held = held.select("doc_id", F.inline(each)).where("n > 0")
+    return held.groupBy("doc_id", "path").agg(F.min_by("child", "at").alias("first_child"), F.sum("n").alias("n_children"))
 
 
 @query(f"WITH {LEDGER_TEXTS} SELECT * FROM ledger_sections")
