@@ -269,15 +269,14 @@ def work_translations(spark, d):
     return R.siblings(works.where("kind = 'text'"), asked)
 
 
-@query(f"WITH {_SECTIONS}, {_WORKS}, lines AS (SELECT s.doc_id, work, split_part(split_part(path, ':', 1), '=', 2) AS book, value FROM sections s JOIN works USING (doc_id) WHERE type = 'line' AND kind = 'text' AND c_custkey % 100 = 0), comments AS (SELECT s.doc_id AS commentary, work, value FROM sections s JOIN works USING (doc_id) WHERE type = 'order' AND kind = 'commentary') SELECT DISTINCT lines.doc_id, book, lines.value AS line, commentary FROM lines JOIN comments ON comments.work = lines.work AND comments.value = lines.value")
+@query(f"WITH {_SECTIONS}, {_WORKS}, lines AS (SELECT s.doc_id, work, split_part(split_part(path, ':', 1), '=', 2) AS book, value FROM sections s JOIN works USING (doc_id) WHERE type = 'line' AND kind = 'text'), comments AS (SELECT s.doc_id AS commentary, work, value FROM sections s JOIN works USING (doc_id) WHERE type = 'order' AND kind = 'commentary') SELECT DISTINCT lines.doc_id, book, lines.value AS line, commentary FROM lines JOIN comments ON comments.work = lines.work AND comments.value = lines.value")
 def commentaries_on_lines(spark, d):
     """Orders of a work's commentaries that are numbered as lines of its texts, by the scheme order=card."""
-    works = _works(spark, d)
-    asked = works.where(F.split_part("doc_id", F.lit(":"), F.lit(3)).cast("long") % 100 == 0).where("kind = 'text'")
-    chunks = _sections(spark, d).join(works, "doc_id")
-    lines = chunks.where("type = 'line'").join(asked.select("doc_id"), "doc_id", "left_semi").withColumn("steps", X.path_steps(F.concat(F.lit("d:"), "path")))
+    texts = _texts(spark, d)
+    of = lambda kind: K.cited_sections(texts.where(F.col("kind") == kind), 2, tasks=text_tasks(spark, d), carry=("work",))
+    lines = of("text").where("type = 'line'").withColumn("steps", X.path_steps(F.concat(F.lit("d:"), "path")))
     lines = lines.select("work", "doc_id", F.col("steps")[0]["value"].alias("book"), F.col("value").alias("line"), R.commentary_path(F.col("steps"), F.lit("order=card")).alias("path"))
-    comments = chunks.where("type = 'order' and kind = 'commentary'").select("work", "path", F.col("doc_id").alias("commentary"))
+    comments = of("commentary").where("type = 'order'").select("work", "path", F.col("doc_id").alias("commentary"))
     return lines.join(comments, ["work", "path"]).select("doc_id", "book", "line", "commentary").distinct()
 
 
