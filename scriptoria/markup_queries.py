@@ -283,10 +283,10 @@ def commentaries_on_lines(spark, d):
 @query(f"WITH {_SECTIONS}, {_WORKS}, asked AS (SELECT work, CAST(o_orderkey AS VARCHAR) AS v, 'order=' || o_orderkey || ':line=99' AS path FROM placed JOIN works USING (c_custkey)), k AS (SELECT DISTINCT work, value FROM sections JOIN works USING (doc_id) WHERE type = 'order' AND kind = 'summary') SELECT asked.work, path, CASE WHEN k.value IS NOT NULL THEN 'order=' || v END AS found FROM asked LEFT JOIN k ON k.work = asked.work AND k.value = v")
 def summaries_found_by_climbing(spark, d):
     """For each order, asked for a line that it lacks, the longest part of the citation that a summary of the work has."""
-    works = _works(spark, d)
-    chunks = _sections(spark, d).join(works, "doc_id")
-    asked = chunks.where("type = 'order'").select("work", F.concat("path", F.lit(":line=99")).alias("path"))
-    return R.nearest(asked, chunks.where("kind = 'summary'").select("work", "path"), ["work"])
+    texts = _texts(spark, d)
+    of = lambda rows: K.cited_sections(rows, 2, tasks=text_tasks(spark, d), carry=("work",))
+    asked = of(texts).where("type = 'order'").select("work", F.concat("path", F.lit(":line=99")).alias("path"))
+    return R.nearest(asked, of(texts.where("kind = 'summary'")).select("work", "path"), ["work"])
 
 
 @query(f"WITH {_WORKS} SELECT work, count(*) FILTER (kind = 'text') AS n_texts, count(*) FILTER (kind = 'commentary') AS n_commentaries, min(doc_id) FILTER (kind = 'text') AS first_text, min(doc_id) FILTER (kind = 'commentary') AS first_commentary FROM works GROUP BY work")

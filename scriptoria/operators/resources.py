@@ -49,10 +49,15 @@ def ancestors(path: Column) -> Column:
 
 
 def nearest(asked: DataFrame, known: DataFrame, key: list[str]) -> DataFrame:
-    """asked(*key, path) with found: the longest ancestor of path that known(*key, path) has; null without any."""
-    tried = asked.select(*key, "path", F.posexplode(ancestors(F.col("path"))).alias("_k", "_tried"))
-    hits = tried.join(known.select(*key, F.col("path").alias("_tried")).distinct(), [*key, "_tried"]).groupBy(*key, "path").agg(F.min_by("_tried", "_k").alias("found"))
-    return asked.join(hits, [*key, "path"], "left")
+    """asked(*key, path) with found: the longest ancestor of path that known(*key, path) has; null without any.
+
+    asked is read once: what is repeated in it is counted and given as often again.
+    """
+    tried = asked.select(*key, "path", F.posexplode_outer(ancestors(F.col("path"))).alias("_k", "_tried")).withColumn("_k", F.coalesce("_k", F.lit(0)))
+    held = known.select(*key, F.col("path").alias("_tried")).distinct().withColumn("_held", F.lit(True))
+    hits = tried.join(held, [*key, "_tried"], "left").where("_held or _k = 0")
+    found = hits.groupBy(*key, "path").agg(F.min(F.when(F.col("_held"), F.struct("_k", "_tried")))["_tried"].alias("found"), F.count_if(F.col("_k") == 0).cast("int").alias("_n"))
+    return found.select(*key, "path", F.explode(F.array_repeat("found", F.col("_n"))).alias("found"))
 
 
 def references(chunks: DataFrame, kind: str) -> DataFrame:
@@ -71,3 +76,18 @@ def passages(refs: DataFrame, docs: DataFrame) -> DataFrame:
     part = lambda r: F.substring(F.col("text"), r["start_offset"] + 1, r["end_offset"] - r["start_offset"])
     told = F.transform("refs", lambda r: F.struct(*(r[c].alias(c) for c in rest), part(r).alias("passage")))
     return of_text.join(docs.select("doc_id", "text"), "doc_id").select("doc_id", F.inline(told))
+
+
+def references_within(sections: Column, kind: str) -> Column:
+    """references() of a text's sections, an array in the order of their starts, in the same order."""
+    refs = F.filter(sections, lambda s: s["type"] == kind)
+    path = lambda k: F.get(refs, k)["path"]
+    return F.transform(refs, lambda r, k: F.struct(r["path"].alias("path"), (k + 1).alias("nth"), path(k - 1).alias("previous"), path(k + 1).alias("next"), path(F.lit(0)).alias("first"), F.size(refs).cast("long").alias("n_references"), r["start_offset"].alias("start_offset"), r["end_offset"].alias("end_offset")))
+
+
+def passages_within(texts: DataFrame) -> DataFrame:
+    """passages() of texts(doc_id, text, refs), one row for each text with its references."""
+    part = lambda r: F.substring(F.col("text"), (r["start_offset"] + 1).cast("int"), (r["end_offset"] - r["start_offset"]).cast("int"))
+    # exploded, so that each reference is made once and not again for each of its fields
+    rows = texts.select("doc_id", "text", F.inline(F.array(F.struct("refs"))))
+    return rows.select("doc_id", F.inline(F.transform("refs", lambda r: F.struct(r.alias("ref"), part(r).alias("passage"))))).select("doc_id", "ref.*", "passage")
