@@ -309,9 +309,8 @@ def abstract_works(spark, d):
 
 @query(f"WITH {_SECTIONS}, w AS (SELECT *, row_number() OVER o AS nth, lag(path) OVER o AS previous, lead(path) OVER o AS next, first_value(path) OVER o AS first, count(*) OVER (PARTITION BY doc_id) AS n_references FROM sections WHERE type = 'order' WINDOW o AS (PARTITION BY doc_id ORDER BY start_offset)) SELECT doc_id, path, nth, previous, next, first, n_references, md5(substring(text, CAST(start_offset + 1 AS BIGINT), CAST(end_offset - start_offset AS BIGINT))) AS passage FROM w JOIN texts USING (doc_id)")
 def passages_by_reference(spark, d):
-    texts = _kept_texts(spark, d)
-    refs = R.references(K.cited_sections(texts, 2, tasks=text_tasks(spark, d)), "order")
-    return R.passages(refs, texts).select("doc_id", "path", "nth", "previous", "next", "first", "n_references", F.md5("passage").alias("passage"))
+    texts = K.cited_texts(_texts(spark, d), 2, tasks=text_tasks(spark, d), carry=("text",))
+    return R.passages_within(texts.select("doc_id", "text", R.references_within(F.col("sections"), "order").alias("refs"))).select("doc_id", "path", "nth", "previous", "next", "first", "n_references", F.md5("passage").alias("passage"))
 
 
 @query(f"WITH {_WORKS} SELECT work, max(doc_id) FILTER (kind = 'text') AS edition, count(*) FILTER (kind = 'text') AS n_editions FROM works GROUP BY work HAVING count(*) FILTER (kind = 'text') > 0")
