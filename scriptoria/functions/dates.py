@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from scriptoria.functions.text import bound
+
 # Month names for display.
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
 _ISO = r"^(-?\d{1,4})(?:-(\d{1,2}))?(?:-(\d{1,2}))?$"
@@ -99,18 +101,24 @@ def free_date(text: Column) -> Column:
     A number over 12 where a month could stand is a year before Christ after a leading minus, else a
     day after a month. Zero parts are unknown; a date without any part is null.
     """
-    bare = F.regexp_replace(F.trim(text), "-+$", "")
+    return bound(F.regexp_replace(F.trim(text), "-+$", ""), lambda bare: bound(_typed_parts(bare), _typed_date))
+
+
+def _typed_parts(bare: Column) -> Column:
     part = lambda k: F.regexp_extract(bare, r"^(-{0,2})(\d+)(?:-(\d*))?(?:-(\d+))?$", k)
-    signs, a, b, c = part(1), _int(part(2)), _int(part(3)), _int(part(4))
     era = F.replace(F.upper(F.regexp_extract(bare, r"^\d+\s*([A-Za-z.]+)$", 1)), F.lit("."), F.lit(""))
-    named = _int(F.regexp_extract(bare, r"^(\d+)\s*[A-Za-z.]+$", 1))
+    return F.struct(part(1).alias("signs"), _int(part(2)).alias("a"), _int(part(3)).alias("b"), _int(part(4)).alias("c"), era.alias("era"), _int(F.regexp_extract(bare, r"^(\d+)\s*[A-Za-z.]+$", 1)).alias("named"))
+
+
+def _typed_date(parts: Column) -> Column:
+    signs, a, b, c, era, named = (parts[k] for k in ("signs", "a", "b", "c", "era", "named"))
     plain, late = signs == "", a > 12
     month_first = plain & c.isNull() & (b > 12)
     year = F.when(era != "", F.when(era.isin("BC", "BCE"), -named).otherwise(named)).when(plain & ~F.coalesce(month_first, F.lit(False)), a).when((signs == "-") & (late | c.isNotNull()), -a)
     month = F.when(month_first, a).when(plain, b).when((signs == "-") & (late | c.isNotNull()), b).when(signs == "-", a)
     day = F.when(month_first, b).when(plain, c).when((signs == "-") & c.isNotNull(), c).when((signs == "-") & ~late, b).when((signs == "--") & b.isNull() & c.isNull(), a)
-    y, m, d = (F.when(x != 0, x) for x in (year, month, day))
-    return F.when(F.coalesce(y, m, d).isNotNull(), F.struct(y.alias("year"), m.alias("month"), d.alias("day")))
+    known = F.struct(*(F.when(x != 0, x).alias(n) for n, x in (("year", year), ("month", month), ("day", day))))
+    return bound(known, lambda d: F.when(F.coalesce(d["year"], d["month"], d["day"]).isNotNull(), d))
 
 
 def timestamped(text: Column) -> Column:

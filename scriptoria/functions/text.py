@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -91,6 +92,11 @@ def capitalised_name(name: Column) -> Column:
     return F.array_join(each, " ")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def join_present(separator: str, *columns: Column) -> Column:
     """The columns that are neither null nor empty, joined."""
     return F.concat_ws(separator, *(F.nullif(c, F.lit("")) for c in columns))

@@ -32,13 +32,21 @@ def _kept_texts(spark, d):
     return S.kept(_texts(spark, d), "texts")
 
 
-def _sections(spark, d, texts=None):
-    return K.cited_sections(_texts(spark, d) if texts is None else texts, 2, tasks=text_tasks(spark, d))
+def _sections(spark, d):
+    return K.cited_sections(_texts(spark, d), 2, tasks=text_tasks(spark, d))
 
 
-def _occurrences(spark, d, texts=None):
+def _occurrences(spark, d, texts=None, spans=None):
     gazetteer = S.table(spark, d, "nation").select(F.concat(F.lit("nation,"), "n_nationkey").alias("auth_name"), F.col("n_name").alias("display_name"))
-    return N.occurrences(_texts(spark, d) if texts is None else texts, gazetteer)
+    return N.occurrences(_texts(spark, d) if texts is None else texts, gazetteer, spans)
+
+
+def _occurrences_by_order(spark, d):
+    """Occurrences with order, the order in which each starts: one row for each pair, found in the text's row."""
+    texts = K.cited_texts(_texts(spark, d), 2, tasks=text_tasks(spark, d), carry=("text",))
+    orders = F.transform(F.filter("sections", lambda s: s["type"] == "order"), lambda s: F.struct(*(s[c].alias(c) for c in ("path", "value", "start_offset", "end_offset"))))
+    found = _occurrences(spark, d, texts.select("doc_id", "text", orders.alias("orders")), "orders")
+    return found.withColumn("order", F.explode("within")).drop("within")
 
 
 @query(f"WITH {_SECTIONS} SELECT doc_id, type, value, path, position, abs_position, start_offset, end_offset FROM sections")
@@ -147,10 +155,7 @@ def entities_in_window(spark, d):
 
 @query(f"WITH {_NAMES} SELECT doc_id, 'order=' || o_orderkey AS path, class, auth_name, count(*) AS n, min(start_offset) AS first_position FROM occurrences GROUP BY ALL")
 def entities_by_section(spark, d):
-    texts = _kept_texts(spark, d)
-    chunks = _sections(spark, d, texts).where("type = 'order'").select("doc_id", "path", "start_offset", "end_offset")
-    pairs = J.bucketed_range_join(chunks, _occurrences(spark, d, texts), "doc_id", J.contains())
-    return pairs.groupBy(F.col("o.doc_id").alias("doc_id"), F.col("o.path").alias("path"), "class", "auth_name").agg(F.count("*").alias("n"), F.min("i.start_offset").alias("first_position"))
+    return _occurrences_by_order(spark, d).groupBy("doc_id", F.col("order.path").alias("path"), "class", "auth_name").agg(F.count("*").alias("n"), F.min("start_offset").alias("first_position"))
 
 
 @query(f"WITH {_NAMES} SELECT collection, class, auth_name, count(*) AS max_freq, CAST(sum(CASE WHEN ambiguous THEN 0 ELSE 1 END) AS BIGINT) AS min_freq, count(DISTINCT doc_id) AS n_docs FROM occurrences GROUP BY ALL")

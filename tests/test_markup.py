@@ -376,3 +376,24 @@ def test_passages_are_found_with_the_text_in_their_row(spark):
     found = K.passages_of(held)
     assert exchanges(found) == 0
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, K.passages_within(docs, held.drop("text")).collect())) and found.count() == 4
+
+
+def test_mentions_meet_the_spans_that_hold_them_in_the_row(spark):
+    text = '<a><date value="1990">x</date></a><a><b><persName reg="p:Smith,Jo">Jo</persName></b></a><name type="place" n="B">b</name><name>c</name>'
+    at = text.index("<a><b>")
+    spans = [("one", 0, at - 1), ("two", at, text.index("<name") - 1), ("three", at + 3, at + 6)]
+    docs = spark.createDataFrame([("d", text, spans), ("e", None, spans), ("f", text, [])], "doc_id string, text string, held array<struct<path:string,start_offset:int,end_offset:int>>")
+    known = spark.createDataFrame([("b", "B")], "auth_name string, display_name string").coalesce(1)
+    found = N.occurrences(docs, known, "held")
+    assert "Exchange hashpartitioning(doc_id" not in plan(found) and "Window" not in plan(found)
+    rows = {(r.doc_id, r.auth_name): [s.path for s in r.within] for r in found.collect()}
+    assert rows == {("d", "1990"): ["one"], ("d", "smith,jo"): ["two", "three"], ("d", "b"): [], ("f", "1990"): [], ("f", "smith,jo"): [], ("f", "b"): []}
+
+
+@pytest.mark.parametrize("name", ["entities_by_section", "entities_under_their_division", "places_with_their_entries"])
+def test_entities_meet_their_orders_without_a_join_of_texts(spark, monkeypatch, name):
+    from scriptoria import markup_queries
+    from scriptoria.sources import tables
+
+    monkeypatch.setattr(tables, "kept", None)
+    assert "_bucket" not in plan(getattr(markup_queries, name)(spark, "/root/testdata/sf0.001"))
