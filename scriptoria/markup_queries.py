@@ -207,9 +207,7 @@ def places_with_their_entries(spark, d):
 @query(f"WITH {_NAMES} SELECT doc_id, class, auth_name, 'order=' || o_orderkey AS root, row_number() OVER (PARTITION BY doc_id ORDER BY o_orderkey, k) AS place FROM occurrences")
 def entities_under_their_division(spark, d):
     """Occurrences re-rooted at their outermost section, in the order of section and position."""
-    texts = _kept_texts(spark, d)
-    chunks = _sections(spark, d, texts).select("doc_id", F.split_part("path", F.lit(":"), F.lit(1)).alias("root"), "start_offset", "end_offset", "parent_n", "type").where("type = 'order'")
-    pairs = J.bucketed_range_join(chunks, _occurrences(spark, d, texts), "doc_id", J.contains()).select(F.col("o.doc_id").alias("doc_id"), "class", "auth_name", "o.root", "i.start_offset")
+    pairs = _occurrences_by_order(spark, d).select("doc_id", "class", "auth_name", F.split_part("order.path", F.lit(":"), F.lit(1)).alias("root"), "start_offset")
     order = X.path_steps(F.col("root"))[0]["value"].cast("long")
     return pairs.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy(order, "start_offset"))).select("doc_id", "class", "auth_name", "root", "place")
 
