@@ -197,9 +197,7 @@ def most_frequent_entities(spark, d):
 @query(f"WITH {_NAMES} SELECT o_orderkey, p.auth_name AS place, n.n_regionkey FROM (SELECT o_orderkey, doc_id FROM named) o LEFT JOIN occurrences p USING (o_orderkey, doc_id) LEFT JOIN nation n ON p.auth_name = 'nation,' || n.n_nationkey AND n.n_regionkey < 3 WHERE p.class = 'place' OR p.class IS NULL")
 def places_with_their_entries(spark, d):
     """Every place mention with its entry in a partial gazetteer; mentions of others stay, with a null region."""
-    chunks = _sections(spark, d).where("type = 'order'").select("doc_id", "value", "start_offset", "end_offset")
-    found = _occurrences(spark, d).where(F.col("class") == "place")
-    pairs = J.bucketed_range_join(chunks, found, "doc_id", J.contains()).select(F.col("o.value").cast("long").alias("o_orderkey"), F.col("i.auth_name").alias("place"))
+    pairs = _occurrences_by_order(spark, d).where(F.col("class") == "place").select(F.col("order.value").cast("long").alias("o_orderkey"), F.col("auth_name").alias("place"))
     entries = S.table(spark, d, "nation").where("n_regionkey < 3").select(F.concat(F.lit("nation,"), "n_nationkey").alias("place"), "n_regionkey")
     return pairs.join(S.small(entries), "place", "left").select("o_orderkey", "place", "n_regionkey")
 
